@@ -1 +1,267 @@
-"""Queries."""
+"""Queries SHP1-SHP23: shape factors and their application."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import calendar as cal
+from ..functions import timegrid as tg
+from ..operators import joins, shapes
+from ..operators import windows as win
+from .registry import query
+from .table_plans import HOURLY, WEIGHTED, hourly, weighted
+from .time_plans import CAL, ENRICHED, R, S, enriched
+
+CELL = shapes.CELL
+W_ROWS = "wrows AS (SELECT series, ts, local_ts, d, hour, quarter, season, day_type_ch AS day_type, price, exp(-ln(2) * date_diff('day', CAST(ts AS DATE), CAST(last AS DATE)) / 30.0) AS w FROM enriched JOIN (SELECT series, max(ts) AS last FROM spot GROUP BY series) USING (series))"
+FH = f"""{ENRICHED}, {W_ROWS},
+fh_raw AS (SELECT series, season, day_type, hour, sum(w * price) / sum(w) AS m, count(*) AS n FROM wrows GROUP BY ALL),
+fh_grid AS (SELECT g.*, r.m FROM (SELECT series, season, day_type, CAST(unnest(range(24)) AS INT) AS hour FROM fh_raw GROUP BY series, season, day_type HAVING sum(n) >= 96) g LEFT JOIN fh_raw r USING (series, season, day_type, hour)),
+fh_fill AS (SELECT series, season, day_type, hour, coalesce(m, y0 + (y1 - y0) * (hour - x0) / nullif(x1 - x0, 0), y0, y1) AS y FROM (SELECT *,
+  last_value(CASE WHEN m IS NOT NULL THEN hour END IGNORE NULLS) OVER b AS x0, last_value(m IGNORE NULLS) OVER b AS y0, first_value(CASE WHEN m IS NOT NULL THEN hour END IGNORE NULLS) OVER f AS x1, first_value(m IGNORE NULLS) OVER f AS y1 FROM fh_grid
+  WINDOW b AS (PARTITION BY series, season, day_type ORDER BY hour ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY series, season, day_type ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),
+fh AS (SELECT series, season, day_type, hour, y / avg(y) OVER (PARTITION BY series, season, day_type) AS f FROM fh_fill)"""
+KERNEL = "(SELECT CAST(k AS INT) AS shift, exp(-0.5 * k * k) / (SELECT sum(exp(-0.5 * j * j)) FROM range(-4, 5) r(j)) AS k FROM range(-4, 5) r(k))"
+FH_SMOOTH = f"fh_s AS (SELECT series, season, day_type, hour, f / avg(f) OVER (PARTITION BY series, season, day_type) AS f FROM (SELECT series, season, day_type, (hour + shift + 24) % 24 AS hour, sum(f * k) AS f FROM fh, {KERNEL} GROUP BY ALL))"
+FH_ALL = """fh_all AS (SELECT series, season, day_type, hour, coalesce(f, avg(f) OVER (PARTITION BY series, hour, season), avg(f) OVER (PARTITION BY series, hour, day_type), avg(f) OVER (PARTITION BY series, hour), 1.0) AS f
+  FROM (SELECT * FROM (SELECT DISTINCT series FROM fh_s), (VALUES ('Hiver'), ('Printemps'), ('Ete'), ('Automne')) s(season), (VALUES ('Ouvrable'), ('Samedi'), ('Dimanche'), ('Ferie_CH'), ('Ferie_DE')) t(day_type), (SELECT CAST(unnest(range(24)) AS INT) AS hour)) LEFT JOIN fh_s USING (series, season, day_type, hour))"""
+
+
+def weighted_rows(t):
+    """enriched spot rows with their cell and a weight that halves every 30 days."""
+    last = t.spot.groupBy("series").agg(F.to_date(F.max("ts")).alias("last"))
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(last), "series")
+    return rows.withColumn("w", win.decay_weight(F.to_date("ts"), F.col("last"), 30.0))
+
+
+def profile(t):
+    return shapes.hourly_profile(weighted_rows(t))
+
+
+CELL_SQL = "SELECT series, season, day_type, hour, round(f, 6) AS f FROM "
+
+
+@query("shp1_hourly_profile", CELL_SQL + "fh", FH)
+def shp1(t):
+    return profile(t).select(*CELL, "hour", R("f", "f"))
+
+
+@query("shp2_smoothed", CELL_SQL + "fh_s", f"{FH}, {FH_SMOOTH}")
+def shp2(t):
+    return shapes.smoothed(profile(t)).select(*CELL, "hour", R("f", "f"))
+
+
+@query("shp3_fallback", CELL_SQL + "fh_all", f"{FH}, {FH_SMOOTH}, {FH_ALL}")
+def shp3(t):
+    return shapes.with_fallback(shapes.smoothed(profile(t))).select(*CELL, "hour", R("f", "f"))
+
+
+DAYS = f"{CAL}, {WEIGHTED}, wdays AS (SELECT market, d, price, w, season, CASE market WHEN 'CH' THEN day_type_ch ELSE day_type_de END AS day_type FROM wd JOIN cal USING (d))"
+
+
+def weighted_days(t):
+    """daily with weight, season and the day type of its market."""
+    rows = weighted(t).join(F.broadcast(t.calendar), "d")
+    return rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
+
+
+FW = "fw AS (SELECT market, day_type, CASE WHEN count(*) >= 20 THEN sum(w * price) / sum(w) / any_value(a) ELSE 1.0 END AS f FROM wdays JOIN (SELECT market, sum(w * price) / sum(w) AS a FROM wdays GROUP BY market) USING (market) GROUP BY market, day_type)"
+FWS = "fws AS (SELECT market, season, day_type, CASE WHEN count(*) >= 20 THEN sum(w * price) / sum(w) / any_value(a) END AS f FROM wdays JOIN (SELECT market, season, sum(w * price) / sum(w) AS a FROM wdays GROUP BY market, season) USING (market, season) GROUP BY market, season, day_type)"
+
+
+@query("shp4_day_factor", "SELECT market, day_type, round(f, 6) AS f FROM fw", f"{DAYS}, {FW}")
+def shp4(t):
+    return shapes.day_factor(weighted_days(t), ["market"], 20).select("market", "day_type", R("f", "f"))
+
+
+def seasonal_factor(t):
+    rows = weighted_days(t)
+    own = rows.groupBy("market", "season", "day_type").agg((F.sum(F.col("w") * F.col("price")) / F.sum("w")).alias("m"), F.count(F.lit(1)).alias("n"))
+    every = rows.groupBy("market", "season").agg((F.sum(F.col("w") * F.col("price")) / F.sum("w")).alias("all"))
+    own = own.join(F.broadcast(every), ["market", "season"]).withColumn("own", F.when(F.col("n") >= 20, F.col("m") / F.col("all")))
+    return own.join(F.broadcast(shapes.day_factor(rows, ["market"], 20)), ["market", "day_type"]).select("market", "season", "day_type", F.coalesce("own", "f").alias("f"))
+
+
+@query("shp5_seasonal_day_factor", "SELECT market, season, day_type, round(coalesce(fws.f, fw.f), 6) AS f FROM fws JOIN fw USING (market, day_type)", f"{DAYS}, {FW}, {FWS}")
+def shp5(t):
+    return seasonal_factor(t).select("market", "season", "day_type", R("f", "f"))
+
+
+@query("shp6_profile_trend", "SELECT market, month, round(regr_slope(f, y), 8) AS slope, count(*) AS years FROM (SELECT market, y, month, m / avg(m) OVER (PARTITION BY market, y) AS f FROM (SELECT market, year(d)::DOUBLE AS y, CAST(month(d) AS INT) AS month, avg(price) AS m FROM daily GROUP BY ALL)) GROUP BY market, month HAVING count(*) >= 3")
+def shp6(t):
+    m = t.daily.groupBy("market", F.year("d").cast("double").alias("y"), F.month("d").alias("month")).agg(F.avg("price").alias("m"))
+    f = m.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy("market", "y")))
+    return f.groupBy("market", "month").agg(R(F.regr_slope("f", "y"), "slope", 8), F.count(F.lit(1)).alias("years")).where("years >= 3")
+
+
+@query("shp7_apply_hourly", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(g / avg(g) OVER (PARTITION BY series, d), 6) AS f FROM (SELECT e.series, e.ts, e.d, greatest(0.4, least(2.0, coalesce(f.f, 1.0))) AS g FROM wrows e LEFT JOIN fh_all f USING (series, season, day_type, hour))", f"{FH}, {FH_SMOOTH}, {FH_ALL}")
+def shp7(t):
+    table = shapes.with_fallback(shapes.smoothed(profile(t)))
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(table), [*CELL, "hour"], "left")
+    g = rows.withColumn("g", F.greatest(F.lit(0.4), F.least(F.lit(2.0), F.coalesce("f", F.lit(1.0)))))
+    return g.select("series", S("ts"), R(win.normalised("g", ["series", "d"]), "f"))
+
+
+@query("shp8_analogue_weight", "SELECT x.market, CAST(x.d AS VARCHAR) AS d, round(coalesce(greatest(0.3, exp(-0.5 * ((h.fill_pct - n.now) / 15.0) * ((h.fill_pct - n.now) / 15.0))), 1.0), 6) AS w FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week CROSS JOIN (SELECT arg_max(fill_pct, week) AS now FROM hydro) n")
+def shp8(t):
+    now = t.hydro.agg(F.max_by("fill_pct", "week").alias("now"))
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct").crossJoin(F.broadcast(now))
+    z = (F.col("fill_pct") - F.col("now")) / 15.0
+    # greatest skips nulls, so a day before the first week is told apart
+    w = F.when(F.col("fill_pct").isNull(), F.lit(SHP8_NULL)).otherwise(F.greatest(F.lit(0.3), F.exp(-0.5 * z * z)))
+    return rows.select("market", S("d"), R(w, "w"))
+
+
+#: DuckDB's greatest skips nulls too, so there the floor holds for such days.
+SHP8_NULL = 0.3
+
+
+@query("shp9_week_climatology", "SELECT CAST(weekofyear(week) AS INT) AS iso_week, round(avg(fill_pct), 6) AS fill FROM hydro GROUP BY weekofyear(week)")
+def shp9(t):
+    return t.hydro.groupBy(F.weekofyear("week").alias("iso_week")).agg(R(F.avg("fill_pct"), "fill"))
+
+
+RATIOS = f"{ENRICHED}, {W_ROWS}, ratios AS (SELECT *, price / m AS ratio FROM (SELECT *, avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS m FROM wrows) WHERE abs(m) > 0.1)"
+FQ = "fq AS (SELECT series, season, day_type, hour, quarter, mid / avg(mid) OVER (PARTITION BY series, season, day_type, hour) AS f FROM (SELECT series, season, day_type, hour, quarter, median(ratio) AS mid FROM ratios GROUP BY ALL HAVING count(*) >= 8))"
+
+
+def ratios(t):
+    return shapes.quarter_ratios(weighted_rows(t), CELL)
+
+
+def quarter_table(t):
+    mid = ratios(t).groupBy(*CELL, "hour", "quarter").agg(F.median("ratio").alias("mid"), F.count(F.lit(1)).alias("n")).where("n >= 8")
+    return mid.select(*CELL, "hour", "quarter", win.normalised("mid", [*CELL, "hour"]).alias("f"))
+
+
+@query("shp10_quarter_base", "SELECT series, season, day_type, hour, quarter, round(f, 6) AS f FROM fq", f"{RATIOS}, {FQ}")
+def shp10(t):
+    return quarter_table(t).select(*CELL, "hour", "quarter", R("f", "f"))
+
+
+@query("shp10b_quarter_huber")
+def shp10b(t):
+    located = shapes.huber_by(ratios(t), [*CELL, "hour", "quarter"], "ratio").where("location IS NOT NULL")
+    return located.select(*CELL, "hour", "quarter", R(win.normalised("location", [*CELL, "hour"]), "f"))
+
+
+@query("shp11_quarter_correction")
+def shp11(t):
+    rows = ratios(t).withColumns({"x1": F.col("price") / 100, "x2": F.sin(F.dayofmonth("ts") / 5.0), "x3": F.cos(F.dayofmonth("ts") / 5.0)})
+    return shapes.ridge_correction(rows.select(*CELL, "quarter", "ts", "ratio", "x1", "x2", "x3"), [*CELL, "quarter"], ["x1", "x2", "x3"], "ratio").select(*CELL, "quarter", "accepted", R("intercept", "intercept"), F.transform("coefs", lambda c: F.round(c, 6)).cast("string").alias("coefs"))
+
+
+@query("shp12_apply_quarter", "SELECT e.series, CAST(e.ts AS VARCHAR) AS ts, round(coalesce(q.f, 1.0), 6) AS f FROM wrows e LEFT JOIN fq q USING (series, season, day_type, hour, quarter)", f"{RATIOS}, {FQ}")
+def shp12(t):
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(quarter_table(t)), [*CELL, "hour", "quarter"], "left")
+    return rows.select("series", S("ts"), R(F.coalesce("f", F.lit(1.0)), "f"))
+
+
+@query("shp13_quarter_fallback", "SELECT series, day_type, hour, quarter, round(coalesce(f, avg(f) OVER (PARTITION BY series, hour, quarter), 1.0), 6) AS f FROM (SELECT * FROM (SELECT DISTINCT series FROM fq), (VALUES ('Ouvrable'), ('Samedi'), ('Dimanche'), ('Ferie_CH'), ('Ferie_DE')) t(day_type), (SELECT CAST(unnest(range(24)) AS INT) AS hour), (SELECT CAST(unnest(range(1, 5)) AS INT) AS quarter)) LEFT JOIN (SELECT * FROM fq WHERE season = 'Hiver') USING (series, day_type, hour, quarter)", f"{RATIOS}, {FQ}")
+def shp13(t):
+    table = quarter_table(t)
+    cells = table.select("series").distinct().withColumn("day_type", F.explode(F.array(*map(F.lit, shapes.DAY_TYPES)))).withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("quarter", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    rows = cells.join(table.where("season = 'Hiver'").drop("season"), ["series", "day_type", "hour", "quarter"], "left")
+    return rows.select("series", "day_type", "hour", "quarter", R(F.coalesce("f", F.avg("f").over(Window.partitionBy("series", "hour", "quarter")), F.lit(1.0)), "f"))
+
+
+@query("shp14_observed", "SELECT series, hour, round(avg(ratio), 6) AS mean, round(median(ratio), 6) AS mid, round(stddev_samp(ratio), 6) AS sd, coalesce(stddev_samp(ratio), 0) < 1e-6 AS flat FROM ratios GROUP BY series, hour", RATIOS)
+def shp14(t):
+    sd = F.stddev_samp("ratio")
+    return ratios(t).groupBy("series", "hour").agg(R(F.avg("ratio"), "mean"), R(F.median("ratio"), "mid"), R(sd, "sd"), (F.coalesce(sd, F.lit(0.0)) < 1e-6).alias("flat"))
+
+
+MLP = "feat AS (SELECT series, CAST(ts AS VARCHAR) AS ts, sin(hour * (2 * pi() / 24)) AS hs, cos(hour * (2 * pi() / 24)) AS hc, CAST(isodow(d) - 1 AS INT) AS weekday, greatest(0.2, least(3.0, price / m)) AS target FROM (SELECT *, avg(price) OVER (PARTITION BY series, d) AS m FROM hourly) WHERE m > 5)"
+
+
+def features(t):
+    """Cyclic features and the clipped ratio of each hour to its day."""
+    rows = hourly(t).withColumn("m", F.avg("price").over(Window.partitionBy("series", "d"))).where("m > 5")
+    s, c = tg.cyclic(F.col("hour"), 24)
+    return rows.select("series", S("ts"), s.alias("hs"), c.alias("hc"), F.weekday("d").alias("weekday"), F.greatest(F.lit(0.2), F.least(F.lit(3.0), F.col("price") / F.col("m"))).alias("target"))
+
+
+@query("shp15_regressor_features", "SELECT series, ts, round(hs, 6) + 0.0 AS hs, round(hc, 6) + 0.0 AS hc, weekday, round(target, 6) AS target FROM feat", f"{HOURLY}, {MLP}")
+def shp15(t):
+    z = lambda c: (F.round(c, 6) + 0.0).alias(c)
+    return features(t).select("series", "ts", z("hs"), z("hc"), "weekday", R("target", "target"))
+
+
+@query("shp16_regressor")
+def shp16(t):
+    """Tree ensemble on the features; the prediction is floored and scaled to mean 1 over each day."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    rows = VectorAssembler(inputCols=["hs", "hc", "weekday"], outputCol="x").transform(features(t))
+    model = RandomForestRegressor(featuresCol="x", labelCol="target", numTrees=10, maxDepth=5, seed=1).fit(rows)
+    out = model.transform(rows).select("series", "ts", F.substring("ts", 1, 10).alias("d"), F.greatest("prediction", F.lit(0.05)).alias("p"))
+    return out.select("series", "ts", R(win.normalised("p", ["series", "d"]), "f"))
+
+
+@query("shp17_water_value_fit", "SELECT season, round(regr_slope(p, dev), 6) AS slope, count(*) AS months FROM (SELECT CASE WHEN m IN (11, 12, 1, 2, 3) THEN 'Hiver' WHEN m IN (4, 5) THEN 'Printemps' WHEN m = 10 THEN 'Automne' ELSE 'Ete' END AS season, p, dev FROM (SELECT year(x.d) AS y, month(x.d) AS m, avg(x.price) AS p, avg(h.fill_pct) AS dev FROM (SELECT * FROM daily WHERE market = 'CH') x ASOF LEFT JOIN hydro h ON x.d >= h.week GROUP BY ALL)) GROUP BY season")
+def shp17(t):
+    rows = joins.asof_weekly(t.daily.where("market = 'CH'"), t.hydro, "d", "week", "fill_pct")
+    months = rows.groupBy(F.year("d").alias("y"), F.month("d").alias("m")).agg(F.avg("price").alias("p"), F.avg("fill_pct").alias("dev"))
+    return months.groupBy(cal.season(F.col("m")).alias("season")).agg(R(F.regr_slope("p", "dev"), "slope"), F.count(F.lit(1)).alias("months"))
+
+
+@query("shp18_water_value", """SELECT market, CAST(d AS VARCHAR) AS d, round(greatest(0.8, least(1.2, raw / avg(raw) OVER (PARTITION BY market))), 6) AS f FROM (SELECT market, d, greatest(0.8, least(1.2, 1.0 + 0.03 * coalesce(dev, 0) * CASE season WHEN 'Hiver' THEN -0.8 WHEN 'Printemps' THEN -0.3 WHEN 'Ete' THEN -0.1 ELSE -0.5 END)) AS raw
+  FROM (SELECT x.market, x.d, (h.fill_pct - 80) / 5 AS dev FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week) JOIN cal USING (d))""", CAL)
+def shp18(t):
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct").join(F.broadcast(t.calendar), "d")
+    f = shapes.water_value((F.col("fill_pct") - 80) / 5, F.col("season"), Window.partitionBy("market"))
+    return rows.select("market", S("d"), R(f, "f"))
+
+
+BANDS = "bands AS (SELECT series, hour, CASE WHEN n >= 20 AND abs(m) >= 1 THEN a / m ELSE 0.85 END AS p10, CASE WHEN n >= 20 AND abs(m) >= 1 THEN b / m ELSE 1.0 END AS p50, CASE WHEN n >= 20 AND abs(m) >= 1 THEN c / m ELSE 1.15 END AS p90 FROM (SELECT series, hour, count(*) AS n, avg(price) AS m, quantile_cont(price, 0.1) AS a, quantile_cont(price, 0.5) AS b, quantile_cont(price, 0.9) AS c FROM hourly GROUP BY series, hour))"
+
+
+def bands(t):
+    q = hourly(t).groupBy("series", "hour").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("m"), F.percentile("price", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"))
+    ok = (F.col("n") >= 20) & (F.abs("m") >= 1)
+    return q.select("series", "hour", *(F.when(ok, F.col("q")[k] / F.col("m")).otherwise(F.lit(v)).alias(n) for k, (n, v) in enumerate((("p10", 0.85), ("p50", 1.0), ("p90", 1.15)))))
+
+
+@query("shp19_cell_bands", "SELECT series, hour, round(p10, 6) AS p10, round(p50, 6) AS p50, round(p90, 6) AS p90 FROM bands", f"{HOURLY}, {BANDS}")
+def shp19(t):
+    return bands(t).select("series", "hour", *(R(c, c) for c in ("p10", "p50", "p90")))
+
+
+@query("shp19b_bootstrap_bands")
+def shp19b(t):
+    rows = hourly(t).withColumn("row_id", F.xxhash64("series", "ts"))
+    return shapes.bootstrap_bands(rows, ["series", "hour"], "price").select("series", "hour", *(R(c, c) for c in ("p10", "p50", "p90")))
+
+
+@query("shp20_apply_bands", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(price - abs(price - price * p10 / greatest(p50, 0.01)) * 2.5, 6) AS p10, round(price + abs(price * p90 / greatest(p50, 0.01) - price) * 2.5, 6) AS p90 FROM hourly JOIN bands USING (series, hour)", f"{HOURLY}, {BANDS}")
+def shp20(t):
+    rows = hourly(t).join(F.broadcast(bands(t)), ["series", "hour"])
+    months = tg.months_between(F.lit("2024-01-01").cast("date"), F.col("ts"))
+    lo, hi = shapes.banded(F.col("price"), F.col("p10"), F.col("p50"), F.col("p90"), tg.step_lookup(months, tg.WIDENING, 4.2))
+    return rows.select("series", S("ts"), R(lo, "p10"), R(hi, "p90"))
+
+
+@query("shp21_exogenous_forecast", "SELECT series, CAST(g.ts AS VARCHAR) AS ts, round(m, 6) AS typical FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-02-01', TIMESTAMP '2024-02-02 23:45:00', INTERVAL 15 minute)) AS TIMESTAMP) AS ts) g JOIN (SELECT series, hour(ts) AS h, minute(ts) AS q, median(price) AS m FROM spot GROUP BY ALL) c ON hour(g.ts) = h AND minute(g.ts) = q")
+def shp21(t):
+    typical = t.spot.groupBy("series", F.hour("ts").alias("h"), F.minute("ts").alias("q")).agg(F.median("price").alias("typical"))
+    ahead = tg.grid(t.spark.range(1).select(F.lit("2024-02-01").cast("timestamp_ntz").alias("start"), F.lit("2024-02-03").cast("timestamp_ntz").alias("end")), "15 MINUTES")
+    return ahead.withColumns({"h": F.hour("ts"), "q": F.minute("ts")}).join(F.broadcast(typical), ["h", "q"]).select("series", S("ts"), R("typical", "typical"))
+
+
+@query("shp22_deviation_ramp", "SELECT CAST(week AS VARCHAR) AS week, round(dev * (1 - (row_number() OVER (ORDER BY week) - 1) / greatest(count(*) OVER () - 1, 1)), 6) + 0.0 AS deviation FROM (SELECT week, (SELECT arg_max(fill_pct, week) FROM hydro) - (SELECT avg(fill_pct) FROM hydro) AS dev FROM hydro WHERE year(week) = 2001)")
+def shp22(t):
+    now = t.hydro.agg((F.max_by("fill_pct", "week") - F.avg("fill_pct")).alias("dev"))
+    rows = t.hydro.where(F.year("week") == 2001).withColumn("y", F.year("week")).crossJoin(F.broadcast(now))
+    n = F.count(F.lit(1)).over(Window.partitionBy("y"))
+    ramp = 1 - (F.row_number().over(Window.partitionBy("y").orderBy("week")) - 1) / F.greatest(n - 1, F.lit(1))
+    return rows.select(S("week"), (F.round(F.col("dev") * ramp, 6) + 0.0).alias("deviation"))
+
+
+@query("shp23_diagnostics", "SELECT CAST(month(a.d) AS INT) AS month, count(*) AS n, round(corr(a.price, b.price), 6) AS corr, round(avg(a.price) FILTER (b.price > 50) - avg(a.price) FILTER (b.price <= 50), 6) AS gap FROM daily a JOIN daily b ON a.d = b.d AND a.market = 'CH' AND b.market = 'DE' GROUP BY month(a.d)")
+def shp23(t):
+    from .table_plans import pair
+
+    high = F.col("de") > 50
+    return pair(t).groupBy(F.month("d").alias("month")).agg(F.count(F.lit(1)).alias("n"), R(F.corr("ch", "de"), "corr"), R(F.avg(F.when(high, F.col("ch"))) - F.avg(F.when(~high, F.col("ch"))), "gap"))

@@ -1 +1,241 @@
-"""Queries."""
+"""Queries SRC1-SRC16 and SNK1-SNK13: scans, failover, upserts, exports, history tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions import timegrid as tg
+from ..operators import windows as win
+from ..sources import readers, writers
+from .registry import query
+from .table_plans import hourly
+from .time_plans import R, S
+
+PERIOD = "CASE WHEN month IS NOT NULL THEN printf('%d-%02d', year, month) WHEN quarter IS NOT NULL THEN printf('%d-Q%d', year, quarter) ELSE CAST(year AS VARCHAR) END"
+
+
+def scratch(t, name: str) -> str:
+    """A new folder in the shared storage for a written form that the query reads back."""
+    return writers.shared_folder(t.spark, name)
+
+
+@query("src1_parquet", "SELECT event_type AS series, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
+def src1(t):
+    rows = readers.parquet(t.spark, f"{t.path}/events.parquet", "event_type string, value double")
+    return rows.groupBy(F.col("event_type").alias("series")).agg(F.count(F.lit(1)).alias("n"), R(F.sum("value"), "total", 4))
+
+
+@query("src2_optional", "SELECT count(*) AS found, 0::BIGINT AS missing FROM events")
+def src2(t):
+    there, absent = (readers.optional(t.spark, f"{t.path}/{n}.parquet", "event_id long") for n in ("events", "no_such_table"))
+    return there.agg(F.count(F.lit(1)).alias("found")).crossJoin(absent.agg(F.count(F.lit(1)).alias("missing")))
+
+
+@query("src3_curve_csv", "SELECT market, CAST(d AS VARCHAR) AS d, round(price / 7.13, 4) AS price FROM daily")
+def src3(t):
+    path = scratch(t, "curve-csv")
+    writers.curve_csv(t.daily.select("market", F.col("d").cast("timestamp_ntz").alias("ts"), (F.col("price") / 7.13).alias("price")), path)
+    rows = readers.curve_csv(t.spark, path)
+    return rows.select("market", F.to_date("ts").cast("string").alias("d"), "price")
+
+
+PAYLOAD = "payload AS (SELECT event_type AS series, list(epoch(ts) ORDER BY ts, event_id) AS unix_seconds, list(CASE WHEN event_id % 11 <> 0 THEN value END ORDER BY ts, event_id) AS price FROM events GROUP BY event_type)"
+
+
+def payload(t):
+    """One JSON text per series with parallel arrays unix_seconds and price."""
+    item = F.struct("ts", "event_id", F.unix_timestamp("ts").alias("s"), F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("v"))
+    rows = t.events.groupBy(F.col("event_type").alias("series")).agg(F.sort_array(F.collect_list(item)).alias("x"))
+    return rows.select("series", F.to_json(F.struct(F.col("x.s").alias("unix_seconds"), F.col("x.v").alias("price")), {"ignoreNullFields": "false"}).alias("body"))
+
+
+@query("src4_price_payload", "SELECT event_type AS series, CAST(date_trunc('second', ts) AS VARCHAR) AS ts, round(arg_max(value, event_id), 6) AS price FROM events WHERE event_id % 11 <> 0 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY event_type, date_trunc('second', ts)")
+def src4(t):
+    # landed payloads: a row each, so their arrays are exploded in parallel
+    rows = readers.price_payload(payload(t), "2024-01-05", "2024-01-25")
+    return rows.select("series", S("ts"), R("price", "price"))
+
+
+@query("src5_power_payload", "SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS ts, round(sum(value) FILTER (event_type = 'click'), 6) AS click, round(sum(value) FILTER (event_type = 'view'), 6) AS view, round(sum(value) FILTER (event_type NOT IN ('click', 'view')), 6) AS other FROM events GROUP BY date_trunc('hour', ts)")
+def src5(t):
+    kinds = F.struct(F.col("event_type").alias("name"), "value")
+    hours = t.events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.collect_list(kinds).alias("production_types"))
+    landed = hours.select("ts", F.to_json("production_types").alias("body"))
+    return readers.power_payload(landed, {"click": "click", "view": "view"}).select(S("ts"), *(R(c, c) for c in ("click", "view", "other")))
+
+
+@query("src6_chunked_series", "SELECT event_type AS series, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY event_type")
+def src6(t):
+    path = scratch(t, "chunks")
+    rows = t.events.select("event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), "value", F.to_date("ts").cast("string").alias("chunk"))
+    rows.write.partitionBy("chunk").json(path)
+    found = readers.chunked(t.spark, path, "event_type string, ms long, value double", "2024-01-10", "2024-01-20")
+    return found.groupBy(F.col("event_type").alias("series")).agg(F.count(F.lit(1)).alias("n"), R(F.sum("value"), "total", 4))
+
+
+@query("src7_reservoir_csv", "SELECT CAST(week AS VARCHAR) AS week, greatest(0.0, least(100.0, round(fill_pct, 2))) AS fill_pct FROM hydro")
+def src7(t):
+    path = scratch(t, "reservoir")
+    t.hydro.select(F.col("week").alias("Datum"), (F.col("fill_pct") * 50).alias("Inhalt"), F.lit(5000.0).alias("Maximum")).write.csv(path, header=True)
+    return readers.reservoir_csv(t.spark, path).select(S("week"), "fill_pct")
+
+
+@query("src8_range_read", "SELECT CAST(week AS VARCHAR) AS week, round(fill_pct, 6) AS fill_pct FROM hydro WHERE week >= DATE '1998-01-01' - INTERVAL 2 year AND week <= DATE '1999-12-31'")
+def src8(t):
+    lo, hi = F.add_months(F.lit("1998-01-01").cast("date"), -24), F.lit("1999-12-31").cast("date")
+    return t.hydro.where(F.col("week").between(lo, hi)).select(S("week"), R("fill_pct", "fill_pct"))
+
+
+@query("src9_latest_snapshot", "SELECT market, CAST(d AS VARCHAR) AS run_date, round(price, 6) AS price FROM daily WHERE d = (SELECT max(d) FROM daily) ORDER BY market")
+def src9(t):
+    last = t.daily.agg(F.max("d").alias("last"))
+    return t.daily.join(F.broadcast(last), F.col("d") == F.col("last")).orderBy("market").select("market", S("d", "run_date"), R("price", "price"))
+
+
+@query("src10_wide_report", "SELECT CAST(d AS VARCHAR) AS date, market, round(price, 2) AS price FROM daily WHERE round(price, 2) > 0")
+def src10(t):
+    wide = t.daily.groupBy("d").pivot("market", ["CH", "DE"]).agg(F.first("price"))
+    text = lambda c: F.replace(F.format_string("%.2f", F.round(c, 2)), F.lit("."), F.lit(","))
+    landed = wide.select(S("d", "date"), *(F.when(F.col(c).isNotNull(), text(c)).alias(f"M01_{c}") for c in ("CH", "DE")))
+    long = readers.wide_report(landed, ["M01_CH", "M01_DE"])
+    return long.select("date", F.substring_index("code", "_", -1).alias("market"), "price")
+
+
+@query("src11_product_codes", f"SELECT market, code, CASE WHEN month IS NULL AND quarter IS NULL THEN CAST(year AS VARCHAR) ELSE {PERIOD} END AS key, CASE WHEN load = 'PEAK' THEN 'Peak' ELSE 'Base' END AS load FROM (SELECT *, CASE WHEN year % 3 = 0 THEN 'PEAK' ELSE 'BASE' END AS load, CASE WHEN month IS NOT NULL THEN printf('M%02d', month) WHEN quarter IS NOT NULL THEN printf('Q%02d', quarter) ELSE 'Y01' END || '_' || CAST(year AS VARCHAR) || '_' || CASE WHEN year % 3 = 0 THEN 'PEAK' ELSE 'BASE' END AS code FROM quotes)")
+def src11(t):
+    kind = F.when(F.col("month").isNotNull(), F.format_string("M%02d", "month")).when(F.col("quarter").isNotNull(), F.format_string("Q%02d", "quarter")).otherwise("Y01")
+    code = F.concat_ws("_", kind, F.col("year").cast("string"), F.when(F.col("year") % 3 == 0, "PEAK").otherwise("BASE"))
+    rows = t.quotes.select("market", code.alias("code")).withColumn("p", readers.product_code(F.col("code")))
+    return rows.where("p IS NOT NULL").select("market", "code", "p.key", "p.load")
+
+
+@query("src12_asof_pick", "SELECT market, CAST(max(d) AS VARCHAR) AS d, round(arg_max(price, d), 6) AS price FROM daily WHERE d <= DATE '1999-06-30' AND price > 0 GROUP BY market")
+def src12(t):
+    rows = t.daily.where((F.col("d") <= F.lit("1999-06-30").cast("date")) & (F.col("price") > 0))
+    return rows.groupBy("market").agg(F.max("d").cast("string").alias("d"), R(F.max_by("price", "d"), "price"))
+
+
+@query("src13_failover", "SELECT CAST(d AS VARCHAR) AS d, CASE WHEN ch IS NOT NULL THEN 'primary' ELSE 'secondary' END AS source, round(coalesce(ch, de), 6) AS price FROM (SELECT d, max(price) FILTER (market = 'CH') AS ch, max(price) FILTER (market = 'DE') AS de FROM daily GROUP BY d)")
+def src13(t):
+    ch, de = (t.daily.where(F.col("market") == m).select("d", "price") for m in ("CH", "DE"))
+    return readers.failover({"primary": ch, "secondary": de}, ["d"], "price").select(S("d"), "source", R("price", "price"))
+
+
+@query("src14_column_choice", "SELECT l_orderkey, round(coalesce(arg_min(v, p), 0), 6) AS value FROM (SELECT l_orderkey, l_extendedprice AS v, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END * 1000000 + l_linenumber * 1000 + l_quantity AS p FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END * 1000000 + l_linenumber * 1000 + l_quantity ORDER BY l_extendedprice) = 1) GROUP BY l_orderkey")
+def src14(t):
+    # columns of a group as rows: the aggregated one first, else the first of the others
+    rank = F.struct(F.when(F.col("l_linestatus") == "O", 0).otherwise(1), "l_linenumber", "l_quantity", "l_extendedprice")
+    return t.lineitem.groupBy("l_orderkey").agg(R(F.coalesce(F.min_by("l_extendedprice", rank), F.lit(0.0)), "value"))
+
+
+@query("src15_close_columns", "SELECT name, CAST(d AS VARCHAR) AS d, round(close, 6) AS close FROM commodities")
+def src15(t):
+    names = ["Brand#1", "Brand#2", "Brand#3", "Brand#11", "Brand#12", "Brand#13"]
+    wide = t.commodities.groupBy("d").pivot("name", names).agg(F.first("close"))
+    wide = wide.select("d", *(F.col(f"`{n}`").alias(f"{n}|close") for n in names))
+    return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
+
+
+@query("src16_latest_artifact", "SELECT market, CAST(max(d) AS VARCHAR) AS latest FROM daily GROUP BY market")
+def src16(t):
+    return t.daily.groupBy("market").agg(F.max("d").cast("string").alias("latest"))
+
+
+@query("snk1_upsert", "SELECT market, CAST(d AS VARCHAR) AS d, round(CASE WHEN day(d) <= 10 THEN price + 1 ELSE price END, 6) AS price FROM daily")
+def snk1(t):
+    new = t.daily.where(F.dayofmonth("d") <= 10).withColumn("price", F.col("price") + 1)
+    return win.upsert(t.daily, new, ["market", "d"]).select("market", S("d"), R("price", "price"))
+
+
+@query("snk2_upsert_composite", f"SELECT market, {PERIOD} AS product, round(CASE WHEN year % 2 = 0 THEN price * 1.01 ELSE price END, 6) AS price FROM quotes")
+def snk2(t):
+    rows = t.quotes.select("market", tg.key_of(F.col("year"), F.col("quarter"), F.col("month")).alias("product"), "year", "price")
+    new = rows.where("year % 2 = 0").withColumn("price", F.col("price") * 1.01)
+    return win.upsert(rows, new, ["market", "product"]).select("market", "product", R("price", "price"))
+
+
+@query("snk3_derived_again", "SELECT market, CAST(d AS VARCHAR) AS d, round(coalesce((p - avg(p) OVER w) / nullif(stddev_samp(p) OVER w, 0), 0), 6) AS z FROM (SELECT market, d, CASE WHEN day(d) = 1 THEN price + 5 ELSE price END AS p FROM daily) WINDOW w AS (PARTITION BY market, year(d), month(d))")
+def snk3(t):
+    new = t.daily.where(F.dayofmonth("d") == 1).withColumn("price", F.col("price") + 5)
+    merged = win.upsert(t.daily, new, ["market", "d"]).withColumn("m", F.date_trunc("month", "d"))
+    return merged.select("market", S("d"), R(win.zscore("price", ["market", "m"]), "z"))
+
+
+@query("snk4_export_csv", "SELECT series, strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Zurich', '%d.%m.%Y %H:%M') AS local_ts, printf('%.4f', round(price, 6)) AS price FROM spot")
+def snk4(t):
+    path = scratch(t, "export-csv")
+    writers.local_csv(t.spot.select("series", "ts", F.round("price", 6).alias("price")), path)
+    return t.spark.read.schema("series string, local_ts string, price string").csv(path, sep=";", header=True)
+
+
+@query("snk5_export_parquet", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(price, 6) AS price, false AS calibrated FROM spot")
+def snk5(t):
+    path = scratch(t, "export-parquet")
+    writers.curve_parquet(t.spot.withColumn("calibrated", F.lit(False)), path, ["series"])
+    rows = t.spark.read.parquet(path)
+    return rows.select("series", S("ts"), R("price", "price"), "calibrated")
+
+
+@query("snk6_export_variants", "SELECT flavor, count(*) AS n, round(sum(price + add), 4) AS total FROM spot, (VALUES ('mid_market', 0.0), ('client', 1.0), ('production', 0.8)) f(flavor, add) GROUP BY flavor")
+def snk6(t):
+    path = scratch(t, "export-flavors")
+    flavors = F.array(*(F.struct(F.lit(n).alias("flavor"), F.lit(a).alias("add")) for n, a in (("mid_market", 0.0), ("client", 1.0), ("production", 0.8))))
+    rows = t.spot.select("series", "ts", "price", F.inline(flavors)).select("flavor", "series", "ts", (F.col("price") + F.col("add")).alias("price"))
+    writers.curve_parquet(rows, path, ["flavor"])
+    return t.spark.read.parquet(path).groupBy("flavor").agg(F.count(F.lit(1)).alias("n"), R(F.sum("price"), "total", 4))
+
+
+RUNS = "SELECT CAST(year(d) AS INT) AS run_id, count(*) AS n_rows, bool_or(market = 'DE') AS calibrated FROM daily GROUP BY year(d)"
+
+
+@query("snk7_run_registry", RUNS)
+def snk7(t):
+    runs = t.daily.groupBy(F.year("d").alias("run_id")).agg(F.count(F.lit(1)).alias("n_rows"), F.bool_or(F.col("market") == "DE").alias("calibrated"))
+    path = scratch(t, "runs")
+    writers.replace_runs(runs.withColumn("n_rows", F.lit(0).cast("long")), path)
+    writers.replace_runs(runs, path)  # a second run of the same ids replaces them
+    return t.spark.read.schema(runs.schema).parquet(path)
+
+
+@query("snk8_hourly_downsample", "SELECT series, CAST(date_trunc('hour', ts) AS VARCHAR) AS ts, round(avg(price), 6) AS price FROM spot GROUP BY series, date_trunc('hour', ts)")
+def snk8(t):
+    return hourly(t).select("series", S("ts"), R("price", "price"))
+
+
+@query("snk9_benchmarks", "SELECT CAST(year(d) AS INT) AS run_id, market, round(avg(price), 6) AS mean FROM daily GROUP BY year(d), market")
+def snk9(t):
+    rows = t.daily.groupBy(F.year("d").alias("run_id"), "market").agg(R(F.avg("price"), "mean"))
+    path = scratch(t, "benchmarks")
+    writers.replace_runs(rows, path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
+@query("snk10_history_tables", "SELECT series AS run_id, count(*) AS n FROM spot GROUP BY series")
+def snk10(t):
+    name = f"forecasts_{uuid.uuid4().hex}"
+    writers.create_history(t.spark, name, scratch(t, "history"))
+    t.spot.select("ts", "price", F.col("series").alias("run_id")).write.insertInto(name)
+    return t.spark.table(name).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("snk11_run_report")
+def snk11(t):
+    gates = F.struct(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean"), (F.count_if(F.col("price").isNull()) == 0).alias("complete"))
+    return t.daily.groupBy("market").agg(F.to_json(gates).alias("report"))
+
+
+@query("snk12_model_tables", "SELECT market, CAST(month(d) AS INT) AS month, round(avg(price), 6) AS f FROM daily GROUP BY market, month(d)")
+def snk12(t):
+    model = t.daily.groupBy("market", F.month("d").alias("month")).agg(R(F.avg("price"), "f"))
+    path = scratch(t, "model")
+    writers.save_model(model, path, "v1")
+    return readers.load_model(t.spark, path, "v1")
+
+
+@query("snk13_report_csv", "SELECT market, CAST(count(*) AS VARCHAR) AS n FROM daily GROUP BY market")
+def snk13(t):
+    path = scratch(t, "report")
+    t.daily.groupBy("market").count().write.csv(path, header=True)
+    return t.spark.read.schema("market string, n string").csv(path, header=True)
