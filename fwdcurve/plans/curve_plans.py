@@ -1 +1,312 @@
-"""Queries."""
+"""Queries FWD1-FWD14 and CRV1-CRV18: contracts, cascade, assembly, calibration, variants."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import timegrid as tg
+from ..operators import curve, forwards, joins
+from ..operators import windows as win
+from .registry import query
+from .shape_plans import DAYS, FW, FWS, seasonal_factor
+from .table_plans import FULL, HOURLY, LOOKUP, PAIR, YEARLY, full_years, hourly, pair
+from .time_plans import HOURS, R, S, month_hours
+
+RATIO = f"""{YEARLY}, {FULL}, rat AS (SELECT p.market, p.year, p.kind, p.no, p.m / y.mean AS ratio FROM (
+  SELECT market, CAST(year(d) AS INT) AS year, 'quarter' AS kind, CAST(quarter(d) AS INT) AS no, avg(price) AS m FROM daily GROUP BY ALL UNION ALL
+  SELECT market, CAST(year(d) AS INT), 'month', CAST(month(d) AS INT), avg(price) FROM daily GROUP BY ALL) p JOIN full_years y USING (market, year)),
+mrat AS (SELECT market, kind, no, avg(ratio) AS ratio FROM rat GROUP BY ALL)"""
+CASC = f"""{HOURS}, {RATIO}, qh AS (SELECT year, quarter, sum(hours) AS hours FROM mh GROUP BY ALL),
+cq0 AS (SELECT y.market, y.year, qh.quarter, qh.hours, coalesce(r.ratio, 1) AS ratio, k.price AS quoted, y.price AS parent FROM (SELECT * FROM quotes WHERE quarter IS NULL AND month IS NULL) y JOIN qh USING (year)
+  LEFT JOIN mrat r ON r.market = y.market AND r.kind = 'quarter' AND r.no = qh.quarter LEFT JOIN quotes k ON k.market = y.market AND k.year = y.year AND k.quarter = qh.quarter),
+cq AS (SELECT market, year, quarter, hours, coalesce(quoted, (parent * sum(hours) OVER w - sum(coalesce(quoted * hours, 0)) OVER w) * ratio / nullif(sum(CASE WHEN quoted IS NULL THEN ratio * hours END) OVER w, 0)) AS price, quoted IS NULL AS derived FROM cq0 WINDOW w AS (PARTITION BY market, year)),
+cm0 AS (SELECT q.market, q.year, q.quarter, mh.month, mh.hours, coalesce(r.ratio, 1) AS ratio, k.price AS quoted, q.price AS parent FROM cq q JOIN mh USING (year, quarter)
+  LEFT JOIN mrat r ON r.market = q.market AND r.kind = 'month' AND r.no = mh.month LEFT JOIN quotes k ON k.market = q.market AND k.year = q.year AND k.month = mh.month),
+cm AS (SELECT market, year, quarter, month, hours, coalesce(quoted, (parent * sum(hours) OVER w - sum(coalesce(quoted * hours, 0)) OVER w) * ratio / nullif(sum(CASE WHEN quoted IS NULL THEN ratio * hours END) OVER w, 0)) AS price, quoted IS NULL AS derived FROM cm0 WINDOW w AS (PARTITION BY market, year, quarter))"""
+
+
+def ratios(t):
+    return forwards.seasonal_ratios(t.daily, full_years(t))
+
+
+def quarters(t):
+    return forwards.cascade_quarters(t.quotes, month_hours(t), forwards.mean_ratios(ratios(t)))
+
+
+def months(t):
+    return forwards.cascade_months(quarters(t), t.quotes, month_hours(t), forwards.mean_ratios(ratios(t)))
+
+
+PROXY = """prox AS (SELECT l.market, l.year, m.month, l.level, l.level * m.ratio AS price FROM (SELECT a.market, 2002 + i AS year, anchor * pow(1 + decay, i) AS level FROM
+  (SELECT market, avg(price) AS anchor FROM daily JOIN (SELECT market, max(d) AS last FROM daily GROUP BY market) USING (market) WHERE d > last - INTERVAL 365 day GROUP BY market) a
+  JOIN (SELECT market, CASE WHEN count(c) >= 2 THEN greatest(-0.10, least(0.0, median(c))) ELSE -0.03 END AS decay FROM (SELECT market, mean / lag(mean) OVER (PARTITION BY market ORDER BY year) - 1 AS c FROM yearly) GROUP BY market) USING (market), range(3) r(i)) l
+  JOIN (SELECT market, month, m / avg(m) OVER (PARTITION BY market) AS ratio FROM (SELECT market, CAST(month(d) AS INT) AS month, avg(price) AS m FROM daily GROUP BY ALL)) m USING (market))"""
+
+
+@query("fwd1_spot_proxy", "SELECT market, CAST(year AS INT) AS year, month, round(level, 6) AS level, round(price, 6) AS price FROM prox", f"{YEARLY}, {PROXY}")
+def fwd1(t):
+    return forwards.proxy(t.daily, 2002, 3).select("market", F.col("year").cast("int").alias("year"), "month", R("level", "level"), R("price", "price"))
+
+
+@query("fwd2_seasonal_ratios", "SELECT market, kind, no, round(ratio, 6) AS ratio FROM mrat", RATIO)
+def fwd2(t):
+    return forwards.mean_ratios(ratios(t)).select("market", "kind", "no", R("ratio", "ratio"))
+
+
+TREND = "SELECT market, kind, no, avg(ratio) AS base, regr_slope(ratio, year::DOUBLE) AS slope, max(year) AS last FROM rat GROUP BY ALL HAVING count(*) >= 3"
+
+
+@query("fwd3_ratio_trend", f"SELECT market, kind, no, round(base + greatest(-0.2 * base, least(0.2 * base, slope * (2004 - last))), 6) AS ratio FROM ({TREND})", RATIO)
+def fwd3(t):
+    r = ratios(t).groupBy("market", "kind", "no").agg(F.avg("ratio").alias("base"), F.regr_slope("ratio", F.col("year").cast("double")).alias("slope"), F.max("year").alias("last"), F.count(F.lit(1)).alias("n"))
+    return r.where("n >= 3").select("market", "kind", "no", R(forwards.trended_ratio(F.col("base"), F.col("slope"), F.lit(2004) - F.col("last")), "ratio"))
+
+
+PEAKR = "pr AS (SELECT series, CAST(isodow(d) AS INT) AS dow, avg(price) FILTER (hour BETWEEN 8 AND 19) / avg(price) AS ratio FROM hourly GROUP BY series, isodow(d))"
+
+
+@query("fwd4_peak_ratio", "SELECT series, dow, round(ratio, 6) AS ratio FROM pr", f"{HOURLY}, {PEAKR}")
+def fwd4(t):
+    peak = F.avg(F.when(F.col("hour").between(8, 19), F.col("price")))
+    return hourly(t).groupBy("series", (F.weekday("d") + 1).alias("dow")).agg(R(peak / F.avg("price"), "ratio"))
+
+
+@query("fwd5_missing_peaks", "SELECT market, CAST(year AS INT) AS year, month, round(price * CASE WHEN month IN (12, 1, 2) THEN 1.2 ELSE 1.1 END, 6) AS peak FROM cm WHERE year % 4 <> 0", CASC)
+def fwd5(t):
+    rows = months(t)
+    quoted = rows.where("year % 4 = 0").select("market", "year", "month")
+    ratio = F.when(F.col("month").isin(12, 1, 2), 1.2).otherwise(1.1)
+    return rows.join(quoted, ["market", "year", "month"], "left_anti").select("market", "year", "month", R(F.col("price") * ratio, "peak"))
+
+
+QCOLS = "market, CAST(year AS INT) AS year, quarter, CAST(hours AS BIGINT) AS hours, round(price, 6) AS price, derived"
+
+
+@query("fwd6_cascade_full", f"SELECT {QCOLS} FROM cq WHERE year % 2 = 1", CASC)
+def fwd6(t):
+    return quarters(t).where("year % 2 = 1").select("market", "year", "quarter", "hours", R("price", "price"), "derived")
+
+
+@query("fwd7_cascade_partial", f"SELECT {QCOLS} FROM cq WHERE year % 2 = 0", CASC)
+def fwd7(t):
+    return quarters(t).where("year % 2 = 0").select("market", "year", "quarter", "hours", R("price", "price"), "derived")
+
+
+@query("fwd8_cascade_months", "SELECT market, CAST(year AS INT) AS year, quarter, month, hours, round(price, 6) AS price, derived FROM cm", CASC)
+def fwd8(t):
+    return months(t).select("market", "year", "quarter", "month", "hours", R("price", "price"), "derived")
+
+
+@query("fwd9_whole_cascade", "SELECT market, CAST(year AS INT) AS year, NULL::INT AS quarter, NULL::INT AS month, round(price, 6) AS price FROM quotes WHERE quarter IS NULL AND month IS NULL UNION ALL SELECT market, CAST(year AS INT), quarter, NULL, round(price, 6) FROM cq UNION ALL SELECT market, CAST(year AS INT), NULL, month, round(price, 6) FROM cm", CASC)
+def fwd9(t):
+    null = F.lit(None).cast("int")
+    years = t.quotes.where("quarter IS NULL AND month IS NULL").select("market", "year", null.alias("quarter"), null.alias("month"), "price")
+    q = quarters(t).select("market", "year", "quarter", null.alias("month"), "price")
+    m = months(t).select("market", "year", null.alias("quarter"), "month", "price")
+    return years.unionByName(q).unionByName(m).select("market", "year", "quarter", "month", R("price", "price"))
+
+
+@query("fwd10_conservation", "SELECT q.market, CAST(q.year AS INT) AS year, q.quarter, round(any_value(q.price), 5) AS price, round(sum(m.price * m.hours) / sum(m.hours), 5) AS implied, abs(sum(m.price * m.hours) / sum(m.hours) - any_value(q.price)) <= 0.001 AS conserved FROM cq q JOIN cm m USING (market, year, quarter) GROUP BY q.market, q.year, q.quarter", CASC)
+def fwd10(t):
+    out = forwards.conservation(months(t), quarters(t).select("market", "year", "quarter", "price"), ["market", "year", "quarter"])
+    return out.select("market", "year", "quarter", R("price", "price", 5), R("implied", "implied", 5), "conserved")
+
+
+@query("fwd11_offpeak_identity", "SELECT market, CAST(year AS INT) AS year, month, round((price * hours - price * 1.15 * peak_hours) / (hours - peak_hours), 6) AS offpeak FROM cm JOIN mh USING (year, month, quarter, hours)", CASC)
+def fwd11(t):
+    rows = months(t).select("market", "year", "month", "price").join(F.broadcast(month_hours(t)), ["year", "month"])
+    return rows.select("market", "year", "month", R(forwards.offpeak(F.col("price"), F.col("price") * 1.15, F.col("hours"), F.col("peak_hours")), "offpeak"))
+
+
+@query("fwd12_contract_specs", "SELECT market, CAST(year AS INT) AS year, month, CAST((make_timestamp(year, month, 1, 0, 0, 0.0) AT TIME ZONE 'Europe/Zurich') AT TIME ZONE 'UTC' AS VARCHAR) AS start_utc, CAST((make_timestamp(CASE WHEN month = 12 THEN year + 1 ELSE year END, month % 12 + 1, 1, 0, 0, 0.0) AT TIME ZONE 'Europe/Zurich') AT TIME ZONE 'UTC' AS VARCHAR) AS end_utc, hours FROM cm", CASC)
+def fwd12(t):
+    start = F.make_date("year", "month", F.lit(1))
+    utc = lambda d: tg.to_utc(d.cast("timestamp_ntz")).cast("string")
+    return months(t).select("market", "year", "month", utc(start).alias("start_utc"), utc(F.add_months(start, 1)).alias("end_utc"), "hours")
+
+
+def contracts(t):
+    mh = month_hours(t)
+    base = forwards.monthly_contracts(t.quotes, t.spark.createDataFrame([], "market string, year int, month int, peak double"), mh)
+    peaks = base.where("month % 2 = 1").select("market", "year", "month", (F.col("price") * 1.2).alias("peak"))
+    return forwards.monthly_contracts(t.quotes, peaks, mh)
+
+
+PEAKS = """ct0 AS (SELECT y.market, CAST(y.year AS INT) AS year, mh.month, mh.hours, mh.peak_hours, coalesce(m.price, q.price, a.price) AS base, CASE WHEN mh.month % 2 = 1 THEN coalesce(m.price, q.price, a.price) * 1.2 END AS peak
+  FROM (SELECT DISTINCT market, year FROM quotes) y JOIN mh USING (year) LEFT JOIN quotes m ON m.market = y.market AND m.year = y.year AND m.month = mh.month LEFT JOIN quotes q ON q.market = y.market AND q.year = y.year AND q.quarter = mh.quarter
+  LEFT JOIN quotes a ON a.market = y.market AND a.year = y.year AND a.quarter IS NULL AND a.month IS NULL),
+ct AS (SELECT market, year, month, 'Peak' AS load, peak AS price, peak_hours AS hours FROM ct0 WHERE peak IS NOT NULL
+  UNION ALL SELECT market, year, month, 'Offpeak', (base * hours - peak * peak_hours) / (hours - peak_hours), hours - peak_hours FROM ct0 WHERE peak IS NOT NULL
+  UNION ALL SELECT market, year, month, 'Base', base, hours FROM ct0 WHERE peak IS NULL)"""
+
+
+@query("fwd13_disjoint_contracts", "SELECT market, year, month, load, round(price, 6) AS price, hours FROM ct", f"{HOURS}, {PEAKS}")
+def fwd13(t):
+    return contracts(t).select("market", "year", "month", "load", R("price", "price"), "hours")
+
+
+@query("fwd14_quote_history", "SELECT month, round(max(price) FILTER (market = 'CH'), 6) AS ch, round(max(price) FILTER (market = 'DE'), 6) AS de FROM (SELECT market, month, price, year, max(year) OVER (PARTITION BY market) AS last FROM quotes WHERE month IS NOT NULL) WHERE year = last GROUP BY month")
+def fwd14(t):
+    rows = t.quotes.where("month IS NOT NULL")
+    last = rows.groupBy("market").agg(F.max("year").alias("year"))
+    wide = rows.join(F.broadcast(last), ["market", "year"]).groupBy("month").pivot("market", ["CH", "DE"]).agg(F.max("price"))
+    return wide.select("month", R("CH", "ch"), R("DE", "de"))
+
+
+@query("crv1_base_level", "SELECT market, CAST(d AS VARCHAR) AS d, round(base, 6) AS base FROM base", LOOKUP)
+def crv1(t):
+    return joins.base_lookup(t.daily, t.quotes).select("market", S("d"), R("base", "base"))
+
+
+def month_means(t):
+    return t.daily.groupBy(F.col("market").alias("key"), F.to_date(F.date_trunc("month", "d")).alias("month_start")).agg(F.avg("price").alias("base"))
+
+
+def smoothed_days(t):
+    return curve.smooth_base(t.daily.select(F.col("market").alias("key"), "d", "price"), month_means(t))
+
+
+@query("crv2_smooth_base")
+def crv2(t):
+    return smoothed_days(t).select(F.col("key").alias("market"), S("d"), R("smooth", "smooth"))
+
+
+@query("crv3_month_restore")
+def crv3(t):
+    """The smooth base shifted so that each month keeps its mean."""
+    rows = smoothed_days(t).withColumn("m", F.date_trunc("month", "d"))
+    shift = F.avg("price").over(Window.partitionBy("key", "m")) - F.avg("smooth").over(Window.partitionBy("key", "m"))
+    return rows.select(F.col("key").alias("market"), S("d"), R(F.col("smooth") + shift, "restored"))
+
+
+@query("crv4_positivity", "SELECT market, count(*) FILTER (price - 100 < 1) AS floored, round(min(greatest(price - 100, 1.0)), 6) AS low FROM daily GROUP BY market")
+def crv4(t):
+    x = F.col("price") - 100
+    return t.daily.groupBy("market").agg(F.count_if(x < 1).alias("floored"), R(F.min(F.greatest(x, F.lit(1.0))), "low"))
+
+
+@query("crv5_flat_season", "SELECT market, CAST(d AS VARCHAR) AS d, 1.0::DOUBLE AS f_s FROM daily")
+def crv5(t):
+    return t.daily.select("market", S("d"), F.lit(1.0).alias("f_s"))
+
+
+FWM = f"{DAYS}, {FW}, {FWS}, dayf AS (SELECT x.market, x.d, x.price, coalesce(s.f, w.f, 1.0) AS f FROM wdays x LEFT JOIN fws s USING (market, season, day_type) LEFT JOIN fw w ON w.market = x.market AND w.day_type = x.day_type), fwm AS (SELECT market, d, price, f / avg(f) OVER (PARTITION BY market, year(d), month(d)) AS f_w FROM dayf)"
+
+
+def day_factors(t):
+    """daily with f_w: the seasonal day-type factor, mean 1 in each month."""
+    rows = t.daily.join(F.broadcast(t.calendar), "d")
+    rows = rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
+    rows = rows.join(F.broadcast(seasonal_factor(t)), ["market", "season", "day_type"], "left").fillna(1.0, ["f"]).withColumns({"y": F.year("d"), "mon": F.month("d")})
+    return rows.withColumn("f_w", win.normalised("f", ["market", "y", "mon"])).select("market", "d", "price", "f_w")
+
+
+@query("crv6_day_factor", "SELECT market, CAST(d AS VARCHAR) AS d, round(f_w, 6) AS f_w FROM fwm", FWM)
+def crv6(t):
+    return day_factors(t).select("market", S("d"), R("f_w", "f_w"))
+
+
+RAW = f"{FWM}, {LOOKUP}, curve AS (SELECT f.market, f.d, f.price AS spot, base, f_w, base * f_w AS raw FROM fwm f JOIN base b ON b.market = f.market AND b.d = f.d)"
+
+
+def raw_curve(t):
+    """(market, d, spot, base, f_w, raw): product of the base level and the factors."""
+    base = joins.base_lookup(t.daily.select("market", "d"), t.quotes)
+    rows = day_factors(t).withColumnRenamed("price", "spot").join(base, ["market", "d"])
+    return rows.withColumn("raw", F.col("base") * F.col("f_w"))
+
+
+@query("crv7_product", "SELECT market, CAST(d AS VARCHAR) AS d, round(raw, 6) AS price FROM curve", RAW)
+def crv7(t):
+    return raw_curve(t).select("market", S("d"), R("raw", "price"))
+
+
+def curve_slots(t):
+    """Raw curve of each market with the regime of its days: working days stand for peak."""
+    return raw_curve(t).select(F.col("market").alias("curve_id"), F.col("d").cast("timestamp_ntz").alias("ts"), (F.weekday("d") < 5).alias("is_peak"), F.col("raw").alias("price"), "spot")
+
+
+def curve_contracts(t):
+    """Quarterly contracts of two years, and yearly ones that overlap them, as base."""
+    q = quarters(t).where("year IN (1998, 1999)")
+    start = F.make_date("year", F.col("quarter") * 3 - 2, F.lit(1))
+    return q.select(F.col("market").alias("curve_id"), F.concat_ws("-Q", "year", "quarter").alias("contract_id"), start.cast("timestamp_ntz").alias("start"), F.add_months(start, 3).cast("timestamp_ntz").alias("end"), F.lit("Base").alias("load"), "price")
+
+
+@query("crv8_calibration")
+def crv8(t):
+    slots = curve_slots(t).where("year(ts) IN (1998, 1999)")
+    return curve.calibrate(slots, curve_contracts(t)).select("curve_id", S("ts"), R("price", "price"), R("calibrated", "calibrated"))
+
+
+RESC = f"{RAW}, mt AS (SELECT market, y, m, avg(spot) AS target FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) GROUP BY ALL), resc AS (SELECT c.market, c.d, c.y, c.m, mt.target, raw * target / avg(raw) OVER (PARTITION BY c.market, c.y, c.m) AS price FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) c JOIN mt ON mt.market = c.market AND mt.y = c.y AND mt.m = c.m)"
+
+
+def rescaled_curve(t):
+    rows = raw_curve(t).withColumns({"y": F.year("d"), "m": F.month("d")})
+    rows = rows.withColumn("target", F.avg("spot").over(Window.partitionBy("market", "y", "m")))
+    return rows.withColumn("price", curve.rescaled(rows, ["market", "y", "m"], "raw", "target"))
+
+
+@query("crv9_exact_rescale", "SELECT market, CAST(d AS VARCHAR) AS d, round(price, 6) AS price FROM resc", RESC)
+def crv9(t):
+    return rescaled_curve(t).select("market", S("d"), R("price", "price"))
+
+
+@query("crv10_residuals", "SELECT market, CAST(y AS INT) AS year, CAST(m AS INT) AS month, round(any_value(target), 6) AS target, round(avg(price), 6) AS achieved, round(abs(avg(price) - any_value(target)), 6) AS abs_error FROM resc GROUP BY market, y, m", RESC)
+def crv10(t):
+    out = curve.residuals(rescaled_curve(t), ["market", "y", "m"], "price", "target")
+    return out.select("market", F.col("y").alias("year"), F.col("m").alias("month"), R("target", "target"), R("achieved", "achieved"), R("abs_error", "abs_error"))
+
+
+@query("crv11_smoothness", "SELECT market, round(sum(b * b) / 1e6, 6) AS cost FROM (SELECT market, lag(price) OVER w - 2 * price + lead(price) OVER w AS b FROM daily WINDOW w AS (PARTITION BY market ORDER BY d)) GROUP BY market")
+def crv11(t):
+    return curve.second_difference_cost(t.daily, ["market"], "d", "price").select("market", R(F.col("cost") / 1e6, "cost"))
+
+
+@query("crv12_curve", "SELECT market, CAST(d AS VARCHAR) AS d, round(base, 6) AS base, round(f_w, 6) AS f_w, round(r.price, 6) AS price, CASE WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 6 THEN 1.0 WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 12 THEN 0.85 WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 24 THEN 0.65 ELSE 0.45 END::DOUBLE AS confidence, true AS calibrated FROM curve JOIN resc r USING (market, d)", RESC)
+def crv12(t):
+    months_ahead = tg.months_between(F.lit("1999-01-01").cast("date"), F.col("d"))
+    return rescaled_curve(t).select("market", S("d"), R("base", "base"), R("f_w", "f_w"), R("price", "price"), tg.step_lookup(months_ahead, tg.CONFIDENCE, 0.45).alias("confidence"), F.lit(True).alias("calibrated"))
+
+
+@query("crv13_consistency", "SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, round(avg(x.price) / any_value(q.price) - 1, 6) + 0.0 AS gap, abs(avg(x.price) / any_value(q.price) - 1) <= 0.005 AS consistent FROM quotes q JOIN (SELECT market, d, raw AS price FROM curve) x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month", RAW)
+def crv13(t):
+    met = joins.contract_slots(t.quotes, raw_curve(t).select("market", "d", F.col("raw").alias("price")))
+    gap = F.avg("slot_price") / F.first("price") - 1
+    return met.groupBy("market", "year", "quarter", "month").agg((F.round(gap, 6) + 0.0).alias("gap"), (F.abs(gap) <= 0.005).alias("consistent"))
+
+
+@query("crv14_flavors", f"SELECT series, CAST(ts AS VARCHAR) AS ts, flavor, round(CASE flavor WHEN 'client' THEN greatest(price + 1.0 + risk, price * 1.02) WHEN 'production' THEN price + 0.8 ELSE price END, 6) AS price FROM (SELECT *, ([{', '.join(map(str, tg.RISK_BY_HOUR))}])[hour + 1] AS risk FROM hourly), (VALUES ('mid_market'), ('client'), ('production')) f(flavor)", HOURLY)
+def crv14(t):
+    rows = hourly(t).withColumns({"p10": F.col("price") * 0.98, "p90": F.col("price") * 1.02})
+    return curve.flavors(rows, F.lit(0), F.col("hour")).select("series", S("ts"), "flavor", R("price", "price"))
+
+
+@query("crv15_overlay", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(w * CASE WHEN hm > 0 THEN price * fc / hm ELSE fc END + (1 - w) * price, 6) AS price FROM (SELECT series, ts, price, hm, hm * 1.1 AS fc, greatest(0.0, least(1.0, (10 - date_diff('day', DATE '2024-01-10', CAST(ts AS DATE))) / 2.0)) AS w FROM (SELECT *, avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS hm FROM spot))")
+def crv15(t):
+    mean = F.avg("price").over(Window.partitionBy("series", F.date_trunc("hour", "ts")))
+    rows = t.spot.withColumn("hm", mean)
+    ahead = F.datediff(F.to_date("ts"), F.lit("2024-01-10").cast("date"))
+    return rows.select("series", S("ts"), R(curve.overlaid(F.col("price"), F.col("hm") * 1.1, F.col("hm"), ahead), "price"))
+
+
+@query("crv16_market_spread", "SELECT CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, round(avg(ch - de), 6) AS spread FROM pair GROUP BY ALL", PAIR)
+def crv16(t):
+    return pair(t).groupBy(F.year("d").alias("year"), F.month("d").alias("month")).agg(R(F.avg(F.col("ch") - F.col("de")), "spread"))
+
+
+@query("crv17_curve_vs_quotes", "SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, CASE WHEN n >= 0.9 * span THEN round(mean - q.price, 6) + 0.0 END AS diff FROM (SELECT q.market, q.year, q.quarter, q.month, any_value(q.price) AS price, count(*) AS n, avg(x.raw) AS mean, CASE WHEN q.month IS NOT NULL THEN 30 WHEN q.quarter IS NOT NULL THEN 90 ELSE 365 END AS span FROM quotes q JOIN curve x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month) q", RAW)
+def crv17(t):
+    met = joins.contract_slots(t.quotes, raw_curve(t).select("market", "d", F.col("raw").alias("price")))
+    rows = met.groupBy("market", "year", "quarter", "month").agg(F.count(F.lit(1)).alias("n"), F.avg("slot_price").alias("mean"), F.first("price").alias("price"))
+    span = F.when(F.col("month").isNotNull(), 30).when(F.col("quarter").isNotNull(), 90).otherwise(365)
+    return rows.select("market", "year", "quarter", "month", F.when(F.col("n") >= 0.9 * span, F.round(F.col("mean") - F.col("price"), 6) + 0.0).alias("diff"))
+
+
+@query("crv18_curve_stats", "SELECT market, CAST(year(d) AS INT) AS year, round(avg(raw) FILTER (isodow(d) <= 5), 6) AS work, round(avg(raw) FILTER (isodow(d) > 5), 6) AS rest, round(min(f_w), 6) AS f_low, round(max(f_w), 6) AS f_high FROM curve GROUP BY market, year(d)", RAW)
+def crv18(t):
+    work = F.weekday("d") < 5
+    return raw_curve(t).groupBy("market", F.year("d").alias("year")).agg(R(F.avg(F.when(work, F.col("raw"))), "work"), R(F.avg(F.when(~work, F.col("raw"))), "rest"), R(F.min("f_w"), "f_low"), R(F.max("f_w"), "f_high"))
+

@@ -1 +1,267 @@
-"""Queries."""
+"""Queries FCT1-FCT10 and VAL1-VAL20: forecasting, backtests, error reports, quality gates."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import aggregates as agg
+from ..operators import forecast as fc
+from ..operators import joins, recurrence
+from ..operators import windows as win
+from .curve_plans import RESC, rescaled_curve
+from .registry import query
+from .table_plans import HALVES, HOURLY, NAIVE, PAIR, hourly, pair
+from .time_plans import R, S
+
+COLUMNS = ["lag1", "lag2", "lag3", "lag7", "momentum", "vol7", "weekday"]
+OVER = "(PARTITION BY market ORDER BY d)"
+WEEK = "(PARTITION BY market ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
+
+
+@query("fct1_exogenous", "SELECT x.market, CAST(x.d AS VARCHAR) AS d, round(x.price, 6) AS price, round(h.fill_pct, 6) AS fill_pct, round(o.price, 6) AS neighbour FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week LEFT JOIN daily o ON o.d = x.d AND o.market <> x.market")
+def fct1(t):
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct")
+    other = t.daily.select(F.when(F.col("market") == "CH", "DE").otherwise("CH").alias("market"), "d", F.col("price").alias("neighbour"))
+    return rows.join(other, ["market", "d"], "left").select("market", S("d"), R("price", "price"), R("fill_pct", "fill_pct"), R("neighbour", "neighbour"))
+
+
+@query("fct2_features", f"SELECT market, CAST(d AS VARCHAR) AS d, round(lag(price, 1) OVER {OVER}, 6) AS lag1, round(lag(price, 7) OVER {OVER}, 6) AS lag7, round(lag(price, 1) OVER {OVER} - lag(price, 7) OVER {OVER}, 6) AS momentum, round(CASE WHEN count(price) OVER {WEEK} >= 3 THEN stddev_samp(price) OVER {WEEK} END, 6) AS vol7, CAST(isodow(d) - 1 AS INT) AS weekday FROM daily")
+def fct2(t):
+    rows = fc.features(t.daily)
+    return rows.select("market", S("d"), R("lag1", "lag1"), R("lag7", "lag7"), R("momentum", "momentum"), R("vol7", "vol7"), F.col("weekday").cast("int").alias("weekday"))
+
+
+def trained(t):
+    rows = fc.features(t.daily)
+    train, test = rows.where("d < date'2000-01-01'"), rows.where("d >= date'2000-01-01'")
+    return fc.fits(train, ["market"], COLUMNS, (42, 56, 84, 180, 365)), test
+
+
+def forecasts(t):
+    """(market, d, price, forecast) of the days after the training."""
+    models, test = trained(t)
+    return fc.applied(test, models, ["market"], COLUMNS)
+
+
+@query("fct3_regularised_fits")
+def fct3(t):
+    models, _ = trained(t)
+    return models.select("market", "window", R("intercept", "intercept", 5), F.transform("coefs", lambda c: F.round(c, 5)).cast("string").alias("coefs"))
+
+
+@query("fct4_tree_blend")
+def fct4(t):
+    """60/40 blend of the linear forecast with a tree ensemble over all series."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = VectorAssembler(inputCols=COLUMNS, outputCol="x").transform(fc.features(t.daily).dropna(subset=COLUMNS))
+    model = GBTRegressor(featuresCol="x", labelCol="price", maxIter=5, maxDepth=3, seed=1).fit(rows.where("d < date'2000-01-01'"))
+    trees = model.transform(rows.where("d >= date'2000-01-01'")).select("market", "d", "prediction")
+    return forecasts(t).join(trees, ["market", "d"]).select("market", S("d"), R(0.6 * F.col("forecast") + 0.4 * F.col("prediction"), "forecast"))
+
+
+@query("fct5_future_features", f"SELECT market, ahead, round(arg_max(price, d), 6) AS last, round(avg(price), 6) AS mean28 FROM (SELECT market, d, price, row_number() OVER (PARTITION BY market ORDER BY d DESC) AS rn FROM daily), (SELECT CAST(unnest(range(1, 11)) AS INT) AS ahead) WHERE rn <= 28 GROUP BY market, ahead")
+def fct5(t):
+    rows = t.daily.withColumn("rn", F.row_number().over(Window.partitionBy("market").orderBy(F.desc("d")))).where("rn <= 28")
+    base = rows.groupBy("market").agg(R(F.max_by("price", "d"), "last"), R(F.avg("price"), "mean28"))
+    return base.select("market", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("ahead"), "last", "mean28")
+
+
+@query("fct6_recalibration", "SELECT market, CAST(d AS VARCHAR) AS d, round(greatest(f - sa, least(f + sa, ma + (f - mf) * least(coalesce(sa / nullif(sf, 0), 1.0), 2.0))), 6) AS forecast FROM (SELECT market, d, lag7 AS f, avg(lag7) OVER w AS mf, stddev_samp(lag7) OVER w AS sf, avg(price) OVER w AS ma, stddev_samp(price) OVER w AS sa FROM (SELECT market, d, price, lag(price, 7) OVER (PARTITION BY market ORDER BY d) AS lag7 FROM daily) WINDOW w AS (PARTITION BY market ORDER BY d ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)) WHERE f IS NOT NULL AND sf IS NOT NULL")
+def fct6(t):
+    rows = t.daily.withColumn("f", F.lag("price", 7).over(win.by(["market"], "d")))
+    w = win.by(["market"], "d", -28, -1)
+    rows = rows.withColumns({"mf": F.avg("f").over(w), "sf": F.stddev_samp("f").over(w), "ma": F.avg("price").over(w), "sa": F.stddev_samp("price").over(w)}).dropna(subset=["f", "sf"])
+    return rows.select("market", S("d"), R(fc.recalibrated(*(F.col(c) for c in ("f", "mf", "sf", "ma", "sa"))), "forecast"))
+
+
+@query("fct7_conformal", "SELECT series, hour, round(quantile_cont(abs(price - naive), 0.9), 6) AS half_width FROM (SELECT series, CAST(hour(ts) AS INT) AS hour, price, naive FROM naive) GROUP BY series, hour", NAIVE)
+def fct7(t):
+    rows = joins.last_week(t.spot, "2024-01-15")
+    return rows.groupBy("series", F.hour("ts").alias("hour")).agg(R(F.percentile(F.abs(F.col("price") - F.col("naive")), F.lit(0.9)), "half_width"))
+
+
+@query("fct8_forecast_table")
+def fct8(t):
+    start = F.lit("1999-12-31").cast("date")
+    return forecasts(t).select("market", S("d"), R(F.greatest("forecast", F.lit(-50.0)), "forecast"), F.datediff("d", start).alias("days_ahead"))
+
+
+@query("fct9_backtest")
+def fct9(t):
+    rows = forecasts(t).select("market", "d", "forecast", F.col("price").alias("actual"))
+    return recurrence.corrected(rows, ["market"], "d").select("market", S("d"), R("corrected", "forecast"), R("error", "error"))
+
+
+@query("fct10_seasonal_naive", "SELECT series, round(avg(abs(price - naive)), 6) AS mae, round(sqrt(avg((price - naive) * (price - naive))), 6) AS rmse FROM naive GROUP BY series", NAIVE)
+def fct10(t):
+    e = F.col("price") - F.col("naive")
+    m = agg.error_metrics(e, F.col("price"))
+    return joins.last_week(t.spot, "2024-01-15").groupBy("series").agg(R(m["mae"], "mae"), R(m["rmse"], "rmse"))
+
+
+FOLDS = """folds AS (SELECT market, CAST(fold AS INT) AS fold, avg(price) FILTER (d < make_date(fold, 1, 1)) AS level, avg(price) FILTER (year(d) = fold) AS actual, sqrt(avg((price - l7) * (price - l7)) FILTER (year(d) = fold)) AS rmse, count(*) FILTER (year(d) = fold) AS n
+  FROM (SELECT *, lag(price, 7) OVER (PARTITION BY market ORDER BY d) AS l7 FROM daily), (SELECT CAST(unnest(range(1997, 2002)) AS INT) AS fold) WHERE d >= make_date(fold - 2, 1, 1) AND year(d) <= fold GROUP BY market, fold)"""
+
+
+@query("val1_walk_forward", "SELECT market, fold, round(level, 6) AS level, round(actual, 6) AS actual, round(rmse, 6) AS rmse, n FROM folds", FOLDS)
+def val1(t):
+    """Folds are rows: each day is joined to the folds whose training or test range holds it."""
+    rows = t.daily.withColumn("l7", F.lag("price", 7).over(win.by(["market"], "d"))).withColumn("fold", F.explode(F.sequence(F.greatest(F.year("d"), F.lit(1997)), F.least(F.year("d") + 2, F.lit(2001)))))
+    test = F.year("d") == F.col("fold")
+    e = F.when(test, F.col("price") - F.col("l7"))
+    return rows.groupBy("market", "fold").agg(R(F.avg(F.when(~test, F.col("price"))), "level"), R(F.avg(F.when(test, F.col("price"))), "actual"), R(F.sqrt(F.avg(e * e)), "rmse"), F.count_if(test).alias("n"))
+
+
+@query("val2_intrahour", "SELECT series, round(sqrt(avg((ratio - 1) * (ratio - 1))), 6) AS rmse_flat, round(avg(CASE WHEN ratio BETWEEN 0.9 AND 1.1 THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM (SELECT series, price / avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS ratio, avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS m FROM spot) WHERE abs(m) > 1 GROUP BY series")
+def val2(t):
+    m = F.avg("price").over(Window.partitionBy("series", F.date_trunc("hour", "ts")))
+    rows = t.spot.withColumn("m", m).where("abs(m) > 1").withColumn("ratio", F.col("price") / F.col("m"))
+    return rows.groupBy("series").agg(R(F.sqrt(F.avg((F.col("ratio") - 1) * (F.col("ratio") - 1))), "rmse_flat"), R(agg.share(F.col("ratio").between(0.9, 1.1)), "coverage"))
+
+
+@query("val3_expanding", "SELECT market, CAST(year(d) AS INT) AS year, round(sqrt(avg((price - before) * (price - before))), 5) AS rmse FROM (SELECT market, d, price, avg(price) OVER (PARTITION BY market ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM daily) WHERE before IS NOT NULL GROUP BY market, year(d)")
+def val3(t):
+    before = F.avg("price").over(win.by(["market"], "d", win.FIRST, -1))
+    rows = t.daily.withColumn("before", before).where("before IS NOT NULL")
+    e = F.col("price") - F.col("before")
+    return rows.groupBy("market", F.year("d").alias("year")).agg(R(F.sqrt(F.avg(e * e)), "rmse", 5))
+
+
+@query("val4_vs_benchmark", "SELECT count(*) AS n, round(avg(abs(ch - de)), 6) AS mae, round(sqrt(avg((ch - de) * (ch - de))), 6) AS rmse, round(avg(ch - de), 6) AS bias FROM pair", PAIR)
+def val4(t):
+    m = agg.error_metrics(F.col("ch") - F.col("de"), F.col("de"))
+    return pair(t).agg(F.count(F.lit(1)).alias("n"), *(R(m[k], k) for k in ("mae", "rmse", "bias")))
+
+
+SHIFT = f"{HOURLY}, both_h AS (SELECT a.series, a.d, a.hour, a.price AS p, b.price AS q FROM hourly a JOIN hourly b ON a.series = b.series AND a.hour = b.hour AND b.d = a.d + INTERVAL 1 day)"
+
+
+def shifted(t):
+    """Each hour with the same hour of the next day."""
+    h = hourly(t)
+    after = h.select("series", F.date_sub("d", 1).alias("d"), "hour", F.col("price").alias("q"))
+    return h.select("series", "d", "hour", F.col("price").alias("p")).join(after, ["series", "d", "hour"])
+
+
+@query("val5_profile_metrics", "SELECT series, round(median(c), 6) AS pearson, round(median(abs(hp - hq)), 6) AS displacement FROM (SELECT series, d, corr(p, q) AS c, arg_max(hour, p * 1000 - hour / 1e6) AS hp, arg_max(hour, q * 1000 - hour / 1e6) AS hq FROM both_h GROUP BY series, d HAVING count(*) >= 12) GROUP BY series", SHIFT)
+def val5(t):
+    peak = lambda c: F.max_by("hour", F.col(c) * 1000 - F.col("hour") / 1e6)
+    per = shifted(t).groupBy("series", "d").agg(F.corr("p", "q").alias("c"), peak("p").alias("hp"), peak("q").alias("hq"), F.count(F.lit(1)).alias("n")).where("n >= 12")
+    return per.groupBy("series").agg(R(F.median("c"), "pearson"), R(F.median(F.abs(F.col("hp") - F.col("hq"))), "displacement"))
+
+
+@query("val6_spread_error", "SELECT series, round(abs(sp - sq), 6) AS error, round(sp / nullif(sq, 0), 6) AS ratio FROM (SELECT series, avg(p) FILTER (hour BETWEEN 8 AND 19) - avg(p) FILTER (hour NOT BETWEEN 8 AND 19) AS sp, avg(q) FILTER (hour BETWEEN 8 AND 19) - avg(q) FILTER (hour NOT BETWEEN 8 AND 19) AS sq FROM both_h GROUP BY series)", SHIFT)
+def val6(t):
+    day = F.col("hour").between(8, 19)
+    spread = lambda c: F.avg(F.when(day, F.col(c))) - F.avg(F.when(~day, F.col(c)))
+    rows = shifted(t).groupBy("series").agg(spread("p").alias("sp"), spread("q").alias("sq"))
+    return rows.select("series", R(F.abs(F.col("sp") - F.col("sq")), "error"), R(F.try_divide("sp", "sq"), "ratio"))
+
+
+@query("val7_dispatch_capture", "SELECT series, round(sum(q) FILTER (rp <= 8) / sum(q) FILTER (rq <= 8), 6) AS capture, round(avg(q) FILTER (rp <= 8) / avg(q), 6) AS vs_flat FROM (SELECT *, row_number() OVER (PARTITION BY series, d ORDER BY p DESC, hour) AS rp, row_number() OVER (PARTITION BY series, d ORDER BY q DESC, hour) AS rq FROM both_h) GROUP BY series", SHIFT)
+def val7(t):
+    rank = lambda c: F.row_number().over(win.by(["series", "d"], [F.desc(c), F.asc("hour")]))
+    rows = shifted(t).withColumns({"rp": rank("p"), "rq": rank("q")})
+    chosen, best = F.when(F.col("rp") <= 8, F.col("q")), F.when(F.col("rq") <= 8, F.col("q"))
+    return rows.groupBy("series").agg(R(F.sum(chosen) / F.sum(best), "capture"), R(F.avg(chosen) / F.avg("q"), "vs_flat"))
+
+
+@query("val8_shape_rmse", "SELECT market, round(sqrt(avg((price * k - spot) * (price * k - spot))), 6) AS shape_rmse FROM (SELECT r.market, r.d, r.price, x.price AS spot, avg(x.price) OVER (PARTITION BY r.market) / avg(r.price) OVER (PARTITION BY r.market) AS k FROM resc r JOIN daily x USING (market, d)) GROUP BY market", RESC)
+def val8(t):
+    w = Window.partitionBy("market")
+    rows = rescaled_curve(t).withColumn("k", F.avg("spot").over(w) / F.avg("price").over(w))
+    e = F.col("price") * F.col("k") - F.col("spot")
+    return rows.groupBy("market").agg(R(F.sqrt(F.avg(e * e)), "shape_rmse"))
+
+
+@query("val9_error_slices", "SELECT CAST(m AS INT) AS month, CAST(w AS INT) AS weekday, count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias FROM (SELECT month(d) AS m, isodow(d) - 1 AS w, ch - de AS e FROM pair) GROUP BY GROUPING SETS ((m), (w), (m, w), ())", PAIR)
+def val9(t):
+    rows = pair(t).select(F.month("d").alias("month"), F.weekday("d").alias("weekday"), (F.col("ch") - F.col("de")).alias("e"))
+    return rows.groupingSets([["month"], ["weekday"], ["month", "weekday"], []], "month", "weekday").agg(F.count(F.lit(1)).alias("n"), R(F.sqrt(F.avg(F.col("e") * F.col("e"))), "rmse"), R(F.avg("e"), "bias"))
+
+
+@query("val10_day_factor_gap", "SELECT market, weekday, round(ideal, 6) AS ideal, round(model, 6) AS model, round(model - ideal, 6) AS gap FROM (SELECT market, CAST(isodow(d) - 1 AS INT) AS weekday, avg(spot) / any_value(a) AS ideal, avg(f_w) AS model FROM curve JOIN (SELECT market, avg(spot) AS a FROM curve GROUP BY market) USING (market) GROUP BY market, isodow(d))", RESC)
+def val10(t):
+    rows = rescaled_curve(t)
+    mean = rows.groupBy("market").agg(F.avg("spot").alias("a"))
+    per = rows.join(F.broadcast(mean), "market").groupBy("market", F.weekday("d").alias("weekday")).agg((F.avg("spot") / F.first("a")).alias("ideal"), F.avg("f_w").alias("model"))
+    return per.select("market", "weekday", R("ideal", "ideal"), R("model", "model"), R(F.col("model") - F.col("ideal"), "gap"))
+
+
+@query("val11_composite_score", "SELECT round(0.35 * avg(abs(ch - de)) / 15.0 + 0.30 * sqrt(avg((ch - de) * (ch - de))) / 22.3 + 0.20 * (100 * avg(CASE WHEN abs(de) > 1 THEN abs((ch - de) / de) END)) / 30.9 + 0.15 * (1 - corr(ch, de)), 6) AS score FROM pair", PAIR)
+def val11(t):
+    m = agg.error_metrics(F.col("ch") - F.col("de"), F.col("de"))
+    # Weights and scales of the score.
+    score = 0.35 * m["mae"] / 15.0 + 0.30 * m["rmse"] / 22.3 + 0.20 * m["mape"] / 30.9 + 0.15 * (1 - F.corr("ch", "de"))
+    return pair(t).agg(R(score, "score"))
+
+
+@query("val12_ab_variants", "SELECT market, round(avg(abs(raw - spot)), 6) AS mae_raw, round(avg(abs(price - spot)), 6) AS mae_rescaled FROM (SELECT c.market, c.raw, c.spot, r.price FROM curve c JOIN resc r USING (market, d)) GROUP BY market", RESC)
+def val12(t):
+    kinds = F.array(*(F.struct(F.lit(n).alias("variant"), F.col(c).alias("p")) for n, c in (("raw", "raw"), ("rescaled", "price"))))
+    rows = rescaled_curve(t).select("market", "spot", F.inline(kinds))
+    wide = rows.groupBy("market").pivot("variant", ["raw", "rescaled"]).agg(F.avg(F.abs(F.col("p") - F.col("spot"))))
+    return wide.select("market", R("raw", "mae_raw"), R("rescaled", "mae_rescaled"))
+
+
+@query("val13_structural_break", "SELECT market, max(abs(t)) > 3.0 AS broken, round(max(abs(t)), 6) AS t_max FROM (SELECT market, month, (m1 - m0) / sqrt(v0 / n0 + v1 / n1) AS t FROM (SELECT market, month, avg(price) FILTER (half = 0) AS m0, avg(price) FILTER (half = 1) AS m1, var_samp(price) FILTER (half = 0) AS v0, var_samp(price) FILTER (half = 1) AS v1, count(*) FILTER (half = 0) AS n0, count(*) FILTER (half = 1) AS n1 FROM halves GROUP BY ALL)) GROUP BY market", HALVES)
+def val13(t):
+    rows = t.daily.select("market", F.month("d").alias("month"), (F.col("d") >= F.lit("1998-01-01").cast("date")).cast("int").alias("half"), "price")
+    top = F.max(F.abs("t"))
+    return agg.welch(rows, ["market", "month"], "half", "price").groupBy("market").agg((top > 3.0).alias("broken"), R(top, "t_max"))
+
+
+@query("val14_input_gate", "SELECT series, count(*) >= 100 AS enough, count(*) = count(DISTINCT ts) AS unique_ts, date_diff('hour', max(ts), TIMESTAMP '2024-01-31') <= 48 AS fresh FROM spot GROUP BY series")
+def val14(t):
+    age = (F.unix_timestamp(F.lit("2024-01-31").cast("timestamp_ntz")) - F.unix_timestamp(F.date_trunc("hour", F.max("ts")).cast("timestamp_ntz"))) / 3600
+    return t.spot.groupBy("series").agg((F.count(F.lit(1)) >= 100).alias("enough"), (F.count(F.lit(1)) == F.count_distinct("ts")).alias("unique_ts"), (age <= 48).alias("fresh"))
+
+
+@query("val15_output_gate", "SELECT market, count(*) FILTER (price IS NULL) = 0 AS no_nulls, count(*) FILTER (abs(price) > 10000) = 0 AS in_range FROM resc GROUP BY market", RESC)
+def val15(t):
+    return rescaled_curve(t).groupBy("market").agg((F.count_if(F.col("price").isNull()) == 0).alias("no_nulls"), (F.count_if(F.abs("price") > 10000) == 0).alias("in_range"))
+
+
+@query("val16_daily_gate", "SELECT market, min(price) > 0 AS positive, min(f_w) > 0.3 AND max(f_w) < 2.0 AS factors, avg(abs(price - spot)) <= 60 AS errors FROM (SELECT r.market, r.price, c.f_w, c.spot FROM resc r JOIN curve c USING (market, d)) GROUP BY market", RESC)
+def val16(t):
+    error = F.avg(F.abs(F.col("price") - F.col("spot")))
+    return rescaled_curve(t).groupBy("market").agg((F.min("price") > 0).alias("positive"), ((F.min("f_w") > 0.3) & (F.max("f_w") < 2.0)).alias("factors"), (error <= 60).alias("errors"))
+
+
+@query("val17_benchmark_gate", "SELECT market, mae <= 20 AS passed, CASE WHEN mae <= 20 THEN 'ok' ELSE 'mae above 20' END AS reason FROM (SELECT r.market, avg(abs(r.price - x.price)) AS mae FROM resc r JOIN daily x USING (market, d) GROUP BY r.market)", RESC)
+def val17(t):
+    rows = rescaled_curve(t).groupBy("market").agg(F.avg(F.abs(F.col("price") - F.col("spot"))).alias("mae"))
+    # Fixed value: the limit of the mean absolute error.
+    ok = F.col("mae") <= 20
+    return rows.select("market", ok.alias("passed"), F.when(ok, "ok").otherwise("mae above 20").alias("reason"))
+
+
+@query("val18_parameter_search", "SELECT market, arg_min(half_life, rmse) AS best, round(min(rmse), 5) AS rmse FROM (SELECT market, half_life, sqrt(avg((price - level) * (price - level))) AS rmse FROM (SELECT b.market, h.half_life, b.d, any_value(b.price) AS price, sum(a.price * exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) / sum(exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) AS level FROM daily a JOIN daily b ON a.market = b.market AND a.d < b.d AND a.d >= b.d - INTERVAL 30 day AND day(b.d) = 1, (VALUES (3.0), (7.0), (30.0)) h(half_life) GROUP BY b.market, h.half_life, b.d) GROUP BY market, half_life) GROUP BY market")
+def val18(t):
+    """Trials are rows: each half-life is tried on the first day of every month in one plan."""
+    test = t.daily.where("day(d) = 1").select("market", F.col("d").alias("b"), F.col("price").alias("actual"), F.explode(F.sequence(F.date_sub("d", 30), F.date_sub("d", 1))).alias("d"))
+    trials = F.explode(F.array(F.lit(3.0), F.lit(7.0), F.lit(30.0)))
+    rows = t.daily.join(test, ["market", "d"]).withColumn("half_life", trials)
+    w = F.exp(-F.lit(0.6931471805599453) * F.datediff("b", "d") / F.col("half_life"))
+    level = rows.groupBy("market", "half_life", "b").agg(F.first("actual").alias("actual"), agg.weighted_mean(F.col("price"), w).alias("level"))
+    e = F.col("actual") - F.col("level")
+    scores = level.groupBy("market", "half_life").agg(F.sqrt(F.avg(e * e)).alias("rmse"))
+    return scores.groupBy("market").agg(F.min_by("half_life", "rmse").alias("best"), R(F.min("rmse"), "rmse", 5))
+
+
+@query("val19_attribution", "SELECT round((SELECT avg(r) FROM (SELECT sqrt(avg((ch - de) * (ch - de))) AS r FROM pair GROUP BY month(d))), 6) AS month_rmse, round((SELECT stddev_samp(r) FROM (SELECT sqrt(avg((ch - de) * (ch - de))) AS r FROM pair GROUP BY isodow(d))), 6) AS dow_rmse_spread, round(abs((SELECT avg(ch - de) FROM pair)), 6) AS level", PAIR)
+def val19(t):
+    e = F.col("ch") - F.col("de")
+    rmse = F.sqrt(F.avg(e * e)).alias("r")
+    parts = [pair(t).groupBy(F.month("d")).agg(rmse).agg(R(F.avg("r"), "month_rmse")), pair(t).groupBy(F.weekday("d")).agg(rmse).agg(R(F.stddev_samp("r"), "dow_rmse_spread")), pair(t).agg(R(F.abs(F.avg(e)), "level"))]
+    # three single rows side by side
+    return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
+
+
+@query("val20_freshness", "SELECT 'events' AS source, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS latest FROM events UNION ALL SELECT 'orders', CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) FROM orders UNION ALL SELECT 'lineitem', CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR) FROM lineitem")
+def val20(t):
+    of = lambda name, df, c: df.agg(F.to_date(F.max(c)).cast("string").alias("latest")).select(F.lit(name).alias("source"), "latest")
+    return of("events", t.events, "ts").unionByName(of("orders", t.orders, "o_orderdate")).unionByName(of("lineitem", t.lineitem, "l_shipdate"))
