@@ -1 +1,93 @@
-"""Queries."""
+"""Queries RPT1-RPT12: the tables behind the report pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import joins
+from ..operators import windows as win
+from .registry import query
+from .table_plans import HOURLY, LATEST, NAIVE, PAIR, YEARLY, hourly, latest_outages, pair, yearly
+from .time_plans import R, S
+
+
+@query("rpt1_overview", "SELECT market, round(arg_max(price, d), 6) AS last, round(avg(price) FILTER (d > m - INTERVAL 30 day), 6) AS mean30, round(stddev_samp(price) FILTER (d > m - INTERVAL 30 day), 6) AS sd30 FROM daily JOIN (SELECT market, max(d) AS m FROM daily GROUP BY market) USING (market) GROUP BY market")
+def rpt1(t):
+    last = t.daily.groupBy("market").agg(F.max("d").alias("m"))
+    recent = F.when(F.col("d") > F.date_sub("m", 30), F.col("price"))
+    return t.daily.join(F.broadcast(last), "market").groupBy("market").agg(R(F.max_by("price", "d"), "last"), R(F.avg(recent), "mean30"), R(F.stddev_samp(recent), "sd30"))
+
+
+@query("rpt2_resolutions", "SELECT market, 'month' AS resolution, CAST(date_trunc('month', d)::DATE AS VARCHAR) AS start, round(avg(price), 6) AS price FROM daily GROUP BY ALL UNION ALL SELECT market, 'week', CAST(date_trunc('week', d)::DATE AS VARCHAR), round(avg(price), 6) FROM daily GROUP BY ALL")
+def rpt2(t):
+    levels = F.array(*(F.struct(F.lit(k).alias("resolution"), F.to_date(F.date_trunc(k, "d")).cast("string").alias("start")) for k in ("month", "week")))
+    return t.daily.select("market", "price", F.inline(levels)).groupBy("market", "resolution", "start").agg(R(F.avg("price"), "price"))
+
+
+@query("rpt3_mix_shares", "SELECT CAST(d AS VARCHAR) AS d, event_type AS kind, round(s / sum(s) OVER (PARTITION BY d), 6) AS share FROM (SELECT CAST(ts AS DATE) AS d, event_type, sum(value) AS s FROM events GROUP BY ALL)")
+def rpt3(t):
+    sums = t.events.groupBy(F.to_date("ts").alias("d"), F.col("event_type").alias("kind")).agg(F.sum("value").alias("s"))
+    return sums.select(S("d"), "kind", R(F.col("s") / F.sum("s").over(Window.partitionBy("d")), "share"))
+
+
+@query("rpt4_load_heatmap", "SELECT hour, CAST(isodow(d) - 1 AS INT) AS weekday, round(avg(price), 6) AS mean, round(min(price), 6) AS low, round(max(price), 6) AS high FROM hourly GROUP BY hour, isodow(d)", HOURLY)
+def rpt4(t):
+    return hourly(t).groupBy("hour", F.weekday("d").alias("weekday")).agg(R(F.avg("price"), "mean"), R(F.min("price"), "low"), R(F.max("price"), "high"))
+
+
+@query("rpt5_regional_split", "SELECT CAST(week AS VARCHAR) AS week, region, round(CASE region WHEN 'wallis' THEN fill_pct * 0.45 WHEN 'graubuenden' THEN fill_pct * 0.25 ELSE fill_pct - fill_pct * 0.45 - fill_pct * 0.25 END, 6) AS part FROM hydro, (VALUES ('wallis'), ('graubuenden'), ('rest')) r(region)")
+def rpt5(t):
+    w, g = F.col("fill_pct") * 0.45, F.col("fill_pct") * 0.25
+    parts = F.array(*(F.struct(F.lit(n).alias("region"), v.alias("part")) for n, v in (("wallis", w), ("graubuenden", g), ("rest", F.col("fill_pct") - w - g))))
+    return t.hydro.select("week", F.inline(parts)).select(S("week"), "region", R("part", "part"))
+
+
+@query("rpt6_price_drivers", "SELECT x.market, CAST(month(x.d) AS INT) AS month, round(corr(x.price, h.fill_pct), 6) AS corr FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week GROUP BY x.market, month(x.d)")
+def rpt6(t):
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct")
+    return rows.groupBy("market", F.month("d").alias("month")).agg(R(F.corr("price", "fill_pct"), "corr"))
+
+
+@query("rpt7_flows", "SELECT CAST(isodow(d) - 1 AS INT) AS weekday, count(*) AS n, round(avg(ch - de), 6) AS mean, round(stddev_samp(ch - de), 6) AS sd, round(avg(CASE WHEN ch > de THEN 1.0 ELSE 0.0 END), 6) AS import_share FROM pair GROUP BY isodow(d)", PAIR)
+def rpt7(t):
+    flow = F.col("ch") - F.col("de")
+    return pair(t).groupBy(F.weekday("d").alias("weekday")).agg(F.count(F.lit(1)).alias("n"), R(F.avg(flow), "mean"), R(F.stddev_samp(flow), "sd"), R(F.avg((flow > 0).cast("double")), "import_share"))
+
+
+@query("rpt8_outages", "SELECT CAST(year(start_ts) AS INT) AS year, " + ", ".join(f"round(sum(mw) FILTER (month(start_ts) = {m}), 6) AS m{m}" for m in range(1, 13)) + " FROM latest GROUP BY year(start_ts)", LATEST)
+def rpt8(t):
+    rows = latest_outages(t).withColumn("m", F.month("start_ts")).groupBy(F.year("start_ts").alias("year")).pivot("m", list(range(1, 13)))
+    return rows.agg(F.sum("mw")).select("year", *(R(str(m), f"m{m}") for m in range(1, 13)))
+
+
+@query("rpt8b_outage_price", "SELECT round(corr(mw, price), 6) AS corr, round(regr_slope(price, mw), 8) AS slope, round(regr_intercept(price, mw), 6) AS intercept FROM (SELECT CAST(start_ts AS DATE) AS d, sum(mw) AS mw FROM latest GROUP BY ALL) JOIN (SELECT d, price FROM daily WHERE market = 'CH') USING (d)", LATEST)
+def rpt8b(t):
+    per = latest_outages(t).groupBy(F.to_date("start_ts").alias("d")).agg(F.sum("mw").alias("mw"))
+    rows = per.join(t.daily.where("market = 'CH'").select("d", "price"), "d")
+    return rows.agg(R(F.corr("mw", "price"), "corr"), R(F.regr_slope("price", "mw"), "slope", 8), R(F.regr_intercept("price", "mw"), "intercept"))
+
+
+@query("rpt9_commodities", "SELECT name, round(min(close), 6) AS low, round(max(close), 6) AS high, round(arg_max(close, d) / arg_min(close, d) - 1, 6) AS total_return, round(stddev_samp(change), 6) AS volatility FROM (SELECT *, close / lag(close) OVER (PARTITION BY name ORDER BY d) - 1 AS change FROM commodities) GROUP BY name")
+def rpt9(t):
+    rows = t.commodities.withColumn("change", F.col("close") / F.lag("close").over(win.by(["name"], "d")) - 1)
+    return rows.groupBy("name").agg(R(F.min("close"), "low"), R(F.max("close"), "high"), R(F.max_by("close", "d") / F.min_by("close", "d") - 1, "total_return"), R(F.stddev_samp("change"), "volatility"))
+
+
+@query("rpt10_forecast_summary", "SELECT series, CAST(hour(ts) AS INT) AS hour, round(avg(naive), 6) AS mean, round(avg(abs(price - naive)), 6) AS mae FROM naive GROUP BY series, hour(ts)", NAIVE)
+def rpt10(t):
+    rows = joins.last_week(t.spot, "2024-01-15")
+    return rows.groupBy("series", F.hour("ts").alias("hour")).agg(R(F.avg("naive"), "mean"), R(F.avg(F.abs(F.col("price") - F.col("naive"))), "mae"))
+
+
+@query("rpt11_run_history", "SELECT market, year, n, round(mean, 6) AS mean, round(mean - lag(mean) OVER (PARTITION BY market ORDER BY year), 6) AS change FROM yearly", YEARLY)
+def rpt11(t):
+    return yearly(t).select("market", "year", "n", R("mean", "mean"), R(F.col("mean") - F.lag("mean").over(win.by(["market"], "year")), "change"))
+
+
+@query("rpt12_kpi_flags", "SELECT CAST(year(d) AS INT) AS year, round(sqrt(avg((ch - de) * (ch - de))), 6) AS rmse, sqrt(avg((ch - de) * (ch - de))) <= 26 AS rmse_ok, abs(avg(ch - de)) <= 5 AS bias_ok FROM pair GROUP BY year(d)", PAIR)
+def rpt12(t):
+    e = F.col("ch") - F.col("de")
+    rmse = F.sqrt(F.avg(e * e))
+    # Limits of the gates.
+    return pair(t).groupBy(F.year("d").alias("year")).agg(R(rmse, "rmse"), (rmse <= 26).alias("rmse_ok"), (F.abs(F.avg(e)) <= 5).alias("bias_ok"))
