@@ -32,8 +32,11 @@ LENGTH = 2048
 #: Rows of one record batch.
 BATCH_ROWS = 128
 END_ID = 1
-#: Distinct pieces a worker remembers at most; beyond, it forgets all and goes on.
-PIECES = 400_000
+#: Distinct pieces a worker remembers at most; beyond, it keeps those of the texts at hand.
+PIECES = 1_000_000
+#: Texts encoded at a time.
+TEXTS = 2000
+_ENCODERS: dict = {}
 
 
 class Encoder:
@@ -58,19 +61,28 @@ class Encoder:
         """For each text its ids and the end id, as little-endian bytes of self.dtype."""
         # four control characters separate in Python but not for the tokenizer: such texts are encoded whole
         split = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts]
-        new = set().union(*(s for s in split if s)) - self.known.keys()
+        needed = set().union(*(s for s in split if s))
+        new = list(needed - self.known.keys())
         if len(new) + len(self.known) > PIECES:
-            self.known = {}
-            new = set().union(*(s for s in split if s))
-        pieces = list(new)
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+            self.known = {piece: self.known[piece] for piece in needed & self.known.keys()}
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            # each piece is encoded as a text of its own; word_ids tell which piece an id is from
+            got = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            data = np.array(got.ids, self.dtype).tobytes()
+            ends = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1)) * self.dtype.itemsize).tolist()
+            self.known.update(zip(some, (data[a:b] for a, b in zip(ends, ends[1:], strict=False)), strict=True))
         get = self.known.__getitem__
         return [(self._whole(t) if s is None else b"".join(map(get, s))) + self.end for t, s in zip(texts, split, strict=True)]
 
 
+def encoder_of(tokenizer_path: str) -> Encoder:
+    """The worker's encoder of a tokenizer: workers live on between tasks, and so do their pieces."""
+    if tokenizer_path not in _ENCODERS:
+        _ENCODERS[tokenizer_path] = Encoder(tokenizer_path)
+    return _ENCODERS[tokenizer_path]
+
+
 def file_schema(length: int, dtype: np.dtype) -> pa.Schema:
     return pa.schema([("input_ids", pa.list_(pa.field("item", pa.from_numpy_dtype(dtype), nullable=False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length))])
 
@@ -87,11 +99,9 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str,
     name = f"{root}/tokens-{part:05d}-{uuid.uuid4().hex}"
     rest, docs, n_docs, total = b"", ([], [], []), 0, 0
     sink = index = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
         if encoder is None:
-            encoder = Encoder(tokenizer_path)
+            encoder = encoder_of(tokenizer_path)
             fs.create_dir(root, recursive=True)
             schema = file_schema(length, encoder.dtype)
             sink = pa.ipc.new_file(fs.open_output_stream(f"{name}.arrow"), schema)
