@@ -2,7 +2,8 @@
 
 A payload is cut where a rolling gear hash of its bytes hits a mask, so that an insertion moves only the
 cuts near it. `ingest` writes two tables: recipes (one row per document: ordered chunk digests) and a
-store (one row per distinct digest: the chunk's 8-bit samples as a Zstandard frame, which is lossless).
+store (one row per distinct digest: the chunk's 8-bit samples as a Zstandard frame, which is lossless; frames
+share a dictionary trained on about `SAMPLE_TEXTS` texts of at most `SAMPLE_BYTES` bytes, chosen by a hash).
 `reconstruct` joins recipes with the store by digest, puts the chunks of each distinct recipe in order and
 streams over them; copies share a recipe and are read once.
 
@@ -32,14 +33,18 @@ PAD = 64
 #: A digest with more references than this is joined under a salt.
 HOT_REFERENCES = 2000
 SALTS = 32
+LEVEL = 6
+SAMPLE_TEXTS = 1500
+SAMPLE_BYTES = 8192
+DICTIONARY_BYTES = 1 << 18
 
 
 class Cutter(NamedTuple):
     """Chunk sizes in bytes: at least `least`, at most `most`, a cut at every 2**bits bytes on average."""
 
-    least: int = 1024
-    bits: int = 12
-    most: int = 16384
+    least: int = 2048
+    bits: int = 13
+    most: int = 32768
 
 
 def gear_table() -> np.ndarray:
@@ -98,10 +103,30 @@ def _recipes(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _RECIPES.types, strict=True)], schema=_RECIPES)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
+def train_dictionary(docs: DataFrame) -> bytes:
+    """Dictionary for the frames, from a bounded sample; empty if there is too little to train on."""
     import zstandard
 
-    table, pack = gear_table(), zstandard.ZstdCompressor(level=3, write_content_size=True)
+    share = min(1.0, SAMPLE_TEXTS / max(1, docs.count()))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    sample = docs.where(draw < share).select(F.substring("text", 1, SAMPLE_BYTES).alias("head"))
+    texts = sorted({r["head"].encode("utf-8", "surrogatepass")[:SAMPLE_BYTES] for r in sample.collect()})
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes() if texts else b""
+    except zstandard.ZstdError:
+        return b""
+
+
+def _dictionary(data: bytes) -> dict:
+    import zstandard
+
+    return {"dict_data": zstandard.ZstdCompressionDict(data)} if data else {}
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], cutter: Cutter, dictionary: bytes) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    table, pack = gear_table(), zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, **_dictionary(dictionary))
     for batch in batches:
         seen: set[bytes] = set()
         rows: tuple[list, list, list] = ([], [], [])
@@ -118,10 +143,12 @@ def _chunks(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.Re
 
 
 class Media(NamedTuple):
-    """What ingest wrote: recipes (doc_id, n_bytes, recipe_id, digests) and the store (digest, size, frame)."""
+    """What ingest wrote: recipes (doc_id, n_bytes, recipe_id, digests), the store (digest, size, frame) and
+    the dictionary of its frames."""
 
     recipes: DataFrame
     store: DataFrame
+    dictionary: DataFrame
     path: str
 
 
@@ -131,22 +158,24 @@ def ingest(docs: DataFrame, path: str, cutter: Cutter = Cutter()) -> Media:
     The store is one table bucketed by digest, so that joins on the digest find it in place."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    recipes = settle(docs.mapInArrow(lambda it: _recipes(it, cutter), "doc_id long, n_bytes long, recipe_id binary, digests array<binary>"), f"{path}/recipes")
     table = "media_chunks_" + path.rsplit("-", 1)[-1].replace("/", "_")
-    chunks = docs.select("text").mapInArrow(lambda it: _chunks(it, cutter), "digest binary, size int, frame binary")
     with freed_shuffles(spark):
+        recipes = settle(docs.mapInArrow(lambda it: _recipes(it, cutter), "doc_id long, n_bytes long, recipe_id binary, digests array<binary>"), f"{path}/recipes")
+        trained = train_dictionary(docs)
+        dictionary = settle(spark.createDataFrame([(bytearray(trained),)], "dictionary binary"), f"{path}/dictionary")
+        chunks = docs.select("text").mapInArrow(lambda it: _chunks(it, cutter, trained), "digest binary, size int, frame binary")
         chunks.dropDuplicates(["digest"]).write.mode("overwrite").option("path", f"{path}/store").option("compression", "zstd").bucketBy(partitions(spark), "digest").saveAsTable(table)
-    return Media(recipes, spark.table(table), path)
+    return Media(recipes, spark.table(table), dictionary, path)
 
 
 _FEATURES = pa.schema([("recipe_id", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], dictionary: bytes) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (recipe_id, seq): one pass, one chunk at a time; a digest that doesn't fit raises."""
     import zstandard
 
-    unpack, current, done = zstandard.ZstdDecompressor(), None, []
+    unpack, current, done = zstandard.ZstdDecompressor(**_dictionary(dictionary)), None, []
 
     def close() -> None:
         levels = ",".join(map(str, state["bins"].tolist()))
@@ -192,9 +221,10 @@ def ordered_chunks(media: Media) -> DataFrame:
 def reconstruct(media: Media) -> DataFrame:
     """Per document: sizes, digests and features computed from the payload as read back from the store."""
     spark = media.recipes.sparkSession
+    trained = bytes(media.dictionary.first()[0])
     with freed_shuffles(spark):
         ordered = ordered_chunks(media).repartition(partitions(spark), "recipe_id").sortWithinPartitions("recipe_id", "seq")
-        features = settle(ordered.mapInArrow(_features, "recipe_id binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"), f"{media.path}/features")
+        features = settle(ordered.mapInArrow(lambda it: _features(it, trained), "recipe_id binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"), f"{media.path}/features")
     return media.recipes.select("doc_id", "n_bytes", "recipe_id").join(features, "recipe_id").drop("recipe_id")
 
 
