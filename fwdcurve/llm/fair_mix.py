@@ -104,16 +104,14 @@ def _mix(docs: DataFrame, work: str, weights: tuple[int, ...], most_times: int,
 
 def mixed_rows(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The rows of docs as often as the mix takes them."""
-    chosen = mix(docs, seed=seed).where("copies > 0").groupBy("doc_id", "draw").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    text = text_of()
-    draw = F.md5(F.encode(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.encode(text, "UTF-8"))), "UTF-8"))
-    chosen = chosen.select(F.col("draw").alias("mix_draw"), "copies", "rows")
+    chosen = mix(docs, seed=seed).where("copies > 0").groupBy("doc_id", F.col("draw").alias("mix_draw")).agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")).drop("doc_id")
+    draw = F.md5(F.encode(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.encode(text_of(), "UTF-8"))), "UTF-8"))
     # equal rows share their copies: the first ones get one more if they don't divide
     rows = docs.withColumn("mix_draw", draw).join(chosen, "mix_draw")
-    same = F.row_number().over(Window.partitionBy("mix_draw").orderBy("source"))
-    rows = rows.withColumn("same", same)
-    each = F.floor(F.col("copies") / F.col("rows")) + (F.col("same") <= F.col("copies") % F.col("rows")).cast("long")
-    return rows.withColumn("each", each).where("each > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("each")))).select(docs.columns)
+    rows = rows.withColumn("mix_no", F.row_number().over(Window.partitionBy("mix_draw").orderBy("source")))
+    each = F.floor(F.col("mix_copies") / F.col("mix_rows")) + (F.col("mix_no") <= F.col("mix_copies") % F.col("mix_rows")).cast("long")
+    rows = rows.withColumn("mix_each", each).where("mix_each > 0")
+    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_each")))).select(docs.columns)
 
 
 def op7_fair_mix(spark, sf_dir: str) -> DataFrame:

@@ -140,9 +140,9 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """docs without near-duplicates: of each component the rows with its least doc_id stay, one if repeated."""
     kept = near_duplicates(docs, distance).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("tie", F.xxhash64("text"))
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("tie"))
-    return rows.withColumn("once", once).where("once = 1").select(docs.columns)
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("simhash_tie", F.xxhash64("text"))
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("simhash_tie"))
+    return rows.withColumn("simhash_no", once).where("simhash_no = 1").select(docs.columns)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
