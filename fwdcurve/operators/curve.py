@@ -21,7 +21,7 @@ def monotone_slopes(knots: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """knots with slope: harmonic mean of the secants where they agree in sign, else 0; at the ends a
     three-point slope that keeps the sign and is at most three times the secant (Fritsch and Carlson)."""
     w = Window.partitionBy(key).orderBy(x)
-    step = lambda k, c: F.lead(c, k).over(w) - F.lead(c, k - 1).over(w) if k > 0 else F.lag(c, -k).over(w) - F.lag(c, -k + 1).over(w)
+    step = lambda k, c: F.lead(c, k).over(w) - F.lead(c, k - 1).over(w) if k > 0 else F.lag(c, -k).over(w) - F.lag(c, -k - 1).over(w)
     rows = knots.withColumns({
         "h1": F.lead(x).over(w) - F.col(x), "d1": F.try_divide(F.lead(y).over(w) - F.col(y), F.lead(x).over(w) - F.col(x)),
         "h0": F.col(x) - F.lag(x).over(w), "d0": F.try_divide(F.col(y) - F.lag(y).over(w), F.col(x) - F.lag(x).over(w)),
