@@ -52,8 +52,9 @@ def template_grams(spark: SparkSession) -> DataFrame:
     for no, (label, words, phrase) in enumerate([(*p, True) for p in PHRASES] + [(*t, False) for t in TEMPLATES]):
         w = words.split()
         rows += [(no, label, phrase, len(w) - GRAM + 1, k, *w[k : k + GRAM]) for k in range(len(w) - GRAM + 1)]
-    table = spark.createDataFrame(rows, "template int, label string, phrase boolean, grams int, place int, w1 string, w2 string, w3 string")
-    return table.withColumn("hash", F.xxhash64("w1", "w2", "w3"))
+    names = ("template", "label", "phrase", "grams", "place", "w1", "w2", "w3")
+    table = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row, strict=True))) for row in rows))
+    return spark.range(1).select(F.inline(table)).withColumn("hash", F.xxhash64("w1", "w2", "w3"))
 
 
 def votes(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
