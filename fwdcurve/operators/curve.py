@@ -116,9 +116,9 @@ def calibrate(slots: DataFrame, contracts: DataFrame) -> DataFrame:
 
     kind = slots.schema["curve_id"].dataType.simpleString()
     knots = stats.groupBy("curve_id").applyInPandas(solve, f"curve_id {kind}, day int, is_peak boolean, knot double")
-    here = F.broadcast(knots.withColumnRenamed("knot", "k0"))
-    after = F.broadcast(knots.select("curve_id", (F.col("day") - 1).alias("day"), "is_peak", F.col("knot").alias("k1")))
-    out = rows.join(here, ["curve_id", "day", "is_peak"], "left").join(after, ["curve_id", "day", "is_peak"], "left")
+    after = F.lead("knot").over(Window.partitionBy("curve_id", "is_peak").orderBy("day"))
+    pairs = knots.select("curve_id", "day", "is_peak", F.col("knot").alias("k0"), after.alias("k1"))
+    out = rows.join(pairs, ["curve_id", "day", "is_peak"], "left")
     change = F.coalesce((1 - F.col("w")) * F.col("k0") + F.col("w") * F.col("k1"), F.lit(0.0))
     return out.withColumn("calibrated", F.col("price") + change).drop("day", "w", "k0", "k1")
 
