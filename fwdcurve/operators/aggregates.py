@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,3 +41,37 @@ def welch(df: DataFrame, keys: list[str], half: str, value: str) -> DataFrame:
         "t": (F.col("m1") - F.col("m0")) / F.nullif(F.sqrt(a + b), F.lit(0.0)),
         "df": (a + b) * (a + b) / F.nullif(a * a / F.nullif(F.col("n0") - 1, F.lit(0)) + b * b / F.nullif(F.col("n1") - 1, F.lit(0)), F.lit(0.0)),
     })
+
+
+def incomplete_beta(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function, by its continued fraction (modified Lentz)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - incomplete_beta(1 - x, b, a)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny, c = 1e-300, 1.0
+    d = 1 / max(1 - (a + b) * x / (a + 1), tiny)
+    total = d
+    for m in range(1, 300):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 + term * d
+            d = 1 / (d if abs(d) > tiny else tiny)
+            c = 1 + term / c
+            c = c if abs(c) > tiny else tiny
+            total *= c * d
+        if abs(c * d - 1) < 1e-12:
+            break
+    return front * total
+
+
+def with_p_value(tests: DataFrame, families: list[str], alpha: float = 0.05) -> DataFrame:
+    """tests (t, df, …) with the two-sided p-value and whether it holds after Bonferroni within families."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(p=[incomplete_beta(df / (df + t * t), df / 2, 0.5) if df == df and t == t else None for t, df in zip(pdf["t"], pdf["df"], strict=True)])
+
+    schema = tests.withColumn("p", F.lit(None).cast("double")).schema
+    n = F.count("p").over(Window.partitionBy(*families))
+    return tests.mapInPandas(add, schema).withColumn("significant", F.col("p") * n < alpha)

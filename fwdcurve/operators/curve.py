@@ -4,6 +4,8 @@ Slots are (curve_id, ts, …). Contracts are (curve_id, contract_id, start, end,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -54,6 +56,23 @@ def smooth_base(days: DataFrame, monthly: DataFrame) -> DataFrame:
     return days.withColumn("day_no", F.datediff("d", F.lit("1970-01-01")).cast("long")).join(table, ["key", "day_no"], "left").drop("day_no")
 
 
+def restored_months(days: DataFrame, monthly: DataFrame, settle: Callable[[DataFrame, int], DataFrame], damping: float = 0.8, rounds: int = 10, tolerance: float = 0.5) -> DataFrame:
+    """smooth_base whose knots are moved until each month's mean is within tolerance of its base.
+
+    Only the knot table goes from round to round; settle(table, round) writes it, so plans stay short."""
+    knots = settle(monthly.withColumn("target", F.col("base")), 0)
+    for k in range(1, rounds + 1):
+        smooth = smooth_base(days, knots.drop("target")).withColumn("month_start", F.to_date(F.date_trunc("month", "d")))
+        means = smooth.groupBy("key", "month_start").agg(F.avg("smooth").alias("mean"))
+        gap = F.coalesce(F.col("target") - F.col("mean"), F.lit(0.0))
+        moved = settle(knots.join(means, ["key", "month_start"], "left").select("key", "month_start", (F.col("base") + damping * gap).alias("base"), "target", gap.alias("gap")), k)
+        worst = moved.agg(F.max(F.abs("gap"))).first()[0]
+        if worst is None or worst < tolerance:
+            break
+        knots = moved.drop("gap")
+    return smooth_base(days, knots.drop("target"))
+
+
 def rescaled(slots: DataFrame, group: list[str], price: str, target: str) -> Column:
     """price times target over the group's mean: the group's mean becomes the target, exactly."""
     mean = F.avg(price).over(Window.partitionBy(*group))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import timegrid as tg
 from ..operators import curve, forwards, joins
 from ..operators import windows as win
+from ..sources import writers
 from .registry import query
 from .shape_plans import DAYS, FW, FWS, seasonal_factor
 from .table_plans import FULL, HOURLY, LOOKUP, PAIR, YEARLY, full_years, hourly, pair
@@ -174,10 +175,15 @@ def crv2(t):
 
 @query("crv3_month_restore")
 def crv3(t):
-    """The smooth base shifted so that each month keeps its mean."""
-    rows = smoothed_days(t).withColumn("m", F.date_trunc("month", "d"))
-    shift = F.avg("price").over(Window.partitionBy("key", "m")) - F.avg("smooth").over(Window.partitionBy("key", "m"))
-    return rows.select(F.col("key").alias("market"), S("d"), R(F.col("smooth") + shift, "restored"))
+    """The smooth base with knots moved so that each month keeps its mean."""
+    work = writers.shared_folder(t.spark, "knots")
+
+    def settle(table, k):
+        table.write.parquet(f"{work}/{k}")
+        return t.spark.read.schema(table.schema).parquet(f"{work}/{k}")
+
+    rows = curve.restored_months(t.daily.select(F.col("market").alias("key"), "d", "price"), month_means(t), settle)
+    return rows.select(F.col("key").alias("market"), S("d"), R("smooth", "restored"))
 
 
 @query("crv4_positivity", "SELECT market, count(*) FILTER (price - 100 < 1) AS floored, round(min(greatest(price - 100, 1.0)), 6) AS low FROM daily GROUP BY market")

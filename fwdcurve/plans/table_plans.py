@@ -331,6 +331,13 @@ def agg17(t):
     return agg.welch(rows, ["market", "month"], "half", "price").select("market", "month", R("t", "t"), R("df", "df", 4))
 
 
+@query("agg17b_welch_p")
+def agg17b(t):
+    rows = t.daily.select("market", F.month("d").alias("month"), (F.col("d") >= F.lit("1998-01-01").cast("date")).cast("int").alias("half"), "price")
+    tests = agg.welch(rows, ["market", "month"], "half", "price").select("market", "month", "t", "df")
+    return agg.with_p_value(tests, ["market"]).select("market", "month", R("p", "p"), "significant")
+
+
 @query("agg18_mse_parts", "SELECT CAST(month(d) AS INT) AS month, round(avg(ch - de) * avg(ch - de), 6) AS bias2, round(var_pop(ch - de), 6) AS variance, round(avg((ch - de) * (ch - de)) * count(*) / (SELECT sum((ch - de) * (ch - de)) FROM pair), 6) AS share FROM pair GROUP BY month(d)", PAIR)
 def agg18(t):
     e = F.col("ch") - F.col("de")

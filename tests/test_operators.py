@@ -162,3 +162,24 @@ def test_welch_on_equal_halves_is_zero(spark):
     rows = spark.createDataFrame([("a", h, float(v)) for h in (0, 1) for v in (1, 2, 3)], "k string, half int, v double")
     r = aggregates.welch(rows, ["k"], "half", "v").first()
     assert r["t"] == 0 and abs(r["df"] - 4) < 1e-9
+
+
+@pytest.mark.parametrize("t,df,p", [(2.228139, 10, 0.05), (0.0, 5, 1.0), (12.7062, 1, 0.05), (1.959964, 1e7, 0.05), (3.169273, 10, 0.01)])
+def test_p_values_of_the_t_distribution(t, df, p):
+    assert abs(aggregates.incomplete_beta(df / (df + t * t), df / 2, 0.5) - p) < 1e-5
+
+
+def test_restored_months_keep_their_means(spark, tmp_path):
+    days = pd.date_range("2024-01-01", "2024-12-31")
+    level = {m: 50 + 20 * np.sin(m) for m in range(1, 13)}
+    rows = spark.createDataFrame(pd.DataFrame({"key": "a", "d": days.date, "price": [level[d.month] for d in days]}))
+    monthly = rows.groupBy("key", F.to_date(F.date_trunc("month", "d")).alias("month_start")).agg(F.avg("price").alias("base"))
+
+    def settle(table, k):
+        table.write.parquet(f"{tmp_path}/{k}")
+        return spark.read.parquet(f"{tmp_path}/{k}")
+
+    got = curve.restored_months(rows, monthly, settle).groupBy(F.month("d").alias("m")).agg(F.avg("smooth").alias("s")).collect()
+    plain = curve.smooth_base(rows, monthly).groupBy(F.month("d").alias("m")).agg(F.avg("smooth").alias("s")).collect()
+    worst = lambda rows_: max(abs(r["s"] - level[r["m"]]) for r in rows_)
+    assert worst(got) < 1.0 and worst(got) < worst(plain)
