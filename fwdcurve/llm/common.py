@@ -14,7 +14,6 @@ WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Java regex of a run that holds no ASCII white space.
 BLANK_FREE = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -25,15 +24,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Set while an operator writes its tables: Spark deletes the shuffle files of each query as it ends (its
+#: result is in a table by then), and hands texts to Python a few megabytes at a time.
+_FRUGAL = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
 @contextlib.contextmanager
 def freed_shuffles(spark: SparkSession):
-    """Let Spark delete the shuffle files of each query as it ends; its result is in a table by then."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in _FRUGAL}
+    for k, v in _FRUGAL.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
