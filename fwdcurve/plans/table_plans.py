@@ -10,7 +10,7 @@ from ..operators import aggregates as agg
 from ..operators import joins
 from ..operators import windows as win
 from .registry import query
-from .time_plans import CAL, GRID, LOCAL, R, S, bounds, month_hours
+from .time_plans import CAL, GRID, R, S, bounds
 
 PAIR = "pair AS (SELECT a.d, a.price AS ch, b.price AS de FROM daily a JOIN daily b ON a.d = b.d WHERE a.market = 'CH' AND b.market = 'DE')"
 
