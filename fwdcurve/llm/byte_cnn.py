@@ -31,6 +31,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 SAMPLE = 1500
 SAMPLE_WINDOWS = 2
+#: Batches that training takes.
+STEPS = 1000
 #: Languages the model learns at most, the most frequent ones.
 MOST_LANGUAGES = 200
 BLOCK = 256
@@ -91,7 +93,7 @@ def probabilities(windows: np.ndarray, model: Model, pairs: dict) -> np.ndarray:
     return np.concatenate(done)
 
 
-def train(windows: np.ndarray, target: np.ndarray, languages: list[str], epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
+def train(windows: np.ndarray, target: np.ndarray, languages: list[str], steps: int = STEPS, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
     """Adam on the cross-entropy; the gradient of a pooled filter goes to the place of its maximum."""
     rng = np.random.default_rng(seed)
     n_out = len(WIDTHS) * FILTERS
@@ -100,9 +102,9 @@ def train(windows: np.ndarray, target: np.ndarray, languages: list[str], epochs:
     first, second = ({k: np.zeros_like(v) for k, v in values.items()} for _ in range(2))
     model = lambda: Model(languages, {w: values["t", w] for w in WIDTHS}, values["b"], values["o"], values["c"])
     step, lanes = 0, np.arange(FILTERS)
-    for _ in range(epochs if len(windows) else 0):
+    while len(windows) and step < steps:
         order = rng.permutation(len(windows))
-        for at in range(0, len(order), batch):
+        for at in range(0, min(len(order), batch * (steps - step)), batch):
             pick = order[at : at + batch]
             x, m = windows[pick], model()
             places, pooled = {}, []

@@ -183,7 +183,7 @@ def test_byte_network_edges(spark, docs, empty):
 def test_pair_tables_give_the_plain_sums():
     rng = np.random.default_rng(0)
     windows = rng.integers(0, 256, (5, byte_cnn.WINDOW)).astype(np.uint8)
-    model = byte_cnn.train(windows, np.array([0, 1, 0, 1, 0]), ["a", "b"], epochs=1)
+    model = byte_cnn.train(windows, np.array([0, 1, 0, 1, 0]), ["a", "b"], steps=1)
     pooled = np.concatenate([total.max(axis=1) for _, total in byte_cnn._maps(windows, model)], axis=1)
     z = np.maximum(pooled + model.bias, 0) @ model.out + model.out_bias
     want = np.exp(z - z.max(axis=1, keepdims=True))
