@@ -84,16 +84,13 @@ def solve_knots(stats: pd.DataFrame, targets: pd.DataFrame, eps: float = 1e-8, t
     bring each contract's mean to its target.
 
     stats: contract_id, day, is_peak, n, w1 (sum over slots of the elapsed part of the day); targets:
-    contract_id, gap. A slot's correction lies between its day's knot and the next day's."""
+    contract_id, gap. A slot's correction lies between its day's knot and the next day's. Contracts that others
+    imply change nothing; of contracts that contradict each other the gaps are met in least squares."""
     days = np.arange(stats["day"].min(), stats["day"].max() + 2)
     k = len(days)
-    h = np.zeros((2 * k, 2 * k))
     d2 = np.zeros((max(k - 2, 0), k))
     for i in range(k - 2):
         d2[i, i : i + 3] = (1, -2, 1)
-    for r in range(2):
-        h[r * k : (r + 1) * k, r * k : (r + 1) * k] = d2.T @ d2 + (eps + tie) * np.eye(k)
-    h[:k, k:] = h[k:, :k] = -tie * np.eye(k)
     ids = targets["contract_id"].tolist()
     a = np.zeros((len(ids), 2 * k))
     place = {c: i for i, c in enumerate(ids)}
@@ -102,12 +99,21 @@ def solve_knots(stats: pd.DataFrame, targets: pd.DataFrame, eps: float = 1e-8, t
         a[place[c], at] += n - w1
         a[place[c], at + 1] += w1
     a /= np.maximum(a.sum(axis=1, keepdims=True), 1e-12)
-    m = len(ids)
-    kkt = np.block([[h, a.T], [a, np.zeros((m, m))]])
-    rhs = np.concatenate([np.zeros(2 * k), targets["gap"].to_numpy(float)])
+    gap = targets["gap"].to_numpy(float)
+    u, size, vt = np.linalg.svd(a, full_matrices=False)
+    rank = int((size > 1e-9 * size.max(initial=0)).sum())
+    if rank < len(ids):
+        a, gap = size[:rank, None] * vt[:rank], u[:, :rank].T @ gap
+    m = len(gap)
+    kkt = np.zeros((2 * k + m, 2 * k + m))
+    for r in range(2):
+        kkt[r * k : (r + 1) * k, r * k : (r + 1) * k] = d2.T @ d2 + (eps + tie) * np.eye(k)
+    kkt[:k, k : 2 * k] = kkt[k : 2 * k, :k] = -tie * np.eye(k)
+    kkt[: 2 * k, 2 * k :], kkt[2 * k :, : 2 * k] = a.T, a
+    rhs = np.concatenate([np.zeros(2 * k), gap])
     try:
         x = np.linalg.solve(kkt, rhs)
-        if not np.isfinite(x).all() or np.abs(a @ x[: 2 * k] - rhs[2 * k :]).max(initial=0) > 1e-6:
+        if not np.isfinite(x).all() or np.abs(a @ x[: 2 * k] - gap).max(initial=0) > 1e-6:
             raise np.linalg.LinAlgError
     except np.linalg.LinAlgError:
         x = np.linalg.lstsq(kkt, rhs, rcond=None)[0]

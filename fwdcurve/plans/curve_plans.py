@@ -233,17 +233,32 @@ def curve_slots(t):
     return raw_curve(t).select(F.col("market").alias("curve_id"), F.col("d").cast("timestamp_ntz").alias("ts"), (F.weekday("d") < 5).alias("is_peak"), F.col("raw").alias("price"), "spot")
 
 
-def curve_contracts(t):
-    """Quarterly contracts of two years, and yearly ones that overlap them, as base."""
-    q = quarters(t).where("year IN (1998, 1999)")
-    start = F.make_date("year", F.col("quarter") * 3 - 2, F.lit(1))
-    return q.select(F.col("market").alias("curve_id"), F.concat_ws("-Q", "year", "quarter").alias("contract_id"), start.cast("timestamp_ntz").alias("start"), F.add_months(start, 3).cast("timestamp_ntz").alias("end"), F.lit("Base").alias("load"), "price")
+def curve_contracts(t, slots):
+    """All quotes as Base contracts, which overlap, and the Peak and Offpeak pairs of the months with a peak price.
+
+    The off-peak price is the one that peak and base imply by the curve's own slots, so a pair keeps its month's
+    mean; it stands for the month's own quote. A month without off-peak slots has its base alone."""
+    month, keys = F.to_date(F.date_trunc("month", "ts")), ["market", "year", "month"]
+    counts = slots.groupBy(F.col("curve_id").alias("market"), F.year(month).alias("year"), F.month(month).alias("month")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_peak").alias("n_peak"))
+    none = t.spark.createDataFrame([], "market string, year int, month int, peak double")
+    base = forwards.monthly_contracts(t.quotes, none, month_hours(t)).select(*keys, F.col("price").alias("base"))
+    peaks = contracts(t).where("load = 'Peak'").select(*keys, F.col("price").alias("peak"))
+    paired = peaks.join(base, keys).join(counts, keys).where("n > n_peak")
+    rest = forwards.offpeak(F.col("base"), F.col("peak"), F.col("n"), F.col("n_peak"))
+    sides = F.inline(F.array(*(F.struct(F.lit(load).alias("load"), price.alias("price")) for load, price in (("Peak", F.col("peak")), ("Offpeak", rest)))))
+    pairs = paired.select(*keys, F.lit(None).cast("int").alias("quarter"), sides)
+    alone = t.quotes.withColumn("load", F.lit("Base")).join(paired.select(*keys), keys, "left_anti")
+    every = alone.select("market", "year", "quarter", "month", "load", "price").unionByName(pairs)
+    first = F.make_date("year", F.coalesce("month", F.col("quarter") * 3 - 2, F.lit(1)), F.lit(1))
+    long = F.when(F.col("month").isNotNull(), 1).when(F.col("quarter").isNotNull(), 3).otherwise(12)
+    name = F.concat_ws("-", tg.key_of(F.col("year"), F.col("quarter"), F.col("month")), "load")
+    return every.select(F.col("market").alias("curve_id"), name.alias("contract_id"), first.cast("timestamp_ntz").alias("start"), F.add_months(first, long).cast("timestamp_ntz").alias("end"), "load", "price")
 
 
 @query("crv8_calibration")
 def crv8(t):
-    slots = curve_slots(t).where("year(ts) IN (1998, 1999)")
-    return curve.calibrate(slots, curve_contracts(t)).select("curve_id", S("ts"), R("price", "price"), R("calibrated", "calibrated"))
+    slots = curve_slots(t)
+    return curve.calibrate(slots, curve_contracts(t, slots)).select("curve_id", S("ts"), R("price", "price"), R("calibrated", "calibrated"))
 
 
 RESC = f"{RAW}, mt AS (SELECT market, y, m, avg(spot) AS target FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) GROUP BY ALL), resc AS (SELECT c.market, c.d, c.y, c.m, mt.target, raw * target / avg(raw) OVER (PARTITION BY c.market, c.y, c.m) AS price FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) c JOIN mt ON mt.market = c.market AND mt.y = c.y AND mt.m = c.m)"

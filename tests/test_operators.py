@@ -183,3 +183,26 @@ def test_restored_months_keep_their_means(spark, tmp_path):
     plain = curve.smooth_base(rows, monthly).groupBy(F.month("d").alias("m")).agg(F.avg("smooth").alias("s")).collect()
     worst = lambda rows_: max(abs(r["s"] - level[r["m"]]) for r in rows_)
     assert worst(got) < 1.0 and worst(got) < worst(plain)
+
+
+def test_calibration_query_covers_all_years_and_reprices_all_contracts(spark, sf_dir):
+    from fwdcurve.plans import bindings, curve_plans
+
+    t = bindings.Tables(spark, sf_dir)
+    out = curve_plans.crv8(t).withColumn("at", F.col("ts").cast("timestamp_ntz")).toPandas()
+    slots = curve_plans.curve_slots(t).toPandas()
+    assert len(out) == len(slots) and out["at"].dt.year.nunique() >= 6
+    out = out.merge(slots[["curve_id", "ts", "is_peak"]], left_on=["curve_id", "at"], right_on=["curve_id", "ts"])
+    met = curve_plans.curve_contracts(t, curve_plans.curve_slots(t)).toPandas()
+    assert set(met["load"]) == {"Base", "Peak", "Offpeak"} and met["contract_id"].str.len().nunique() >= 3
+    for c in met.itertuples():
+        part = out[(out.curve_id == c.curve_id) & (out["at"] >= c.start) & (out["at"] < c.end)]
+        part = part if c.load == "Base" else part[part.is_peak == (c.load == "Peak")]
+        assert part.empty or abs(part.calibrated.mean() - c.price) < 0.01
+
+
+def test_implied_contracts_change_no_knot():
+    stats = pd.DataFrame([(c, d, True, 1.0, 0.0) for c, days in (("a", range(3)), ("b", range(3, 6)), ("both", range(6))) for d in days], columns=["contract_id", "day", "is_peak", "n", "w1"])
+    gaps = pd.DataFrame({"contract_id": ["a", "b", "both"], "gap": [1.0, 3.0, 2.0]})
+    one, two = (curve.solve_knots(stats[stats.contract_id.isin(g.contract_id)], g) for g in (gaps, gaps[:2]))
+    assert np.allclose(one["knot"], two["knot"], atol=1e-5)
