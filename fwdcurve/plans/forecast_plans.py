@@ -32,34 +32,40 @@ def fct2(t):
     return rows.select("market", S("d"), R("lag1", "lag1"), R("lag7", "lag7"), R("momentum", "momentum"), R("vol7", "vol7"), F.col("weekday").cast("int").alias("weekday"))
 
 
-def trained(t):
+WINDOWS = (42, 56, 84, 180, 365)
+
+
+def rolling(t):
+    """(training rows, test rows) of each market and cutoff: a cutoff is the first of a month, once a full window
+    lies before it; its training rows are those of the 365 days before, its test rows the days of its month."""
     rows = fc.features(t.daily)
-    train, test = rows.where("d < date'2000-01-01'"), rows.where("d >= date'2000-01-01'")
-    return fc.fits(train, ["market"], COLUMNS, (42, 56, 84, 180, 365)), test
+    cutoffs = fc.month_starts(t.daily, ["market"], F.date_add("first", max(WINDOWS)), "cutoff")
+    return fc.before(rows, cutoffs, ["market"], "cutoff", F.date_sub("cutoff", max(WINDOWS))), fc.within(rows, cutoffs, ["market"], "cutoff")
+
+
+def trained(t):
+    train, test = rolling(t)
+    return fc.fits(train, ["market", "cutoff"], COLUMNS, WINDOWS), test
 
 
 def forecasts(t):
-    """(market, d, price, forecast) of the days after the training."""
+    """(market, cutoff, d, price, forecast) of each day from the latest cutoff before it."""
     models, test = trained(t)
-    return fc.applied(test, models, ["market"], COLUMNS)
+    return fc.applied(test, models, ["market", "cutoff"], COLUMNS)
 
 
 @query("fct3_regularised_fits")
 def fct3(t):
     models, _ = trained(t)
-    return models.select("market", "window", R("intercept", "intercept", 5), F.transform("coefs", lambda c: F.round(c, 5)).cast("string").alias("coefs"))
+    return models.select("market", S("cutoff"), "window", R("intercept", "intercept", 5), F.transform("coefs", lambda c: F.round(c, 5)).cast("string").alias("coefs"))
 
 
 @query("fct4_tree_blend")
 def fct4(t):
-    """60/40 blend of the linear forecast with a tree ensemble over all series."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    rows = VectorAssembler(inputCols=COLUMNS, outputCol="x").transform(fc.features(t.daily).dropna(subset=COLUMNS))
-    model = GBTRegressor(featuresCol="x", labelCol="price", maxIter=5, maxDepth=3, seed=1).fit(rows.where("d < date'2000-01-01'"))
-    trees = model.transform(rows.where("d >= date'2000-01-01'")).select("market", "d", "prediction")
-    return forecasts(t).join(trees, ["market", "d"]).select("market", S("d"), R(0.6 * F.col("forecast") + 0.4 * F.col("prediction"), "forecast"))
+    """60/40 blend of the linear forecast with a tree ensemble over all series, for each cutoff."""
+    train, test = rolling(t)
+    trees = fc.tree_forecasts(train, test, ["cutoff"], ["market", "d"], COLUMNS)
+    return forecasts(t).join(trees, ["market", "cutoff", "d"]).select("market", S("d"), R(0.6 * F.col("forecast") + 0.4 * F.col("prediction"), "forecast"))
 
 
 @query("fct5_future_features", f"SELECT market, ahead, round(arg_max(price, d), 6) AS last, round(avg(price), 6) AS mean28 FROM (SELECT market, d, price, row_number() OVER (PARTITION BY market ORDER BY d DESC) AS rn FROM daily), (SELECT CAST(unnest(range(1, 11)) AS INT) AS ahead) WHERE rn <= 28 GROUP BY market, ahead")
@@ -85,8 +91,7 @@ def fct7(t):
 
 @query("fct8_forecast_table")
 def fct8(t):
-    start = F.lit("1999-12-31").cast("date")
-    return forecasts(t).select("market", S("d"), R(F.greatest("forecast", F.lit(-50.0)), "forecast"), F.datediff("d", start).alias("days_ahead"))
+    return forecasts(t).select("market", S("d"), R(F.greatest("forecast", F.lit(-50.0)), "forecast"), (F.datediff("d", "cutoff") + 1).alias("days_ahead"))
 
 
 @query("fct9_backtest")
@@ -115,6 +120,22 @@ def val1(t):
     return rows.groupBy("market", "fold").agg(R(F.avg(F.when(~test, F.col("price"))), "level"), R(F.avg(F.when(test, F.col("price"))), "actual"), R(F.sqrt(F.avg(e * e)), "rmse"), F.count_if(test).alias("n"))
 
 
+@query("val1b_monthly_folds")
+def val1b(t):
+    """Folds are rows: a fit on the 24 months before each month is tested on that month, beside the naive value of
+    seven days before."""
+    rows = fc.features(t.daily)
+    folds = fc.month_starts(t.daily, ["market"], F.add_months("first", 24), "fold")
+    train, test = fc.before(rows, folds, ["market"], "fold", F.add_months("fold", -24)), fc.within(rows, folds, ["market"], "fold")
+    level = train.groupBy("market", "fold").agg(F.avg("price").alias("level"))
+    models = fc.fits(train, ["market", "fold"], COLUMNS, (2 * 366,))
+    found = fc.applied(test, models, ["market", "fold"], COLUMNS).join(test.select("market", "fold", "d", "lag7"), ["market", "fold", "d"])
+    m, naive = agg.error_metrics(F.col("forecast") - F.col("price"), F.col("price")), agg.error_metrics(F.col("lag7") - F.col("price"), F.col("price"))
+    per = found.groupBy("market", "fold").agg(F.avg("price").alias("actual"), *(m[k].alias(k) for k in ("rmse", "mae", "bias")), naive["rmse"].alias("naive"), F.count(F.lit(1)).alias("n"))
+    skill = 1 - F.try_divide("rmse", "naive")
+    return per.join(level, ["market", "fold"]).select("market", S("fold"), R("level", "level"), R("actual", "actual"), R("rmse", "rmse"), R("mae", "mae"), R("bias", "bias"), R(skill, "skill"), "n")
+
+
 @query("val2_intrahour", "SELECT series, round(sqrt(avg((ratio - 1) * (ratio - 1))), 6) AS rmse_flat, round(avg(CASE WHEN ratio BETWEEN 0.9 AND 1.1 THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM (SELECT series, price / avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS ratio, avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS m FROM spot) WHERE abs(m) > 1 GROUP BY series")
 def val2(t):
     m = F.avg("price").over(Window.partitionBy("series", F.date_trunc("hour", "ts")))

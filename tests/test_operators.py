@@ -206,3 +206,51 @@ def test_implied_contracts_change_no_knot():
     gaps = pd.DataFrame({"contract_id": ["a", "b", "both"], "gap": [1.0, 3.0, 2.0]})
     one, two = (curve.solve_knots(stats[stats.contract_id.isin(g.contract_id)], g) for g in (gaps, gaps[:2]))
     assert np.allclose(one["knot"], two["knot"], atol=1e-5)
+
+
+def priced(spark, tmp_path, days=800, first="1990-03-10"):
+    """orders and lineitem whose dates end before 2000: two markets of daily prices."""
+    d = pd.date_range(first, periods=days)
+    value = 1000 * (50 + 10 * np.sin(np.arange(days) / 9) + np.random.default_rng(1).normal(size=days))
+    spark.createDataFrame(pd.DataFrame({"o_orderdate": d, "o_totalprice": value})).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(pd.DataFrame({"l_shipdate": d, "l_extendedprice": value + 500})).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return d
+
+
+def test_backtest_rolls_over_all_months_of_any_years(spark, tmp_path):
+    from fwdcurve.plans import bindings, forecast_plans
+
+    d, t = priced(spark, tmp_path, 450), bindings.Tables(spark, str(tmp_path))
+    cutoffs = [str(x.date()) for x in pd.date_range("1991-04-01", d[-1], freq="MS")]
+    models = forecast_plans.fct3(t).toPandas()
+    assert sorted(models["cutoff"].unique()) == cutoffs and len(models) == 2 * 5 * len(cutoffs)
+    want = [str(x.date()) for x in d if str(x.date()) >= cutoffs[0]]
+    for query in (forecast_plans.fct4, forecast_plans.fct8, forecast_plans.fct9):
+        got = query(t).toPandas()
+        assert sorted(got["d"]) == sorted(want * 2) and got["forecast"].notna().all()
+    ahead = forecast_plans.fct8(t).where("d = '1991-05-31'").toPandas()["days_ahead"]
+    assert ahead.tolist() == [31, 31]
+    # a fit sees the days before its cutoff alone
+    train, test = forecast_plans.rolling(t)
+    spans = train.groupBy("market", "cutoff").agg(F.min("d").alias("a"), F.max("d").alias("b")).toPandas()
+    assert all(b == c - dt.timedelta(1) and a >= c - dt.timedelta(365) for a, b, c in zip(spans.a, spans.b, spans.cutoff, strict=True))
+    assert test.where("d < cutoff OR d >= add_months(cutoff, 1)").isEmpty()
+
+
+def test_monthly_folds_train_on_24_months(spark, tmp_path):
+    from fwdcurve.plans import bindings, forecast_plans
+
+    d = priced(spark, tmp_path)
+    got = forecast_plans.val1b(bindings.Tables(spark, str(tmp_path))).where("market = 'CH'").orderBy("fold").toPandas()
+    months = pd.date_range("1992-04-01", d[-1], freq="MS")
+    assert got["fold"].tolist() == [str(m.date()) for m in months]
+    assert got["n"].tolist() == [int(((d >= m) & (d < m + pd.offsets.MonthBegin())).sum()) for m in months]
+    price = spark.read.parquet(f"{tmp_path}/orders.parquet").toPandas().set_index("o_orderdate").sort_index()["o_totalprice"] / 1000
+    assert abs(got["level"][0] - price["1990-04-01":"1992-03-31"].mean()) < 1e-5
+
+
+def test_boosted_trees_follow_steps():
+    x = np.random.default_rng(3).uniform(size=(400, 2))
+    y = np.where(x[:, 0] > 0.5, 10.0, 0.0) + np.where(x[:, 1] > 0.3, 3.0, 0.0)
+    # thresholds lie at 32 quantiles: up to one in 32 rows may be on the wrong side of the step of 10
+    assert np.sqrt(((forecast.boosted(x, y, x) - y) ** 2).mean()) < 1.8
