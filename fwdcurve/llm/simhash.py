@@ -15,7 +15,8 @@ back to documents is a join whose sides are both tables, which Spark splits if o
 
 Edge cases: null, empty and blank texts have fingerprint 0, which links like any other; texts of fewer
 words than a shingle are one shingle; repeated rows give repeated equal results; null doc_ids are fingerprinted
-but never name a component; an empty table gives an empty result; other columns are ignored.
+and link but never name a component, so one of null doc_ids alone has a null component_id; texts that share a
+doc_id stay apart; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,19 +61,19 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("fp", pa.int64())])
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(values)], schema=_PRINTS)
+        values = np.array([fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(values)], schema=_PRINTS)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """(doc_id, tie, fp): tie is a hash of the text, fp the fingerprint as a signed 64-bit integer."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), text_of().alias("text"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, tie long, fp long")
 
 
 def _segment(k: int) -> Column:
@@ -126,22 +127,40 @@ def components(edges: DataFrame, work: str, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
 
 
+def _members(prints: DataFrame, distance: int, work: str) -> DataFrame:
+    """(fp, component, first): of each fingerprint the least one it is linked to, and the first row of that component,
+    a struct (anonymous, doc_id, tie) by doc_id, nulls last, and hash of the text. Fingerprints are the nodes."""
+    row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "tie")
+    nodes = settle(prints.groupBy("fp").agg(F.min(row).alias("first")), f"{work}/nodes")
+    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance), work)
+    # components' own nodes are not among the nodes found
+    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()).distinct()
+    linked = settle(nodes.join(found.withColumnRenamed("node", "fp"), "fp").select("fp", "component", "first"), f"{work}/linked")
+    best = linked.groupBy("component").agg(F.min("first").alias("best"))
+    moved = linked.select("fp", "component").join(best, "component")
+    return nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("best", "first").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the least doc_id reachable over links."""
     spark, work = docs.sparkSession, work_dir(docs.sparkSession, "simhash")
     with freed_shuffles(spark):
         prints = settle(fingerprints(docs), f"{work}/prints")
-        nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), f"{work}/nodes")
-        found = components(links(nodes.where("node IS NOT NULL"), distance), work)
-        named = settle(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")), f"{work}/named")
+        named = settle(_members(prints, distance, work).select("fp", F.col("first.doc_id").alias("component_id")), f"{work}/named")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """docs without near-duplicates: of each component the rows with its least doc_id stay, one if repeated."""
-    kept = near_duplicates(docs, distance).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("simhash_tie", F.xxhash64("text"))
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("simhash_tie"))
+    """docs without near-duplicates: of each component the row with its least doc_id stays, nulls last, then that
+    with the least hash of its text; one if repeated."""
+    spark, work = docs.sparkSession, work_dir(docs.sparkSession, "simhash")
+    with freed_shuffles(spark):
+        prints = settle(fingerprints(docs), f"{work}/prints")
+        kept = settle(_members(prints, distance, work).select("component", "first").distinct().select("first.doc_id", "first.tie"), f"{work}/kept")
+    kept = kept.select(F.col("doc_id").alias("simhash_id"), F.col("tie").alias("simhash_kept"))
+    rows = docs.withColumn("simhash_tie", F.xxhash64(text_of()))
+    rows = rows.join(kept, (rows["simhash_tie"] == kept["simhash_kept"]) & rows["doc_id"].cast("long").eqNullSafe(kept["simhash_id"]), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id", "simhash_tie").orderBy("simhash_tie"))
     return rows.withColumn("simhash_no", once).where("simhash_no = 1").select(docs.columns)
 
 

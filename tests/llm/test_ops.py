@@ -283,6 +283,20 @@ def test_simhash_matches_brute_force(spark, docs, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values())) and kept.columns == table.columns
 
 
+def test_keep_one_keeps_one_row_of_each_component_whatever_its_ids(spark):
+    base = " ".join(f"w{k}" for k in range(400))
+    other, third = (" ".join(f"{c}{k}" for k in range(400)) for c in "xy")
+    rows = [(None, base), (None, base), (7, other), (7, third), (3, third + " end"), (None, "alone here"), (9, "alone there"), (12, other)]
+    prints = [brute_fingerprint(t) for _, t in rows]
+    groups = brute_components(dict(enumerate(prints)))
+    want = {min((k for k in groups if groups[k] == g), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)) for g in groups.values()}
+    assert len(want) == 5
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(simhash.keep_one(table), "doc_id", "text") == sorted((rows[k] for k in want), key=str)
+    ids = {(r["doc_id"], r["fp"] % (1 << 64)): r["component_id"] for r in simhash.near_duplicates(table).collect()}
+    assert ids == {(rows[k][0], prints[k]): min((rows[j][0] for j in groups if groups[j] == groups[k] and rows[j][0] is not None), default=None) for k in groups}
+
+
 def test_links_find_every_near_pair(spark):
     rng = random.Random(8)
     base = [rng.getrandbits(64) for _ in range(30)]
