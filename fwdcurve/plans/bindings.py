@@ -60,6 +60,11 @@ class Tables:
         joined = self.lineitem.join(brands, "l_partkey")
         return joined.groupBy(F.to_date("l_shipdate").alias("d"), F.col("p_brand").alias("name")).agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("close"))
 
+    @cached_property
+    def every_name(self) -> Tables:
+        """The same tables with the commodities of all brands."""
+        return EveryName(self.spark, self.path)
+
     @cached_property
     def quotes(self) -> DataFrame:
         """Yearly, quarterly and monthly means of the daily prices; odd years have the year alone, even years
@@ -77,6 +82,13 @@ class Tables:
         return day_calendar(self.daily.select("d").distinct())
 
 
+class EveryName(Tables):
+    @cached_property
+    def commodities(self) -> DataFrame:
+        joined = self.lineitem.join(self.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+        return joined.groupBy(F.to_date("l_shipdate").alias("d"), F.col("p_brand").alias("name")).agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("close"))
+
+
 Q = lambda a, b: f"CAST(floor(({a}) / {b}.0) AS INT)"
 
 BASE = """

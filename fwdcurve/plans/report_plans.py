@@ -74,6 +74,11 @@ def rpt9(t):
     return rows.groupBy("name").agg(R(F.min("close"), "low"), R(F.max("close"), "high"), R(F.max_by("close", "d") / F.min_by("close", "d") - 1, "total_return"), R(F.stddev_samp("change"), "volatility"))
 
 
+@query("rpt9b_all_commodities")
+def rpt9b(t):
+    return rpt9(t.every_name)
+
+
 @query("rpt10_forecast_summary", "SELECT series, CAST(hour(ts) AS INT) AS hour, round(avg(naive), 6) AS mean, round(avg(abs(price - naive)), 6) AS mae FROM naive GROUP BY series, hour(ts)", NAIVE)
 def rpt10(t):
     rows = joins.last_week(t.spot, "2024-01-15")

@@ -138,6 +138,15 @@ def src15(t):
     return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
 
 
+@query("src15b_all_close_columns")
+def src15b(t):
+    closes = t.every_name.commodities
+    names = sorted(r[0] for r in t.part.select("p_brand").where("p_brand IS NOT NULL").distinct().collect())
+    wide = closes.groupBy("d").pivot("name", names).agg(F.first("close"))
+    wide = wide.select("d", *(F.col(f"`{n}`").alias(f"{n}|close") for n in names))
+    return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
+
+
 @query("src16_latest_artifact", "SELECT market, CAST(max(d) AS VARCHAR) AS latest FROM daily GROUP BY market")
 def src16(t):
     return t.daily.groupBy("market").agg(F.max("d").cast("string").alias("latest"))

@@ -194,6 +194,11 @@ def jon13(t):
     return joins.pairs(t.commodities).groupBy("name_a", "name_b").agg(F.count(F.lit(1)).alias("n"), R(F.corr("close_a", "close_b"), "corr")).where("n > 10")
 
 
+@query("jon13b_all_pairs")
+def jon13b(t):
+    return jon13(t.every_name)
+
+
 @query("agg1_group_stats", "SELECT series, count(*) AS n, round(avg(price), 6) AS mean, round(median(price), 6) AS median, round(min(price), 6) AS low, round(max(price), 6) AS high, round(stddev_samp(price), 6) AS sd FROM spot GROUP BY series")
 def agg1(t):
     p = "price"

@@ -45,6 +45,11 @@ def win4(t):
     return rows.select("name", S("d"), R("m", "sma"), signal.alias("signal"))
 
 
+@query("win4b_all_bollinger")
+def win4b(t):
+    return win4(t.every_name)
+
+
 @query("win5_rolling_corr", "SELECT CAST(d AS VARCHAR) AS d, round(CASE WHEN count(*) OVER w >= 60 THEN corr(ch, de) OVER w END, 5) AS corr60 FROM (SELECT *, CAST(year(d) AS INT) AS y FROM pair) WINDOW w AS (PARTITION BY y ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)", PAIR)
 def win5(t):
     w = win.by(["y"], "d", -59, 0)
@@ -58,11 +63,21 @@ def win6(t):
     return t.commodities.select("name", S("d"), R(back(1), "change"), R(back(20), "change20"))
 
 
+@query("win6b_all_returns")
+def win6b(t):
+    return win6(t.every_name)
+
+
 @query("win7_rebase", "SELECT name, CAST(d AS VARCHAR) AS d, round(100 * close / first_value(close) OVER (PARTITION BY name ORDER BY d), 6) AS rebased FROM commodities")
 def win7(t):
     return t.commodities.select("name", S("d"), R(100 * F.col("close") / F.first("close").over(win.by(["name"], "d")), "rebased"))
 
 
+@query("win7b_all_rebase")
+def win7b(t):
+    return win7(t.every_name)
+
+
 @query("win8_fills", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(last_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS UNBOUNDED PRECEDING), 6) AS forward, round(first_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS backward FROM grid LEFT JOIN spot USING (series, ts)", GRID)
 def win8(t):
     rows = tg.grid(bounds(t), "15 MINUTES", ("series",)).join(t.spot, ["series", "ts"], "left")

@@ -23,3 +23,13 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+WHOLE = {"rpt9_commodities": "rpt9b_all_commodities", "jon13_pairs": "jon13b_all_pairs", "src15_close_columns": "src15b_all_close_columns", "win4_bollinger": "win4b_all_bollinger", "win6_returns": "win6b_all_returns", "win7_rebase": "win7b_all_rebase"}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_all_names(spark, sf_dir, name):
+    cut = "\n  WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#1', 'Brand#2', 'Brand#3')"
+    assert cut in registry.SQL[name]
+    agree(spark, registry.QUERIES[WHOLE[name]], registry.SQL[name].replace(cut, ""), sf_dir)
