@@ -263,7 +263,17 @@ def val17(t):
 @query("val18_parameter_search", "SELECT market, arg_min(half_life, rmse) AS best, round(min(rmse), 5) AS rmse FROM (SELECT market, half_life, sqrt(avg((price - level) * (price - level))) AS rmse FROM (SELECT b.market, h.half_life, b.d, any_value(b.price) AS price, sum(a.price * exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) / sum(exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) AS level FROM daily a JOIN daily b ON a.market = b.market AND a.d < b.d AND a.d >= b.d - INTERVAL 30 day AND day(b.d) = 1, (VALUES (3.0), (7.0), (30.0)) h(half_life) GROUP BY b.market, h.half_life, b.d) GROUP BY market, half_life) GROUP BY market")
 def val18(t):
     """Trials are rows: each half-life is tried on the first day of every month in one plan."""
-    test = t.daily.where("day(d) = 1").select("market", F.col("d").alias("b"), F.col("price").alias("actual"), F.explode(F.sequence(F.date_sub("d", 30), F.date_sub("d", 1))).alias("d"))
+    return half_lives(t, t.daily.where("day(d) = 1"))
+
+
+@query("val18b_all_days")
+def val18b(t):
+    """The same trials on every day."""
+    return half_lives(t, t.daily)
+
+
+def half_lives(t, days):
+    test = days.select("market", F.col("d").alias("b"), F.col("price").alias("actual"), F.explode(F.sequence(F.date_sub("d", 30), F.date_sub("d", 1))).alias("d"))
     trials = F.explode(F.array(F.lit(3.0), F.lit(7.0), F.lit(30.0)))
     rows = t.daily.join(test, ["market", "d"]).withColumn("half_life", trials)
     w = F.exp(-F.lit(0.6931471805599453) * F.datediff("b", "d") / F.col("half_life"))

@@ -25,6 +25,13 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def test_half_lives_are_tried_on_every_day(spark, sf_dir):
+    cut = " AND day(b.d) = 1"
+    sql = registry.SQL["val18_parameter_search"]
+    assert cut in sql
+    agree(spark, registry.QUERIES["val18b_all_days"], sql.replace(cut, ""), sf_dir)
+
+
 WHOLE = {"rpt9_commodities": "rpt9b_all_commodities", "jon13_pairs": "jon13b_all_pairs", "src15_close_columns": "src15b_all_close_columns", "win4_bollinger": "win4b_all_bollinger", "win6_returns": "win6b_all_returns", "win7_rebase": "win7b_all_rebase"}
 
 
