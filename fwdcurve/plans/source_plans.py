@@ -45,15 +45,16 @@ PAYLOAD = "payload AS (SELECT event_type AS series, list(epoch(ts) ORDER BY ts,
 
 
 def payload(t):
-    """One JSON text per series with parallel arrays unix_seconds and price."""
+    """JSON texts with parallel arrays unix_seconds, event_id and price: one per series, hour and one of 16 parts of its events."""
     item = F.struct("ts", "event_id", F.unix_timestamp("ts").alias("s"), F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("v"))
-    rows = t.events.groupBy(F.col("event_type").alias("series")).agg(F.sort_array(F.collect_list(item)).alias("x"))
-    return rows.select("series", F.to_json(F.struct(F.col("x.s").alias("unix_seconds"), F.col("x.v").alias("price")), {"ignoreNullFields": "false"}).alias("body"))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(16))
+    rows = t.events.groupBy(F.col("event_type").alias("series"), F.date_trunc("hour", "ts").alias("hour"), part.alias("part")).agg(F.sort_array(F.collect_list(item)).alias("x"))
+    return rows.select("series", F.to_json(F.struct(F.col("x.s").alias("unix_seconds"), F.col("x.event_id").alias("event_id"), F.col("x.v").alias("price")), {"ignoreNullFields": "false"}).alias("body"))
 
 
 @query("src4_price_payload", "SELECT event_type AS series, CAST(date_trunc('second', ts) AS VARCHAR) AS ts, round(arg_max(value, event_id), 6) AS price FROM events WHERE event_id % 11 <> 0 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY event_type, date_trunc('second', ts)")
 def src4(t):
-    # landed payloads: a row each, so their arrays are exploded in parallel
+    # landed payloads: a row per hour and part, so their arrays are exploded in parallel
     rows = readers.price_payload(payload(t), "2024-01-05", "2024-01-25")
     return rows.select("series", S("ts"), R("price", "price"))
 

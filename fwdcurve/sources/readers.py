@@ -28,10 +28,11 @@ def curve_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def price_payload(landed: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows (series, ts, price) of bodies with parallel arrays; of equal seconds the last one; [start, end)."""
-    body = F.from_json("body", "unix_seconds array<bigint>, price array<double>")
-    rows = landed.select("series", body.alias("b")).select("series", F.posexplode(F.arrays_zip("b.unix_seconds", "b.price")).alias("at", "x"))
-    rows = rows.select("series", F.timestamp_seconds("x.unix_seconds").cast("timestamp_ntz").alias("ts"), F.col("x.price").alias("price"), "at").where("price IS NOT NULL")
+    """Rows (series, ts, price) of bodies with parallel arrays; of equal seconds the one with the last event_id, in
+    bodies without event_id the last one; [start, end)."""
+    body = F.from_json("body", "unix_seconds array<bigint>, event_id array<bigint>, price array<double>")
+    rows = landed.select("series", body.alias("b")).select("series", F.posexplode(F.arrays_zip(F.col("b.unix_seconds").alias("unix_seconds"), F.coalesce("b.event_id", "b.unix_seconds").alias("event_id"), F.col("b.price").alias("price"))).alias("at", "x"))
+    rows = rows.select("series", F.timestamp_seconds("x.unix_seconds").cast("timestamp_ntz").alias("ts"), F.col("x.price").alias("price"), F.struct("x.event_id", "at").alias("at")).where("price IS NOT NULL")
     rows = rows.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
     return rows.groupBy("series", "ts").agg(F.max_by("price", "at").alias("price"))
 

@@ -254,3 +254,18 @@ def test_boosted_trees_follow_steps():
     y = np.where(x[:, 0] > 0.5, 10.0, 0.0) + np.where(x[:, 1] > 0.3, 3.0, 0.0)
     # thresholds lie at 32 quantiles: up to one in 32 rows may be on the wrong side of the step of 10
     assert np.sqrt(((forecast.boosted(x, y, x) - y) ** 2).mean()) < 1.8
+
+
+def test_payloads_are_split_by_hour_and_part(spark, sf_dir):
+    from fwdcurve.plans import bindings, source_plans
+
+    t = bindings.Tables(spark, sf_dir)
+    hours = t.events.select("event_type", F.date_trunc("hour", "ts")).distinct().count()
+    sizes = source_plans.payload(t).select(F.length("body").alias("n")).toPandas()["n"]
+    assert len(sizes) >= hours and sizes.max() < sizes.sum() / 20
+
+
+def test_last_event_of_a_second_wins_across_bodies(spark):
+    bodies = [("a", '{"unix_seconds":[5],"event_id":[9],"price":[1.0]}'), ("a", '{"unix_seconds":[5,5],"event_id":[3,4],"price":[2.0,3.0]}'), ("b", '{"unix_seconds":[5,5],"price":[2.0,3.0]}')]
+    rows = readers.price_payload(spark.createDataFrame(bodies, "series string, body string"), "1970-01-01", "1970-01-02")
+    assert {r["series"]: r["price"] for r in rows.collect()} == {"a": 1.0, "b": 3.0}
