@@ -6,7 +6,8 @@ Filters are max-pooled over the window, rectified, and a softmax gives the langu
 gets the mean of its windows' probabilities, weighted by their bytes.
 
 Training takes a bounded sample: about `SAMPLE` rows of each language, chosen by a hash of doc_id in one
-pass that knows the language counts, and at most `SAMPLE_WINDOWS` windows of each, spread over its text.
+pass that knows the language counts, and at most `SAMPLE_WINDOWS` windows of each, at hashed places of its
+text; every language is learned, in `EPOCHS` passes over the sample. The sample grows with the languages (0.8 MB each).
 Only those windows reach the driver. Every window of every text is scored, in blocks of fixed size, by
 tasks that need the model alone (about 150 kB).
 
@@ -18,6 +19,7 @@ a null doc_id counts as the empty text in the fold's checksum; without any row t
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,10 +33,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 SAMPLE = 1500
 SAMPLE_WINDOWS = 2
-#: Batches that training takes.
-STEPS = 1000
-#: Languages the model learns at most, the most frequent ones.
-MOST_LANGUAGES = 200
+#: Passes of the training over the sample.
+EPOCHS = 12
 BLOCK = 256
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -93,8 +93,10 @@ def probabilities(windows: np.ndarray, model: Model, pairs: dict) -> np.ndarray:
     return np.concatenate(done)
 
 
-def train(windows: np.ndarray, target: np.ndarray, languages: list[str], steps: int = STEPS, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
-    """Adam on the cross-entropy; the gradient of a pooled filter goes to the place of its maximum."""
+def train(windows: np.ndarray, target: np.ndarray, languages: list[str], steps: int | None = None, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
+    """Adam on the cross-entropy, EPOCHS passes or so many steps; the gradient of a pooled filter goes to the place of
+    its maximum."""
+    steps = EPOCHS * -(-len(windows) // batch) if steps is None else steps
     rng = np.random.default_rng(seed)
     n_out = len(WIDTHS) * FILTERS
     values = {("t", w): rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
@@ -134,13 +136,19 @@ def train(windows: np.ndarray, target: np.ndarray, languages: list[str], steps:
     return model()
 
 
+def sampled_places(text: str, n: int) -> list[int]:
+    """At most SAMPLE_WINDOWS distinct ones of n windows, drawn by a hash of the text."""
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+    return rng.choice(n, min(n, SAMPLE_WINDOWS), replace=False).tolist()
+
+
 def sample_windows(labelled: DataFrame, per_language: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows, targets and languages of a bounded sample of labelled rows (doc_id, text, lang)."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], min(1.0, per_language / r["count"])) for r in counts], "lang string, share double")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,10 +156,10 @@ def sample_windows(labelled: DataFrame, per_language: int, seed: int = 11) -> tu
             rows: list[tuple[str, bytes]] = []
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
                 every = windows_of(text.encode("utf-8", "replace"))
-                rows += [(lang, every[k].tobytes()) for k in {*np.linspace(0, len(every) - 1, SAMPLE_WINDOWS).astype(int).tolist()}]
+                rows += [(lang, every[k].tobytes()) for k in sampled_places(text, len(every))]
             yield pd.DataFrame(rows, columns=["lang", "bytes"])
 
-    chosen = labelled.where(F.col("lang").isin(languages) & (draw < F.try_element_at(share, "lang"))).select("lang", "text")
+    chosen = labelled.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text")
     got = chosen.mapInPandas(spread, "lang string, bytes binary").toPandas().sort_values(["lang", "bytes"])
     if not len(got):
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), languages

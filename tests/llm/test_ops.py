@@ -180,6 +180,14 @@ def test_byte_network_edges(spark, docs, empty):
     assert byte_cnn.predict(rows.where("false"), model).count() == 0
 
 
+def test_every_language_and_place_is_sampled(spark):
+    rows = [(k, f"text {k}", f"l{k % 230}") for k in range(460)]
+    windows, _, languages = byte_cnn.sample_windows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 10)
+    assert len(languages) == 230 and len(windows) == 460
+    drawn = [byte_cnn.sampled_places(f"text {k}", 10) for k in range(300)]
+    assert {p for d in drawn for p in d} == set(range(10)) and all(len(set(d)) == 2 for d in drawn)
+
+
 def test_pair_tables_give_the_plain_sums():
     rng = np.random.default_rng(0)
     windows = rng.integers(0, 256, (5, byte_cnn.WINDOW)).astype(np.uint8)
