@@ -17,11 +17,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under spark.checkpoint.dir, which all executors share.
+    """A new folder name under spark.checkpoint.dir, which all executors share, with its file system's scheme.
 
-    Where the setting is absent (a plain local session) a local temporary folder serves."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="fwdcurve-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    Where the setting is absent a local session uses a local temporary folder; on a cluster that raises."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="fwdcurve-")
+    return f"{qualified(spark, base).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """path with the scheme that Spark gives it, so that other readers look in the same place."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 #: Set while an operator writes its tables: Spark deletes the shuffle files of each query as it ends (its

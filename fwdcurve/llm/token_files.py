@@ -1,13 +1,16 @@
 """Token-ID output: Arrow files of fixed-size-list batches, read by memory map at any row without copying.
 
 Documents are range-sorted by doc_id, encoded in that order and packed: the ids of a file run through rows
-of exactly `length` ids; the last row is filled up, and a mask column marks the ids that count. Beside each
-file lies its index (doc_id, place of the first id, number of ids). Row r holds ids r*length to
-(r+1)*length, so a sequence is found by arithmetic alone.
+of exactly `length` ids; the last row is filled up, and a mask (a byte for each id) marks the ids that count.
+All rows but a file's last have the same mask, so masks are a dictionary of two fixed-size lists: a row
+stores its number in it. Every batch but the last has the same number of rows, so `TokenFile` finds row r,
+which holds ids r*length to (r+1)*length, by arithmetic, and gives views of the mapped file. Beside each
+file lies its index (doc_id, place of the first id, number of ids).
 
 Scale: one range shuffle of the texts; each task writes one file as it streams, under a name of its own
 attempt. The manifest, which Spark commits, names the files that count, so a lost or repeated task leaves
-no trace. Only per-file totals are gathered (a window over as many rows as there are files).
+no trace. Reading back streams batch by batch. Only per-file totals are gathered (a window over as many
+rows as there are files).
 
 Edge cases: null text is empty and has its end id alone; repeated rows are written as often as they occur,
 ordered by doc_id and then by a hash of the text; a null doc_id sorts first; an empty table gives no file;
@@ -16,10 +19,12 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +37,47 @@ LENGTH = 2048
 #: Rows of one record batch.
 BATCH_ROWS = 128
 END_ID = 1
-#: Distinct pieces a worker remembers at most; beyond, it keeps those of the texts at hand.
-PIECES = 1_000_000
+#: Pieces a worker remembers in the newer of two generations.
+PIECES = 400_000
 #: Texts encoded at a time.
 TEXTS = 2000
 _ENCODERS: dict = {}
 
+# Normalizer and pre-tokenizer for which the ids of a text are those of its pieces in order.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PRE_TOKENIZERS = ["Split", "ByteLevel"]
+#: The pattern for lower-case printable ASCII, where the byte-level alphabet is the identity.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+class Memo(dict):
+    """Values of a function, those of the latest `most` keys at least; older ones go by generations."""
+
+    def __init__(self, of: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.of, self.most, self.older = of, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.of(key)
+        self[key] = value
+        return value
+
+    def tidy(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which encodes each distinct piece between white space once.
+    """Ids of whole texts by the tokenizers library, which encodes each distinct word once.
 
-    The tokenizer drops white space before it merges and no merge, normal form or added token spans it, so
-    the ids of a text are those of its pieces in order."""
+    A tokenizer as WORD_PATTERN describes drops white space, and no merge, normal form or added token spans
+    it: pieces between white space are looked up, a new one is lower-cased and split at the pattern, and
+    the words are looked up again; a new word goes to the library's model. Texts of other tokenizers are
+    encoded whole."""
 
     def __init__(self, tokenizer_path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
@@ -52,28 +86,54 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.by_piece = self._splits_at_blanks(spec)
+        self.model, self.normalizer, self.pre = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.words, self.pieces = Memo(self._word, PIECES), Memo(self._piece, PIECES)
+
+    def _splits_at_blanks(self, spec: dict) -> bool:
+        steps = (spec["normalizer"] or {}).get("normalizers", [])
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        return (
+            [s["type"] for s in steps] == NORMALIZERS
+            and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": "\\s+"}, " ")
+            and [c["type"] for c in cuts] == PRE_TOKENIZERS
+            and (cuts[0]["pattern"], cuts[0]["invert"], cuts[0]["behavior"]) == ({"Regex": WORD_PATTERN}, True, "Removed")
+            and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+            and spec["model"]["type"] == "BPE"
+            and not spec["model"]["dropout"]
+            and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
+            and not spec["post_processor"]
+        )
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if any(t in piece for t in self.added):
+            return self._whole(piece)
+        if piece.isascii() and piece.isprintable():
+            words = _ASCII.findall(piece.lower())
+        else:
+            words = [w for w, _ in self.pre.pre_tokenize_str(self.normalizer.normalize_str(piece))]
+        return b"".join(map(self.words.__getitem__, words))
+
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids and the end id, as little-endian bytes of self.dtype."""
-        # four control characters separate in Python but not for the tokenizer: such texts are encoded whole
-        split = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts]
-        needed = set().union(*(s for s in split if s))
-        new = list(needed - self.known.keys())
-        if len(new) + len(self.known) > PIECES:
-            self.known = {piece: self.known[piece] for piece in needed & self.known.keys()}
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
-            # each piece is encoded as a text of its own; word_ids tell which piece an id is from
-            got = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            data = np.array(got.ids, self.dtype).tobytes()
-            ends = (np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1)) * self.dtype.itemsize).tolist()
-            self.known.update(zip(some, (data[a:b] for a, b in zip(ends, ends[1:], strict=False)), strict=True))
-        get = self.known.__getitem__
-        return [(self._whole(t) if s is None else b"".join(map(get, s))) + self.end for t, s in zip(texts, split, strict=True)]
+        get, done = self.pieces.__getitem__, []
+        for text in texts:
+            # four control characters separate in Python but not for the tokenizer: such texts are encoded whole
+            if text and (not self.by_piece or any(c in text for c in "\x1c\x1d\x1e\x1f")):
+                done.append(self._whole(text) + self.end)
+            else:
+                done.append(b"".join(map(get, (text or "").split())) + self.end)
+        self.pieces.tidy()
+        self.words.tidy()
+        return done
 
 
 def encoder_of(tokenizer_path: str) -> Encoder:
@@ -84,7 +144,8 @@ def encoder_of(tokenizer_path: str) -> Encoder:
 
 
 def file_schema(length: int, dtype: np.dtype) -> pa.Schema:
-    return pa.schema([("input_ids", pa.list_(pa.field("item", pa.from_numpy_dtype(dtype), nullable=False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length))])
+    lists = lambda t: pa.list_(pa.field("item", t, nullable=False), length)
+    return pa.schema([("input_ids", lists(pa.from_numpy_dtype(dtype))), ("mask", pa.dictionary(pa.int32(), lists(pa.uint8())))])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -104,7 +165,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str,
             encoder = encoder_of(tokenizer_path)
             fs.create_dir(root, recursive=True)
             schema = file_schema(length, encoder.dtype)
-            sink = pa.ipc.new_file(fs.open_output_stream(f"{name}.arrow"), schema)
+            sink = pa.ipc.new_file(fs.open_output_stream(f"{name}.arrow"), schema, options=pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True))
             index = pa.ipc.new_file(fs.open_output_stream(f"{name}.docs.arrow"), _INDEX)
             row = length * encoder.dtype.itemsize
         parts = encoder.texts(batch.column(1).to_pylist())
@@ -127,12 +188,17 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str,
 
 
 def _rows(data: bytes, length: int, dtype: np.dtype) -> pa.RecordBatch:
-    ids = np.frombuffer(data, dtype)
-    n = -(-len(ids) // length) * length
-    full, mask = np.zeros(n, dtype), np.zeros(n, bool)
-    full[: len(ids)], mask[: len(ids)] = ids, True
-    schema = file_schema(length, dtype)
-    return pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x), type=t) for x, t in zip((full, mask), schema.types, strict=True)], schema=schema)
+    """A batch of whole rows, or the file's last one, whose last row is filled up with zeros."""
+    ids, (id_type, mask_type) = np.frombuffer(data, dtype), file_schema(length, dtype).types
+    n, used = -(-len(ids) // length), len(ids) % length
+    full, which = np.zeros(n * length, dtype), np.zeros(n, np.int32)
+    full[: len(ids)] = ids
+    masks = np.ones((2 if used else 1, length), np.uint8)
+    if used:
+        masks[1, used:], which[-1] = 0, 1
+    lists = lambda x, t: pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), type=t)
+    masks = pa.DictionaryArray.from_arrays(pa.array(which), lists(masks, mask_type.value_type))
+    return pa.RecordBatch.from_arrays([lists(full, id_type), masks], schema=file_schema(length, dtype))
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
@@ -147,30 +213,73 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, length: int
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def open_tokens(fs, path: str) -> tuple[np.ndarray, pa.Table]:
-    """(ids of a token file that the mask lets through, its index)."""
-    with fs.open_input_file(f"{path}.docs.arrow") as f:
-        index = pa.ipc.open_file(f).read_all()
-    with fs.open_input_file(f"{path}.arrow") as f:
-        reader = pa.ipc.open_file(f)
-        parts = []
-        for k in range(reader.num_record_batches):
-            batch = reader.get_batch(k)
-            parts.append(batch.column(0).flatten().to_numpy()[batch.column(1).flatten().to_numpy(zero_copy_only=False)])
-    return np.concatenate(parts), index
+class TokenFile:
+    """One token file, open. From a local path the file is mapped, and what `sequence` returns are views of it."""
+
+    def __init__(self, source: str | pa.NativeFile):
+        self.source = pa.memory_map(source) if isinstance(source, str) else source
+        self.reader = pa.ipc.open_file(self.source)
+        self.length = self.reader.schema.field("input_ids").type.list_size
+        self.n_batches = self.reader.num_record_batches
+        self.batch_rows = self.reader.get_batch(0).num_rows
+        self.n_rows = (self.n_batches - 1) * self.batch_rows + self.reader.get_batch(self.n_batches - 1).num_rows
+
+    def __enter__(self) -> TokenFile:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.source.close()
+
+    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, one row each; masks; number of each row's mask) of batch k."""
+        ids, masks = self.reader.get_batch(k).columns
+        rows = lambda x: x.values.to_numpy(zero_copy_only=True).reshape(-1, self.length)
+        return rows(ids), rows(masks.dictionary), masks.indices.to_numpy(zero_copy_only=True)
+
+    def sequence(self, r: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, mask) of row r."""
+        if not 0 <= r < self.n_rows:
+            raise IndexError(r)
+        ids, masks, which = self.batch(r // self.batch_rows)
+        at = r % self.batch_rows
+        return ids[at], masks[which[at]]
+
+    def counted(self) -> Iterator[np.ndarray]:
+        """The ids that the masks let through, batch by batch."""
+        for k in range(self.n_batches):
+            ids, masks, which = self.batch(k)
+            yield ids.reshape(-1) if masks[which].all() else ids[masks[which].astype(bool)]
 
 
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def _checksums(ids: Iterator[np.ndarray]) -> Callable[[int], int]:
+    """A function that takes the next n ids of a stream and gives the crc32 of them as 32-bit integers."""
+    have = np.zeros(0, "<u4")
+
+    def take(n: int) -> int:
+        nonlocal have
+        crc = 0
+        while n:
+            if not len(have):
+                have = next(ids).astype("<u4")
+            crc, n, have = zlib.crc32(have[:n], crc), n - len(have[:n]), have[n:]
+        return crc
+
+    return take
+
+
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     fs, root = filesystem(folder)
     for batch in batches:
         for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids, index = open_tokens(fs, f"{root}/{name}")
-            starts, counts = (index.column(k).to_numpy() for k in (1, 2))
-            sums = [zlib.crc32(ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(starts.tolist(), counts.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([index.column(0).combine_chunks(), pa.array(starts + base), pa.array(counts), pa.array(sums, pa.int64())], schema=_READ)
+            with fs.open_input_file(f"{root}/{name}.docs.arrow") as f, TokenFile(fs.open_input_file(f"{root}/{name}.arrow")) as tokens:
+                index, crc = pa.ipc.open_file(f), _checksums(tokens.counted())
+                for k in range(index.num_record_batches):
+                    doc_ids, starts, counts = index.get_batch(k).columns
+                    sums = pa.array([crc(n) for n in counts.to_pylist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([doc_ids, pa.array(starts.to_numpy() + base), counts, sums], schema=_READ)
 
 
 def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:

@@ -121,18 +121,43 @@ def test_pieces_encode_like_whole_texts():
     assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.texts(made)] == encoded(made)
 
 
-def test_token_rows_are_found_by_arithmetic(spark, docs, tmp_path):
-    import pyarrow as pa
-
+def test_token_rows_are_views_found_by_arithmetic(spark, docs, tmp_path):
     folder = f"{tmp_path}/tokens"
     manifest = token_files.write_tokens(docs, folder, token_files.tokenizer_file(), length=32)
     one = manifest.orderBy("part").first()
-    with pa.memory_map(f"{folder}/{one['file']}.arrow") as source:
-        table = pa.ipc.open_file(source).read_all()
-        ids = np.concatenate([c.flatten().to_numpy() for c in table.column("input_ids").chunks])
-        mask = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("mask").chunks])
-        assert table.schema.field("input_ids").type.list_size == 32 and len(ids) == 32 * table.num_rows
-        assert mask.sum() == one["n_tokens"] and not mask[one["n_tokens"]:].any()
+    first = docs.select("doc_id", "text").repartition(1).sortWithinPartitions("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).limit(one["n_docs"]).collect()
+    stream = [i for ids in encoded([r["text"] for r in first]) for i in ids]
+    with token_files.TokenFile(f"{folder}/{one['file']}.arrow") as tokens:
+        mapped = np.frombuffer(tokens.source.read_buffer(), np.uint8)
+        assert tokens.length == 32 and tokens.n_rows == -(-one["n_tokens"] // 32) and tokens.n_batches > 1 and len(stream) == one["n_tokens"]
+        for r in {0, 1, 127, 128, tokens.n_rows // 2, tokens.n_rows - 2, tokens.n_rows - 1} & set(range(tokens.n_rows)):
+            ids, mask = tokens.sequence(r)
+            part = stream[r * 32 : r * 32 + 32]
+            assert ids.tolist() == part + [0] * (32 - len(part)) and mask.tolist() == [1] * len(part) + [0] * (32 - len(part))
+            assert np.shares_memory(ids, mapped) and mask.dtype == np.uint8 and not ids.flags.owndata and not mask.flags.owndata
+        with pytest.raises(IndexError):
+            tokens.sequence(tokens.n_rows)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = token_files.Encoder(path, 50256), Tokenizer.from_file(path)
+    made = ["two  words", " led by blanks", "a\n\nb", "", None]
+    assert not encoder.by_piece
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.texts(made)] == [[*plain.encode(t or "", add_special_tokens=False).ids, 50256] for t in made]
+
+
+def test_memo_keeps_the_latest_values():
+    asked = []
+    memo = token_files.Memo(lambda k: asked.append(k) or k.encode(), 3)
+    for k in "abcdabcdeabcd":
+        assert memo[k] == k.encode()
+        memo.tidy()
+        assert len(memo) <= 3 and len(memo.older) <= 4
+    assert asked == list("abcde")
 
 
 # 3. reply trees
