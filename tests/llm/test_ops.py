@@ -71,7 +71,10 @@ def test_media_round_trip(spark, docs, empty):
     media = media_chunks.ingest(docs, work_dir(spark, "m"))
     got = {r["doc_id"]: r for r in media_chunks.reconstruct(media).collect()}
     assert len(got) == docs.select("doc_id").distinct().count() and media_chunks.reconstruct(media).count() == docs.count()
-    assert media.store.count() == media.store.select("digest").distinct().count()
+    assert media.store.count() == media.store.select("recipe_id").distinct().count()
+    digests = [f["digest"] for r in media.store.collect() for f in (*r["own"], *r["shared"])]
+    assert len(set(digests)) == len(digests)
+    assert {d for r in media.recipes.collect() for d in r["digests"]} == set(digests)
     for r in docs.collect():
         payload = (r["text"] or "").encode()
         n = len(payload)
@@ -89,7 +92,23 @@ def test_hot_chunks_take_the_salted_way(spark, monkeypatch):
     table = spark.createDataFrame([(k, middle + str(k)) for k in range(6)], "doc_id long, text string")
     media = media_chunks.ingest(table, work_dir(spark, "m"))
     got = {r["doc_id"]: r["n_bytes"] for r in media_chunks.reconstruct(media).collect()}
-    assert got == {k: 40_001 for k in range(6)} and media.store.count() < 6 * 4
+    assert got == {k: 40_001 for k in range(6)}
+    own, shared = (media.store.agg(F.sum(F.size(c))).first()[0] for c in ("own", "shared"))
+    assert shared >= 40_000 // 4096 and own <= 6 * 2
+
+
+def test_most_texts_have_several_chunks_and_shared_ones_are_stored_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    media = media_chunks.ingest(docs, work_dir(spark, "m"))
+    sizes = media.recipes.select(F.size("digests").alias("n"), "n_bytes").toPandas()
+    assert (sizes["n"] == 1).mean() < 0.25 and sizes["n_bytes"].sum() / sizes["n"].sum() < 1024
+    assert media.references.count() > media.references.where("first").count() > 0
+
+
+def test_a_hot_row_is_sampled_once(spark):
+    table = spark.createDataFrame([(1, "the same words again " * 40)] * 10_000, "doc_id long, text string")
+    media = media_chunks.ingest(table, work_dir(spark, "m"))
+    assert media.store.count() == 1 and media_chunks.reconstruct(media).count() == 10_000
 
 
 # 2. token files
@@ -157,7 +176,8 @@ def test_memo_keeps_the_latest_values():
         assert memo[k] == k.encode()
         memo.tidy()
         assert len(memo) <= 3 and len(memo.older) <= 4
-    assert asked == list("abcde")
+    # the fourth value was last asked for three generations ago
+    assert asked == list("abcded")
 
 
 # 3. reply trees
