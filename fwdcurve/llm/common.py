@@ -57,6 +57,25 @@ def settle(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key with more rows than this is joined under a salt.
+HOT_ROWS = 2000
+SALTS = 32
+
+
+def hot_keys(many: DataFrame, key: str, path: str, most: int | None = None) -> DataFrame:
+    """The values of key that have more than HOT_ROWS rows, settled at path."""
+    most = HOT_ROWS if most is None else most
+    return settle(many.groupBy(key).count().where(F.col("count") > most).select(key), path)
+
+
+def join_hot(many: DataFrame, one: DataFrame, key: str, spread: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """many joined with one, which has each key at most once; the keys in `hot` are met under salts drawn from `spread`."""
+    usual = many.join(hot, key, "left_anti").join(one, key, how)
+    often = many.join(hot, key, "left_semi").withColumn("join_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    copies = one.join(hot, key, "left_semi").withColumn("join_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    return usual.unionByName(often.join(copies, [key, "join_salt"], how).drop("join_salt"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,14 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freed_shuffles, partitions, settle, text_of, work_dir
+from . import common
+from .common import freed_shuffles, hot_keys, join_hot, partitions, settle, text_of, work_dir
 
 PAD = 64
 #: Bytes kept of the SHA-256 that names a chunk or a payload.
 NAME_BYTES = 16
-#: A digest with more references than this is joined under a salt.
-HOT_REFERENCES = 2000
-SALTS = 32
 LEVEL = 6
 SAMPLE_TEXTS = 1500
 SAMPLE_BYTES = 8192
@@ -171,18 +169,6 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table(rows, _STORE)
 
 
-def join_hot(many: DataFrame, one: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
-    """many joined with one, which has each key once; the keys in `hot` are met under salts drawn from `spread`."""
-    usual = many.join(hot, key, "left_anti").join(one, key)
-    often = many.join(hot, key, "left_semi").withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = one.join(hot, key, "left_semi").withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    return usual.unionByName(often.join(copies, [key, "salt"]).drop("salt"))
-
-
-def hot_keys(many: DataFrame, key: str, path: str) -> DataFrame:
-    return settle(many.groupBy(key).count().where(F.col("count") > HOT_REFERENCES).select(key), path)
-
-
 class Media(NamedTuple):
     """What ingest wrote: recipes (doc_id, n_bytes, recipe_id, digests), the store (recipe_id, n_chunks, own, shared),
     the references to shared chunks (recipe_id, seq, digest) and the dictionary of the frames."""
@@ -201,7 +187,7 @@ def shared_references(recipes: DataFrame, path: str) -> DataFrame:
     places = lists.select("recipe_id", F.posexplode("digests").alias("seq", "digest"))
     owners = places.groupBy("digest").agg(F.min(F.struct("recipe_id", "seq")).alias("owner"), F.count(F.lit(1)).alias("n"))
     owners = settle(owners.where("n > 1"), f"{path}/owners")
-    hot = settle(owners.where(F.col("n") > HOT_REFERENCES).select("digest"), f"{path}/hot")
+    hot = settle(owners.where(F.col("n") > common.HOT_ROWS).select("digest"), f"{path}/hot")
     met = join_hot(places, owners.drop("n"), "digest", "recipe_id", hot)
     return settle(met.select("recipe_id", "seq", "digest", (F.col("owner") == F.struct("recipe_id", "seq")).alias("first")), f"{path}/references")
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fwdcurve.llm import byte_cnn, fair_mix, license_scan, media_chunks, nb_svm, registry, reply_trees, simhash, token_files, warc_revisits, winnowing
+from fwdcurve.llm import byte_cnn, common, fair_mix, license_scan, media_chunks, nb_svm, registry, reply_trees, simhash, token_files, warc_revisits, winnowing
 from fwdcurve.llm.common import work_dir
 from twins import agree
 
@@ -85,7 +85,7 @@ def test_media_round_trip(spark, docs, empty):
 
 
 def test_hot_chunks_take_the_salted_way(spark, monkeypatch):
-    monkeypatch.setattr(media_chunks, "HOT_REFERENCES", 1)
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
     # many payloads that share their middle and differ at the end
     rng = random.Random(2)
     middle = "".join(rng.choice("abcdefgh ") for _ in range(40_000))
@@ -464,11 +464,26 @@ def test_archives_read_back(spark):
         first = least[body] if body in least else page
         want.append((page, len(body), hashlib.sha256(body).hexdigest(), "response" if first == page else "revisit", None if first == page else first))
     assert rows_of(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(want, key=str)
+    names = warc_revisits.read_archive(spark.read.parquet(f"{folder}/manifest"), folder).select("record_id")
+    assert names.distinct().count() == len(rows)
     folder = work_dir(spark, "warc")
     none = warc_revisits.write_archive(pages.where("false"), folder)
     assert warc_revisits.resolved(warc_revisits.read_archive(none, folder), folder).count() == 0
 
 
+@pytest.mark.parametrize("most", [2000, 1])
+def test_repeated_pages_have_records_of_their_own(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "HOT_ROWS", most)
+    a, b = "a" * 150, "b" * 150
+    rows = [(5, "u", a), (5, "u", b), (7, "v", a), (7, "v", a), (5, "u", a), (9, None, b), (3, "x", "short"), (3, "x", "short"), (5, "z", a)]
+    folder = work_dir(spark, "warc")
+    records = warc_revisits.read_archive(warc_revisits.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, "2024-01-01T00:00:00Z"), folder)
+    assert records.count() == records.select("record_id").distinct().count() == len(rows)
+    first = {a: 5, b: 5}
+    want = [(p, hashlib.sha256(h.encode()).hexdigest(), None if first.get(h, p) == p else first[h]) for p, _, h in rows]
+    assert rows_of(warc_revisits.resolved(records, folder), "page_id", "payload_digest", "refers_to") == sorted(want, key=str)
+
+
 # twins and the pipeline
 
 
