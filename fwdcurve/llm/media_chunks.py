@@ -36,7 +36,7 @@ from .common import freed_shuffles, hot_keys, join_hot, partitions, settle, text
 PAD = 64
 #: Bytes kept of the SHA-256 that names a chunk or a payload.
 NAME_BYTES = 16
-LEVEL = 6
+LEVEL = 9
 SAMPLE_TEXTS = 1500
 SAMPLE_BYTES = 8192
 DICTIONARY_BYTES = 1 << 18
@@ -93,10 +93,12 @@ def name_of(data: bytes) -> bytes:
 
 
 _RECIPES = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("recipe_id", pa.binary()), ("digests", pa.list_(pa.binary()))])
-_SEGMENTS = pa.schema([("recipe_id", pa.binary()), ("digests", pa.list_(pa.binary())), ("frames", pa.list_(pa.binary()))])
-_FRAME = pa.struct([("seq", pa.int32()), ("digest", pa.binary()), ("frame", pa.binary())])
-_STORE = pa.schema([("recipe_id", pa.binary()), ("n_chunks", pa.int32()), ("own", pa.list_(_FRAME)), ("shared", pa.list_(_FRAME))])
-_STORE_SQL = "recipe_id binary, n_chunks int, own array<struct<seq:int,digest:binary,frame:binary>>, shared array<struct<seq:int,digest:binary,frame:binary>>"
+#: frames are the frames of a payload, one after another, of these sizes.
+_SEGMENTS = pa.schema([("recipe_id", pa.binary()), ("sizes", pa.list_(pa.int32())), ("frames", pa.binary())])
+_OWN = pa.struct([("seq", pa.int32()), ("frame", pa.binary())])
+_SHARED = pa.struct([("digest", pa.binary()), ("frame", pa.binary())])
+_STORE = pa.schema([("recipe_id", pa.binary()), ("n_chunks", pa.int32()), ("own", pa.list_(_OWN)), ("shared", pa.list_(_SHARED))])
+_STORE_SQL = "recipe_id binary, n_chunks int, own array<struct<seq:int,frame:binary>>, shared array<struct<digest:binary,frame:binary>>"
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -144,7 +146,7 @@ def _segments(batches: Iterator[pa.RecordBatch], cutter: Cutter, dictionary: byt
     """The frames of each payload that is new to the task."""
     import zstandard
 
-    table, pack = gear_table(), zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, **_dictionary(dictionary))
+    table, pack = gear_table(), zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, write_dict_id=False, **_dictionary(dictionary))
     seen: set[bytes] = set()
     for batch in batches:
         rows = []
@@ -153,19 +155,20 @@ def _segments(batches: Iterator[pa.RecordBatch], cutter: Cutter, dictionary: byt
             name = name_of(data)
             if name not in seen:
                 seen.add(name)
-                chunks = _pieces(data, cutter, table)
-                rows.append((name, [name_of(c) for c in chunks], [pack.compress(c) for c in chunks]))
+                frames = [pack.compress(c) for c in _pieces(data, cutter, table)]
+                rows.append((name, [len(f) for f in frames], b"".join(frames)))
         yield _table(rows, _SEGMENTS)
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Store rows of segments (recipe_id, digests, frames, marks); marks are (seq, first) of shared chunks."""
+    """Store rows of segments (recipe_id, sizes, frames, marks); marks are (seq, digest, first) of shared chunks."""
     for batch in batches:
         rows = []
-        for name, digests, frames, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            first = {m["seq"]: m["first"] for m in marks or []}
-            every = [{"seq": k, "digest": d, "frame": f} for k, (d, f) in enumerate(zip(digests, frames, strict=True))]
-            rows.append((name, len(every), [e for e in every if e["seq"] not in first], [e for e in every if first.get(e["seq"])]))
+        for name, sizes, frames, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            marked, ends = {m["seq"]: m for m in marks or []}, np.cumsum([0, *sizes]).tolist()
+            every = [{"seq": k, "frame": frames[a:b]} for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+            shared = [{"digest": m["digest"], "frame": every[k]["frame"]} for k, m in marked.items() if m["first"]]
+            rows.append((name, len(sizes), [e for e in every if e["seq"] not in marked], shared))
         yield _table(rows, _STORE)
 
 
@@ -201,9 +204,9 @@ def ingest(docs: DataFrame, path: str, cutter: Cutter = Cutter()) -> Media:
         references = shared_references(recipes, path)
         trained = train_dictionary(docs)
         dictionary = settle(spark.createDataFrame([(bytearray(trained),)], "dictionary binary"), f"{path}/dictionary")
-        segments = docs.select("text").mapInArrow(lambda it: _segments(it, cutter, trained), "recipe_id binary, digests array<binary>, frames array<binary>")
+        segments = docs.select("text").mapInArrow(lambda it: _segments(it, cutter, trained), "recipe_id binary, sizes array<int>, frames binary")
         segments = segments.repartition(partitions(spark), "recipe_id").dropDuplicates(["recipe_id"])
-        marks = references.groupBy("recipe_id").agg(F.collect_list(F.struct("seq", "first")).alias("marks"))
+        marks = references.groupBy("recipe_id").agg(F.collect_list(F.struct("seq", "digest", "first")).alias("marks"))
         store = settle(segments.join(marks, "recipe_id", "left").mapInArrow(_stored, _STORE_SQL), f"{path}/store")
     return Media(recipes, store, references, dictionary, path)
 
