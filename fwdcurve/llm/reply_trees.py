@@ -2,16 +2,17 @@
 
 A message table (conv_id, msg_id, parent_id, role, text, score) is a forest per conversation. `paths`
 doubles jump pointers: in round k each path holds the ancestors within 2**k steps, so a depth of d takes
-log2(d) rounds of joins of id columns; the texts join once, at the end. `format_paths` writes each chosen
-path as one string, with the spans that carry loss, and `parse` reads such strings back. All of it is
+log2(d) rounds of joins of id columns, and no more rounds are run than the largest conversation can need; the
+texts join once, at the end. `format_paths` writes each chosen path as one string, with the spans that carry loss, and `parse` reads such strings back. All of it is
 DataFrame functions.
 
 Template, per turn: `### role: text </turn>` and a line feed. In role and text a backslash becomes \\s,
 `</turn>` \\e and `###` \\h (in a role, a colon also \\c), so no control string is left inside, and a
 backslash in formatted text always starts one of these codes; reading back replaces \\c, \\h, \\e, then \\s.
 
-Edge cases: null role or text is empty; a parent that doesn't exist (or is null) makes a root; messages on a
-cycle reach no leaf and give no path; repeated rows of a query's table become turns of their own, in the
+Edge cases: null role or text is empty; a null conv_id is a conversation of its own; a null msg_id is answered by none; a parent that doesn't exist (or is null) makes a root; messages on a
+cycle or below one have no root and give no path; of several rows with one (conv_id, msg_id) `conversations` takes
+the least by (parent_id, role, text, score); repeated rows of a query's table become turns of their own, in the
 order (turn, role, text); an empty table gives an empty result; other columns are ignored.
 """
 
@@ -39,28 +40,36 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def paths(messages: DataFrame, work: str, max_rounds: int = 40) -> DataFrame:
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """One row for each (conv_id, msg_id): the least by (parent_id, role, text, score)."""
+    rest = ["parent_id", "role", "text", "score"]
+    return messages.groupBy(*KEY).agg(F.min(F.struct(*rest)).alias("least")).select(*KEY, *(f"least.{c}" for c in rest))
+
+
+def paths(messages: DataFrame, work: str) -> DataFrame:
     """(conv_id, leaf, msg_id, up): each message of each root-to-leaf path; up counts steps from the leaf.
 
-    max_rounds bounds the depth by 2**max_rounds; a path through a cycle is left out."""
+    messages has each (conv_id, msg_id) once; a message whose ancestors don't end in a root is left out."""
     with freed_shuffles(messages.sparkSession):
-        return _paths(messages, work, max_rounds)
+        return _paths(messages, work)
 
 
-def _paths(messages: DataFrame, work: str, max_rounds: int) -> DataFrame:
+def _paths(messages: DataFrame, work: str) -> DataFrame:
     nodes = messages.select(*KEY, "parent_id")
     known = nodes.select("conv_id", F.col("msg_id").alias("parent_id"))
     jump = settle(nodes.join(known, ["conv_id", "parent_id"]).select(*KEY, F.col("parent_id").alias("to")), f"{work}/jump-0")
     leaves = nodes.select(*KEY).join(jump.select("conv_id", F.col("to").alias("msg_id")).distinct(), KEY, "left_anti")
     reach = leaves.select("conv_id", F.col("msg_id").alias("leaf"), "msg_id", F.lit(0).cast("long").alias("up"))
-    for k in range(max_rounds):
+    # so many rounds lead beyond every root, so whatever still has an ancestor then is on a cycle or below one
+    largest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 1
+    for k in range((largest - 1).bit_length() + 1):
         more = reach.join(jump, KEY).select("conv_id", "leaf", F.col("to").alias("msg_id"), (F.col("up") + (1 << k)).alias("up"))
         reach = settle(reach.unionByName(more), f"{work}/reach-{k}")
         second = jump.select("conv_id", F.col("msg_id").alias("to"), F.col("to").alias("further"))
         jump = settle(jump.join(second, ["conv_id", "to"]).select(*KEY, F.col("further").alias("to")), f"{work}/jump-{k + 1}")
         if jump.isEmpty():
-            break
-    return reach
+            return reach
+    return reach.join(jump.select("conv_id", F.col("msg_id").alias("leaf")), ["conv_id", "leaf"], "left_anti")
 
 
 def rank_branches(reach: DataFrame, messages: DataFrame, keep: int | None) -> DataFrame:
@@ -87,6 +96,17 @@ def format_paths(reach: DataFrame, ranked: DataFrame, messages: DataFrame, loss_
     return turns.select("conv_id", "branch", "score", F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))), "").alias("text"), F.aggregate("turns", start, step)["spans"].alias("loss_spans"))
 
 
+def conversations(messages: DataFrame, work: str, keep: int | None = None, loss_role: str = LOSS_ROLE) -> DataFrame:
+    """The formatted paths of messages, of each conversation all or the `keep` best ones, written at work."""
+    # ids as structs, which are equal if both hold null
+    parent = F.when(F.col("parent_id").isNotNull(), F.struct(F.col("parent_id").alias("msg_id")))
+    keyed = distinct_messages(messages).withColumns({"conv_id": F.struct("conv_id"), "msg_id": F.struct("msg_id"), "parent_id": parent})
+    messages = settle(keyed, f"{work}/messages")
+    reach = paths(messages, work)
+    formatted = format_paths(reach, rank_branches(reach, messages, keep), messages, loss_role)
+    return settle(formatted.withColumn("conv_id", F.col("conv_id.conv_id")), f"{work}/formatted")
+
+
 def parse(formatted: DataFrame) -> DataFrame:
     """Adds turns (role, text), read back from text, and loss, the unescaped text under the loss spans."""
     pieces = F.split("text", r" </turn>\n")
@@ -110,11 +130,7 @@ PROBE = "\\### Assistant: </turn> ok"
 def op3_reply_trees(spark, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    work = work_dir(spark, "trees")
-    messages = settle(linear_messages(table.unionByName(probe)), f"{work}/messages")
-    reach = paths(messages, work)
-    formatted = settle(format_paths(reach, rank_branches(reach, messages, None), messages), f"{work}/formatted")
-    read = parse(formatted)
+    read = parse(conversations(linear_messages(table.unionByName(probe)), work_dir(spark, "trees")))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
