@@ -1,17 +1,17 @@
 """SimHash near-duplicates by multi-index hashing.
 
 Each text has a 64-bit fingerprint: bit i is set if more than half of its 4-word shingles have bit i set in
-their hash. Fingerprints link at `DISTANCE` or fewer differing bits. The 64 bits are cut into three
-segments; two fingerprints within 4 bits differ by at most 1, 1 or 0 bits in the first, second or third
-segment (else they would differ by 2 + 2 + 1). So every fingerprint is filed once under each segment's
+their hash. Fingerprints link at `DISTANCE` or fewer differing bits. The 64 bits are cut into segments
+(`segments_for`), each with a radius; radii and segments add up to distance + 1, so two fingerprints that link
+lie within the radius in one segment at least. So every fingerprint is filed once under each segment's
 value, and looked up under all values of the small Hamming ball around each of its segments: 23 + 22 + 1
-keys. Matches are verified over all 64 bits inside the join. Linked fingerprints form components, found by
-alternating large-star and small-star rounds (Kiveris et al., 2014).
+keys at distance 4. Matches are verified over all 64 bits inside the join. Linked fingerprints form
+components, found by alternating large-star and small-star rounds (Kiveris et al., 2014).
 
-Scale: copies share a fingerprint and are one row from the start, so a group of copies has no pairs. A key
-holds about distinct/2**21 fingerprints; beyond some 10**8 distinct ones give `RADII` and `SEGMENTS` for
-longer segments. Rounds of components are written as tables, over links alone. The map from fingerprints
-back to documents is a join whose sides are both tables, which Spark splits if one fingerprint is hot.
+Scale: copies share a fingerprint and are one row from the start, so a group of copies has no pairs. With
+three segments a key holds about distinct/2**21 fingerprints; beyond `MANY` distinct ones there are two
+segments of 32 bits with wider balls. Rounds of components are written as tables, over links alone; nodes with very many
+links are joined under salts, and so are fingerprints with very many documents.
 
 Edge cases: null, empty and blank texts have fingerprint 0, which links like any other; texts of fewer
 words than a shingle are one shingle; repeated rows give repeated equal results; null doc_ids are fingerprinted
@@ -22,21 +22,42 @@ doc_id stay apart; an empty table gives an empty result; other columns are ignor
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import freed_shuffles, settle, text_of, work_dir
+from . import common
+from .common import freed_shuffles, hot_keys, join_hot, settle, text_of, work_dir
 
 SHINGLE = 4
 SEED = 42
 DISTANCE = 4
-#: (first bit, bits) of each segment, and the radius of the ball that is looked up in it. For a complete
-#: search the radii and the number of segments add up to DISTANCE + 1 at least.
-SEGMENTS = ((0, 22), (22, 21), (43, 21))
-RADII = (1, 1, 0)
+#: Distinct fingerprints up to which keys of three segments (21 bits) stay short lists.
+MANY = 100_000_000
+
+#: Beyond it the balls have many thousand keys.
+MOST_DISTANCE = 8
+
+
+class Segment(NamedTuple):
+    """bits from bit `first` on; keys within `radius` differing bits are looked up."""
+
+    first: int
+    bits: int
+    radius: int
+
+
+def segments_for(distance: int, segments: int = 3) -> list[Segment]:
+    """Segments for a complete search: radii and the number of segments add up to distance + 1."""
+    if not 1 <= distance <= MOST_DISTANCE or segments < 2:
+        raise ValueError(f"distance is from 1 to {MOST_DISTANCE}, and there are two segments at least")
+    m = min(segments, distance + 1)
+    ends = [-(-64 * k // m) for k in range(m + 1)]
+    spare = distance + 1 - m
+    return [Segment(a, b - a, spare // m + (k < spare % m)) for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
 
 
 def fingerprint(text: str | None) -> int:
@@ -76,13 +97,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_fingerprints, "doc_id long, tie long, fp long")
 
 
-def _segment(k: int) -> Column:
-    first, bits = SEGMENTS[k]
-    return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << bits) - 1))
+def _value(segment: Segment) -> Column:
+    return F.shiftrightunsigned("fp", segment.first).bitwiseAND(F.lit((1 << segment.bits) - 1))
 
 
 def _key(k: int, value: Column) -> Column:
-    return F.shiftleft(F.lit(k).cast("long"), 32).bitwiseOR(value)
+    return F.struct(F.lit(k).alias("segment"), value.alias("value"))
 
 
 def ball(bits: int, radius: int) -> list[int]:
@@ -93,32 +113,40 @@ def ball(bits: int, radius: int) -> list[int]:
     return masks
 
 
-def _asked(k: int) -> Column:
+def _asked(k: int, segment: Segment) -> Column:
     """All keys under which a fingerprint near in segment k is filed."""
-    masks = F.array(*(F.lit(m).cast("long") for m in ball(SEGMENTS[k][1], RADII[k])))
-    return F.transform(masks, lambda m: _key(k, _segment(k).bitwiseXOR(m)))
+    masks = F.array(*(F.lit(m).cast("long") for m in ball(segment.bits, segment.radius)))
+    return F.transform(masks, lambda m: _key(k, _value(segment).bitwiseXOR(m)))
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = 3) -> DataFrame:
     """(a, b): the nodes (node, fp) with distinct fp whose fingerprints differ in 1 to `distance` bits."""
-    filed = nodes.select("node", "fp", F.explode(F.array(*(_key(k, _segment(k)) for k in range(len(SEGMENTS))))).alias("key"))
-    asked = F.concat(*map(_asked, range(len(SEGMENTS))))
-    queries = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"), F.explode(asked).alias("key"))
-    filed = filed.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"), "key")
+    cut = segments_for(distance, segments)
+    filed = nodes.select("node", "fp", F.inline(F.array(*(_key(k, _value(s)) for k, s in enumerate(cut)))))
+    asked = F.concat(*(_asked(k, s) for k, s in enumerate(cut)))
+    queries = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"), F.inline(asked))
+    filed = filed.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"), "segment", "value")
     near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= distance
-    return queries.join(filed, (queries["key"] == filed["key"]) & (F.col("fp_a") < F.col("fp_b")) & near).select("a", "b").distinct()
+    same = (queries["segment"] == filed["segment"]) & (queries["value"] == filed["value"])
+    return queries.join(filed, same & (F.col("fp_a") < F.col("fp_b")) & near).select("a", "b").distinct()
 
 
 def components(edges: DataFrame, work: str, max_rounds: int = 60) -> DataFrame:
     """(node, component): the least node of each connected component of edges (a, b)."""
     edges = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{work}/edges-0")
+
+    def to_least(rows: DataFrame, least: DataFrame, path: str) -> DataFrame:
+        """rows (a, b) with m, the least neighbour of a; least also has the number of neighbours, n."""
+        least = settle(least, path)
+        return join_hot(rows, least.select("a", "m"), "a", "b", least.where(F.col("n") > common.HOT_ROWS).select("a"))
+
     for k in range(1, max_rounds + 1):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = to_least(both.where("b > a"), least, f"{work}/least-{k}").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = settle(large, f"{work}/large-{k}")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = to_least(large, least, f"{work}/smallest-{k}").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = settle(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), f"{work}/edges-{k}")
         stars = small.join(small.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty()
         edges = small
@@ -132,7 +160,7 @@ def _members(prints: DataFrame, distance: int, work: str) -> DataFrame:
     a struct (anonymous, doc_id, tie) by doc_id, nulls last, and hash of the text. Fingerprints are the nodes."""
     row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "tie")
     nodes = settle(prints.groupBy("fp").agg(F.min(row).alias("first")), f"{work}/nodes")
-    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance), work)
+    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance, 3 if nodes.count() <= MANY else 2), work)
     # components' own nodes are not among the nodes found
     found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()).distinct()
     linked = settle(nodes.join(found.withColumnRenamed("node", "fp"), "fp").select("fp", "component", "first"), f"{work}/linked")
@@ -147,7 +175,8 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     with freed_shuffles(spark):
         prints = settle(fingerprints(docs), f"{work}/prints")
         named = settle(_members(prints, distance, work).select("fp", F.col("first.doc_id").alias("component_id")), f"{work}/named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+        hot = hot_keys(prints, "fp", f"{work}/hot")
+    return join_hot(prints, named, "fp", "doc_id", hot).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

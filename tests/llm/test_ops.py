@@ -72,9 +72,9 @@ def test_media_round_trip(spark, docs, empty):
     got = {r["doc_id"]: r for r in media_chunks.reconstruct(media).collect()}
     assert len(got) == docs.select("doc_id").distinct().count() and media_chunks.reconstruct(media).count() == docs.count()
     assert media.store.count() == media.store.select("recipe_id").distinct().count()
-    digests = [f["digest"] for r in media.store.collect() for f in (*r["own"], *r["shared"])]
-    assert len(set(digests)) == len(digests)
-    assert {d for r in media.recipes.collect() for d in r["digests"]} == set(digests)
+    lists = {r["recipe_id"]: r["digests"] for r in media.recipes.collect()}
+    digests = [d for r in media.store.collect() for d in (*(lists[r["recipe_id"]][f["seq"]] for f in r["own"]), *(f["digest"] for f in r["shared"]))]
+    assert len(set(digests)) == len(digests) and {d for x in lists.values() for d in x} == set(digests)
     for r in docs.collect():
         payload = (r["text"] or "").encode()
         n = len(payload)
@@ -186,7 +186,7 @@ def test_memo_keeps_the_latest_values():
 def test_trees_give_every_ranked_path_and_read_back(spark):
     rows = [("c", 1, None, "user", "### hi </turn> \\s", 0.0), ("c", 2, 1, "assistant", "a\\e", 1.0), ("c", 3, 1, "assistant", None, 3.0), ("c", 4, 2, "us:er", "", None), ("c", 5, 3, "user", "ok\n", 1.0), ("c", 6, 5, "assistant", "###", 5.0), ("d", 9, 77, None, "orphan", 1.0), ("x", 1, 2, "u", "cycle", 0.0), ("x", 2, 1, "u", "cycle", 0.0)]
     messages = spark.createDataFrame(rows, "conv_id string, msg_id long, parent_id long, role string, text string, score double")
-    reach = reply_trees.paths(messages, work_dir(spark, "t"), max_rounds=6)
+    reach = reply_trees.paths(messages, work_dir(spark, "t"))
     ranked = reply_trees.rank_branches(reach, messages, None)
     read = reply_trees.parse(reply_trees.format_paths(reach, ranked, messages))
     got = {(r["conv_id"], r["branch"]): ([(t["role"], t["text"]) for t in r["turns"]], r["loss"]) for r in read.collect()}
@@ -197,6 +197,32 @@ def test_trees_give_every_ranked_path_and_read_back(spark):
     assert reply_trees.rank_branches(reach, messages, 1).count() == 2
 
 
+def test_leaves_below_cycles_have_no_path(spark):
+    rows = [("c", 1, 2), ("c", 2, 1), ("c", 3, 1), ("c", 4, 3), ("c", 5, 5), ("c", 6, 5), ("d", 1, None), ("d", 2, 1)]
+    messages = spark.createDataFrame(rows, "conv_id string, msg_id long, parent_id long")
+    assert rows_of(reply_trees.paths(messages, work_dir(spark, "t")), "conv_id", "leaf", "msg_id", "up") == [("d", 2, 1, 1), ("d", 2, 2, 0)]
+    chain = spark.range(300).select(F.lit(1).alias("conv_id"), F.col("id").alias("msg_id"), (F.col("id") - 1).alias("parent_id"))
+    assert rows_of(reply_trees.paths(chain, work_dir(spark, "t")), "msg_id", "up") == sorted(((k, 299 - k) for k in range(300)), key=str)
+
+
+def test_of_messages_with_one_id_the_least_counts(spark):
+    rows = [("c", 1, None, "user", "a", 1.0), ("c", 1, None, "user", "a", 1.0), ("c", 1, None, "user", "b", 0.0), ("c", 2, 1, "assistant", "x", None), ("c", 2, 1, "assistant", "x", None)]
+    messages = spark.createDataFrame(rows, "conv_id string, msg_id long, parent_id long, role string, text string, score double")
+    got = reply_trees.conversations(messages, work_dir(spark, "t")).collect()
+    assert [r["text"] for r in got] == ["### user: a </turn>\n### assistant: x </turn>\n"]
+    assert reply_trees.conversations(messages.where("false"), work_dir(spark, "t")).count() == 0
+
+
+def test_op3_on_empty_repeated_and_clashing_tables(spark, tmp_path):
+    schema = "conv_id long, turn int, role string, text string, msg_id string, score string, turns string, up string"
+    rows = [(1, 0, "user", "hi", "m", "s", "t", "u")] * 2 + [(1, 1, "assistant", None, "m", "s", "t", "u"), (None, 0, None, "x", "m", "s", "t", "u"), (2, 0, "assistant", "é" * 50_000, "m", "s", "t", "u")]
+    for name, table in (("none", rows[:0]), ("some", rows)):
+        spark.createDataFrame(table, schema).write.parquet(f"{tmp_path}/{name}/conversations.parquet")
+    assert rows_of(reply_trees.op3_reply_trees(spark, f"{tmp_path}/none"), "conv_id", "n_turns", "loss_chars") == [(-7, 2, len(reply_trees.PROBE))]
+    got = reply_trees.op3_reply_trees(spark, f"{tmp_path}/some")
+    assert rows_of(got, "conv_id", "n_turns", "loss_chars") == sorted([(-7, 2, len(reply_trees.PROBE)), (1, 3, 0), (2, 1, 50_000), (None, 1, 0)], key=str)
+
+
 def test_escape_is_reversible(spark):
     rng = random.Random(5)
     made = ["".join(rng.choice(["\\", "s", "e", "h", "c", "#", "##", "</turn>", " </turn>\n", ":", "é"]) for _ in range(rng.randrange(12))) for _ in range(300)]
@@ -363,6 +389,34 @@ def test_links_find_every_near_pair(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("segments", [2, 3])
+def test_links_are_complete_at_every_distance(spark, segments):
+    rng = random.Random(12)
+    base = [rng.getrandbits(64) for _ in range(8)]
+    fps = sorted(set(base) | {b ^ sum(1 << k for k in rng.sample(range(64), d)) for b in base for d in range(1, 10) for _ in range(4)})
+    nodes = spark.createDataFrame([(k, f - (1 << 64) if f >> 63 else f) for k, f in enumerate(fps)], "node long, fp long").cache()
+    for distance in (1, 2, 4, 5) if segments == 2 else (1, 2, 3, 4, 5, 6, 8):
+        cut = simhash.segments_for(distance, segments)
+        assert sum(s.bits for s in cut) == 64 and sum(s.radius + 1 for s in cut) == distance + 1
+        got = {tuple(sorted((r["a"], r["b"]))) for r in simhash.links(nodes, distance, segments).collect()}
+        assert got == {(a, b) for a, x in enumerate(fps) for b, y in enumerate(fps) if a < b and (x ^ y).bit_count() <= distance}, distance
+
+
+def test_distances_without_a_complete_search_are_refused():
+    for distance, segments in ((0, 3), (9, 3), (4, 1)):
+        with pytest.raises(ValueError):
+            simhash.segments_for(distance, segments)
+
+
+def test_hot_stars_and_fingerprints_take_the_salted_way(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    edges = spark.createDataFrame([(0, k) for k in range(1, 30)] + [(29, 40), (40, 41)], "a long, b long")
+    got = {r["node"]: r["component"] for r in simhash.components(edges, work_dir(spark, "c")).collect()}
+    assert got == {**{k: 0 for k in range(1, 30)}, 40: 0, 41: 0}
+    table = spark.createDataFrame([(k, "same words here now") for k in range(5, 20)] + [(None, None), (1, "")], "doc_id long, text string")
+    assert rows_of(simhash.near_duplicates(table), "doc_id", "component_id") == sorted([(k, 5) for k in range(5, 20)] + [(None, 1), (1, 1)], key=str)
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(200, 200)]
     edges = spark.createDataFrame(chain, "a long, b long")
