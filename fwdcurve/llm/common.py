@@ -68,10 +68,12 @@ def hot_keys(many: DataFrame, key: str, path: str, most: int | None = None) -> D
     return settle(many.groupBy(key).count().where(F.col("count") > most).select(key), path)
 
 
-def join_hot(many: DataFrame, one: DataFrame, key: str, spread: str, hot: DataFrame, how: str = "inner") -> DataFrame:
-    """many joined with one, which has each key at most once; the keys in `hot` are met under salts drawn from `spread`."""
+def join_hot(many: DataFrame, one: DataFrame, key: str, spread: str | None, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """many joined with one, which has each key at most once; the keys in `hot` are met under salts drawn from
+    `spread`, or, for None, from the place of a row in `many`, which then has to be a settled table."""
     usual = many.join(hot, key, "left_anti").join(one, key, how)
-    often = many.join(hot, key, "left_semi").withColumn("join_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    drawn = F.monotonically_increasing_id() if spread is None else F.xxhash64(spread)
+    often = many.withColumn("join_salt", F.pmod(drawn, F.lit(SALTS)).cast("int")).join(hot, key, "left_semi")
     copies = one.join(hot, key, "left_semi").withColumn("join_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     return usual.unionByName(often.join(copies, [key, "join_salt"], how).drop("join_salt"))
 

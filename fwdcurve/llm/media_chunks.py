@@ -294,7 +294,7 @@ def reconstruct(media: Media) -> DataFrame:
         ordered = ordered_frames(media).repartition(partitions(spark), "recipe_id").sortWithinPartitions("recipe_id", "seq")
         mixed = settle(ordered.mapInArrow(lambda it: _joined(it, trained), _FEATURES_SQL), f"{media.path}/mixed")
         hot = hot_keys(media.recipes, "recipe_id", f"{media.path}/hot_recipes")
-    return join_hot(media.recipes.select("doc_id", "n_bytes", "recipe_id"), plain.unionByName(mixed), "recipe_id", "doc_id", hot).drop("recipe_id")
+    return join_hot(media.recipes.select("doc_id", "n_bytes", "recipe_id"), plain.unionByName(mixed), "recipe_id", None, hot).drop("recipe_id")
 
 
 def op1_media_chunks(spark, sf_dir: str) -> DataFrame:

@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
         prints = settle(fingerprints(docs), f"{work}/prints")
         named = settle(_members(prints, distance, work).select("fp", F.col("first.doc_id").alias("component_id")), f"{work}/named")
         hot = hot_keys(prints, "fp", f"{work}/hot")
-    return join_hot(prints, named, "fp", "doc_id", hot).select("doc_id", "fp", "component_id")
+    return join_hot(prints, named, "fp", None, hot).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

@@ -187,7 +187,7 @@ def resolved(records: DataFrame, work: str) -> DataFrame:
     revisits = records.where("record_type = 'revisit'")
     responses = plain.select(F.col("record_id").alias("target"), F.col("digest").alias("true_digest"), F.col("payload_bytes").alias("true_size"))
     responses = settle(responses.join(revisits.select("target").distinct(), "target", "left_semi"), f"{work}/originals")
-    met = join_hot(revisits, responses, "target", "record_id", hot_keys(revisits, "target", f"{work}/hot_targets"), "left")
+    met = join_hot(revisits, responses, "target", None, hot_keys(revisits, "target", f"{work}/hot_targets"), "left")
     missing = F.raise_error(F.lit("a revisit has no response with its digest")).cast("long")
     met = met.withColumn("payload_bytes", F.when(F.col("true_digest").eqNullSafe(F.col("digest")), F.col("true_size")).otherwise(missing))
     return plain.select(out).unionByName(met.select(out))

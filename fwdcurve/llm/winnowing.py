@@ -2,19 +2,21 @@
 
 Words are hashed, k consecutive word hashes give a k-gram hash, and of every `w` neighbouring k-grams the one
 with the least hash is kept (all of them on a tie). Both sides keep the same k-gram inside any shared span
-of k+w-1 words, so a join of the kept fingerprints meets every shared span of that length. Each meeting is
-extended word by word to both sides, within `span` words; a run counts if it holds a whole window of `span`
-words (or a whole shorter item). Everything is built from DataFrame functions.
+of k+w-1 = `span` words, so a join of the kept fingerprints meets every shared span of that length. Each meeting
+is extended word by word to both sides, within `span` words; a run counts if it holds a whole window of `span`
+words. Everything is built from DataFrame functions.
 
-k+w-1 is the least of `span` and the shortest item's length, so short items are found as well.
+Items shorter than `span` have one window, the whole item: for each length that occurs (fewer than `span`
+lengths) all grams of that length are fingerprints, beside those of the long items.
 
-Scale: fingerprints are a fifth of the words. If the benchmark's fingerprints number at most
-`BROADCAST_FINGERPRINTS` (counted first) they are broadcast and texts never move; otherwise hashes alone are
-shuffled, and only texts that meet one are joined back. A very common fingerprint is one row of either
-side's distinct list, and the texts that hold it never meet in one task. Seeds carry at most 2*span words.
+Scale: fingerprints of long items are a fifth of the words. What surrounds a fingerprint in an item is a
+context; equal contexts of many items are one row. If the contexts number at most `BROADCAST_ROWS` and their words
+at most `BROADCAST_BYTES` (both counted first) they are broadcast and texts never move; otherwise hashes alone
+are shuffled, under salts, and only texts that meet one are cut into words again. Documents that hold
+a very common fingerprint never meet in one task. Seeds carry at most 2*span words.
 
 Edge cases: null texts (and items) have no words; items without words never occur; repeated documents with
-one doc_id are judged as one (their words counted once per row: rows are keyed by doc_id and text hash);
+one doc_id are judged as one (their words counted once per row: rows are keyed by doc_id and a digest of the text);
 several items with one id count once; an empty table on either side gives no hits; other columns are ignored.
 """
 
@@ -25,11 +27,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, freed_shuffles, settle, text_of, work_dir
+from .common import ascii_words, freed_shuffles, hot_keys, join_hot, settle, text_of, work_dir
 
 SPAN = 13
 GRAM = 5
-BROADCAST_FINGERPRINTS = 1_000_000
+BROADCAST_ROWS = 300_000
+BROADCAST_BYTES = 64 << 20
+SALTS = 16
 
 
 class Shape(NamedTuple):
@@ -40,23 +44,44 @@ class Shape(NamedTuple):
     w: int
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits that tell apart the rows of documents."""
+    return F.unhex(F.md5(F.encode(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(F.col(text), F.lit(""))), "UTF-8")))
+
+
 def _at(array: Column, i: Column) -> Column:
     return F.get(array, i)
 
 
 def least_in_windows(grams: Column, w: int) -> Column:
     """Least hash of each window of w k-grams (one window of all, if they are fewer)."""
+    if w == 1:
+        return grams
     last = F.greatest(F.size(grams) - w, F.lit(0))
     starts = F.when(F.size(grams) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.least(*(_at(grams, s + j) for j in range(w))) if w > 1 else _at(grams, s))
+    return F.transform(starts, lambda s: F.least(*(_at(grams, s + j) for j in range(w))))
+
+
+def shapes_for(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> list[Shape]:
+    """The shape of the long items and one for each length of shorter ones; items has words."""
+    lengths = [r[0] for r in items.where(F.size("words") > 0).select(F.least(F.size("words"), F.lit(span))).distinct().collect()]
+    k = min(gram, span)
+    return [Shape(span, k, span - k + 1) if n == span else Shape(n, n, 1) for n in sorted(lengths, reverse=True)]
 
 
-def with_fingerprints(rows: DataFrame, shape: Shape) -> DataFrame:
-    """rows has words; adds grams (hash of the k-gram at each place) and kept (distinct fingerprints)."""
+def _grams(hashes: Column, shape: Shape) -> Column:
+    places = F.when(F.size(hashes) >= shape.k, F.sequence(F.lit(0), F.size(hashes) - shape.k)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(F.lit(shape.span), *(_at(hashes, i + j) for j in range(shape.k))))
+
+
+def with_fingerprints(rows: DataFrame, shapes: list[Shape]) -> DataFrame:
+    """rows has words; adds, for each shape, grams_<span> (hash of the k-gram at each place) and kept (the distinct
+    fingerprints of all shapes)."""
     rows = rows.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    places = F.when(F.size("hashes") >= shape.k, F.sequence(F.lit(0), F.size("hashes") - shape.k)).otherwise(F.array().cast("array<int>"))
-    rows = rows.withColumn("grams", F.transform(places, lambda i: F.xxhash64(*(_at(F.col("hashes"), i + j) for j in range(shape.k))))).drop("hashes")
-    return rows.withColumn("kept", F.array_distinct(least_in_windows(F.col("grams"), shape.w)))
+    for shape in shapes:
+        rows = rows.withColumn(f"grams_{shape.span}", _grams(F.col("hashes"), shape))
+    kept = [F.array_distinct(least_in_windows(F.col(f"grams_{s.span}"), s.w)) for s in shapes]
+    return rows.drop("hashes").withColumn("kept", F.concat(*kept) if kept else F.array().cast("array<bigint>"))
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -66,68 +91,100 @@ def _agree(a: Column, b: Column) -> Column:
     return F.when(first == 0, F.size(same)).otherwise(first - 1).cast("int")
 
 
-def shape_for(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> Shape:
-    shortest = items.where(F.size("words") > 0).agg(F.min(F.size("words"))).first()[0]
-    shared = min(span, shortest or span)
-    k = min(gram, shared)
-    return Shape(span, k, shared - k + 1)
+def _by_span(span: str, shapes: list[Shape], value) -> Column:
+    """value(shape) of the shape that the column `span` names."""
+    chosen = F.when(F.lit(False), value(shapes[0]))
+    for shape in shapes:
+        chosen = chosen.when(F.col(span) == shape.span, value(shape))
+    return chosen
 
 
-def hits(docs: DataFrame, items: DataFrame, work: str, span: int = SPAN, broadcast_most: int = BROADCAST_FINGERPRINTS) -> tuple[DataFrame, DataFrame]:
-    """(sizes, spans): sizes has row_key, doc_id, n_words of each document; spans has row_key, item_id,
-    first, last (past the end): runs of document words that hold a whole window of the item."""
+def seeds(met: DataFrame, shapes: list[Shape], keys: list[str]) -> DataFrame:
+    """(*keys, span, hash, place, left, right): one row for each place where the fingerprint `hash` of a shape stands,
+    with the words before it, nearest first, and those from it on, as far as a window that holds it can reach. A
+    row whose hash is null stays one row."""
+    reach = _by_span("span", shapes, lambda s: F.lit(s.span - s.k))
+    grams = _by_span("span", shapes, lambda s: F.col(f"grams_{s.span}"))
+    places = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: _at(grams, i) == F.col("hash"))
+    left = lambda i: F.reverse(F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, reach)))
+    seed = lambda i: F.struct(i.alias("place"), left(i).alias("left"), F.slice("words", i + 1, F.col("span")).alias("right"))
+    nothing = F.array(F.lit(None).cast("struct<place:int,left:array<string>,right:array<string>>"))
+    # where a hash is found in another shape's grams there are no places
+    cut = F.when(F.col("hash").isNull(), nothing).when(F.size(grams) > 0, F.transform(places, seed)).otherwise(F.slice(nothing, 1, 0))
+    out = met.select(*keys, "span", "hash", F.explode_outer(cut).alias("seed")).select(*keys, "span", "hash", "seed.*")
+    return out.where(F.col("hash").isNull() | F.col("place").isNotNull())
+
+
+def contexts_of(items: DataFrame, shapes: list[Shape], work: str) -> tuple[DataFrame, DataFrame]:
+    """(contexts, named): contexts is (context, span, hash, item_left, item_right), each once; named (context, item_id)."""
+    marked = with_fingerprints(items, shapes)
+    mine = F.explode(F.array(*(F.struct(F.lit(s.span).alias("span"), F.array_distinct(least_in_windows(F.col(f"grams_{s.span}"), s.w)).alias("hashes")) for s in shapes)))
+    marked = marked.withColumn("x", mine).where(F.col("x.span") == F.least(F.size("words"), F.lit(max(s.span for s in shapes)))).withColumn("span", F.col("x.span"))
+    found = seeds(marked.withColumn("hash", F.explode("x.hashes")), shapes, ["item_id"])
+    text = F.concat_ws("|", F.col("span").cast("string"), F.array_join("left", " "), F.array_join("right", " "))
+    found = settle(found.withColumn("context", F.unhex(F.md5(F.encode(text, "UTF-8")))), f"{work}/item_seeds")
+    contexts = found.select("context", "span", "hash", F.col("left").alias("item_left"), F.col("right").alias("item_right")).dropDuplicates(["context"])
+    return settle(contexts, f"{work}/contexts"), settle(found.select("context", "item_id").distinct(), f"{work}/named")
+
+
+def hits(docs: DataFrame, items: DataFrame, work: str, span: int = SPAN, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes, spans, named): sizes has row_key, doc_id, n_words of each document; spans has row_key, context,
+    first, last (past the end): runs of document words that hold a whole window; named has context, item_id."""
     with freed_shuffles(docs.sparkSession):
-        return _hits(docs, items, work, span, broadcast_most)
+        return _hits(docs, items, work, span, broadcast_rows)
 
 
-def _hits(docs: DataFrame, items: DataFrame, work: str, span: int, broadcast_most: int) -> tuple[DataFrame, DataFrame]:
+def _hits(docs: DataFrame, items: DataFrame, work: str, span: int, broadcast_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     items = settle(items.select(F.col("item_id").cast("string").alias("item_id"), ascii_words(text_of()).alias("words")), f"{work}/items")
-    shape = shape_for(items, span)
-    marked = with_fingerprints(items.withColumn("item_words", F.size("words")), shape)
-    wanted = seeds(marked.withColumn("hash", F.explode_outer("kept")), shape, ["item_id", "item_words"])
-    wanted = settle(wanted.withColumnsRenamed({"place": "item_place", "left": "item_left", "right": "item_right"}), f"{work}/wanted")
-    prints = settle(wanted.select("hash").distinct().withColumn("met", F.lit(True)), f"{work}/prints")
-    few = prints.count() <= broadcast_most
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = rows.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", ascii_words(F.col("text")).alias("words"))
-    marked = with_fingerprints(rows.withColumn("n_words", F.size("words").cast("long")), shape)
-    # outer, as for an inner explode Spark tests the array's size below it, where it computes the array anew;
-    # one more entry, null, carries each document's size through the same pass
-    every = marked.withColumn("hash", F.explode_outer(F.array_append("kept", F.lit(None).cast("long"))))
+    shapes = shapes_for(items, span)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("row_key", row_key())
+    rows = texts.select("row_key", "doc_id", ascii_words(F.col("text")).alias("words"))
+    sizes = rows.select("row_key", "doc_id", F.size("words").cast("long").alias("n_words"))
+    if not shapes:
+        spark = docs.sparkSession
+        return settle(sizes, f"{work}/sizes"), spark.createDataFrame([], "row_key binary, context binary, first int, last int"), spark.createDataFrame([], "context binary, item_id string")
+    contexts, named = contexts_of(items, shapes, work)
+    prints = settle(contexts.select("hash", "span").distinct(), f"{work}/prints")
+    words = F.octet_length(F.array_join(F.concat("item_left", "item_right"), " "))
+    counted = contexts.agg(F.count(F.lit(1)), F.coalesce(F.sum(words), F.lit(0))).first()
+    few = counted[0] <= broadcast_rows and counted[1] <= BROADCAST_BYTES
+
     if few:
-        met = every.join(F.broadcast(prints), "hash", "left").where(F.col("met") | F.col("hash").isNull())
-        cut = seeds(met, shape, ["row_key", "doc_id", "n_words"])
+        marked = with_fingerprints(rows.withColumn("n_words", F.size("words").cast("long")), shapes)
+        # outer, as for an inner explode Spark tests the array's size below it, where it computes the array anew;
+        # one more entry, null, carries each document's size through the same pass
+        every = marked.withColumn("hash", F.explode_outer(F.array_append("kept", F.lit(None).cast("long"))))
+        met = every.join(F.broadcast(prints), "hash", "left").where(F.col("span").isNotNull() | F.col("hash").isNull())
+        cut = settle(seeds(met, shapes, ["row_key", "doc_id", "n_words"]), f"{work}/seeds")
+        sizes, cut = cut.where(F.col("hash").isNull()).select("row_key", "doc_id", "n_words"), cut.where(F.col("hash").isNotNull())
     else:
-        slim = settle(every.select("row_key", "hash"), f"{work}/slim")
-        met = slim.join(prints, "hash").groupBy("row_key").agg(F.collect_set("hash").alias("found"))
-        cut = seeds(marked.join(met, "row_key", "left").withColumn("hash", F.explode_outer(F.array_append(F.coalesce("found", F.array().cast("array<bigint>")), F.lit(None).cast("long")))), shape, ["row_key", "doc_id", "n_words"])
-    cut = settle(cut, f"{work}/seeds")
-    sizes = cut.where(F.col("hash").isNull()).select("row_key", "doc_id", "n_words")
-    pairs = cut.where(F.col("hash").isNotNull()).select("row_key", "hash", "place", "left", "right")
-    pairs = pairs.join(F.broadcast(wanted) if few else wanted, "hash")
+        sizes = settle(sizes, f"{work}/sizes")
+        slim = with_fingerprints(rows, shapes).select("row_key", F.explode_outer("kept").alias("hash")).where(F.col("hash").isNotNull())
+        slim = slim.withColumn("salt", F.pmod(F.hash("row_key"), F.lit(SALTS)))
+        salted = prints.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        met = slim.join(salted, ["hash", "salt"]).groupBy("row_key").agg(F.collect_set(F.struct("hash", "span")).alias("found"))
+        met = settle(met, f"{work}/met")
+        again = texts.dropDuplicates(["row_key"]) if _repeats(sizes) else texts
+        again = again.join(met, "row_key").select("row_key", ascii_words(F.col("text")).alias("words"), "found")
+        again = with_fingerprints(again, shapes).withColumn("one", F.explode("found")).withColumns({"hash": F.col("one.hash"), "span": F.col("one.span")})
+        cut = settle(seeds(again, shapes, ["row_key"]), f"{work}/seeds")
+    pairs = cut.select("row_key", "span", "hash", "place", "left", "right").join(F.broadcast(contexts) if few else contexts, ["hash", "span"])
     before, after = _agree(F.col("left"), F.col("item_left")), _agree(F.col("right"), F.col("item_right"))
-    pairs = pairs.select("row_key", "item_id", "item_words", "place", before.alias("before"), after.alias("after"))
-    found = pairs.where((F.col("after") >= shape.k) & (F.col("before") + F.col("after") >= F.least(F.col("item_words"), F.lit(span))))
-    return sizes, found.select("row_key", "item_id", (F.col("place") - F.col("before")).alias("first"), (F.col("place") + F.col("after")).alias("last"))
-
-
-def seeds(met: DataFrame, shape: Shape, keys: list[str]) -> DataFrame:
-    """(*keys, hash, place, left, right): one row for each place where the fingerprint `hash` stands, with the
-    words before it, nearest first, and those from it on, as far as a window that holds it can reach. A row
-    whose hash is null stays one row."""
-    reach = shape.span - shape.k
-    places = F.filter(F.sequence(F.lit(0), F.size("grams") - 1), lambda i: _at(F.col("grams"), i) == F.col("hash"))
-    left = lambda i: F.reverse(F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))))
-    seed = lambda i: F.struct(i.alias("place"), left(i).alias("left"), F.slice("words", i + 1, shape.span).alias("right"))
-    nothing = F.array(F.lit(None).cast("struct<place:int,left:array<string>,right:array<string>>"))
-    cut = F.when(F.col("hash").isNull(), nothing).otherwise(F.transform(places, seed))
-    return met.select(*keys, "hash", F.explode_outer(cut).alias("seed")).select(*keys, "hash", "seed.*")
+    pairs = pairs.select("row_key", "context", "span", "place", before.alias("before"), after.alias("after"))
+    k = _by_span("span", shapes, lambda s: F.lit(s.k))
+    found = pairs.where((F.col("after") >= k) & (F.col("before") + F.col("after") >= F.col("span")))
+    spans = found.select("row_key", "context", (F.col("place") - F.col("before")).alias("first"), (F.col("place") + F.col("after")).alias("last"))
+    return sizes, settle(spans, f"{work}/spans"), named
+
+
+def _repeats(sizes: DataFrame) -> bool:
+    return sizes.count() > sizes.select("row_key").distinct().count()
 
 
-def judged(sizes: DataFrame, spans: DataFrame) -> DataFrame:
+def judged(sizes: DataFrame, spans: DataFrame, named: DataFrame, work: str) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    items = spans.groupBy("row_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    met = spans.select("row_key", "context").distinct().join(named, "context").select("row_key", "item_id").distinct()
+    items = met.groupBy("row_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     widest = spans.groupBy("row_key", "first").agg(F.max("last").alias("last"))
     runs = widest.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
@@ -135,7 +192,8 @@ def judged(sizes: DataFrame, spans: DataFrame) -> DataFrame:
     covered = runs.select("row_key", F.aggregate("runs", start, step)["n"].alias("n_hit"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
-    out = sizes.join(covered.join(items, "row_key"), "row_key", "left")
+    verdicts = settle(covered.join(items, "row_key"), f"{work}/verdicts")
+    out = join_hot(sizes, verdicts, "row_key", None, hot_keys(sizes, "row_key", f"{work}/hot"), "left")
     return out.select(
         "row_key",
         "doc_id",
@@ -147,9 +205,18 @@ def judged(sizes: DataFrame, spans: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The verdict of each row of docs (doc_id, text) against items (item_id, text), with its row_key."""
-    return judged(*hits(docs, items, work_dir(docs.sparkSession, "winnow"), span))
+    work = work_dir(docs.sparkSession, "winnow")
+    with freed_shuffles(docs.sparkSession):
+        return judged(*hits(docs, items, work, span, broadcast_rows), work)
+
+
+def clean(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
+    """docs without the rows that items contaminate; repeated rows go or stay together."""
+    bad = decontaminate(docs, items, span).where("contaminated").select(F.col("row_key").alias("winnow_key")).distinct()
+    bad = settle(bad, f"{work_dir(docs.sparkSession, 'contaminated')}/rows")
+    return docs.join(bad, row_key() == F.col("winnow_key"), "left_anti")
 
 
 def op5_winnowing(spark, sf_dir: str) -> DataFrame:

@@ -307,12 +307,29 @@ def test_winnowing_matches_brute_force(spark, docs, few, short):
         made.append((1000 + k, " ".join(body + piece[a : a + rng.choice([5, 12, 13, 30])] + body[:7])))
     table = docs.select("doc_id", "text", "words", "hash").unionByName(spark.createDataFrame(made, "doc_id long, text string"), allowMissingColumns=True)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = winnowing.judged(*winnowing.hits(table, bench, work_dir(spark, "w"), broadcast_most=10**6 if few else 0))
+    got = winnowing.decontaminate(table, bench, broadcast_rows=10**6 if few else 0)
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     want = [(r["doc_id"], *contaminated(r["text"], items)) for r in table.collect()]
     assert rows_of(got, *columns) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_short_long_and_repeated_items(spark, few):
+    rng = random.Random(16)
+    word = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(40))
+    shared = " ".join(word() for _ in range(20))
+    items = [(k, shared if k % 2 else f"{shared} tail{k % 5} x{k}") for k in range(1, 3001)] + [(-1, "lonely"), (-2, "six words make one whole window"), (-3, " ".join(word() for _ in range(50)))]
+    made = ["", None, shared, f"some words before {shared} and after", " ".join(shared.split()[3:16]), " ".join(shared.split()[3:15]), f"a lonely word {items[-1][1]}", "six words make one whole", "so six words make one whole window then", f"{shared} tail3 x3"]
+    docs = [(k, t) for k, t in enumerate(made)] * 3
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    want = {k: (k, *contaminated(t, items)) for k, t in enumerate(made)}
+    assert rows_of(winnowing.decontaminate(table, bench, broadcast_rows=10**6 if few else 0), *columns) == sorted([want[k] for k, _ in docs], key=str)
+    kept = winnowing.clean(table, bench)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, _ in docs if not want[k][-1])
+
+
 def test_winnowing_of_empty_tables(spark, docs, empty):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert winnowing.decontaminate(empty, bench).count() == 0
