@@ -25,11 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark items don't contaminate."""
-    docs = docs.select(COLUMNS)
-    verdicts = winnowing.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = settle(verdicts.where("contaminated").select("row_key").distinct(), f"{work_dir(spark, 'contaminated')}/rows")
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    return keyed.join(bad, "row_key", "left_anti").select(COLUMNS)
+    return winnowing.clean(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
