@@ -86,6 +86,11 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits that tell apart the rows of documents; equal rows have equal keys."""
+    return F.unhex(F.md5(F.encode(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text_of(text)), "UTF-8")))
+
+
 def ascii_words(text: Column) -> Column:
     """Array of the words of a text: A-Z lower-cased, split at ASCII other than letters and digits."""
     return F.array_remove(F.split(F.translate(text, UPPER, UPPER.lower()), WORD_GAP), "")

@@ -7,72 +7,93 @@ dropped word; and a merged diagonal is a label if its span is verified: the word
 compared, they cover `COVER` of the template, and the span isn't much longer than the template. A phrase is
 a template that has to be met whole on one diagonal. Everything is built from DataFrame functions.
 
-Scale: the templates are a fixed list (`TEMPLATES`, under 400 k-grams), which is the bound for the
-broadcast; texts never move, only verified meetings and one row of sizes per text are shuffled.
+Templates are a table (label, text, phrase). `notices` gives the phrases of the contract and the notices of some
+thirty public licenses, which stand in `license_notices.txt`. A template has at least `GRAM` words; a shorter
+one raises.
+
+Scale: the k-grams of the templates are counted; up to `BROADCAST_GRAMS` they are broadcast and texts never
+move; beyond, the k-grams of texts are shuffled under salts. Only verified meetings and one row of sizes per
+text are shuffled then.
 
 Edge cases: null and empty texts have no words and no label; texts that repeat a license count every place;
-repeated rows are judged each on its own; null doc_ids are kept; an empty table gives an empty result; other
-columns are ignored.
+repeated rows are judged each on its own; null doc_ids are kept; an empty table gives an empty result, and so do no
+templates give no label; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_words, settle, text_of, work_dir
+from .common import ascii_words, hot_keys, join_hot, row_key, settle, text_of, work_dir
 
 GRAM = 3
 NEIGHBOURS = 3
 COVER = 0.6
 LONGEST = 1.5
+BROADCAST_GRAMS = 200_000
+SALTS = 16
 
-# Phrases and labels of the contract, and the texts of common public license notices.
+# Phrases and labels of the contract.
 PHRASES = [
     ("mit", "under the mit license"),
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 ]
-TEMPLATES = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
-    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mit", "released under the mit license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-]
 
 
-def template_grams(spark: SparkSession) -> DataFrame:
-    """(hash, template, label, phrase, grams, place, w1, w2, w3): one row per k-gram of a template."""
-    rows = []
-    for no, (label, words, phrase) in enumerate([(*p, True) for p in PHRASES] + [(*t, False) for t in TEMPLATES]):
-        w = words.split()
-        rows += [(no, label, phrase, len(w) - GRAM + 1, k, *w[k : k + GRAM]) for k in range(len(w) - GRAM + 1)]
-    names = ("template", "label", "phrase", "grams", "place", "w1", "w2", "w3")
-    table = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row, strict=True))) for row in rows))
-    return spark.range(1).select(F.inline(table)).withColumn("hash", F.xxhash64("w1", "w2", "w3"))
+def notice_rows() -> list[tuple[str, str, bool]]:
+    """(label, text, phrase) of the contract's phrases and of each notice of the data file."""
+    text = resources.files(__package__).joinpath("license_notices.txt").read_text("utf-8")
+    parts = re.split(r"^== (.+)$", text, flags=re.MULTILINE)[1:]
+    return [(*p, True) for p in PHRASES] + [(label.strip(), body.strip(), False) for label, body in zip(parts[::2], parts[1::2], strict=True)]
+
+
+def notices(spark: SparkSession) -> DataFrame:
+    names = ("label", "text", "phrase")
+    table = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row, strict=True))) for row in notice_rows()))
+    return spark.range(1).select(F.inline(table))
+
+
+def template_grams(templates: DataFrame, work: str) -> DataFrame:
+    """(hash, gram, template, label, phrase, grams, place): one row per k-gram of a template."""
+    rows = templates.select("label", "phrase", ascii_words(text_of()).alias("words")).distinct()
+    rows = rows.withColumn("template", F.md5(F.encode(F.concat_ws("|", "label", F.col("phrase").cast("string"), F.array_join("words", " ")), "UTF-8")))
+    rows = settle(rows, f"{work}/templates")
+    short = rows.where(F.size("words") < GRAM).first()
+    if short is not None:
+        raise ValueError(f"a template of {short['label']} has fewer than {GRAM} words")
+    n = F.size("words") - (GRAM - 1)
+    at = rows.select("template", "label", "phrase", "words", n.alias("grams"), F.explode(F.sequence(F.lit(0), n - 1)).alias("place"))
+    words = F.slice("words", F.col("place") + 1, GRAM)
+    at = at.select(F.xxhash64(*(words[j] for j in range(GRAM))).alias("hash"), F.array_join(words, " ").alias("gram"), "template", "label", "phrase", "grams", "place")
+    return settle(at, f"{work}/grams")
 
 
-def votes(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
+def votes(docs: DataFrame, templates: DataFrame, work: str, broadcast_grams: int = BROADCAST_GRAMS) -> tuple[DataFrame, DataFrame]:
     """(sizes, meetings): sizes is (row_key, doc_id, n_words); meetings is (row_key, template, label, phrase,
     grams, at, place) of each verified k-gram; row_key tells apart the rows of docs."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_words(text_of()).alias("words"), F.xxhash64("doc_id", "text").alias("row_key"))
+    known = template_grams(templates, work)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_words(text_of()).alias("words"), row_key().alias("row_key"))
     last = F.size("words") - GRAM
     grams = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*(F.get("words", i + j) for j in range(GRAM))))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("grams_of", F.array_append(grams, F.lit(None).cast("long")))
     # outer, as for an inner explode Spark tests the array's size below it, where it computes the array anew
     rows = rows.select("row_key", "doc_id", "words", F.posexplode_outer("grams_of").alias("at", "hash"))
-    met = rows.join(F.broadcast(template_grams(docs.sparkSession)), "hash", "left").where(F.col("template").isNotNull() | F.col("hash").isNull())
-    true = F.lit(True)
-    for j in range(GRAM):
-        true = true & (F.get("words", F.col("at") + j) == F.col(f"w{j + 1}"))
-    met = met.where(F.col("hash").isNull() | true)
-    size = F.when(F.col("hash").isNull(), F.size("words").cast("long"))
-    met = settle(met.select("row_key", "doc_id", size.alias("n_words"), "template", "label", "phrase", "grams", "at", "place"), f"{work}/met")
+    gram = F.array_join(F.slice("words", F.col("at") + 1, GRAM), " ")
+    size = F.when(F.col("hash").isNull(), F.size("words").cast("long")).alias("n_words")
+    out = ["row_key", "doc_id", "n_words", "template", "label", "phrase", "grams", "at", "place"]
+    if known.count() <= broadcast_grams:
+        met = rows.join(F.broadcast(known), "hash", "left").where(F.col("hash").isNull() | (F.col("gram") == gram)).withColumn("n_words", size)
+    else:
+        slim = rows.select("row_key", "doc_id", "at", "hash", size, gram.alias("text_gram"), F.pmod(F.hash("row_key"), F.lit(SALTS)).alias("salt"))
+        salted = known.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        slim = settle(slim, f"{work}/slim")
+        met = slim.where("hash IS NOT NULL").join(salted, ["hash", "salt"]).where("gram = text_gram").select(out).unionByName(slim.where("hash IS NULL").select("row_key", "doc_id", "n_words", "at"), allowMissingColumns=True)
+    met = settle(met.select(out), f"{work}/met")
     return met.where("n_words IS NOT NULL").select("row_key", "doc_id", "n_words"), met.where("n_words IS NULL").drop("n_words", "doc_id").distinct()
 
 
@@ -93,9 +114,10 @@ def spans(meetings: DataFrame) -> DataFrame:
     return whole.unionByName(near.select("row_key", "label", "phrase", F.col("first").cast("int").alias("first"), cover.alias("cover")))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame | None = None, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """Per row of docs (doc_id, text): sizes, places and labels; score is the best cover of any template."""
-    sizes, meetings = votes(docs, work_dir(docs.sparkSession, "licenses"))
+    work = work_dir(docs.sparkSession, "licenses")
+    sizes, meetings = votes(docs, notices(docs.sparkSession) if templates is None else templates, work, broadcast_grams)
     base = F.col("phrase")
     found = spans(meetings).groupBy("row_key").agg(
         F.count_if(base).alias("n_base"),
@@ -106,7 +128,9 @@ def scan(docs: DataFrame) -> DataFrame:
         F.max("cover").alias("score"),
     )
     none = {"n_base": 0, "base_labels": "", "labels": "", "score": 0.0}
-    return sizes.join(found, "row_key", "left").na.fill(none).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    found = settle(found, f"{work}/found")
+    every = join_hot(sizes, found, "row_key", None, hot_keys(sizes, "row_key", f"{work}/hot"), "left")
+    return every.na.fill(none).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
@@ -115,7 +139,8 @@ def op8_license_scan(spark, sf_dir: str) -> DataFrame:
 
 def sql() -> str:
     """The same in DuckDB: k-grams as strings, the same diagonals, bands and covers."""
-    rows = [f"({no}, '{label}', {str(phrase).lower()}, string_split('{words}', ' '))" for no, (label, words, phrase) in enumerate([(*p, True) for p in PHRASES] + [(*t, False) for t in TEMPLATES])]
+    words = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    rows = [f"({no}, '{label}', {str(phrase).lower()}, string_split('{' '.join(words(text))}', ' '))" for no, (label, text, phrase) in enumerate(notice_rows())]
     return rf"""
 WITH tw(template, label, phrase, w) AS (VALUES {', '.join(rows)}), t AS (
   SELECT template, label, phrase, len(w) - 2 AS grams, p - 1 AS place, array_to_string(w[p:p + 2], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS p FROM tw)

@@ -27,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, freed_shuffles, hot_keys, join_hot, settle, text_of, work_dir
+from .common import ascii_words, freed_shuffles, hot_keys, join_hot, row_key, settle, text_of, work_dir
 
 SPAN = 13
 GRAM = 5
@@ -44,11 +44,6 @@ class Shape(NamedTuple):
     w: int
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """128 bits that tell apart the rows of documents."""
-    return F.unhex(F.md5(F.encode(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(F.col(text), F.lit(""))), "UTF-8")))
-
-
 def _at(array: Column, i: Column) -> Column:
     return F.get(array, i)
 
