@@ -5,8 +5,8 @@ adds, at every place of a window, one learned vector per byte and offset: a conv
 Filters are max-pooled over the window, rectified, and a softmax gives the language of the window. A text
 gets the mean of its windows' probabilities, weighted by their bytes.
 
-Training takes a bounded sample: about `SAMPLE` rows of each language, chosen by a hash of doc_id in one
-pass that knows the language counts, and at most `SAMPLE_WINDOWS` windows of each, at hashed places of its
+Training takes a bounded sample: about `SAMPLE` rows of each language, chosen by a hash of doc_id and text in one
+pass that knows the language counts, equal texts once, and at most `SAMPLE_WINDOWS` windows of each, at hashed places of its
 text; every language is learned, in `EPOCHS` passes over the sample. The sample grows with the languages (0.8 MB each).
 Only those windows reach the driver. Every window of every text is scored, in blocks of fixed size, by
 tasks that need the model alone (about 150 kB).
@@ -18,13 +18,13 @@ a null doc_id counts as the empty text in the fold's checksum; without any row t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ SAMPLE_WINDOWS = 2
 EPOCHS = 12
 BLOCK = 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 class Model(NamedTuple):
@@ -93,47 +93,59 @@ def probabilities(windows: np.ndarray, model: Model, pairs: dict) -> np.ndarray:
     return np.concatenate(done)
 
 
+Values = dict[tuple | str, np.ndarray]
+
+
+def _model(values: Values, languages: list[str]) -> Model:
+    return Model(languages, {w: values["t", w] for w in WIDTHS}, values["b"], values["o"], values["c"])
+
+
+def loss_and_gradient(x: np.ndarray, target: np.ndarray, values: Values) -> tuple[float, Values]:
+    """Mean cross-entropy of windows x, and its gradient by each of values: ("t", w) tables, "b" bias, "o" and "c" output
+    weights and bias. The gradient of a pooled filter goes to the place of its maximum."""
+    m, lanes, places, pooled = _model(values, []), np.arange(FILTERS), {}, []
+    for w, total in _maps(x, m):
+        places[w] = total.argmax(axis=1)
+        pooled.append(np.take_along_axis(total, places[w][:, None, :], axis=1)[:, 0])
+    a = np.concatenate(pooled, axis=1) + m.bias
+    h = np.maximum(a, 0)
+    z = h @ m.out + m.out_bias
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    rows = np.arange(len(x))
+    loss = float(-np.log(np.maximum(p[rows, target], 1e-30)).mean())
+    p[rows, target] -= 1
+    p /= len(x)
+    d = (p @ m.out.T) * (a > 0)
+    grads: Values = {"o": h.T @ p, "c": p.sum(axis=0), "b": d.sum(axis=0)}
+    for k, w in enumerate(WIDTHS):
+        g, part = np.zeros_like(values["t", w]), d[:, k * FILTERS : (k + 1) * FILTERS]
+        for j in range(w):
+            np.add.at(g[j], (np.take_along_axis(x, places[w] + j, axis=1), lanes[None, :]), part)
+        grads["t", w] = g
+    return loss, grads
+
+
 def train(windows: np.ndarray, target: np.ndarray, languages: list[str], steps: int | None = None, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
-    """Adam on the cross-entropy, EPOCHS passes or so many steps; the gradient of a pooled filter goes to the place of
-    its maximum."""
+    """Adam on the cross-entropy, EPOCHS passes or so many steps."""
     steps = EPOCHS * -(-len(windows) // batch) if steps is None else steps
     rng = np.random.default_rng(seed)
     n_out = len(WIDTHS) * FILTERS
-    values = {("t", w): rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
+    values: Values = {("t", w): rng.normal(0, 0.3, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
     values |= {"b": np.zeros(n_out, np.float32), "o": rng.normal(0, 0.2, (n_out, len(languages))).astype(np.float32), "c": np.zeros(len(languages), np.float32)}
     first, second = ({k: np.zeros_like(v) for k, v in values.items()} for _ in range(2))
-    model = lambda: Model(languages, {w: values["t", w] for w in WIDTHS}, values["b"], values["o"], values["c"])
-    step, lanes = 0, np.arange(FILTERS)
+    step = 0
     while len(windows) and step < steps:
         order = rng.permutation(len(windows))
         for at in range(0, min(len(order), batch * (steps - step)), batch):
             pick = order[at : at + batch]
-            x, m = windows[pick], model()
-            places, pooled = {}, []
-            for w, total in _maps(x, m):
-                places[w] = total.argmax(axis=1)
-                pooled.append(np.take_along_axis(total, places[w][:, None, :], axis=1)[:, 0])
-            a = np.concatenate(pooled, axis=1) + m.bias
-            h = np.maximum(a, 0)
-            z = h @ m.out + m.out_bias
-            p = np.exp(z - z.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(pick)), target[pick]] -= 1
-            p /= len(pick)
-            d = (p @ m.out.T) * (a > 0)
-            grads = {"o": h.T @ p, "c": p.sum(axis=0), "b": d.sum(axis=0)}
-            for k, w in enumerate(WIDTHS):
-                g = np.zeros_like(values["t", w])
-                part = d[:, k * FILTERS : (k + 1) * FILTERS]
-                for j in range(w):
-                    np.add.at(g[j], (np.take_along_axis(x, places[w] + j, axis=1), lanes[None, :]), part)
-                grads["t", w] = g
+            _, grads = loss_and_gradient(windows[pick], target[pick], values)
             step += 1
             for k, g in grads.items():
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.001 * (g * g - second[k])
                 values[k] = values[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return model()
+    return _model(values, languages)
 
 
 def sampled_places(text: str, n: int) -> list[int]:
@@ -149,7 +161,7 @@ def sample_windows(labelled: DataFrame, per_language: int, seed: int = 11) -> tu
     if not languages:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
     shares = labelled.sparkSession.createDataFrame([(r["lang"], min(1.0, per_language / r["count"])) for r in counts], "lang string, share double")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -159,7 +171,7 @@ def sample_windows(labelled: DataFrame, per_language: int, seed: int = 11) -> tu
                 rows += [(lang, every[k].tobytes()) for k in sampled_places(text, len(every))]
             yield pd.DataFrame(rows, columns=["lang", "bytes"])
 
-    chosen = labelled.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text")
+    chosen = labelled.join(F.broadcast(shares), "lang").where(draw < F.col("share")).select("lang", "text").distinct()
     got = chosen.mapInPandas(spread, "lang string, bytes binary").toPandas().sort_values(["lang", "bytes"])
     if not len(got):
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), languages
