@@ -269,6 +269,53 @@ def test_pair_tables_give_the_plain_sums():
     assert np.allclose(byte_cnn.probabilities(windows, model, byte_cnn._pairs(model)), want / want.sum(axis=1, keepdims=True), atol=1e-4)
 
 
+def float64_values(rng, languages):
+    n = len(byte_cnn.WIDTHS) * byte_cnn.FILTERS
+    return {("t", w): rng.normal(0, 0.3, (w, 256, byte_cnn.FILTERS)) for w in byte_cnn.WIDTHS} | {"b": rng.normal(0, 0.1, n), "o": rng.normal(0, 0.2, (n, languages)), "c": rng.normal(0, 0.1, languages)}
+
+
+def test_gradient_equals_the_difference_quotient():
+    rng = np.random.default_rng(3)
+    x, target = rng.integers(97, 123, (6, byte_cnn.WINDOW)).astype(np.uint8), rng.integers(0, 3, 6)
+    values = float64_values(rng, 3)
+    _, grads = byte_cnn.loss_and_gradient(x, target, values)
+    for key, g in grads.items():
+        # places of the greatest gradients and some at random
+        flat = np.concatenate([np.argsort(-np.abs(g).reshape(-1))[:4], rng.integers(0, g.size, 4)])
+        for at in flat.tolist():
+            ends = []
+            for step in (1e-6, -1e-6):
+                moved = {k: v.copy() for k, v in values.items()}
+                moved[key].reshape(-1)[at] += step
+                ends.append(byte_cnn.loss_and_gradient(x, target, moved)[0])
+            assert abs((ends[0] - ends[1]) / 2e-6 - g.reshape(-1)[at]) < 1e-6, key
+
+
+def test_network_equals_a_convolution_over_one_hot_bytes():
+    rng = np.random.default_rng(4)
+    x, values = rng.integers(0, 256, (2, byte_cnn.WINDOW)).astype(np.uint8), float64_values(rng, 2)
+    model = byte_cnn._model(values, ["a", "b"])
+    for row, got in zip(x, byte_cnn.probabilities(x, model, byte_cnn._pairs(model)), strict=True):
+        one_hot, pooled = np.eye(256)[row], []
+        for w in byte_cnn.WIDTHS:
+            for f in range(byte_cnn.FILTERS):
+                pooled.append(max(float((one_hot[p : p + w] * values["t", w][:, :, f]).sum()) for p in range(byte_cnn.WINDOW - w + 1)))
+        z = np.maximum(np.array(pooled) + values["b"], 0) @ values["o"] + values["c"]
+        assert np.allclose(got, np.exp(z) / np.exp(z).sum())
+
+
+def test_letters_are_those_of_the_letter_category():
+    model = byte_cnn.train(np.zeros((2, byte_cnn.WINDOW), np.uint8), np.array([0, 1]), ["a", "b"], steps=1)
+    lang, score = byte_cnn.predict_texts(["½ ² ① Ⅷ", "_1_", "12 ª", "中"], model, byte_cnn._pairs(model))
+    assert lang[:2] == ["und", "und"] and score[:2] == [0.0, 0.0] and "und" not in lang[2:]
+
+
+def test_hot_rows_are_sampled_once(spark):
+    rows = [(None, "the same text", "en")] * 10_000 + [(7, "un autre texte", "fr")] * 3 + [(None, f"text {k}", "fr") for k in range(50)]
+    windows, target, languages = byte_cnn.sample_windows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 20_000)
+    assert languages == ["en", "fr"] and (target == 0).sum() == 1 and (target == 1).sum() == 51
+
+
 # 5. winnowing
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -486,9 +533,101 @@ def test_phrases_and_templates(spark, docs, empty):
     assert rows_of(every, "doc_id", "n_words", "n_base") == sorted(want, key=str)
 
 
+def test_templates_are_a_table_and_both_ways_agree(spark, docs):
+    labels = {label for label, _, phrase in license_scan.notice_rows() if not phrase}
+    assert len(labels) >= 25
+    mit = license_scan.notice_rows()[3][1]
+    rows = [(1, mit), (2, mit.replace("without restriction", "with no restriction at all")), (3, "own words of a house rule"), (4, " ".join(mit.split()[:20])), (5, None)] * 2
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    own = license_scan.notices(spark).unionByName(spark.createDataFrame([("house", "Own words of a house rule", True)], "label string, text string, phrase boolean"))
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    near = rows_of(license_scan.scan(table, own), *columns)
+    assert near == rows_of(license_scan.scan(table, own, broadcast_grams=0), *columns)
+    found = {r[0]: r[6] for r in near if r[1] in (6, len(lower(mit)), len(lower(mit)) + 2)}
+    assert found[1] == "mit" and found[2] == "mit" and found[3] == "house"
+    assert license_scan.scan(table, own.where("false")).where("labels <> ''").count() == 0
+    with pytest.raises(ValueError):
+        license_scan.scan(table, spark.createDataFrame([("x", "two words", True)], "label string, text string, phrase boolean"))
+
+
 # 9. quality
 
 
+def brute_indicators(text):
+    """Sets of buckets by plain loops and Python integers."""
+    def code(data):
+        return 2 + zlib.crc32(data) % (2**31 - 2)
+
+    def bucket(x, buckets):
+        return (x * 0x9E3779B97F4A7C15 % 2**64 >> 33) % buckets
+
+    words = (text or "").split()
+    named = [code("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w).encode()) for w in words]
+    shapes = [code(nb_svm.shape(w).encode()) for w in words]
+    shapes = [1 if k and (named[k], shapes[k]) == (named[k - 1], shapes[k - 1]) else x for k, x in enumerate(shapes)]
+    found = {0}
+    for n in (1, 2):
+        grams = [tuple(shapes[k : k + n]) for k in range(len(words) - n + 1)]
+        for g in set(grams):
+            x = g[0] if n == 1 else g[0] * 1_000_003 + g[1] * 7 + 3
+            for k, share in enumerate((0, 0.02, 0.1, 0.4)):
+                if grams.count(g) > share * len(grams):
+                    found.add(1 + bucket(x * 4 + k, nb_svm.BUCKETS - 1))
+        for k in range(len(words) - n + 1):
+            x = named[k] if n == 1 else named[k] * 1_000_003 + named[k + 1] * 7 + 3
+            found.add(nb_svm.BUCKETS + bucket(x, nb_svm.WORD_BUCKETS))
+    return sorted(found)
+
+
+def test_indicators_match_brute_force():
+    of = nb_svm.Indicators()
+    for text in ["", None, "one", "one One ONE one one", "a" * 5000 + " $$$ 12,5 ###x### don't Été ÉTÉ", *(t for t in texts() if t is None or len(t) < 3000)]:
+        assert of(text).tolist() == brute_indicators(text), text
+    assert nb_svm.shape("ab" * 40 + "-" + "cd1" * 9) == "x-" + "x9" * 9 and nb_svm.shape("McDonald") == "X" and nb_svm.shape("Ab!!!!!") == "Xx!!"
+
+
+def test_ratios_and_dual_descent_reach_the_best_objective():
+    rng = np.random.default_rng(7)
+    rows = [np.unique(np.concatenate([[0], rng.integers(1, 30, 6), nb_svm.BUCKETS + rng.integers(0, 20, 4)])) for _ in range(60)]
+    good = (rng.random(60) < np.array([0.2 + 0.6 * (3 in r or 7 in r) for r in rows])).astype(np.int64)
+    ratios = nb_svm.log_ratios(rows, good)
+    size = nb_svm.BUCKETS + nb_svm.WORD_BUCKETS
+    for bucket in (3, 7, nb_svm.BUCKETS + 5, 40):
+        n = [1 + sum(bucket in r.tolist() for r, g in zip(rows, good, strict=True) if g == c) for c in (1, 0)]
+        total = [size + sum(len(r) for r, g in zip(rows, good, strict=True) if g == c) for c in (1, 0)]
+        assert abs(ratios[bucket] - np.log(n[0] / total[0] / (n[1] / total[1]))) < 1e-9
+    assert ratios[0] == 1
+    sign, used = np.where(good == 1, 1.0, -1.0), np.unique(np.concatenate(rows))
+    x = np.zeros((len(rows), len(used)))
+    for k, r in enumerate(rows):
+        words = (r >= nb_svm.BUCKETS).sum()
+        for b in r:
+            x[k, np.searchsorted(used, b)] = ratios[b] * (1 / np.sqrt(words) if b >= nb_svm.BUCKETS else 1)
+    objective = lambda w: w @ w / 2 + 0.1 * (np.maximum(0, 1 - sign * (x @ w)) ** 2).sum()
+    w = np.zeros(len(used))
+    for _ in range(20_000):
+        w -= 0.01 * (w - 0.2 * x.T @ (sign * np.maximum(0, 1 - sign * (x @ w))))
+    got = nb_svm.dual_descent(rows, sign, ratios, rounds=500)[used] / ratios[used]
+    assert abs(objective(got) - objective(w)) < 1e-4 * objective(w)
+
+
+def test_words_alone_tell_classes_apart(spark):
+    rng = random.Random(21)
+    good, bad = "river stone window garden letter".split(), "casino jackpot pills winner cheap".split()
+    rows = [(k, " ".join(rng.choice((good, bad)[k % 2] if rng.random() < 0.3 else ["some", "plain", "words", "here"]) for _ in range(40)), 1 - k % 2) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(2)
+    model = nb_svm.fit(docs.where("doc_id < 300"), docs.select("doc_id", "quality"))
+    got = nb_svm.scored(docs.where("doc_id >= 300"), model, ["doc_id", "quality"]).toPandas()
+    assert ((got["score"] >= 0.5) == (got["quality"] == 1)).mean() > 0.97
+
+
+def test_a_hot_document_is_learned_once(spark):
+    rows = [(1, "the same good text")] * 5_000 + [(1, "another text of that id")] + [(2, "### junk $$$")] * 5_000
+    model = nb_svm.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert model.weights.any()
+
+
+
 def test_quality_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     got = nb_svm.op9_nb_svm(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out")
@@ -512,7 +651,7 @@ def test_dual_descent_separates():
     rows = [np.unique(np.concatenate([[0], rng.integers(1, 50, 5) + (100 if k % 2 else 0)])) for k in range(200)]
     good = np.arange(200) % 2
     model = nb_svm.fit_rows(rows, good)
-    margins = np.array([model.weights[r].sum() for r in rows])
+    margins = np.array([nb_svm.margin(r, model.weights) for r in rows])
     assert ((model.slope * margins + model.offset > 0) == (good == 1)).mean() > 0.99
 
 
