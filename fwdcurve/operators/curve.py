@@ -42,28 +42,54 @@ def monotone_slopes(knots: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return rows.withColumn("slope", slope).drop("h1", "d1", "h0", "d0", "h2", "d2", "hm", "dm")
 
 
-def smooth_base(days: DataFrame, monthly: DataFrame) -> DataFrame:
-    """days (key, d) with smooth: the monotone cubic through the months' means (key, month_start, base) at their middles."""
+def _pieces(monthly: DataFrame) -> DataFrame:
+    """(key, x, x1, base, slope, base1, slope1): the cubics between the knots at the middles of months (key, month_start, base)."""
     knots = monthly.withColumn("x", F.datediff("month_start", F.lit("1970-01-01")) + F.dayofmonth(F.last_day("month_start")) / 2.0)
     knots = monotone_slopes(knots, "key", "x", "base")
     w = Window.partitionBy("key").orderBy("x")
-    pieces = knots.select("key", "x", "base", "slope", F.lead("x").over(w).alias("x1"), F.lead("base").over(w).alias("base1"), F.lead("slope").over(w).alias("slope1")).where("x1 IS NOT NULL")
-    first = pieces.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    spread = pieces.join(first, "key").select("*", F.explode(F.sequence(F.when(F.col("x") == F.col("lo"), F.ceil(F.col("x")) - 40).otherwise(F.ceil("x")), F.when(F.col("x") == F.col("hi"), F.ceil(F.col("x1")) + 40).otherwise(F.ceil(F.col("x1")) - 1))).alias("day_no"))
-    t = (F.col("day_no") - F.col("x")) / (F.col("x1") - F.col("x"))
-    value = hermite(t, F.col("x1") - F.col("x"), F.col("base"), F.col("base1"), F.col("slope"), F.col("slope1"))
-    table = spread.select("key", "day_no", value.alias("smooth"))
-    return days.withColumn("day_no", F.datediff("d", F.lit("1970-01-01")).cast("long")).join(table, ["key", "day_no"], "left").drop("day_no")
+    return knots.select("key", "x", F.lead("x").over(w).alias("x1"), "base", "slope", F.lead("base").over(w).alias("base1"), F.lead("slope").over(w).alias("slope1")).where("x1 IS NOT NULL")
+
+
+def _days_of(pieces: DataFrame) -> DataFrame:
+    """pieces with day_no: the days from a knot to the next, for the first and the last piece 40 more outside."""
+    ends = pieces.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    first = F.when(F.col("x") == F.col("lo"), F.ceil("x") - 40).otherwise(F.ceil("x"))
+    last = F.when(F.col("x") == F.col("hi"), F.ceil("x1") + 40).otherwise(F.ceil("x1") - 1)
+    return pieces.join(ends, "key").select(*pieces.columns, F.explode(F.sequence(first, last)).alias("day_no"))
+
+
+def _numbered(days: DataFrame) -> DataFrame:
+    return days.withColumn("day_no", F.datediff("d", F.lit("1970-01-01")).cast("long"))
+
+
+def smooth_base(days: DataFrame, monthly: DataFrame) -> DataFrame:
+    """days (key, d) with smooth: the monotone cubic through the months' means (key, month_start, base) at their middles."""
+    spread, h = _days_of(_pieces(monthly)), F.col("x1") - F.col("x")
+    value = hermite((F.col("day_no") - F.col("x")) / h, h, F.col("base"), F.col("base1"), F.col("slope"), F.col("slope1"))
+    return _numbered(days).join(spread.select("key", "day_no", value.alias("smooth")), ["key", "day_no"], "left").drop("day_no")
+
+
+def month_basis(days: DataFrame, monthly: DataFrame) -> DataFrame:
+    """(key, month_start, x, y0, y1, m0, m1, n): sums over a month's days in a piece of what each of the piece's values
+    and slopes is multiplied with. A month's mean is linear in them, whatever the knots are."""
+    one, zero, h = F.lit(1.0), F.lit(0.0), F.col("x1") - F.col("x")
+    t = (F.col("day_no") - F.col("x")) / h
+    parts = {n: hermite(t, h, *(one if k == j else zero for j in range(4))) for k, n in enumerate(("y0", "y1", "m0", "m1"))}
+    rows = _numbered(days).join(_days_of(_pieces(monthly)), ["key", "day_no"]).withColumn("month_start", F.to_date(F.date_trunc("month", "d")))
+    return rows.groupBy("key", "month_start", "x").agg(*(F.sum(v).alias(n) for n, v in parts.items()), F.count(F.lit(1)).alias("n"))
 
 
 def restored_months(days: DataFrame, monthly: DataFrame, settle: Callable[[DataFrame, int], DataFrame], damping: float = 0.8, rounds: int = 10, tolerance: float = 0.5) -> DataFrame:
     """smooth_base whose knots are moved until each month's mean is within tolerance of its base.
 
-    Only the knot table goes from round to round; settle(table, round) writes it, so plans stay short."""
+    Days are read once, for the month_basis; a round works on the knots, a row a month. settle(table, round)
+    writes a round's table, so plans stay short."""
+    basis = settle(month_basis(days, monthly), -1)
     knots = settle(monthly.withColumn("target", F.col("base")), 0)
     for k in range(1, rounds + 1):
-        smooth = smooth_base(days, knots.drop("target")).withColumn("month_start", F.to_date(F.date_trunc("month", "d")))
-        means = smooth.groupBy("key", "month_start").agg(F.avg("smooth").alias("mean"))
+        terms = F.col("y0") * F.col("base") + F.col("y1") * F.col("base1") + F.col("m0") * F.col("slope") + F.col("m1") * F.col("slope1")
+        met = basis.join(_pieces(knots.drop("target")), ["key", "x"])
+        means = met.groupBy("key", "month_start").agg((F.sum(terms) / F.sum("n")).alias("mean"))
         gap = F.coalesce(F.col("target") - F.col("mean"), F.lit(0.0))
         moved = settle(knots.join(means, ["key", "month_start"], "left").select("key", "month_start", (F.col("base") + damping * gap).alias("base"), "target", gap.alias("gap")), k)
         worst = moved.agg(F.max(F.abs("gap"))).first()[0]
@@ -79,49 +105,89 @@ def rescaled(slots: DataFrame, group: list[str], price: str, target: str) -> Col
     return F.when(F.col(target).isNotNull() & (F.abs(mean) > 1e-9), F.col(price) * F.col(target) / mean).otherwise(F.col(price))
 
 
+class BandSolver:
+    """Cholesky factor of the calibration's bending matrix: for two regimes of k daily knots, in the order day, regime,
+    squared second differences plus eps + tie on the diagonal, and -tie between the regimes. Four entries beside the
+    diagonal differ from 0, so work is linear in the days."""
+
+    WIDTH = 4
+
+    def __init__(self, k: int, eps: float, tie: float):
+        n, width = 2 * k, self.WIDTH
+        band = [[0.0] * (width + 1) for _ in range(n)]
+        for i in range(n):
+            band[i][0] = eps + tie
+            if i % 2:
+                band[i][1] = -tie
+        for i in range(k - 2):
+            for a, u in enumerate((1.0, -2.0, 1.0)):
+                for b, v in enumerate((1.0, -2.0, 1.0)[: a + 1]):
+                    for r in range(2):
+                        band[2 * (i + a) + r][2 * (a - b)] += u * v
+        for i in range(n):
+            row = band[i]
+            for j in range(min(width, i), -1, -1):
+                other = band[i - j]
+                rest = row[j] - sum(row[q] * other[q - j] for q in range(j + 1, min(width, i) + 1) if q - j <= width)
+                row[j] = rest / other[0] if j else rest**0.5
+        self.band, self.n = band, n
+
+    def solve(self, rhs: np.ndarray) -> np.ndarray:
+        """Solutions for the columns of rhs."""
+        x = rhs.astype(float).copy()
+        for i, row in enumerate(self.band):
+            for j in range(1, min(self.WIDTH, i) + 1):
+                if row[j]:
+                    x[i] -= row[j] * x[i - j]
+            x[i] /= row[0]
+        for i in range(self.n - 1, -1, -1):
+            x[i] /= self.band[i][0]
+            for j in range(1, min(self.WIDTH, i) + 1):
+                if self.band[i][j]:
+                    x[i - j] -= self.band[i][j] * x[i]
+        return x
+
+
 def solve_knots(stats: pd.DataFrame, targets: pd.DataFrame, eps: float = 1e-8, tie: float = 1e-6) -> pd.DataFrame:
     """Corrections at daily knots of two regimes (peak, off-peak), least in squared second differences, that
     bring each contract's mean to its target.
 
     stats: contract_id, day, is_peak, n, w1 (sum over slots of the elapsed part of the day); targets:
     contract_id, gap. A slot's correction lies between its day's knot and the next day's. Contracts that others
-    imply change nothing; of contracts that contradict each other the gaps are met in least squares."""
+    imply change nothing; of contracts that contradict each other the gaps are met in least squares. The bending matrix
+    is banded; what is solved densely has a row for each contract."""
     days = np.arange(stats["day"].min(), stats["day"].max() + 2)
-    k = len(days)
-    d2 = np.zeros((max(k - 2, 0), k))
-    for i in range(k - 2):
-        d2[i, i : i + 3] = (1, -2, 1)
-    ids = targets["contract_id"].tolist()
+    k, ids = len(days), targets["contract_id"].tolist()
+    row = stats["contract_id"].map({c: i for i, c in enumerate(ids)}).to_numpy()
+    at = 2 * (stats["day"].to_numpy() - days[0]) + (~stats["is_peak"].to_numpy(bool)).astype(int)
     a = np.zeros((len(ids), 2 * k))
-    place = {c: i for i, c in enumerate(ids)}
-    for c, day, peak, n, w1 in stats[["contract_id", "day", "is_peak", "n", "w1"]].itertuples(index=False):
-        at = int(day - days[0]) + (0 if peak else k)
-        a[place[c], at] += n - w1
-        a[place[c], at + 1] += w1
+    np.add.at(a, (row, at), (stats["n"] - stats["w1"]).to_numpy(float))
+    np.add.at(a, (row, at + 2), stats["w1"].to_numpy(float))
     a /= np.maximum(a.sum(axis=1, keepdims=True), 1e-12)
     gap = targets["gap"].to_numpy(float)
-    u, size, vt = np.linalg.svd(a, full_matrices=False)
-    rank = int((size > 1e-9 * size.max(initial=0)).sum())
-    if rank < len(ids):
-        a, gap = size[:rank, None] * vt[:rank], u[:, :rank].T @ gap
-    m = len(gap)
-    kkt = np.zeros((2 * k + m, 2 * k + m))
-    for r in range(2):
-        kkt[r * k : (r + 1) * k, r * k : (r + 1) * k] = d2.T @ d2 + (eps + tie) * np.eye(k)
-    kkt[:k, k : 2 * k] = kkt[k : 2 * k, :k] = -tie * np.eye(k)
-    kkt[: 2 * k, 2 * k :], kkt[2 * k :, : 2 * k] = a.T, a
-    rhs = np.concatenate([np.zeros(2 * k), gap])
-    try:
-        x = np.linalg.solve(kkt, rhs)
-        if not np.isfinite(x).all() or np.abs(a @ x[: 2 * k] - gap).max(initial=0) > 1e-6:
-            raise np.linalg.LinAlgError
-    except np.linalg.LinAlgError:
-        x = np.linalg.lstsq(kkt, rhs, rcond=None)[0]
-    return pd.DataFrame({"day": np.tile(days, 2), "is_peak": np.repeat([True, False], k), "knot": x[: 2 * k]})
-
-
-def calibrate(slots: DataFrame, contracts: DataFrame) -> DataFrame:
-    """slots (curve_id, ts, is_peak, price) with calibrated: contract means met with the smoothest correction.
+    # independent combinations of the contracts
+    size, u = np.linalg.eigh(a @ a.T)
+    keep = size > 1e-12 * size.max(initial=0)
+    u = u[:, keep] / np.sqrt(size[keep])
+    a, gap = u.T @ a, u.T @ gap
+    spread = BandSolver(k, eps, tie).solve(a.T)
+    reduced = a @ spread
+    x, left = np.zeros(2 * k), gap.copy()
+    for _ in range(4):
+        x += spread @ np.linalg.lstsq(reduced, left, rcond=1e-15)[0]
+        left = gap - a @ x
+        if np.abs(left).max(initial=0) < 1e-9:
+            break
+    return pd.DataFrame({"day": np.repeat(days, 2), "is_peak": np.tile([True, False], k), "knot": x})
+
+
+# Least factor and least level of a multiplicative correction, greatest miss that is still applied.
+LEAST_FACTOR, LEAST_LEVEL, GREATEST_MISS = 0.1, 0.1, 50.0
+
+
+def calibrate(slots: DataFrame, contracts: DataFrame, multiplicative: bool = False) -> DataFrame:
+    """slots (curve_id, ts, is_peak, price) with calibrated: contract means met with the smoothest correction, added, or
+    as a factor that is LEAST_FACTOR at least. A curve that misses a contract by more than GREATEST_MISS stays as it was.
 
     contracts: (curve_id, contract_id, start, end, load, price); may overlap. Slots are only aggregated, per
     contract, day and regime; one small solve per curve gives the knots, which are joined back by day. A
@@ -145,7 +211,14 @@ def calibrate(slots: DataFrame, contracts: DataFrame) -> DataFrame:
     pairs = knots.select("curve_id", "day", "is_peak", F.col("knot").alias("k0"), after.alias("k1"))
     out = rows.join(pairs, ["curve_id", "day", "is_peak"], "left")
     change = F.coalesce((1 - F.col("w")) * F.col("k0") + F.col("w") * F.col("k1"), F.lit(0.0))
-    return out.withColumn("calibrated", F.col("price") + change).drop("day", "w", "k0", "k1")
+    level = F.when(F.abs("price") > LEAST_LEVEL, F.col("price")).otherwise(LEAST_LEVEL * F.signum(F.col("price") + 0.01))
+    factor = F.greatest((F.col("price") + change) / level, F.lit(LEAST_FACTOR))
+    out = out.withColumn("calibrated", F.col("price") * factor if multiplicative else F.col("price") + change).drop("w", "k0", "k1")
+    held = out.join(spans, ["curve_id", "day"]).where((F.col("ts") >= F.col("start")) & (F.col("ts") < F.col("end")) & wanted)
+    misses = held.groupBy("curve_id", "contract_id").agg(F.abs(F.avg("calibrated") - F.first("target")).alias("miss"))
+    failed = misses.groupBy("curve_id").agg(F.max("miss").alias("miss")).where(F.col("miss") > GREATEST_MISS)
+    out = out.join(failed, "curve_id", "left").withColumn("calibrated", F.when(F.col("miss").isNull(), F.col("calibrated")).otherwise(F.col("price")))
+    return out.drop("day", "miss")
 
 
 def residuals(slots: DataFrame, groups: list[str], price: str, target: str) -> DataFrame:

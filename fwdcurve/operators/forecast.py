@@ -95,7 +95,7 @@ def applied(rows: DataFrame, models: DataFrame, keys: list[str], columns: list[s
     """rows with forecast: the mean over the windows' models, back on the price scale."""
     x = F.array(*(F.col(c) for c in columns))
     z = F.col("intercept") + F.aggregate(F.zip_with(x, "coefs", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    each = rows.dropna(subset=columns).join(F.broadcast(models), keys).withColumn("one", F.sinh(z) * F.col("sd") + F.col("mu"))
+    each = rows.dropna(subset=columns).join(models, keys).withColumn("one", F.sinh(z) * F.col("sd") + F.col("mu"))
     return each.groupBy(*keys, "d").agg(F.first("price").alias("price"), F.avg("one").alias("forecast"))
 
 
@@ -148,3 +148,9 @@ def recalibrated(forecast: Column, mean_f: Column, sd_f: Column, mean_a: Column,
     ratio = F.least(F.coalesce(F.try_divide(sd_a, sd_f), F.lit(1.0)), F.lit(most))
     moved = mean_a + (forecast - mean_f) * ratio
     return F.greatest(forecast - sd_a, F.least(forecast + sd_a, moved))
+
+
+def conformal_half(width: Column, n: Column, forecast: Column, ahead: Column, least: int = 20) -> Column:
+    """Half width of the band `ahead` days on: the residuals' quantile `width` of `n` residuals, 5 percent wider for each
+    further day; with fewer than `least` residuals a spread that grows with the forecast and the days."""
+    return F.when(n >= least, width * (1.0 + 0.05 * (ahead - 1))).otherwise(1.28 * F.abs(forecast) * (0.05 + 0.01 * ahead))

@@ -15,11 +15,11 @@ DEFAULT_MONTH = [1.18, 1.14, 1.04, 0.94, 0.90, 0.92, 0.88, 0.86, 0.90, 1.02, 1.1
 
 def seasonal_ratios(days: DataFrame, full_years: DataFrame) -> DataFrame:
     """(market, kind, no, ratio): mean over full years of the period's mean over the year's; kind is quarter or month."""
-    rows = days.withColumn("year", F.year("d")).join(F.broadcast(full_years.select("market", "year")), ["market", "year"])
+    rows = days.withColumn("year", F.year("d")).join(full_years.select("market", "year"), ["market", "year"])
     rows = rows.select("market", "year", "price", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), f("d").alias("no")) for k, f in (("quarter", F.quarter), ("month", F.month))))))
     per = rows.groupBy("market", "year", "kind", "no").agg(F.avg("price").alias("mean"))
     year = days.groupBy("market", F.year("d").alias("year")).agg(F.avg("price").alias("all"))
-    return per.join(F.broadcast(year), ["market", "year"]).select("market", "year", "kind", "no", (F.col("mean") / F.col("all")).alias("ratio"))
+    return per.join(year, ["market", "year"]).select("market", "year", "kind", "no", (F.col("mean") / F.col("all")).alias("ratio"))
 
 
 def mean_ratios(ratios: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def cascade_quarters(quotes: DataFrame, months: DataFrame, ratios: DataFrame) ->
     years = quotes.where("quarter IS NULL AND month IS NULL").select("market", "year", F.col("price").alias("year_price"))
     known = quotes.where("quarter IS NOT NULL").select("market", "year", "quarter", F.col("price").alias("quoted"))
     share = ratios.where("kind = 'quarter'").select("market", F.col("no").alias("quarter"), "ratio")
-    rows = years.join(F.broadcast(quarter_table(months)), "year").join(F.broadcast(share), ["market", "quarter"], "left").join(known, ["market", "year", "quarter"], "left")
+    rows = years.join(quarter_table(months), "year").join(share, ["market", "quarter"], "left").join(known, ["market", "year", "quarter"], "left")
     return _split(rows, ["market", "year"], "year_price").select("market", "year", "quarter", "hours", "price", F.col("quoted").isNull().alias("derived"))
 
 
@@ -53,7 +53,7 @@ def cascade_months(quarters: DataFrame, quotes: DataFrame, months: DataFrame, ra
     known = quotes.where("month IS NOT NULL").select("market", "year", "month", F.col("price").alias("quoted"))
     share = ratios.where("kind = 'month'").select("market", F.col("no").alias("month"), "ratio")
     parents = quarters.select("market", "year", "quarter", F.col("price").alias("parent_price"))
-    rows = parents.join(F.broadcast(months), ["year", "quarter"]).join(F.broadcast(share), ["market", "month"], "left").join(known, ["market", "year", "month"], "left")
+    rows = parents.join(months, ["year", "quarter"]).join(share, ["market", "month"], "left").join(known, ["market", "year", "month"], "left")
     return _split(rows, ["market", "year", "quarter"], "parent_price").select("market", "year", "quarter", "month", "hours", "price", F.col("quoted").isNull().alias("derived"))
 
 
@@ -83,7 +83,7 @@ def monthly_contracts(quotes: DataFrame, peaks: DataFrame, months: DataFrame) ->
 
     The month's price is its own quote's, else the quarter's, else the year's."""
     years = quotes.select("market", "year").distinct()
-    rows = years.join(F.broadcast(months), "year")
+    rows = years.join(months, "year")
     for name, keys, part in (("m", ["market", "year", "month"], quotes.where("month IS NOT NULL")), ("q", ["market", "year", "quarter"], quotes.where("quarter IS NOT NULL")), ("y", ["market", "year"], quotes.where("quarter IS NULL AND month IS NULL"))):
         rows = rows.join(part.select(*keys, F.col("price").alias(name)), keys, "left")
     rows = rows.withColumn("base", F.coalesce("m", "q", "y")).join(peaks.select("market", "year", "month", "peak"), ["market", "year", "month"], "left")
@@ -96,7 +96,7 @@ def monthly_contracts(quotes: DataFrame, peaks: DataFrame, months: DataFrame) ->
 def proxy(days: DataFrame, start_year: int, n_years: int, anchor_days: int = 365) -> DataFrame:
     """Quotes derived from prices: trailing mean, seasonal ratios and a yearly decay within -10 % and 0."""
     last = days.groupBy("market").agg(F.max("d").alias("last"))
-    anchor = days.join(F.broadcast(last), "market").where(F.col("d") > F.date_sub("last", anchor_days)).groupBy("market").agg(F.avg("price").alias("anchor"))
+    anchor = days.join(last, "market").where(F.col("d") > F.date_sub("last", anchor_days)).groupBy("market").agg(F.avg("price").alias("anchor"))
     yearly = days.groupBy("market", F.year("d").alias("year")).agg(F.avg("price").alias("mean"))
     change = yearly.select("market", (F.col("mean") / F.lag("mean").over(Window.partitionBy("market").orderBy("year")) - 1).alias("change"))
     decay = change.groupBy("market").agg(F.when(F.count("change") >= 2, F.greatest(F.lit(-0.10), F.least(F.lit(0.0), F.median("change")))).otherwise(F.lit(-0.03)).alias("decay"))

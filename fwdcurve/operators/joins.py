@@ -11,17 +11,19 @@ from .windows import valid_ranges
 DAY_WEIGHTS = {"Ouvrable": 1.05, "Samedi": 0.92, "Dimanche": 0.78, "Ferie_CH": 0.75, "Ferie_DE": 0.88}
 
 
-def asof_weekly(left: DataFrame, weeks: DataFrame, time: str, week: str, value: str) -> DataFrame:
-    """left with the value of the latest week at or before its day.
+def asof_weekly(left: DataFrame, weeks: DataFrame, time: str, week: str, value: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """left with the value of the latest week at or before its day, within keys (columns of both sides).
 
     Each value's validity is cut into the weeks it spans, so the join is an equi-join on the week with no
     range condition left but for the first days; a value carried over missing weeks is repeated in each.
-    The last value is carried to the last day of left."""
-    last = left.agg(F.max(time).alias("last_day"))
-    ranges = valid_ranges(weeks.select(week, value).withColumn("_one", F.lit(1)), week, ["_one"]).crossJoin(F.broadcast(last))
+    The last value is carried to the last day of left. Without keys the weeks are one series, a row each."""
+    last = left.groupBy(*keys).agg(F.max(time).alias("last_day"))
+    one = [*keys] or ["_one"]
+    ranges = valid_ranges(weeks.select(*keys, week, value).withColumn("_one", F.lit(1)), week, one)
+    ranges = ranges.join(last, [*keys]) if keys else ranges.crossJoin(F.broadcast(last))
     end = F.coalesce(F.date_sub("valid_to", 1), F.greatest(F.col(week), F.col("last_day")))
-    filled = ranges.select(F.explode(F.sequence(F.col(week), end, F.expr("INTERVAL 7 DAYS"))).alias("_week"), value)
-    return left.withColumn("_week", F.to_date(F.date_trunc("week", time))).join(filled, "_week", "left").drop("_week")
+    filled = ranges.select(*keys, F.explode(F.sequence(F.col(week), end, F.expr("INTERVAL 7 DAYS"))).alias("_week"), value)
+    return left.withColumn("_week", F.to_date(F.date_trunc("week", time))).join(filled, [*keys, "_week"], "left").drop("_week")
 
 
 def contract_slots(quotes: DataFrame, slots: DataFrame) -> DataFrame:
@@ -60,7 +62,7 @@ def last_week(spot: DataFrame, start: str) -> DataFrame:
     before = spot.where(F.col("ts") < at)
     week = before.where(F.col("ts") >= at - F.expr("INTERVAL 7 DAYS")).withColumns(key).groupBy("series", *key).agg(F.avg("price").alias("m"))
     mean = before.groupBy("series").agg(F.avg("price").alias("g"))
-    rows = spot.where(F.col("ts") >= at).withColumns(key).join(F.broadcast(week), ["series", *key], "left").join(F.broadcast(mean), "series")
+    rows = spot.where(F.col("ts") >= at).withColumns(key).join(week, ["series", *key], "left").join(mean, "series")
     return rows.select("series", "ts", "price", F.coalesce("m", "g").alias("naive"))
 
 

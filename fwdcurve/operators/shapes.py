@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import calendar
 from .aggregates import weighted_mean
 from .windows import bfill, ffill, interpolated
 
@@ -54,7 +55,7 @@ def day_factor(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     """(*keys, day_type, f): weighted mean of the day type over that of all days; 1 with too few rows."""
     per = rows.groupBy(*keys, "day_type").agg(weighted_mean(F.col("price"), F.col("w")).alias("m"), F.count(F.lit(1)).alias("n"))
     every = rows.groupBy(*keys).agg(weighted_mean(F.col("price"), F.col("w")).alias("all"))
-    return per.join(F.broadcast(every), keys).select(*keys, "day_type", F.when(F.col("n") >= least, F.col("m") / F.col("all")).otherwise(F.lit(1.0)).alias("f"))
+    return per.join(every, keys).select(*keys, "day_type", F.when(F.col("n") >= least, F.col("m") / F.col("all")).otherwise(F.lit(1.0)).alias("f"))
 
 
 def quarter_ratios(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,6 +88,28 @@ def huber_by(rows: DataFrame, keys: list[str], value: str, least: int = 8) -> Da
     return rows.select(*keys, value).groupBy(*keys).applyInPandas(solve, schema)
 
 
+# The day type whose cell stands in for a missing one.
+STAND_IN = {"Ferie_DE": "Ferie_CH", "Ferie_CH": "Dimanche", "Dimanche": "Samedi", "Samedi": "Ouvrable"}
+
+
+def quarter_fallback(cells: DataFrame, base: DataFrame) -> DataFrame:
+    """cells (series, season, day_type, hour) with quarter and f: the cell's own factors of base, else those of the
+    same season's next day type along STAND_IN, else of a working day in the first season that has one, else 1.
+
+    What may stand in for a cell is at most 20 cells of its series and hour."""
+    rank = lambda values, c: F.array_position(F.array(*map(F.lit, values)), c).cast("int")
+    # days along the chain, from the last to the first that others stand in for
+    order = ["Ferie_DE", *STAND_IN.values()]
+    other = base.select("series", "hour", "quarter", "f", F.col("season").alias("of_season"), F.col("day_type").alias("of_day"))
+    met = cells.join(other, ["series", "hour"])
+    step = rank(order, F.col("of_day")) - rank(order, F.col("day_type"))
+    same = F.col("of_season") == F.col("season")
+    place = F.when(same & (step >= 0), step).when(F.col("of_day") == order[-1], 10 + rank(SEASONS, F.col("of_season")))
+    best = met.withColumn("place", place).where("place IS NOT NULL").groupBy(*CELL, "hour", "quarter").agg(F.min_by("f", "place").alias("f"))
+    grid = cells.withColumn("quarter", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    return grid.join(best, [*CELL, "hour", "quarter"], "left").fillna(1.0, ["f"])
+
+
 def ridge(x: np.ndarray, y: np.ndarray, alphas=(0.01, 0.1, 1.0, 10.0, 100.0)) -> tuple[np.ndarray, float]:
     """Coefficients and intercept of a ridge fit, alpha by leave-one-out error; the intercept isn't shrunk."""
     mx, my = x.mean(axis=0), y.mean()
@@ -153,3 +176,44 @@ def water_value(deviation: Column, season: Column, over: Window, beta: float = B
     clamp = lambda c: F.greatest(F.lit(FLOOR), F.least(F.lit(CAP), c))
     raw = clamp(1.0 + (-1 if full_is_lower else 1) * beta * F.coalesce(deviation, F.lit(0.0)) * of)
     return clamp(raw / F.avg(raw).over(over))
+
+
+# Seasons of the water value in order, bounds of its beta, least months of a fit.
+WATER_SEASONS = ("hiver", "printemps", "ete", "automne")
+BETA_BOUNDS, SENSITIVITY_BOUNDS, LEAST_MONTHS = (-0.10, -0.001), (-2.0, 0.0), 12
+
+
+def water_design(months: DataFrame) -> DataFrame:
+    """months (market, month, p, dev) with trend (0 to 1 over a market's months) and dev in the column of its season."""
+    w = Window.partitionBy("market")
+    first, last = F.min("month").over(w), F.max("month").over(w)
+    season = calendar.season(F.month("month"))
+    trend = F.coalesce(F.try_divide(F.datediff("month", first).cast("double"), F.datediff(last, first).cast("double")), F.lit(0.0))
+    sides = {c: F.when(season == name, F.col("dev")).otherwise(F.lit(0.0)) for c, name in zip(WATER_SEASONS, SENSITIVITY, strict=True)}
+    return months.withColumns({"trend": trend, "months": F.count(F.lit(1)).over(w), **sides})
+
+
+def water_fit(design: DataFrame) -> DataFrame:
+    """(market, months, beta, one sensitivity for each season): least squares of the monthly price on trend and
+    seasonal deviations, relative to the mean price; defaults below LEAST_MONTHS. A group is a market's months."""
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        beta, of = BETA, list(SENSITIVITY.values())
+        if len(pdf) >= LEAST_MONTHS:
+            sides = pdf[list(WATER_SEASONS)].to_numpy(float)
+            y = pdf["p"].to_numpy(float)
+            x = np.column_stack([np.ones(len(pdf)), pdf["trend"].to_numpy(float), sides])
+            raw = np.linalg.lstsq(x, y, rcond=None)[0][2:] / (y.mean() or 1.0)
+            n = np.array([(calendar_season(pdf["month"]) == s).sum() for s in SENSITIVITY])
+            beta = float(np.clip((raw * n).sum() / n.sum(), *BETA_BOUNDS))
+            if abs(beta) > 1e-6:
+                of = np.clip(raw / abs(beta), *SENSITIVITY_BOUNDS).tolist()
+        return pd.DataFrame([[pdf["market"].iloc[0], len(pdf), beta, *of]], columns=["market", "months", "beta", *WATER_SEASONS])
+
+    return design.groupBy("market").applyInPandas(solve, f"market string, months long, beta double, {', '.join(f'{c} double' for c in WATER_SEASONS)}")
+
+
+def calendar_season(months: pd.Series) -> np.ndarray:
+    """Season of each first of a month, as calendar.season has it."""
+    names = {m: s for s, ms in calendar.SEASON.items() for m in ms}
+    return np.array([names[m.month] for m in months])

@@ -56,15 +56,9 @@ class Tables:
 
     @cached_property
     def commodities(self) -> DataFrame:
-        brands = self.part.where(F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#13", "Brand#1", "Brand#2", "Brand#3")).select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-        joined = self.lineitem.join(brands, "l_partkey")
+        joined = self.lineitem.join(self.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
         return joined.groupBy(F.to_date("l_shipdate").alias("d"), F.col("p_brand").alias("name")).agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("close"))
 
-    @cached_property
-    def every_name(self) -> Tables:
-        """The same tables with the commodities of all brands."""
-        return EveryName(self.spark, self.path)
-
     @cached_property
     def quotes(self) -> DataFrame:
         """Yearly, quarterly and monthly means of the daily prices; odd years have the year alone, even years
@@ -82,13 +76,6 @@ class Tables:
         return day_calendar(self.daily.select("d").distinct())
 
 
-class EveryName(Tables):
-    @cached_property
-    def commodities(self) -> DataFrame:
-        joined = self.lineitem.join(self.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
-        return joined.groupBy(F.to_date("l_shipdate").alias("d"), F.col("p_brand").alias("name")).agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("close"))
-
-
 Q = lambda a, b: f"CAST(floor(({a}) / {b}.0) AS INT)"
 
 BASE = """
@@ -99,8 +86,7 @@ hydro_w AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS week, sum(l_q
 hydro AS (SELECT week, 100 * fill / (SELECT max(fill) FROM hydro_w) AS fill_pct FROM hydro_w),
 outages AS (SELECT l_orderkey AS id, l_linenumber AS revision, l_shipdate AS start_ts, l_shipdate + to_hours(CAST(l_quantity AS INT)) AS end_ts,
   l_extendedprice / 1000 AS mw, l_returnflag AS fuel, l_linestatus AS status, l_partkey AS tie1, l_suppkey AS tie2 FROM lineitem),
-commodities AS (SELECT CAST(l_shipdate AS DATE) AS d, p_brand AS name, avg(l_extendedprice / l_quantity) AS close FROM lineitem JOIN part ON p_partkey = l_partkey
-  WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#1', 'Brand#2', 'Brand#3') GROUP BY ALL),
+commodities AS (SELECT CAST(l_shipdate AS DATE) AS d, p_brand AS name, avg(l_extendedprice / l_quantity) AS close FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
 quotes AS (SELECT market, y AS year, CASE WHEN m IS NULL THEN q END AS quarter, m AS month, price FROM (
   SELECT market, y, q, m, avg(price) AS price FROM (SELECT market, year(d) AS y, quarter(d) AS q, month(d) AS m, price FROM daily)
   GROUP BY GROUPING SETS ((market, y), (market, y, q), (market, y, q, m))) WHERE q IS NULL OR (y % 2 = 0 AND m IS NULL AND q <> 3) OR (y % 2 = 0 AND m = 1))

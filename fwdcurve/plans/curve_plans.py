@@ -116,7 +116,7 @@ def fwd10(t):
 
 @query("fwd11_offpeak_identity", "SELECT market, CAST(year AS INT) AS year, month, round((price * hours - price * 1.15 * peak_hours) / (hours - peak_hours), 6) AS offpeak FROM cm JOIN mh USING (year, month, quarter, hours)", CASC)
 def fwd11(t):
-    rows = months(t).select("market", "year", "month", "price").join(F.broadcast(month_hours(t)), ["year", "month"])
+    rows = months(t).select("market", "year", "month", "price").join(month_hours(t), ["year", "month"])
     return rows.select("market", "year", "month", R(forwards.offpeak(F.col("price"), F.col("price") * 1.15, F.col("hours"), F.col("peak_hours")), "offpeak"))
 
 
@@ -204,7 +204,7 @@ def day_factors(t):
     """daily with f_w: the seasonal day-type factor, mean 1 in each month."""
     rows = t.daily.join(F.broadcast(t.calendar), "d")
     rows = rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
-    rows = rows.join(F.broadcast(seasonal_factor(t)), ["market", "season", "day_type"], "left").fillna(1.0, ["f"]).withColumns({"y": F.year("d"), "mon": F.month("d")})
+    rows = rows.join(seasonal_factor(t), ["market", "season", "day_type"], "left").fillna(1.0, ["f"]).withColumns({"y": F.year("d"), "mon": F.month("d")})
     return rows.withColumn("f_w", win.normalised("f", ["market", "y", "mon"])).select("market", "d", "price", "f_w")
 
 

@@ -89,6 +89,18 @@ def fct7(t):
     return rows.groupBy("series", F.hour("ts").alias("hour")).agg(R(F.percentile(F.abs(F.col("price") - F.col("naive")), F.lit(0.9)), "half_width"))
 
 
+@query("fct7b_conformal_bands", """SELECT series, hour, ahead, round(forecast, 6) AS forecast, round(forecast - half, 6) AS p10, round(forecast + half, 6) AS p90 FROM (
+  SELECT *, CASE WHEN n >= 20 THEN width * (1.0 + 0.05 * (ahead - 1)) ELSE 1.28 * abs(forecast) * (0.05 + 0.01 * ahead) END AS half FROM (
+    SELECT series, CAST(hour(ts) AS INT) AS hour, count(*) AS n, quantile_cont(abs(price - naive), 0.9) AS width, arg_max(naive, ts) AS forecast FROM naive GROUP BY ALL), (SELECT CAST(unnest(range(1, 11)) AS INT) AS ahead))""", NAIVE)
+def fct7b(t):
+    """Bands of the next ten days around the latest naive forecast of each series and hour."""
+    rows = joins.last_week(t.spot, "2024-01-15")
+    per = rows.groupBy("series", F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"), F.percentile(F.abs(F.col("price") - F.col("naive")), F.lit(0.9)).alias("width"), F.max_by("naive", "ts").alias("forecast"))
+    per = per.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(10))))
+    half = fc.conformal_half(F.col("width"), F.col("n"), F.col("forecast"), F.col("ahead"))
+    return per.select("series", "hour", "ahead", R("forecast", "forecast"), R(F.col("forecast") - half, "p10"), R(F.col("forecast") + half, "p90"))
+
+
 @query("fct8_forecast_table")
 def fct8(t):
     return forecasts(t).select("market", S("d"), R(F.greatest("forecast", F.lit(-50.0)), "forecast"), (F.datediff("d", "cutoff") + 1).alias("days_ahead"))
@@ -260,10 +272,10 @@ def val17(t):
     return rows.select("market", ok.alias("passed"), F.when(ok, "ok").otherwise("mae above 20").alias("reason"))
 
 
-@query("val18_parameter_search", "SELECT market, arg_min(half_life, rmse) AS best, round(min(rmse), 5) AS rmse FROM (SELECT market, half_life, sqrt(avg((price - level) * (price - level))) AS rmse FROM (SELECT b.market, h.half_life, b.d, any_value(b.price) AS price, sum(a.price * exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) / sum(exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) AS level FROM daily a JOIN daily b ON a.market = b.market AND a.d < b.d AND a.d >= b.d - INTERVAL 30 day AND day(b.d) = 1, (VALUES (3.0), (7.0), (30.0)) h(half_life) GROUP BY b.market, h.half_life, b.d) GROUP BY market, half_life) GROUP BY market")
+@query("val18_parameter_search", "SELECT market, arg_min(half_life, rmse) AS best, round(min(rmse), 5) AS rmse FROM (SELECT market, half_life, sqrt(avg((price - level) * (price - level))) AS rmse FROM (SELECT b.market, h.half_life, b.d, any_value(b.price) AS price, sum(a.price * exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) / sum(exp(-ln(2) * date_diff('day', a.d, b.d) / h.half_life)) AS level FROM daily a JOIN daily b ON a.market = b.market AND a.d < b.d AND a.d >= b.d - INTERVAL 30 day, (VALUES (3.0), (7.0), (30.0)) h(half_life) GROUP BY b.market, h.half_life, b.d) GROUP BY market, half_life) GROUP BY market")
 def val18(t):
-    """Trials are rows: each half-life is tried on the first day of every month in one plan."""
-    return half_lives(t, t.daily.where("day(d) = 1"))
+    """Trials are rows: each half-life is tried on every day in one plan."""
+    return half_lives(t, t.daily)
 
 
 @query("val18b_all_days")

@@ -76,7 +76,7 @@ def rpt9(t):
 
 @query("rpt9b_all_commodities")
 def rpt9b(t):
-    return rpt9(t.every_name)
+    return rpt9(t)
 
 
 @query("rpt10_forecast_summary", "SELECT series, CAST(hour(ts) AS INT) AS hour, round(avg(naive), 6) AS mean, round(avg(abs(price - naive)), 6) AS mae FROM naive GROUP BY series, hour(ts)", NAIVE)

@@ -31,7 +31,7 @@ FH_ALL = """fh_all AS (SELECT series, season, day_type, hour, coalesce(f, avg(f)
 def weighted_rows(t):
     """enriched spot rows with their cell and a weight that halves every 30 days."""
     last = t.spot.groupBy("series").agg(F.to_date(F.max("ts")).alias("last"))
-    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(last), "series")
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(last, "series")
     return rows.withColumn("w", win.decay_weight(F.to_date("ts"), F.col("last"), 30.0))
 
 
@@ -79,8 +79,8 @@ def seasonal_factor(t):
     rows = weighted_days(t)
     own = rows.groupBy("market", "season", "day_type").agg((F.sum(F.col("w") * F.col("price")) / F.sum("w")).alias("m"), F.count(F.lit(1)).alias("n"))
     every = rows.groupBy("market", "season").agg((F.sum(F.col("w") * F.col("price")) / F.sum("w")).alias("all"))
-    own = own.join(F.broadcast(every), ["market", "season"]).withColumn("own", F.when(F.col("n") >= 20, F.col("m") / F.col("all")))
-    return own.join(F.broadcast(shapes.day_factor(rows, ["market"], 20)), ["market", "day_type"]).select("market", "season", "day_type", F.coalesce("own", "f").alias("f"))
+    own = own.join(every, ["market", "season"]).withColumn("own", F.when(F.col("n") >= 20, F.col("m") / F.col("all")))
+    return own.join(shapes.day_factor(rows, ["market"], 20), ["market", "day_type"]).select("market", "season", "day_type", F.coalesce("own", "f").alias("f"))
 
 
 @query("shp5_seasonal_day_factor", "SELECT market, season, day_type, round(coalesce(fws.f, fw.f), 6) AS f FROM fws JOIN fw USING (market, day_type)", f"{DAYS}, {FW}, {FWS}")
@@ -98,7 +98,7 @@ def shp6(t):
 @query("shp7_apply_hourly", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(g / avg(g) OVER (PARTITION BY series, d), 6) AS f FROM (SELECT e.series, e.ts, e.d, greatest(0.4, least(2.0, coalesce(f.f, 1.0))) AS g FROM wrows e LEFT JOIN fh_all f USING (series, season, day_type, hour))", f"{FH}, {FH_SMOOTH}, {FH_ALL}")
 def shp7(t):
     table = shapes.with_fallback(shapes.smoothed(profile(t)))
-    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(table), [*CELL, "hour"], "left")
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(table, [*CELL, "hour"], "left")
     g = rows.withColumn("g", F.greatest(F.lit(0.4), F.least(F.lit(2.0), F.coalesce("f", F.lit(1.0)))))
     return g.select("series", S("ts"), R(win.normalised("g", ["series", "d"]), "f"))
 
@@ -142,8 +142,13 @@ def shp10(t):
 
 @query("shp10b_quarter_huber")
 def shp10b(t):
-    located = shapes.huber_by(ratios(t), [*CELL, "hour", "quarter"], "ratio").where("location IS NOT NULL")
-    return located.select(*CELL, "hour", "quarter", R(win.normalised("location", [*CELL, "hour"]), "f"))
+    """Robust quarter factors of every cell with a ratio; a cell with a thin quarter takes those of another cell."""
+    rows = ratios(t)
+    located = shapes.huber_by(rows, [*CELL, "hour", "quarter"], "ratio").where("location IS NOT NULL")
+    whole = located.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*CELL, "hour"))).where("n = 4")
+    base = whole.select(*CELL, "hour", "quarter", win.normalised("location", [*CELL, "hour"]).alias("f"))
+    filled = shapes.quarter_fallback(rows.select(*CELL, "hour").distinct(), base)
+    return filled.select(*CELL, "hour", "quarter", R("f", "f"))
 
 
 @query("shp11_quarter_correction")
@@ -154,7 +159,7 @@ def shp11(t):
 
 @query("shp12_apply_quarter", "SELECT e.series, CAST(e.ts AS VARCHAR) AS ts, round(coalesce(q.f, 1.0), 6) AS f FROM wrows e LEFT JOIN fq q USING (series, season, day_type, hour, quarter)", f"{RATIOS}, {FQ}")
 def shp12(t):
-    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(quarter_table(t)), [*CELL, "hour", "quarter"], "left")
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(quarter_table(t), [*CELL, "hour", "quarter"], "left")
     return rows.select("series", S("ts"), R(F.coalesce("f", F.lit(1.0)), "f"))
 
 
@@ -200,11 +205,40 @@ def shp16(t):
     return out.select("series", "ts", R(win.normalised("p", ["series", "d"]), "f"))
 
 
-@query("shp17_water_value_fit", "SELECT season, round(regr_slope(p, dev), 6) AS slope, count(*) AS months FROM (SELECT CASE WHEN m IN (11, 12, 1, 2, 3) THEN 'Hiver' WHEN m IN (4, 5) THEN 'Printemps' WHEN m = 10 THEN 'Automne' ELSE 'Ete' END AS season, p, dev FROM (SELECT year(x.d) AS y, month(x.d) AS m, avg(x.price) AS p, avg(h.fill_pct) AS dev FROM (SELECT * FROM daily WHERE market = 'CH') x ASOF LEFT JOIN hydro h ON x.d >= h.week GROUP BY ALL)) GROUP BY season")
+WATER = """water_m AS (SELECT market, make_date(CAST(year(d) AS INT), CAST(month(d) AS INT), 1) AS month, avg(price) AS p, avg(fill - typical) AS dev
+  FROM (SELECT x.market, x.d, x.price, h.fill_pct AS fill, c.typical FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week LEFT JOIN (SELECT weekofyear(week) AS w, avg(fill_pct) AS typical FROM hydro GROUP BY ALL) c ON c.w = weekofyear(h.week)) WHERE fill IS NOT NULL GROUP BY ALL),
+water_x AS (SELECT market, p, season, avg(p) OVER (PARTITION BY market) AS mean, count(*) OVER (PARTITION BY market) AS months,
+  coalesce(date_diff('day', min(month) OVER (PARTITION BY market), month) / nullif(date_diff('day', min(month) OVER (PARTITION BY market), max(month) OVER (PARTITION BY market)), 0), 0.0) AS trend,
+  CASE WHEN season = 'Hiver' THEN dev ELSE 0.0 END AS hiver, CASE WHEN season = 'Printemps' THEN dev ELSE 0.0 END AS printemps, CASE WHEN season = 'Ete' THEN dev ELSE 0.0 END AS ete, CASE WHEN season = 'Automne' THEN dev ELSE 0.0 END AS automne
+  FROM (SELECT *, CASE WHEN month(month) IN (11, 12, 1, 2, 3) THEN 'Hiver' WHEN month(month) IN (4, 5) THEN 'Printemps' WHEN month(month) = 10 THEN 'Automne' ELSE 'Ete' END AS season FROM water_m))"""
+
+
+@query("shp17_water_value_fit", "SELECT market, season, round(regr_slope(p, dev), 6) AS slope, count(*) AS months FROM (SELECT market, CASE WHEN m IN (11, 12, 1, 2, 3) THEN 'Hiver' WHEN m IN (4, 5) THEN 'Printemps' WHEN m = 10 THEN 'Automne' ELSE 'Ete' END AS season, p, dev FROM (SELECT x.market, year(x.d) AS y, month(x.d) AS m, avg(x.price) AS p, avg(h.fill_pct) AS dev FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week GROUP BY ALL)) GROUP BY market, season")
 def shp17(t):
-    rows = joins.asof_weekly(t.daily.where("market = 'CH'"), t.hydro, "d", "week", "fill_pct")
-    months = rows.groupBy(F.year("d").alias("y"), F.month("d").alias("m")).agg(F.avg("price").alias("p"), F.avg("fill_pct").alias("dev"))
-    return months.groupBy(cal.season(F.col("m")).alias("season")).agg(R(F.regr_slope("p", "dev"), "slope"), F.count(F.lit(1)).alias("months"))
+    """Price on fill for each season alone, without the trend; shp17b has the whole regression."""
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct")
+    months = rows.groupBy("market", F.year("d").alias("y"), F.month("d").alias("m")).agg(F.avg("price").alias("p"), F.avg("fill_pct").alias("dev"))
+    return months.groupBy("market", cal.season(F.col("m")).alias("season")).agg(R(F.regr_slope("p", "dev"), "slope"), F.count(F.lit(1)).alias("months"))
+
+
+@query("shp17c_water_design", """SELECT market, round(trend, 6) AS trend, round(p, 6) AS p, round(hiver, 6) AS hiver, round(printemps, 6) AS printemps, round(ete, 6) AS ete, round(automne, 6) AS automne, months FROM water_x""", WATER)
+def shp17c(t):
+    """The design rows of the water value's regression: a month's mean price, the trend and the reservoir's deviation
+    from its usual level in the month's season."""
+    return water_months(t).select("market", *(R(c, c) for c in ("trend", "p", "hiver", "printemps", "ete", "automne")), "months")
+
+
+def water_months(t):
+    usual = t.hydro.groupBy(F.weekofyear("week").alias("w")).agg(F.avg("fill_pct").alias("typical"))
+    deviations = t.hydro.withColumn("w", F.weekofyear("week")).join(usual, "w").select("week", (F.col("fill_pct") - F.col("typical")).alias("dev"))
+    rows = joins.asof_weekly(t.daily, deviations, "d", "week", "dev").where("dev IS NOT NULL")
+    months = rows.groupBy("market", F.to_date(F.date_trunc("month", "d")).alias("month")).agg(F.avg("price").alias("p"), F.avg("dev").alias("dev"))
+    return shapes.water_design(months)
+
+
+@query("shp17b_water_value_betas")
+def shp17b(t):
+    return shapes.water_fit(water_months(t)).select("market", R("beta", "beta", 8), *(R(c, c) for c in shapes.WATER_SEASONS), "months")
 
 
 @query("shp18_water_value", """SELECT market, CAST(d AS VARCHAR) AS d, round(greatest(0.8, least(1.2, raw / avg(raw) OVER (PARTITION BY market))), 6) AS f FROM (SELECT market, d, greatest(0.8, least(1.2, 1.0 + 0.03 * coalesce(dev, 0) * CASE season WHEN 'Hiver' THEN -0.8 WHEN 'Printemps' THEN -0.3 WHEN 'Ete' THEN -0.1 ELSE -0.5 END)) AS raw
@@ -237,7 +271,7 @@ def shp19b(t):
 
 @query("shp20_apply_bands", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(price - abs(price - price * p10 / greatest(p50, 0.01)) * 2.5, 6) AS p10, round(price + abs(price * p90 / greatest(p50, 0.01) - price) * 2.5, 6) AS p90 FROM hourly JOIN bands USING (series, hour)", f"{HOURLY}, {BANDS}")
 def shp20(t):
-    rows = hourly(t).join(F.broadcast(bands(t)), ["series", "hour"])
+    rows = hourly(t).join(bands(t), ["series", "hour"])
     months = tg.months_between(F.lit("2024-01-01").cast("date"), F.col("ts"))
     lo, hi = shapes.banded(F.col("price"), F.col("p10"), F.col("p50"), F.col("p90"), tg.step_lookup(months, tg.WIDENING, 4.2))
     return rows.select("series", S("ts"), R(lo, "p10"), R(hi, "p90"))
@@ -247,16 +281,16 @@ def shp20(t):
 def shp21(t):
     typical = t.spot.groupBy("series", F.hour("ts").alias("h"), F.minute("ts").alias("q")).agg(F.median("price").alias("typical"))
     ahead = tg.grid(t.spark.range(1).select(F.lit("2024-02-01").cast("timestamp_ntz").alias("start"), F.lit("2024-02-03").cast("timestamp_ntz").alias("end")), "15 MINUTES")
-    return ahead.withColumns({"h": F.hour("ts"), "q": F.minute("ts")}).join(F.broadcast(typical), ["h", "q"]).select("series", S("ts"), R("typical", "typical"))
+    return ahead.withColumns({"h": F.hour("ts"), "q": F.minute("ts")}).join(typical, ["h", "q"]).select("series", S("ts"), R("typical", "typical"))
 
 
-@query("shp22_deviation_ramp", "SELECT CAST(week AS VARCHAR) AS week, round(dev * (1 - (row_number() OVER (ORDER BY week) - 1) / greatest(count(*) OVER () - 1, 1)), 6) + 0.0 AS deviation FROM (SELECT week, (SELECT arg_max(fill_pct, week) FROM hydro) - (SELECT avg(fill_pct) FROM hydro) AS dev FROM hydro WHERE year(week) = 2001)")
+@query("shp22_deviation_ramp", "SELECT CAST(week AS VARCHAR) AS week, round(dev * (1 - (row_number() OVER (PARTITION BY year(week) ORDER BY week) - 1) / greatest(count(*) OVER (PARTITION BY year(week)) - 1, 1)), 6) + 0.0 AS deviation FROM (SELECT week, (SELECT arg_max(fill_pct, week) FROM hydro) - (SELECT avg(fill_pct) FROM hydro) AS dev FROM hydro)")
 def shp22(t):
     now = t.hydro.agg((F.max_by("fill_pct", "week") - F.avg("fill_pct")).alias("dev"))
-    rows = t.hydro.where(F.year("week") == 2001).withColumn("y", F.year("week")).crossJoin(F.broadcast(now))
+    rows = t.hydro.withColumn("y", F.year("week")).crossJoin(F.broadcast(now))
     n = F.count(F.lit(1)).over(Window.partitionBy("y"))
     ramp = 1 - (F.row_number().over(Window.partitionBy("y").orderBy("week")) - 1) / F.greatest(n - 1, F.lit(1))
-    return rows.select(S("week"), (F.round(F.col("dev") * ramp, 6) + 0.0).alias("deviation"))
+    return rows.select(S("week"), (R(F.col("dev") * ramp, "x") + 0.0).alias("deviation"))
 
 
 @query("shp23_diagnostics", "SELECT CAST(month(a.d) AS INT) AS month, count(*) AS n, round(corr(a.price, b.price), 6) AS corr, round(avg(a.price) FILTER (b.price > 50) - avg(a.price) FILTER (b.price <= 50), 6) AS gap FROM daily a JOIN daily b ON a.d = b.d AND a.market = 'CH' AND b.market = 'DE' GROUP BY month(a.d)")

@@ -133,19 +133,16 @@ def src14(t):
 
 @query("src15_close_columns", "SELECT name, CAST(d AS VARCHAR) AS d, round(close, 6) AS close FROM commodities")
 def src15(t):
-    names = ["Brand#1", "Brand#2", "Brand#3", "Brand#11", "Brand#12", "Brand#13"]
-    wide = t.commodities.groupBy("d").pivot("name", names).agg(F.first("close"))
+    closes = t.commodities
+    names = sorted(r[0] for r in t.part.select("p_brand").where("p_brand IS NOT NULL").distinct().collect())
+    wide = closes.groupBy("d").pivot("name", names).agg(F.first("close"))
     wide = wide.select("d", *(F.col(f"`{n}`").alias(f"{n}|close") for n in names))
     return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
 
 
 @query("src15b_all_close_columns")
 def src15b(t):
-    closes = t.every_name.commodities
-    names = sorted(r[0] for r in t.part.select("p_brand").where("p_brand IS NOT NULL").distinct().collect())
-    wide = closes.groupBy("d").pivot("name", names).agg(F.first("close"))
-    wide = wide.select("d", *(F.col(f"`{n}`").alias(f"{n}|close") for n in names))
-    return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
+    return src15(t)
 
 
 @query("src16_latest_artifact", "SELECT market, CAST(max(d) AS VARCHAR) AS latest FROM daily GROUP BY market")

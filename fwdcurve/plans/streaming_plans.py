@@ -55,11 +55,11 @@ def str4(t):
     return drained(t, jobs.sliding_mean(stream(t)), "sliding").select("series", F.to_date("start").cast("string").alias("start"), R("mean", "mean"))
 
 
-@query("str5_gate", "SELECT event_type AS series, count(*) AS n, true AS ok FROM events GROUP BY event_type")
+@query("str5_gate", f"SELECT event_type AS series, count(*) AS n, max(ts) < {NEWEST} - INTERVAL 6 hour AS stale, count(*) FILTER (value IS NULL) = 0 AND max(ts) >= {NEWEST} - INTERVAL 6 hour AS ok FROM events GROUP BY event_type")
 def str5(t):
     path = shared_folder(t.spark, "gate")
     jobs.run(stream(t), f"{path}-checkpoint", each=jobs.gate_into(path))
-    return t.spark.read.parquet(path).groupBy("series").agg(F.sum("n").alias("n"), F.bool_and("ok").alias("ok"))
+    return t.spark.read.parquet(path).groupBy("series").agg(F.sum("n").alias("n"), F.bool_or("stale").alias("stale"), F.bool_and("ok").alias("ok"))
 
 
 @query("str6_curve_error", f"SELECT e.event_type AS series, CAST(CAST(e.ts AS DATE) AS VARCHAR) AS d, round(avg(abs(e.value - c.level)), 6) AS mae FROM events e JOIN (SELECT series, hour, avg(price) AS level FROM hourly GROUP BY ALL) c ON c.series = e.event_type AND c.hour = hour(e.ts) WHERE date_trunc('day', e.ts) + INTERVAL 1 day <= {NEWEST} - INTERVAL 1 hour GROUP BY ALL", HOURLY)

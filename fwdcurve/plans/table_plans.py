@@ -196,7 +196,7 @@ def jon13(t):
 
 @query("jon13b_all_pairs")
 def jon13b(t):
-    return jon13(t.every_name)
+    return jon13(t)
 
 
 @query("agg1_group_stats", "SELECT series, count(*) AS n, round(avg(price), 6) AS mean, round(median(price), 6) AS median, round(min(price), 6) AS low, round(max(price), 6) AS high, round(stddev_samp(price), 6) AS sd FROM spot GROUP BY series")

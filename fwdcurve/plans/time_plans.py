@@ -10,7 +10,15 @@ from ..operators import windows as win
 from .registry import query
 
 S = lambda c, a=None: F.col(c).cast("string").alias(a or c)
-R = lambda c, a, n=6: F.round(c, n).alias(a)
+
+
+def R(c, a: str, n: int = 6):
+    """c as a, rounded to n digits on the scaled binary value, as the SQL twins do; Spark's own rounding of a double
+    starts from its shortest decimal form and so differs on ties."""
+    scaled = (F.col(c) if isinstance(c, str) else c).cast("double") * F.lit(float(10**n))
+    return (F.round(scaled, 0) / F.lit(float(10**n))).alias(a)
+
+
 LOCAL = "((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Zurich')"
 
 

@@ -47,7 +47,7 @@ def win4(t):
 
 @query("win4b_all_bollinger")
 def win4b(t):
-    return win4(t.every_name)
+    return win4(t)
 
 
 @query("win5_rolling_corr", "SELECT CAST(d AS VARCHAR) AS d, round(CASE WHEN count(*) OVER w >= 60 THEN corr(ch, de) OVER w END, 5) AS corr60 FROM (SELECT *, CAST(year(d) AS INT) AS y FROM pair) WINDOW w AS (PARTITION BY y ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)", PAIR)
@@ -65,7 +65,7 @@ def win6(t):
 
 @query("win6b_all_returns")
 def win6b(t):
-    return win6(t.every_name)
+    return win6(t)
 
 
 @query("win7_rebase", "SELECT name, CAST(d AS VARCHAR) AS d, round(100 * close / first_value(close) OVER (PARTITION BY name ORDER BY d), 6) AS rebased FROM commodities")
@@ -75,7 +75,7 @@ def win7(t):
 
 @query("win7b_all_rebase")
 def win7b(t):
-    return win7(t.every_name)
+    return win7(t)
 
 
 @query("win8_fills", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(last_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS UNBOUNDED PRECEDING), 6) AS forward, round(first_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS backward FROM grid LEFT JOIN spot USING (series, ts)", GRID)
@@ -165,9 +165,19 @@ def win19(t):
     return rows.select("market", bins.alias("bin"), "price").groupBy("market", "bin").agg(F.count(F.lit(1)).alias("n"), R(F.avg("price"), "mean"))
 
 
-@query("win20_error_recurrence")
+CLIP = "greatest(-100.0, least(100.0, {0}))".format
+WALK = f"""(WITH RECURSIVE asked AS MATERIALIZED (SELECT market, d, price AS actual, forecast, row_number() OVER (PARTITION BY market ORDER BY d) AS n FROM (SELECT *, lag(price, 7) OVER (PARTITION BY market ORDER BY d) AS forecast FROM daily) WHERE forecast IS NOT NULL),
+walk AS (
+  SELECT market, n, d, forecast, c AS corrected, c - actual AS e1, CAST(NULL AS DOUBLE) AS e2, [c - actual] AS errors FROM (SELECT *, greatest(-500.0, least(1000.0, forecast)) AS c FROM asked WHERE n = 1)
+  UNION ALL SELECT market, n, d, forecast, c, c - actual, e1, list_append(errors[-13:], c - actual) FROM (
+    SELECT a.*, w.e1, w.errors, greatest(-500.0, least(1000.0, a.forecast - 0.6 * {CLIP("w.e1")} - coalesce(0.15 * {CLIP("w.e2")}, 0.0) - CASE WHEN len(w.errors) >= 3 THEN 0.7 * list_avg(w.errors) ELSE 0.0 END)) AS c
+    FROM walk w JOIN asked a ON a.market = w.market AND a.n = w.n + 1)
+) SELECT * FROM walk)"""
+
+
+@query("win20_error_recurrence", f"SELECT market, CAST(d AS VARCHAR) AS d, round(forecast, 6) AS forecast, round(corrected, 6) AS corrected, round(e1, 6) AS error FROM {WALK}")
 def win20(t):
-    """Forecast of yesterday's price, corrected day by day by an AR(1) of the corrected errors and their bias."""
+    """The price of seven rows before as a forecast, corrected day by day by the last two corrected errors and their bias."""
     w = win.by(["market"], "d")
     rows = t.daily.select("market", "d", F.col("price").alias("actual"), F.lag("price", 7).over(w).alias("forecast")).dropna()
     return recurrence.corrected(rows, ["market"], "d").select("market", S("d"), R("forecast", "forecast"), R("corrected", "corrected"), R("error", "error"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import warnings
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +16,14 @@ def parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table, or an empty one of the same schema if nothing is there."""
+    """The declared columns of the table, or an empty table of them, with a warning, if nothing is there, or nothing
+    that can be read as Parquet: a file without a readable footer counts as no source at all."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        found = spark.read.parquet(path)
+        names = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}
+        return found.select(*((F.col(n) if n in found.columns else F.lit(None)).cast(k).alias(n) for n, k in names.items()))
+    except (PySparkException, Py4JJavaError) as error:
+        warnings.warn(f"{path} can't be read and counts as empty: {str(error).splitlines()[0]}", stacklevel=2)
         return spark.createDataFrame([], schema)
 
 

@@ -12,8 +12,12 @@ from ..functions.timegrid import local_time
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; a local temporary one where that isn't set."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="fwdcurve-")
+    """A new folder under spark.checkpoint.dir; where that isn't set, a local session uses a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="fwdcurve-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

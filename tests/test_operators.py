@@ -11,6 +11,7 @@ from fwdcurve.functions import calendar as cal
 from fwdcurve.functions import timegrid as tg
 from fwdcurve.operators import aggregates, curve, forecast, forwards, joins, recurrence, shapes, windows
 from fwdcurve.sources import readers
+from fwdcurve.streaming import jobs
 
 
 def months_of(spark, year):
@@ -154,8 +155,23 @@ def test_huber_ridge_and_elastic_net_recover_known_values():
 def test_recurrence_uses_corrected_errors(spark):
     rows = spark.createDataFrame([("a", k, 10.0, 8.0) for k in range(3)], "k string, d int, forecast double, actual double")
     got = [r["corrected"] for r in recurrence.corrected(rows, ["k"], "d").orderBy("d").collect()]
-    second = 10.0 - 0.3 * 2.0 - 1.0
-    assert np.allclose(got, [10.0, second, 10.0 - 0.3 * (second - 8.0) - (2.0 + second - 8.0) / 4])
+    second = 10.0 - 0.6 * 2.0
+    assert np.allclose(got, [10.0, second, 10.0 - 0.6 * (second - 8.0) - 0.15 * 2.0])
+
+
+def test_recurrence_skips_missing_days_and_clamps(spark):
+    pairs = [(10.0, 8.0), (10.0, None), (10.0, 9.0), (None, 9.0), (400.0, 100.0), (10.0, 10.0), (10.0, 10.0)]
+    rows = spark.createDataFrame([("a", k, f, a) for k, (f, a) in enumerate(pairs)], "k string, d int, forecast double, actual double")
+    got = recurrence.corrected(rows, ["k"], "d").orderBy("d").toPandas()
+    e0, third = 2.0, 10.0 - 0.15 * 2.0
+    e2 = third - 9.0
+    fifth = 400.0 - 0.15 * e2
+    e4 = fifth - 100.0
+    sixth = 10.0 - 0.6 * 100.0 - 0.7 * (e0 + e2 + e4) / 3
+    e5 = sixth - 10.0
+    seventh = 10.0 + 0.6 * 100.0 - 0.15 * 100.0 - 0.7 * (e0 + e2 + e4 + e5) / 4
+    assert np.allclose(got["corrected"].astype(float), [10.0, 10.0 - 1.2, third, np.nan, fifth, sixth, seventh], equal_nan=True)
+    assert got["error"].isna().tolist() == [False, True, False, True, False, False, False]
 
 
 def test_welch_on_equal_halves_is_zero(spark):
@@ -201,6 +217,106 @@ def test_calibration_query_covers_all_years_and_reprices_all_contracts(spark, sf
         assert part.empty or abs(part.calibrated.mean() - c.price) < 0.01
 
 
+def dense_knots(stats, targets, eps=1e-8, tie=1e-6):
+    """The same minimum by one dense system of all knots and contracts."""
+    days = np.arange(stats["day"].min(), stats["day"].max() + 2)
+    k, m, ids = len(days), len(targets), targets["contract_id"].tolist()
+    d2, a = np.diff(np.eye(k), 2, axis=0), np.zeros((m, 2 * k))
+    for c, day, peak, n, w1 in stats[["contract_id", "day", "is_peak", "n", "w1"]].itertuples(index=False):
+        at = int(day - days[0]) + (0 if peak else k)
+        a[ids.index(c), at] += n - w1
+        a[ids.index(c), at + 1] += w1
+    a /= a.sum(axis=1, keepdims=True)
+    h = np.kron(np.eye(2), d2.T @ d2 + (eps + tie) * np.eye(k)) - tie * np.kron(np.array([[0, 1], [1, 0]]), np.eye(k))
+    system = np.block([[h, a.T], [a, np.zeros((m, m))]])
+    return np.linalg.solve(system, np.concatenate([np.zeros(2 * k), targets["gap"]]))[: 2 * k].reshape(2, k)
+
+
+def test_banded_knots_equal_the_dense_solution():
+    rng = np.random.default_rng(2)
+    rows = [(c, d, peak, 4.0, float(w)) for c, (a, b) in {"q1": (0, 90), "q2": (90, 181), "m1": (0, 31), "y": (0, 365)}.items() for d in range(a, b) for peak in (True, False) for w in [rng.random()] if c != "m1" or peak]
+    stats = pd.DataFrame(rows, columns=["contract_id", "day", "is_peak", "n", "w1"])
+    gaps = pd.DataFrame({"contract_id": ["q1", "q2", "m1", "y"], "gap": [3.0, -2.0, 5.0, 1.0]})
+    got, want = curve.solve_knots(stats, gaps), dense_knots(stats, gaps)
+    for r, peak in enumerate((True, False)):
+        assert np.allclose(got[got.is_peak == peak].sort_values("day")["knot"], want[r], atol=1e-4)
+
+
+@pytest.mark.parametrize("multiplicative", [False, True])
+def test_calibration_falls_back_and_keeps_a_least_factor(spark, multiplicative):
+    ts = pd.date_range("2024-01-01", periods=60, freq="D")
+    rows = pd.concat([pd.DataFrame({"curve_id": c, "ts": ts, "is_peak": True, "price": 40.0}) for c in ("fine", "torn", "low")])
+    slots = spark.createDataFrame(rows).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    a, b = pd.Timestamp("2024-01-01"), pd.Timestamp("2024-03-01")
+    deals = [("fine", "x", 50.0), ("torn", "x", 500.0), ("torn", "y", 0.0), ("low", "x", 1.0)]
+    deals = pd.DataFrame([(c, i, a, b, "Base", p) for c, i, p in deals], columns=["curve_id", "contract_id", "start", "end", "load", "price"])
+    deals = spark.createDataFrame(deals).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+    got = {r["curve_id"]: r["m"] for r in curve.calibrate(slots, deals, multiplicative).groupBy("curve_id").agg(F.avg("calibrated").alias("m")).collect()}
+    assert abs(got["fine"] - 50) < 1e-6 and got["torn"] == 40 and abs(got["low"] - (4 if multiplicative else 1)) < 1e-6
+
+
+def test_quarter_fallback_walks_the_chain(spark):
+    cells = spark.createDataFrame([("s", "Hiver", d, 5) for d in ("Ferie_DE", "Samedi", "Ouvrable")] + [("s", "Ete", "Dimanche", 5), ("s", "Ete", "Dimanche", 6)], "series string, season string, day_type string, hour int")
+    base = [("s", "Hiver", "Dimanche", 5, q, 1.0 + q / 10) for q in range(1, 5)] + [("s", "Automne", "Ouvrable", 5, q, 2.0 + q / 10) for q in range(1, 5)]
+    got = shapes.quarter_fallback(cells, spark.createDataFrame(base, "series string, season string, day_type string, hour int, quarter int, f double"))
+    first = {(r["season"], r["day_type"], r["hour"]): r["f"] for r in got.where("quarter = 1").collect()}
+    assert first == {("Hiver", "Ferie_DE", 5): 1.1, ("Hiver", "Samedi", 5): 2.1, ("Hiver", "Ouvrable", 5): 2.1, ("Ete", "Dimanche", 5): 2.1, ("Ete", "Dimanche", 6): 1.0} and got.count() == 20
+
+
+def test_water_fit_finds_known_betas_and_defaults(spark):
+    rng = np.random.default_rng(3)
+    months = pd.date_range("2015-01-01", periods=72, freq="MS")
+    dev = rng.normal(size=72)
+    of = np.array([{"Hiver": -6.0, "Printemps": -3.0, "Ete": -1.0, "Automne": -4.0}[s] for s in shapes.calendar_season(pd.Series(months))])
+    price = 100 + 5 * np.arange(72) / 71 + of * dev
+    price += 100 - price.mean()
+    table = pd.DataFrame({"market": "A", "month": months.date, "p": price, "dev": dev})
+    table = pd.concat([table, table.head(11).assign(market="B")])
+    got = {r["market"]: r for r in shapes.water_fit(shapes.water_design(spark.createDataFrame(table))).collect()}
+    n = {s: (shapes.calendar_season(pd.Series(months)) == s).mean() for s in ("Hiver", "Printemps", "Ete", "Automne")}
+    beta = -(0.06 * n["Hiver"] + 0.03 * n["Printemps"] + 0.01 * n["Ete"] + 0.04 * n["Automne"])
+    assert abs(got["A"]["beta"] - beta) < 2e-3 and abs(got["A"]["hiver"] - max(-2.0, 0.06 / beta)) < 0.05
+    assert (got["B"]["beta"], got["B"]["hiver"], got["B"]["months"]) == (shapes.BETA, shapes.SENSITIVITY["Hiver"], 11)
+
+
+def test_state_of_a_stream_is_compacted(spark, tmp_path):
+    path = f"{tmp_path}/state"
+    merge = jobs.keep_last_into(path, ["k"], ["v"], compact=3)
+    for batch in range(8):
+        rows = spark.createDataFrame([(batch % 4, batch), (99, -batch)], "k int, v int")
+        merge(rows, batch)
+        merge(rows, batch)
+    got = {r["k"]: r["v"] for r in jobs.latest(spark, path, ["k"], ["v"]).collect()}
+    assert got == {0: 4, 1: 5, 2: 6, 3: 7, 99: 0}
+    assert spark.read.parquet(f"{path}/base=2").select("batch").distinct().count() == 2
+
+
+def test_stale_series_raise_an_alert(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "2024-01-01 00:00:00", 1.0), ("b", "2024-01-01 09:00:00", 2.0), ("b", "2024-01-01 10:00:00", None)], "series string, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    jobs.gate_into(f"{tmp_path}/gate")(rows, 0)
+    got = {r["series"]: (r["stale"], r["ok"]) for r in spark.read.parquet(f"{tmp_path}/gate").collect()}
+    assert got == {"a": (True, False), "b": (False, False)}
+
+
+def test_sources_that_cannot_be_read_count_as_empty(spark, tmp_path):
+    (tmp_path / "bad.parquet").mkdir()
+    (tmp_path / "bad.parquet" / "part.parquet").write_bytes(b"no parquet at all, but long enough for a footer")
+    (tmp_path / "none.parquet").mkdir()
+    for name in ("bad", "none", "absent"):
+        with pytest.warns(UserWarning):
+            assert readers.optional(spark, f"{tmp_path}/{name}.parquet", "a long, b string").columns == ["a", "b"]
+    spark.createDataFrame([(1, 2.5)], "a int, c double").write.parquet(f"{tmp_path}/some.parquet")
+    got = readers.optional(spark, f"{tmp_path}/some.parquet", "a long, b string")
+    assert got.dtypes == [("a", "bigint"), ("b", "string")] and [tuple(r) for r in got.collect()] == [(1, None)]
+
+
+def test_weeks_are_met_within_keys(spark):
+    weeks = spark.createDataFrame([("x", "2024-01-01", 1.0), ("y", "2024-01-08", 2.0), ("x", "2024-01-15", 3.0)], "k string, w string, v double").withColumn("w", F.col("w").cast("date"))
+    left = spark.createDataFrame([("x", "2024-01-09"), ("y", "2024-01-09"), ("y", "2024-01-03"), ("x", "2024-01-30")], "k string, d string").withColumn("d", F.col("d").cast("date"))
+    got = {(r["k"], str(r["d"])): r["v"] for r in joins.asof_weekly(left, weeks, "d", "w", "v", ("k",)).collect()}
+    assert got == {("x", "2024-01-09"): 1.0, ("y", "2024-01-09"): 2.0, ("y", "2024-01-03"): None, ("x", "2024-01-30"): 3.0}
+
+
 def test_implied_contracts_change_no_knot():
     stats = pd.DataFrame([(c, d, True, 1.0, 0.0) for c, days in (("a", range(3)), ("b", range(3, 6)), ("both", range(6))) for d in days], columns=["contract_id", "day", "is_peak", "n", "w1"])
     gaps = pd.DataFrame({"contract_id": ["a", "b", "both"], "gap": [1.0, 3.0, 2.0]})
