@@ -534,20 +534,29 @@ def test_phrases_and_templates(spark, docs, empty):
 
 
 def test_templates_are_a_table_and_both_ways_agree(spark, docs):
-    labels = {label for label, _, phrase in license_scan.notice_rows() if not phrase}
+    labels = {label for label, _, phrase, _ in license_scan.notice_rows() if not phrase}
     assert len(labels) >= 25
     mit = license_scan.notice_rows()[3][1]
     rows = [(1, mit), (2, mit.replace("without restriction", "with no restriction at all")), (3, "own words of a house rule"), (4, " ".join(mit.split()[:20])), (5, None)] * 2
     table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
-    own = license_scan.notices(spark).unionByName(spark.createDataFrame([("house", "Own words of a house rule", True)], "label string, text string, phrase boolean"))
+    own = license_scan.notices(spark).unionByName(spark.createDataFrame([("house", "Own words of a house rule", True, None)], "label string, text string, phrase boolean, family string"))
     columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     near = rows_of(license_scan.scan(table, own), *columns)
     assert near == rows_of(license_scan.scan(table, own, broadcast_grams=0), *columns)
-    found = {r[0]: r[6] for r in near if r[1] in (6, len(lower(mit)), len(lower(mit)) + 2)}
+    found = {r[0]: r[6] for r in near if r[1] in (6, len(lower(mit)), len(lower(mit)) + 3)}
     assert found[1] == "mit" and found[2] == "mit" and found[3] == "house"
     assert license_scan.scan(table, own.where("false")).where("labels <> ''").count() == 0
     with pytest.raises(ValueError):
-        license_scan.scan(table, spark.createDataFrame([("x", "two words", True)], "label string, text string, phrase boolean"))
+        license_scan.scan(table, spark.createDataFrame([("x", "two words", True, None)], "label string, text string, phrase boolean, family string"))
+
+
+def test_each_notice_is_told_from_its_family(spark):
+    rows = [r for r in license_scan.notice_rows() if not r[2]]
+    table = spark.createDataFrame([(k, f"Some words before. {text} And some after it.") for k, (_, text, _, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan.scan(table).collect()}
+    for k, (label, _, _, family) in enumerate(rows):
+        assert label in got[k] and {f for x, _, _, f in rows if x in got[k]} <= {family, "apache", "mit"}, label
+        assert len(got[k]) <= 2, (label, got[k])
 
 
 # 9. quality
