@@ -99,6 +99,141 @@ def applied(rows: DataFrame, models: DataFrame, keys: list[str], columns: list[s
     return each.groupBy(*keys, "d").agg(F.first("price").alias("price"), F.avg("one").alias("forecast"))
 
 
+PEAK_HOURS = (8, 19)
+
+
+def hour_features(hours: DataFrame, neighbours: DataFrame, daily: DataFrame, fresh: list[str], delayed: dict[str, int], least_hours: int = 23) -> DataFrame:
+    """Feature rows (market, d, hour, price, ...) of every delivery hour, for all hours in one plan.
+
+    hours: (market, d, hour, price); neighbours: the same with the prices of the market beside each; daily:
+    (d, ...) with exogenous columns: those of `fresh` are taken of the day itself, the day before and seven days
+    before, those of `delayed` so many days before. Lags count the days that have `least_hours` hours at least.
+
+    Windows are keyed by (market, hour) or (market, day), so hours run in parallel."""
+    day = Window.partitionBy("market", "d")
+    peak = F.col("hour").between(*PEAK_HOURS)
+    stats = F.struct(F.avg("price").over(day).alias("mean"), F.avg(F.when(peak, F.col("price"))).over(day).alias("peak"), F.avg(F.when(~peak, F.col("price"))).over(day).alias("offpeak"), F.max("price").over(day).alias("max"))
+    rows = hours.withColumn("n", F.count("price").over(day)).withColumn("day", stats).where(F.col("n") >= least_hours)
+    beside = neighbours.select("market", "d", "hour", F.col("price").alias("beside"), F.avg("price").over(day).alias("beside_mean"))
+    rows = rows.join(beside, ["market", "d", "hour"], "left").join(daily, "d", "left")
+    w = Window.partitionBy("market", "hour").orderBy("d")
+    back = lambda c, k: F.lag(c, k).over(w)
+    columns = {}
+    for k in LAGS:
+        columns[f"price_d{k}"] = back("price", k)
+        columns |= {f"{c}_d{k}": back(f"day.{c}", k) for c in ("mean", "peak", "offpeak", "max")}
+    week = w.rowsBetween(-7, -1)
+    columns["momentum"] = back("price", 1) - back("price", 2)
+    columns["vol7"] = F.when(F.count("price").over(week) >= 3, F.stddev_samp("price").over(week))
+    for k in (1, 2, 7):
+        columns |= {f"beside_d{k}": back("beside", k), f"beside_mean_d{k}": back("beside_mean", k)}
+    columns["spread_d1"] = back("price", 1) - back("beside", 1)
+    for c in fresh:
+        columns |= {f"{c}_d0": F.col(c), f"{c}_d1": back(c, 1), f"{c}_d7": back(c, 7)}
+    columns |= {f"{c}_d{k}": back(c, k) if k else F.col(c) for c, k in delayed.items()}
+    columns |= {f"dow_{k}": (F.weekday("d") == k).cast("double") for k in range(6)}
+    angle = F.month("d") * F.lit(np.pi / 6)
+    columns |= {"weekend": (F.weekday("d") >= 5).cast("double"), "month_sin": F.sin(angle), "month_cos": F.cos(angle)}
+    return rows.select("market", "d", "hour", "price", *(c.alias(n) for n, c in columns.items()))
+
+
+def feature_names(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c not in ("market", "d", "hour", "price")]
+
+
+def elastic_nets(gram: np.ndarray, cross: np.ndarray, lam: np.ndarray, l1: float = 0.1, rounds: int = 60) -> np.ndarray:
+    """The coefficients of many elastic nets at once, one for each row of gram (x'x / n), cross (x'y / n) and lam, by
+    coordinate descent."""
+    b, n = np.zeros_like(cross), gram.shape[1]
+    norms = np.maximum(np.einsum("bjj->bj", gram) + (lam * (1 - l1))[:, None], 1e-12)
+    for _ in range(rounds):
+        before = b.copy()
+        for j in range(n):
+            rho = cross[:, j] - np.einsum("bk,bk->b", gram[:, j], b) + gram[:, j, j] * b[:, j]
+            b[:, j] = np.sign(rho) * np.maximum(np.abs(rho) - lam * l1, 0.0) / norms[:, j]
+        if np.abs(b - before).max(initial=0) < 1e-7:
+            break
+    return b
+
+
+def _moments(x: np.ndarray, y: np.ndarray) -> tuple:
+    return len(y), x.sum(axis=0), y.sum(), x.T @ x, x.T @ y
+
+
+def _centred(n: int, sx: np.ndarray, sy: float, sxx: np.ndarray, sxy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    mx, my = sx / n, sy / n
+    return sxx / n - np.outer(mx, mx), sxy / n - mx * my, mx, my
+
+
+def window_fits(samples: list[tuple[np.ndarray, np.ndarray]], penalties=(1e-3, 1e-2, 1e-1, 1.0), folds: int = 5) -> list[tuple[np.ndarray, float, float, float]]:
+    """(coefs, intercept, mu, sd) of each sample (features, prices): an elastic net of asinh of the standardised price on
+    scaled features; the penalty of least squared error over contiguous folds in time order. All folds, penalties
+    and samples are solved together, from their moments."""
+    problems, prepared = [], []
+    for x, y in samples:
+        mu, sd = float(y.mean()), max(float(y.std()), 1e-6)
+        z, mx, sx = np.arcsinh((y - mu) / sd), x.mean(axis=0), x.std(axis=0)
+        sx = np.where(sx > 1e-12, sx, 1.0)
+        a = (x - mx) / sx
+        parts = np.array_split(np.arange(len(y)), folds)
+        every, some = _moments(a, z), [_moments(a[p], z[p]) for p in parts]
+        rest = [_centred(*(e - f for e, f in zip(every, part, strict=True))) for part in some]
+        problems += [(g, c, lam) for g, c, _, _ in rest for lam in penalties]
+        prepared.append((a, z, mx, sx, mu, sd, parts, rest, _centred(*every)))
+    if not prepared:
+        return []
+    tried = elastic_nets(*(np.array(v) for v in zip(*problems, strict=True)), rounds=20).reshape(len(prepared), folds, len(penalties), -1)
+    chosen = []
+    for (a, z, *_, parts, rest, _), nets in zip(prepared, tried, strict=True):
+        loss = sum(((z[p][:, None] - m[3] - (a[p] - m[2]) @ b.T) ** 2).sum(axis=0) for p, m, b in zip(parts, rest, nets, strict=True))
+        chosen.append(penalties[int(np.argmin(loss))])
+    final = elastic_nets(np.array([p[-1][0] for p in prepared]), np.array([p[-1][1] for p in prepared]), np.array(chosen))
+    out = []
+    for (_, _, mx, sx, mu, sd, _, _, (_, _, centre, level)), b in zip(prepared, final, strict=True):
+        coef = b / sx
+        out.append((coef, float(level - centre @ b - mx @ coef), mu, sd))
+    return out
+
+
+def hourly_fits(rows: DataFrame, windows: tuple[int, ...], columns: list[str], least: int = 30, latest: bool = False) -> DataFrame:
+    """(market, hour, cutoff, window, intercept, coefs, mu, sd): for each market and hour a fit on the last `window` rows
+    before every cutoff, the first of each month after the largest window and the day after the last row, or for the latter alone.
+
+    A group is one market's days at one hour; cutoffs are solved in batches inside, so rows aren't repeated for them."""
+    names = ["market", "hour", "cutoff", "window", "intercept", "coefs", "mu", "sd"]
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("d").reset_index(drop=True)
+        d = pd.to_datetime(pdf["d"])
+        x, y = pdf[columns].to_numpy(float), pdf["price"].to_numpy(float)
+        starts = pd.DatetimeIndex([d.iloc[-1] + pd.Timedelta(days=1)])
+        if not latest:
+            starts = pd.date_range(d.iloc[0] + pd.Timedelta(days=max(windows)), d.iloc[-1], freq="MS").append(starts)
+        out = []
+        for at in range(0, len(starts), 12):
+            asked, samples = [], []
+            for cutoff in starts[at : at + 12]:
+                end = int(np.searchsorted(d.to_numpy(), cutoff.to_datetime64()))
+                for window in windows if end >= least else ():
+                    asked.append((cutoff.date(), window))
+                    samples.append((x[max(0, end - window) : end], y[max(0, end - window) : end]))
+            fits_ = window_fits(samples)
+            out += [(pdf["market"].iloc[0], pdf["hour"].iloc[0], *a, i, c.tolist(), mu, sd) for a, (c, i, mu, sd) in zip(asked, fits_, strict=True)]
+        return pd.DataFrame(out, columns=names)
+
+    return rows.dropna(subset=[*columns, "price"]).groupBy("market", "hour").applyInPandas(solve, "market string, hour int, cutoff date, window int, intercept double, coefs array<double>, mu double, sd double")
+
+
+def hourly_forecasts(rows: DataFrame, models: DataFrame, columns: list[str]) -> DataFrame:
+    """rows (market, hour, cutoff, ...) with forecast: the mean over the windows' models of their cutoff. The models of a
+    cutoff become one row, so rows are met once."""
+    sets = models.groupBy("market", "hour", "cutoff").agg(F.collect_list(F.struct("intercept", "coefs", "mu", "sd")).alias("models"))
+    x = F.array(*(F.col(c) for c in columns))
+    one = lambda m: F.sinh(m["intercept"] + F.aggregate(F.zip_with(x, m["coefs"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)) * m["sd"] + m["mu"]
+    mean = F.aggregate(F.transform("models", one), F.lit(0.0), lambda s, v: s + v) / F.size("models")
+    return rows.dropna(subset=columns).join(sets, ["market", "hour", "cutoff"]).withColumn("forecast", mean).drop("models")
+
+
 def tree(x: np.ndarray, y: np.ndarray, depth: int, bins: int = 32) -> tuple | float:
     """Regression tree of least squared error: (column, threshold, left, right) or a leaf's mean."""
     best = (1e-12, 0, 0.0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi as PI
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..operators import aggregates as agg
 from ..operators import forecast as fc
 from ..operators import joins, recurrence
 from ..operators import windows as win
+from ..sources import writers
 from .curve_plans import RESC, rescaled_curve
 from .registry import query
 from .table_plans import HALVES, HOURLY, NAIVE, PAIR, hourly, pair
@@ -54,6 +57,123 @@ def forecasts(t):
     return fc.applied(test, models, ["market", "cutoff"], COLUMNS)
 
 
+HOUR_WAYS = """ends AS (SELECT min(series) AS a, max(series) AS b FROM spot),
+factors AS (SELECT series, CAST(day(d) AS INT) AS dom, hour, avg(price) / avg(avg(price)) OVER (PARTITION BY series) AS f FROM hourly GROUP BY series, day(d), hour),
+mhours AS (SELECT x.market, x.d, h.hour, x.price * coalesce(f.f, 1.0) AS price FROM daily x, ends, (SELECT CAST(unnest(range(24)) AS INT) AS hour) h
+  LEFT JOIN factors f ON f.series = CASE x.market WHEN 'CH' THEN a ELSE b END AND f.dom = day(x.d) AND f.hour = h.hour)"""
+
+
+def market_hours(t):
+    """(market, d, hour, price): the daily prices spread over 24 hours by a series' hourly shape on that day of the month."""
+    of = hourly(t).groupBy("series", F.dayofmonth("d").alias("dom"), "hour").agg(F.avg("price").alias("m"))
+    of = of.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy("series"))).drop("m")
+    ends = t.spot.agg(F.inline(F.array(F.struct(F.lit("CH").alias("market"), F.min("series").alias("series")), F.struct(F.lit("DE").alias("market"), F.max("series").alias("series")))))
+    rows = t.daily.withColumns({"hour": F.explode(F.sequence(F.lit(0), F.lit(23))), "dom": F.dayofmonth("d")})
+    rows = rows.join(of.join(ends, "series").drop("series"), ["market", "dom", "hour"], "left")
+    return rows.select("market", "d", "hour", (F.col("price") * F.coalesce("f", F.lit(1.0))).alias("price"))
+
+
+def hour_rows(t):
+    """Feature rows of both markets' hours: each is the other's neighbour; the shipped quantity stands for load."""
+    hours = market_hours(t)
+    other = hours.withColumn("market", F.when(F.col("market") == "CH", "DE").otherwise("CH"))
+    load = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum("l_quantity").alias("load"))
+    gas = t.commodities.groupBy("d").agg(F.avg("close").alias("gas"))
+    days = t.daily.select("d").distinct()
+    daily = joins.asof_weekly(days, t.hydro, "d", "week", "fill_pct").withColumnRenamed("fill_pct", "fill").join(load, "d", "left").join(gas, "d", "left")
+    return fc.hour_features(hours, other, daily, ["load"], {"gas": 2, "fill": 0})
+
+
+def _hour_sql() -> str:
+    own = "OVER (PARTITION BY market, hour ORDER BY d)"
+    back = lambda c, k: f"lag({c}, {k}) {own}"
+    columns = {}
+    for k in (1, 2, 3, 7):
+        columns |= {f"{c}_d{k}": back(c, k) for c in ("price", "mean", "peak", "offpeak", "max")}
+    week = "OVER (PARTITION BY market, hour ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
+    columns |= {"momentum": f"{back('price', 1)} - {back('price', 2)}", "vol7": f"CASE WHEN count(price) {week} >= 3 THEN stddev_samp(price) {week} END"}
+    for k in (1, 2, 7):
+        columns |= {f"beside_d{k}": back("beside", k), f"beside_mean_d{k}": back("beside_mean", k)}
+    columns |= {"spread_d1": f"{back('price', 1)} - {back('beside', 1)}", "load_d0": "load", "load_d1": back("load", 1), "load_d7": back("load", 7), "gas_d2": back("gas", 2), "fill_d0": "fill"}
+    columns |= {f"dow_{k}": f"CASE WHEN isodow(d) = {k + 1} THEN 1.0 ELSE 0.0 END" for k in range(6)}
+    columns |= {"weekend": "CASE WHEN isodow(d) >= 6 THEN 1.0 ELSE 0.0 END", "month_sin": "sin(month(d) * pi() / 6)", "month_cos": "cos(month(d) * pi() / 6)"}
+    chosen = ", ".join(f"round({v}, 6) + 0.0 AS {n}" for n, v in columns.items())
+    return f"""SELECT market, CAST(d AS VARCHAR) AS d, hour, round(price, 6) AS price, {chosen} FROM (
+  SELECT h.*, n.price AS beside, n.beside_mean, l.load, g.gas, w.fill_pct AS fill
+  FROM (SELECT *, count(price) OVER p AS n_hours, avg(price) OVER p AS mean, avg(price) FILTER (hour BETWEEN 8 AND 19) OVER p AS peak, avg(price) FILTER (hour NOT BETWEEN 8 AND 19) OVER p AS offpeak, max(price) OVER p AS max FROM mhours WINDOW p AS (PARTITION BY market, d)) h
+  LEFT JOIN (SELECT *, avg(price) OVER (PARTITION BY market, d) AS beside_mean FROM mhours) n ON n.d = h.d AND n.hour = h.hour AND n.market <> h.market
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS load FROM lineitem GROUP BY ALL) l ON l.d = h.d
+  LEFT JOIN (SELECT d, avg(close) AS gas FROM commodities GROUP BY d) g ON g.d = h.d
+  ASOF LEFT JOIN hydro w ON h.d >= w.week WHERE n_hours >= 23)"""
+
+
+@query("fct2b_hourly_features", _hour_sql(), f"{HOURLY}, {HOUR_WAYS}")
+def fct2b(t):
+    rows = hour_rows(t)
+    return rows.select("market", S("d"), "hour", R("price", "price"), *(R(c, c) for c in fc.feature_names(rows)))
+
+
+def hour_models(t, latest: bool = False):
+    """(feature rows, models of every market, hour, cutoff and window, or of the latest cutoff), written once."""
+    rows = hour_rows(t)
+    work = writers.shared_folder(t.spark, "hours")
+    for name, table in (("rows", rows), ("models", None)):
+        table = table if table is not None else fc.hourly_fits(t.spark.read.parquet(f"{work}/rows"), WINDOWS, fc.feature_names(rows), latest=latest)
+        table.write.parquet(f"{work}/{name}")
+    return t.spark.read.parquet(f"{work}/rows"), t.spark.read.parquet(f"{work}/models")
+
+
+def hour_backtest(t):
+    """(market, hour, d, cutoff, actual, forecast) of each day from the latest cutoff before it, recalibrated to the
+    spread of the 28 days before."""
+    rows, models = hour_models(t)
+    asked = rows.withColumn("cutoff", F.to_date(F.date_trunc("month", "d")))
+    found = fc.hourly_forecasts(asked, models, fc.feature_names(rows)).select("market", "hour", "d", "cutoff", F.col("price").alias("actual"), "forecast")
+    w = win.by(["market", "hour"], "d", -28, -1)
+    found = found.withColumns({"mf": F.avg("forecast").over(w), "sf": F.stddev_samp("forecast").over(w), "ma": F.avg("actual").over(w), "sa": F.stddev_samp("actual").over(w)})
+    better = fc.recalibrated(*(F.col(c) for c in ("forecast", "mf", "sf", "ma", "sa")))
+    return found.withColumn("forecast", F.coalesce(F.when(F.col("sf").isNotNull(), better), F.col("forecast"))).drop("mf", "sf", "ma", "sa")
+
+
+@query("fct3b_hourly_fits")
+def fct3b(t):
+    _, models = hour_models(t)
+    return models.select("market", "hour", S("cutoff"), "window", R("intercept", "intercept", 5), F.transform("coefs", lambda c: F.round(c, 5)).cast("string").alias("coefs"))
+
+
+@query("fct8b_hourly_forecasts")
+def fct8b(t, days: int = 10):
+    """The next days' hours of each market with bands. What lies `k` days before a day ahead and isn't known yet is taken
+    as of the last known day; bands are the 90 percent quantile of the last 90 days' absolute errors, wider with the
+    days ahead."""
+    rows, models = hour_models(t, latest=True)
+    columns, (market, hour) = fc.feature_names(rows), ("market", "hour")
+    last = models.groupBy(market).agg(F.max("cutoff").alias("cutoff"))
+    # a feature row a days ahead is that of the last day but for the calendar, the lags that are known move up with it
+    recent = rows.join(last, market).where(F.col("d") == F.date_sub("cutoff", 1)).withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(days))))
+    known = rows.select(market, hour, F.col("d").alias("past"), F.col("price").alias("past_price"))
+    for k in fc.LAGS:
+        day = F.date_sub("cutoff", F.greatest(k + 1 - F.col("ahead"), F.lit(1)).cast("int"))
+        recent = recent.withColumn("past", day).join(known, [market, hour, "past"], "left").withColumn(f"price_d{k}", F.coalesce("past_price", f"price_d{k}")).drop("past", "past_price")
+    d = F.date_add("cutoff", (F.col("ahead") - 1).cast("int"))
+    recent = recent.withColumn("d", d).withColumns({f"dow_{k}": (F.weekday("d") == k).cast("double") for k in range(6)} | {"weekend": (F.weekday("d") >= 5).cast("double"), "month_sin": F.sin(F.month("d") * F.lit(PI / 6)), "month_cos": F.cos(F.month("d") * F.lit(PI / 6)), "momentum": F.col("price_d1") - F.col("price_d2")})
+    found = fc.hourly_forecasts(recent, models, columns)
+    tested = fc.hourly_forecasts(rows.join(last, market).where(F.col("d") >= F.date_sub("cutoff", 90)), models, columns)
+    misses = tested.groupBy(market, hour).agg(F.percentile(F.abs(F.col("forecast") - F.col("price")), F.lit(0.9)).alias("width"), F.count(F.lit(1)).alias("n"))
+    found = found.join(misses, [market, hour], "left").withColumn("forecast", F.greatest("forecast", F.lit(-50.0)))
+    half = fc.conformal_half(F.col("width"), F.coalesce("n", F.lit(0)), F.col("forecast"), F.col("ahead"))
+    local = F.make_timestamp_ntz(F.year("d"), F.month("d"), F.dayofmonth("d"), F.col("hour"), F.lit(0), F.lit(0))
+    utc = F.to_utc_timestamp(local.cast("timestamp"), "Europe/Zurich").cast("timestamp_ntz")
+    return found.select(market, utc.cast("string").alias("ts"), F.col("ahead").alias("days_ahead"), R("forecast", "forecast"), R(F.col("forecast") - half, "p10"), R(F.col("forecast") + half, "p90"))
+
+
+@query("fct9b_hourly_backtest")
+def fct9b(t):
+    """Every hour of each day from the latest monthly fits, corrected by the last errors of its hour."""
+    rows = recurrence.corrected(hour_backtest(t), ["market", "hour"], "d")
+    return rows.select("market", "hour", S("d"), R("corrected", "forecast"), R("actual", "actual"), R("error", "error"))
+
+
 @query("fct3_regularised_fits")
 def fct3(t):
     models, _ = trained(t)

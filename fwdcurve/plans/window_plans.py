@@ -170,7 +170,7 @@ WALK = f"""(WITH RECURSIVE asked AS MATERIALIZED (SELECT market, d, price AS act
 walk AS (
   SELECT market, n, d, forecast, c AS corrected, c - actual AS e1, CAST(NULL AS DOUBLE) AS e2, [c - actual] AS errors FROM (SELECT *, greatest(-500.0, least(1000.0, forecast)) AS c FROM asked WHERE n = 1)
   UNION ALL SELECT market, n, d, forecast, c, c - actual, e1, list_append(errors[-13:], c - actual) FROM (
-    SELECT a.*, w.e1, w.errors, greatest(-500.0, least(1000.0, a.forecast - 0.6 * {CLIP("w.e1")} - coalesce(0.15 * {CLIP("w.e2")}, 0.0) - CASE WHEN len(w.errors) >= 3 THEN 0.7 * list_avg(w.errors) ELSE 0.0 END)) AS c
+    SELECT a.*, w.e1, w.errors, greatest(-500.0, least(1000.0, a.forecast - 0.6 * {CLIP("w.e1")} - CASE WHEN w.e2 IS NULL THEN 0.0 ELSE 0.15 * {CLIP("w.e2")} END - CASE WHEN len(w.errors) >= 3 THEN 0.7 * list_avg(w.errors) ELSE 0.0 END)) AS c
     FROM walk w JOIN asked a ON a.market = w.market AND a.n = w.n + 1)
 ) SELECT * FROM walk)"""
 

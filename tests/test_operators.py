@@ -152,6 +152,38 @@ def test_huber_ridge_and_elastic_net_recover_known_values():
     assert np.allclose(coef, [1, -2, 0.5], atol=0.01) and abs(b - 4) < 0.01
 
 
+def test_window_fits_equal_single_elastic_nets():
+    rng = np.random.default_rng(8)
+    samples = []
+    for n in (42, 90, 365):
+        x = rng.normal(size=(n, 7)) * [1, 5, 0.1, 1, 1, 1, 0] + [0, 3, 0, 0, 0, 0, 1]
+        samples.append((x, 40 + x[:, 0] * 3 - x[:, 1] + rng.normal(size=n)))
+    for (x, y), (coef, intercept, mu, sd) in zip(samples, forecast.window_fits(samples), strict=True):
+        z = np.arcsinh((y - y.mean()) / y.std())
+        a = (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 1e-12, x.std(axis=0), 1)
+        c, i = forecast.elastic_net(a, z, forecast.best_penalty(a, z))
+        assert abs(mu - y.mean()) < 1e-9 and abs(sd - y.std()) < 1e-9
+        assert np.allclose(x @ coef + intercept, a @ c + i, atol=2e-3)
+
+
+def test_hourly_forecasts_learn_a_rule(spark):
+    rng = np.random.default_rng(9)
+    d = pd.date_range("2020-01-01", periods=460)
+    rows = pd.concat([pd.DataFrame({"market": "A", "d": d.date, "hour": np.int32(h), "x": (x := rng.normal(size=460)), "u": rng.normal(size=460), "price": 50 + h + 6 * x}) for h in (0, 7)])
+    table = spark.createDataFrame(rows)
+    models = forecast.hourly_fits(table, (42, 365), ["x", "u"])
+    cutoffs = [str(r[0]) for r in models.select("cutoff").distinct().orderBy("cutoff").collect()]
+    assert cutoffs == ["2021-01-01", "2021-02-01", "2021-03-01", "2021-04-01", "2021-04-05"] and models.count() == 5 * 2 * 2
+    found = forecast.hourly_forecasts(table.withColumn("cutoff", F.to_date(F.date_trunc("month", "d"))), models, ["x", "u"]).toPandas()
+    assert len(found) == 2 * (460 - 366) and (found["forecast"] - found["price"]).abs().mean() < 1.0
+
+
+def test_bands_widen_with_the_days_ahead(spark):
+    rows = spark.createDataFrame([(4.0, 30, 50.0, 1), (4.0, 30, 50.0, 5), (None, 0, -50.0, 2)], "w double, n int, f double, a int")
+    got = [r[0] for r in rows.select(forecast.conformal_half(*(F.col(c) for c in "wnfa"))).collect()]
+    assert np.allclose(got, [4.0, 4.8, 1.28 * 50 * 0.07])
+
+
 def test_recurrence_uses_corrected_errors(spark):
     rows = spark.createDataFrame([("a", k, 10.0, 8.0) for k in range(3)], "k string, d int, forecast double, actual double")
     got = [r["corrected"] for r in recurrence.corrected(rows, ["k"], "d").orderBy("d").collect()]
