@@ -168,7 +168,24 @@ def smoothed_days(t):
     return curve.smooth_base(t.daily.select(F.col("market").alias("key"), "d", "price"), month_means(t))
 
 
-@query("crv2_smooth_base")
+def _edge(a: str, b: str, d: str, e: str) -> str:
+    raw = f"((2 * {a} + {b}) * {d} - {a} * {e}) / ({a} + {b})"
+    return f"CASE WHEN {b} IS NULL THEN {d} WHEN sign({raw}) <> sign({d}) THEN 0.0 WHEN sign({d}) <> sign({e}) AND abs({raw}) > 3 * abs({d}) THEN 3 * {d} ELSE {raw} END"
+
+
+CUBIC = f"""knots AS (SELECT market, date_trunc('month', d) AS month_start, avg(price) AS y, date_diff('day', DATE '1970-01-01', CAST(date_trunc('month', d) AS DATE)) + day(last_day(any_value(d))) / 2.0 AS x FROM daily GROUP BY market, date_trunc('month', d)),
+steps AS (SELECT market, x, y, lead(x) OVER w - x AS h1, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS d1, x - lag(x) OVER w AS h0, (y - lag(y) OVER w) / (x - lag(x) OVER w) AS d0,
+  lead(x, 2) OVER w - lead(x) OVER w AS h2, (lead(y, 2) OVER w - lead(y) OVER w) / (lead(x, 2) OVER w - lead(x) OVER w) AS d2, lag(x) OVER w - lag(x, 2) OVER w AS hm, (lag(y) OVER w - lag(y, 2) OVER w) / (lag(x) OVER w - lag(x, 2) OVER w) AS dm
+  FROM knots WINDOW w AS (PARTITION BY market ORDER BY x)),
+sloped AS (SELECT market, x, y, CASE WHEN d0 IS NULL AND d1 IS NULL THEN 0.0 WHEN d0 IS NULL THEN {_edge("h1", "h2", "d1", "d2")} WHEN d1 IS NULL THEN {_edge("h0", "hm", "d0", "dm")} WHEN d0 * d1 <= 0 THEN 0.0
+  ELSE (3 * h1 + 3 * h0) / ((2 * h1 + h0) / d0 + (h1 + 2 * h0) / d1) END AS m FROM steps),
+pieces AS (SELECT market, x, y, m, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(m) OVER w AS m1, min(x) OVER (PARTITION BY market) AS lo FROM sloped WINDOW w AS (PARTITION BY market ORDER BY x)),
+spans AS (SELECT *, max(x) OVER (PARTITION BY market) AS hi FROM pieces WHERE x1 IS NOT NULL),
+cubic AS (SELECT p.market, p.d, (p.n - s.x) / (s.x1 - s.x) AS t, s.x1 - s.x AS h, y, y1, m, m1 FROM (SELECT market, d, date_diff('day', DATE '1970-01-01', d) AS n FROM daily) p
+  LEFT JOIN spans s ON s.market = p.market AND p.n >= ceil(s.x) - CASE WHEN s.x = lo THEN 40 ELSE 0 END AND p.n <= ceil(s.x1) + CASE WHEN s.x = hi THEN 40 ELSE -1 END)"""
+
+
+@query("crv2_smooth_base", "SELECT market, CAST(d AS VARCHAR) AS d, round((2 * t * t * t - 3 * t * t + 1) * y + (t * t * t - 2 * t * t + t) * h * m + (3 * t * t - 2 * t * t * t) * y1 + (t * t * t - t * t) * h * m1, 6) AS smooth FROM cubic", CUBIC)
 def crv2(t):
     return smoothed_days(t).select(F.col("key").alias("market"), S("d"), R("smooth", "smooth"))
 
