@@ -729,3 +729,56 @@ def test_pipeline_stages(spark, sf_dir):
     copies = {r["doc_id"]: r["copies"] for r in fair_mix.mix(docs).collect() if r["copies"]}
     assert {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == copies
     assert p.run(spark, sf_dir).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def written(spark, tmp_path, rows, labels, items):
+    """A folder with documents, labels and benchmark; documents also have columns named like the operators' own."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit("clash") for c in ("fp", "row_key", "draw", "score", "size", "copies")})
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_accounts_for_every_row(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(31)
+    word = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(500))
+    prose = lambda n: " ".join(word() for _ in range(n)).capitalize() + "."
+    item, base, other = prose(40), prose(300), prose(300)
+    junk = [" | ".join(["$$$", "###"] * 12 + [word()]) for _ in range(30)]
+    rows = [(k, prose(60), "en", "ab"[k % 2], 1) for k in range(60)]
+    rows += [(100 + k, t, "en", "junk", 1) for k, t in enumerate(junk)]
+    rows += [(200, base, "en", "a", 1), (201, base + " end", "en", None, 1), (None, base, None, "b", 1), (201, other, "en", "a", 1), (None, prose(80), None, None, None), (None, None, None, None, None), (300, "", "en", "a", 1)]
+    rows += [(400, f"Before it {item} and after it.", "en", "a", 1)] * 3 + [(401, prose(90), "en", "a", 1)] * 3
+    labels = [(r[0], 1, 0) for r in rows[:60]] + [(r[0], 0, 0) for r in rows[60:90]]
+    sf = written(spark, tmp_path, rows, labels, [(1, item), (2, None)])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    count = lambda df: defaultdict(int, {(r["doc_id"], r["text"]): r["n"] for r in df.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n")).collect()})
+    before = count(docs)
+    kept = p.quality(spark, docs, sf)
+    after = count(kept)
+    assert {k for k in before if after[k] != before[k]} <= {k for k in before if k[0] in range(100, 130) or not k[1]} and sum(after[100 + k, t] for k, t in enumerate(junk)) <= 3
+    assert all(after[k] in (0, before[k]) for k in before)
+    once = count(p.near_duplicates(spark, docs, sf))
+    prints = {k: brute_fingerprint(k[1]) for k in before}
+    order = sorted(before, key=lambda k: (k[0] is None, k[0] or 0, k[1] or ""))
+    groups = brute_components({n: prints[k] for n, k in enumerate(order)})
+    assert sum(once.values()) == len(set(groups.values())) and set(once.values()) == {1}
+    assert len({groups[order.index(k)] for k in once}) == len(once) and once[200, base] == once[201, other] == once[401, rows[-1][1]] == 1
+    clean = count(p.decontaminate(spark, docs, sf))
+    assert {k: before[k] - clean[k] for k in before if clean[k] != before[k]} == {(400, rows[-4][1]): 3}
+    mixed, copies = count(p.mix(spark, docs, sf)), count(fair_mix.mixed_rows(docs.select(p.COLUMNS)))
+    assert mixed == copies and not any(k[1] in (None, "") for k in mixed if mixed[k])
+    tokens = p.tokens(spark, docs, sf)
+    assert tokens.count() == docs.count() and tokens.agg(F.sum("n_tokens")).first()[0] == sum(len(i) for i in encoded([r[1] for r in rows]))
+    assert p.run(spark, sf).count() > 50
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    sf = written(spark, tmp_path, [], [], [])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert [stage(spark, docs, sf).count() for _, stage in p.STAGES] == [0] * 5 and p.run(spark, sf).count() == 0
