@@ -274,8 +274,15 @@ def curve_contracts(t, slots):
 
 @query("crv8_calibration")
 def crv8(t):
-    slots = curve_slots(t)
-    return curve.calibrate(slots, curve_contracts(t, slots)).select("curve_id", S("ts"), R("price", "price"), R("calibrated", "calibrated"))
+    work = writers.shared_folder(t.spark, "calibration")
+
+    def settle(table, name):
+        table.write.parquet(f"{work}/{name}")
+        return t.spark.read.schema(table.schema).parquet(f"{work}/{name}")
+
+    # the curve and its contracts are met more than once
+    slots = settle(curve_slots(t), "slots")
+    return curve.calibrate(slots, settle(curve_contracts(t, slots), "contracts")).select("curve_id", S("ts"), R("price", "price"), R("calibrated", "calibrated"))
 
 
 RESC = f"{RAW}, mt AS (SELECT market, y, m, avg(spot) AS target FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) GROUP BY ALL), resc AS (SELECT c.market, c.d, c.y, c.m, mt.target, raw * target / avg(raw) OVER (PARTITION BY c.market, c.y, c.m) AS price FROM (SELECT *, year(d) AS y, month(d) AS m FROM curve) c JOIN mt ON mt.market = c.market AND mt.y = c.y AND mt.m = c.m)"
