@@ -193,16 +193,39 @@ def shp15(t):
     return features(t).select("series", "ts", z("hs"), z("hc"), "weekday", R("target", "target"))
 
 
+REGRESSORS = ("hs", "hc", "hs2", "hc2", "ws", "wc", "ms", "mc", "weekend", "peak", "before1", "before7")
+
+
+def regressor_rows(t):
+    """(series, ts, d, target, w, REGRESSORS): two harmonics of the hour, cycles of weekday and day of the month, flags and
+    the same hour's ratio one and seven days before (1 where it is missing); weights halve every 30 days."""
+    rows = hourly(t).withColumn("m", F.avg("price").over(Window.partitionBy("series", "d"))).where("m > 5")
+    rows = rows.withColumn("target", F.greatest(F.lit(0.2), F.least(F.lit(3.0), F.col("price") / F.col("m"))))
+    days = F.datediff("d", F.lit("1970-01-01"))
+    w = Window.partitionBy("series", "hour").orderBy(days)
+    before = lambda k: F.coalesce(F.max("target").over(w.rangeBetween(-k, -k)), F.lit(1.0))
+    (hs, hc), (hs2, hc2) = tg.cyclic(F.col("hour"), 24), tg.cyclic(F.col("hour"), 12)
+    (ws, wc), (ms, mc) = tg.cyclic(F.weekday("d"), 7), tg.cyclic(F.dayofmonth("d"), 31)
+    flags = ((F.weekday("d") >= 5).cast("double"), F.col("hour").between(8, 19).cast("double"))
+    columns = dict(zip(REGRESSORS, (hs, hc, hs2, hc2, ws, wc, ms, mc, *flags, before(1), before(7)), strict=True))
+    age = win.decay_weight(F.col("d"), F.max("d").over(Window.partitionBy("series")), 30.0)
+    return rows.select("series", "ts", "d", "target", age.alias("w"), *(c.alias(n) for n, c in columns.items()))
+
+
 @query("shp16_regressor")
 def shp16(t):
-    """Tree ensemble on the features; the prediction is floored and scaled to mean 1 over each day."""
+    """Tree ensemble fitted on the first two thirds of the days and applied to the rest; the prediction is floored, scaled
+    to mean 1 over each day and clipped."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    rows = VectorAssembler(inputCols=["hs", "hc", "weekday"], outputCol="x").transform(features(t))
-    model = RandomForestRegressor(featuresCol="x", labelCol="target", numTrees=10, maxDepth=5, seed=1).fit(rows)
-    out = model.transform(rows).select("series", "ts", F.substring("ts", 1, 10).alias("d"), F.greatest("prediction", F.lit(0.05)).alias("p"))
-    return out.select("series", "ts", R(win.normalised("p", ["series", "d"]), "f"))
+    rows = VectorAssembler(inputCols=list(REGRESSORS), outputCol="x").transform(regressor_rows(t))
+    ends = rows.agg(F.min("d"), F.max("d")).first()
+    split = F.date_add(F.lit(ends[0]), (2 * (ends[1] - ends[0]).days) // 3)
+    model = RandomForestRegressor(featuresCol="x", labelCol="target", weightCol="w", numTrees=10, maxDepth=5, seed=1).fit(rows.where(F.col("d") < split))
+    out = model.transform(rows.where(F.col("d") >= split)).select("series", S("ts"), "d", F.greatest("prediction", F.lit(0.05)).alias("p"))
+    clipped = F.greatest(F.lit(0.2), F.least(F.lit(3.0), win.normalised("p", ["series", "d"])))
+    return out.select("series", "ts", R(clipped, "f"))
 
 
 WATER = """water_m AS (SELECT market, make_date(CAST(year(d) AS INT), CAST(month(d) AS INT), 1) AS month, avg(price) AS p, avg(fill - typical) AS dev
