@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .common import freed_shuffles, hot_keys, join_hot, settle, text_of, work_dir
+from .common import freed_shuffles, hot_keys, join_hot, row_key, settle, text_of, work_dir
 
 SHINGLE = 4
 SEED = 42
@@ -82,7 +82,7 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("fp", pa.int64())])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("tie", pa.binary()), ("fp", pa.int64())])
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,9 +92,9 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, fp): tie is a hash of the text, fp the fingerprint as a signed 64-bit integer."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("tie"), text_of().alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, tie long, fp long")
+    """(doc_id, tie, fp): tie is the row's key, fp the fingerprint as a signed 64-bit integer."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("tie"), text_of().alias("text"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, tie binary, fp long")
 
 
 def _value(segment: Segment) -> Column:
@@ -157,7 +157,7 @@ def components(edges: DataFrame, work: str, max_rounds: int = 60) -> DataFrame:
 
 def _members(prints: DataFrame, distance: int, work: str) -> DataFrame:
     """(fp, component, first): of each fingerprint the least one it is linked to, and the first row of that component,
-    a struct (anonymous, doc_id, tie) by doc_id, nulls last, and hash of the text. Fingerprints are the nodes."""
+    a struct (anonymous, doc_id, tie) by doc_id, nulls last, and key of the row. Fingerprints are the nodes."""
     row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "tie")
     nodes = settle(prints.groupBy("fp").agg(F.min(row).alias("first")), f"{work}/nodes")
     found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance, 3 if nodes.count() <= MANY else 2), work)
@@ -181,15 +181,13 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """docs without near-duplicates: of each component the row with its least doc_id stays, nulls last, then that
-    with the least hash of its text; one if repeated."""
+    with the least key of doc_id and text; one if repeated. Texts are shuffled once, by that key."""
     spark, work = docs.sparkSession, work_dir(docs.sparkSession, "simhash")
     with freed_shuffles(spark):
         prints = settle(fingerprints(docs), f"{work}/prints")
-        kept = settle(_members(prints, distance, work).select("component", "first").distinct().select("first.doc_id", "first.tie"), f"{work}/kept")
-    kept = kept.select(F.col("doc_id").alias("simhash_id"), F.col("tie").alias("simhash_kept"))
-    rows = docs.withColumn("simhash_tie", F.xxhash64(text_of()))
-    rows = rows.join(kept, (rows["simhash_tie"] == kept["simhash_kept"]) & rows["doc_id"].cast("long").eqNullSafe(kept["simhash_id"]), "left_semi")
-    once = F.row_number().over(Window.partitionBy("doc_id", "simhash_tie").orderBy("simhash_tie"))
+        kept = settle(_members(prints, distance, work).select("component", "first").distinct().select(F.col("first.tie").alias("simhash_key")), f"{work}/kept")
+    rows = docs.withColumn("simhash_key", row_key()).join(kept, "simhash_key", "left_semi")
+    once = F.row_number().over(Window.partitionBy("simhash_key").orderBy("simhash_key"))
     return rows.withColumn("simhash_no", once).where("simhash_no = 1").select(docs.columns)
 
 
