@@ -205,8 +205,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, length: int
     """Write docs (doc_id, text) as token files in ascending doc_id order; returns the manifest
     (part, file, n_docs, n_tokens, base: ids of all files before)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    # the row's place in the input lets rows that are repeated very often spread over several tasks
+    keys = {"tie": F.xxhash64("text"), "place": F.monotonically_increasing_id()}
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumns(keys)
+    rows = rows.repartitionByRange(partitions(spark), "doc_id", *keys).sortWithinPartitions("doc_id", *keys).select("doc_id", "text")
     with freed_shuffles(spark):
         manifest = settle(rows.mapInArrow(lambda it: _write(it, folder, tokenizer_path, length), "part int, file string, n_docs long, n_tokens long"), f"{folder}/manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
