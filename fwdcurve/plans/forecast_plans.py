@@ -7,6 +7,7 @@ from math import pi as PI
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import timegrid as tg
 from ..operators import aggregates as agg
 from ..operators import forecast as fc
 from ..operators import joins, recurrence
@@ -115,12 +116,11 @@ def fct2b(t):
 
 def hour_models(t, latest: bool = False):
     """(feature rows, models of every market, hour, cutoff and window, or of the latest cutoff), written once."""
-    rows = hour_rows(t)
     work = writers.shared_folder(t.spark, "hours")
-    for name, table in (("rows", rows), ("models", None)):
-        table = table if table is not None else fc.hourly_fits(t.spark.read.parquet(f"{work}/rows"), WINDOWS, fc.feature_names(rows), latest=latest)
-        table.write.parquet(f"{work}/{name}")
-    return t.spark.read.parquet(f"{work}/rows"), t.spark.read.parquet(f"{work}/models")
+    hour_rows(t).write.parquet(f"{work}/rows")
+    rows = t.spark.read.parquet(f"{work}/rows")
+    fc.hourly_fits(rows, WINDOWS, fc.feature_names(rows), latest=latest).write.parquet(f"{work}/models")
+    return rows, t.spark.read.parquet(f"{work}/models")
 
 
 def hour_backtest(t):
@@ -163,8 +163,7 @@ def fct8b(t, days: int = 10):
     found = found.join(misses, [market, hour], "left").withColumn("forecast", F.greatest("forecast", F.lit(-50.0)))
     half = fc.conformal_half(F.col("width"), F.coalesce("n", F.lit(0)), F.col("forecast"), F.col("ahead"))
     local = F.make_timestamp_ntz(F.year("d"), F.month("d"), F.dayofmonth("d"), F.col("hour"), F.lit(0), F.lit(0))
-    utc = F.to_utc_timestamp(local.cast("timestamp"), "Europe/Zurich").cast("timestamp_ntz")
-    return found.select(market, utc.cast("string").alias("ts"), F.col("ahead").alias("days_ahead"), R("forecast", "forecast"), R(F.col("forecast") - half, "p10"), R(F.col("forecast") + half, "p90"))
+    return found.select(market, tg.to_utc(local).cast("string").alias("ts"), F.col("ahead").alias("days_ahead"), R("forecast", "forecast"), R(F.col("forecast") - half, "p10"), R(F.col("forecast") + half, "p90"))
 
 
 @query("fct9b_hourly_backtest")
