@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_cnn, fair_mix, license_scan, media_chunks, nb_svm, reply_trees, simhash, token_files, warc_revisits, winnowing
+from . import byte_cnn, clause_grammar, cover_tree, derivation, fair_mix, license_scan, media_chunks, nb_svm, reply_trees, simhash, token_files, warc_revisits, winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": license_scan.op8_license_scan,
         "op9_nb_svm": nb_svm.op9_nb_svm,
         "op10_warc_revisits": warc_revisits.op10_warc_revisits,
+        "op11_clause_grammar": clause_grammar.op11_clause_grammar,
+        "op12_derivation": derivation.op12_derivation,
+        "op13_cover_tree": cover_tree.op13_cover_tree,
     }
 
 
@@ -31,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_fair_mix": fair_mix.SQL,
         "op8_license_scan": license_scan.sql(),
         "op10_warc_revisits": warc_revisits.SQL,
+        "op12_derivation": derivation.SQL,
+        "op13_cover_tree": cover_tree.sql(),
     }
