@@ -10,9 +10,9 @@ given its share.
 Scale: only (doc_id, source, size, hash) rows are shuffled. Running sums are made in two levels: sums per
 slice of the order, a running sum over the slices, then a running sum within each slice. Slices are cut
 by hash (within a source) and by finish time (over all), each of about `SLICE` rows whatever the source, so
-a source with a third of all rows has many slices. The loop that holds targets down runs on the table of
-sources and moves three numbers a round to the driver. The running sum over slices is one task with
-rows/SLICE rows, and numbering the sources is one with a row per source.
+a source with a third of all rows has many slices; slices are summed the same way in shelves of SLICE slices, so the one
+task that sums shelves has a row for 16 million documents. The loop that holds targets down runs on the table of
+sources and moves three numbers a round to the driver. Numbering the sources is one task with a row per source.
 
 Edge cases: null texts have size 0 and are never taken; a null source is a source of its own, the last;
 repeated rows are entries of their own (equal doc_ids are ordered by a hash of the text); sources without
@@ -21,7 +21,7 @@ words have target 0; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANK_FREE, freed_shuffles, settle, text_of, work_dir
@@ -33,11 +33,16 @@ SLICE = 4096
 SEED = "mix-1"
 
 
+def _draw(seed: str) -> Column:
+    """What orders the documents of a source: a hash of doc_id and text."""
+    text = F.md5(F.encode(text_of(), "UTF-8"))
+    return F.md5(F.encode(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text), "UTF-8"))
+
+
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, draw): draw orders the documents of a source."""
-    text = text_of()
-    draw = F.md5(F.encode(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.encode(text, "UTF-8"))), "UTF-8"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.regexp_count(text, F.lit(BLANK_FREE)).cast("long").alias("size"), draw.alias("draw"))
+    size = F.regexp_count(text_of(), F.lit(BLANK_FREE)).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"), _draw(seed).alias("draw"))
 
 
 def targets(rows: DataFrame, work: str, weights: tuple[int, ...] = WEIGHTS, most_times: int = MOST_TIMES) -> DataFrame:
@@ -62,9 +67,12 @@ def targets(rows: DataFrame, work: str, weights: tuple[int, ...] = WEIGHTS, most
 
 def _running(rows: DataFrame, group: list[str], slice_col: str, order: list, value: str, out: str) -> DataFrame:
     """Adds out, the sum of value up to and with each row in the order of (slice_col, order) within group."""
-    sums = rows.groupBy(*group, slice_col).agg(F.sum(value).alias("slice_sum"))
-    before = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, slice_col, F.coalesce(F.sum("slice_sum").over(before), F.lit(0)).alias("base"))
+    sums = rows.groupBy(*group, slice_col).agg(F.sum(value).alias("slice_sum")).withColumn("shelf", F.floor(F.col(slice_col) / F.lit(float(SLICE))).cast("long"))
+    ahead = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    shelves = sums.groupBy(*group, "shelf").agg(F.sum("slice_sum").alias("shelf_sum"))
+    shelves = shelves.select(*group, "shelf", F.coalesce(F.sum("shelf_sum").over(ahead(*group).orderBy("shelf")), F.lit(0)).alias("shelf_base"))
+    base = F.col("shelf_base") + F.coalesce(F.sum("slice_sum").over(ahead(*group, "shelf").orderBy(slice_col)), F.lit(0))
+    sums = sums.join(shelves, [*group, "shelf"]).select(*group, slice_col, base.alias("base"))
     within = Window.partitionBy(*group, slice_col).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("part", F.sum(value).over(within)).join(sums, [*group, slice_col]).select(*rows.columns, (F.col("base") + F.col("part")).alias(out))
 
@@ -103,15 +111,30 @@ def _mix(docs: DataFrame, work: str, weights: tuple[int, ...], most_times: int,
 
 
 def mixed_rows(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """The rows of docs as often as the mix takes them."""
-    chosen = mix(docs, seed=seed).where("copies > 0").groupBy("doc_id", F.col("draw").alias("mix_draw")).agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")).drop("doc_id")
-    draw = F.md5(F.encode(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.encode(text_of(), "UTF-8"))), "UTF-8"))
-    # equal rows share their copies: the first ones get one more if they don't divide
-    rows = docs.withColumn("mix_draw", draw).join(chosen, "mix_draw")
-    rows = rows.withColumn("mix_no", F.row_number().over(Window.partitionBy("mix_draw").orderBy("source")))
-    each = F.floor(F.col("mix_copies") / F.col("mix_rows")) + (F.col("mix_no") <= F.col("mix_copies") % F.col("mix_rows")).cast("long")
-    rows = rows.withColumn("mix_each", each).where("mix_each > 0")
-    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_each")))).select(docs.columns)
+    """The rows of docs as often as the mix takes them.
+
+    Rows that agree in doc_id, text and source share what the mix takes of them; if they differ in other columns, each kind
+    gets its part by their number, and what doesn't divide goes to kinds by a hash. Columns have to be comparable."""
+    work = work_dir(docs.sparkSession, "mixed")
+    key = F.unhex(F.md5(F.encode(F.concat_ws(":", F.col("mix_draw"), F.coalesce(F.hex(F.encode("source", "UTF-8")), F.lit("null"))), "UTF-8")))
+    taken = mix(docs, seed=seed).withColumnRenamed("draw", "mix_draw").select(key.alias("mix_key"), "copies")
+    # all rows of a key count, taken or not
+    chosen = taken.groupBy("mix_key").agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")).where("mix_copies > 0")
+    chosen = settle(chosen, f"{work}/chosen")
+    keyed = docs.withColumn("mix_draw", _draw(seed)).withColumn("mix_key", key).drop("mix_draw")
+    single = keyed.join(chosen.where("mix_rows = 1").select("mix_key", F.col("mix_copies").alias("mix_each")), "mix_key")
+    # equal rows are counted before they meet, so a row repeated very often is one of few
+    several = chosen.where("mix_rows > 1")
+    kinds = keyed.join(several.select("mix_key"), "mix_key", "left_semi").groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("mix_n")).join(several, "mix_key")
+    order = Window.partitionBy("mix_key").orderBy(F.xxhash64(*docs.columns), *docs.columns).rowsBetween(Window.unboundedPreceding, -1)
+    kinds = kinds.withColumn("mix_before", F.coalesce(F.sum("mix_n").over(order), F.lit(0)))
+    spare = F.greatest(F.least(F.expr("mix_copies % mix_rows") - F.col("mix_before"), F.col("mix_n")), F.lit(0))
+    kinds = kinds.withColumn("mix_each", F.expr("mix_copies div mix_rows") * F.col("mix_n") + spare).where("mix_each > 0")
+    rows = single.unionByName(kinds.select(*single.columns))
+    # in two steps, so that no array is long
+    rows = rows.withColumn("mix_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(mix_each - 1) div {SLICE}"))))
+    in_lot = F.least(F.col("mix_each") - F.col("mix_lot") * SLICE, F.lit(SLICE).cast("long"))
+    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_lot))).select(docs.columns)
 
 
 def op7_fair_mix(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ components, found by alternating large-star and small-star rounds (Kiveris et al
 
 Scale: copies share a fingerprint and are one row from the start, so a group of copies has no pairs. With
 three segments a key holds about distinct/2**21 fingerprints; beyond `MANY` distinct ones there are two
-segments of 32 bits with wider balls. Rounds of components are written as tables, over links alone; nodes with very many
+segments of 32 bits with wider balls (562 keys a fingerprint, 5.6e10 rows at 10**8 fingerprints). A segment's value that more
+than HOT_ROWS fingerprints share is cut again: of the other bits, in distance + 1 pieces, one has to agree too. Rounds of components are written as tables, over links alone; nodes with very many
 links are joined under salts, and so are fingerprints with very many documents.
 
 Edge cases: null, empty and blank texts have fingerprint 0, which links like any other; texts of fewer
@@ -119,16 +120,46 @@ def _asked(k: int, segment: Segment) -> Column:
     return F.transform(masks, lambda m: _key(k, _value(segment).bitwiseXOR(m)))
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = 3) -> DataFrame:
+def _recut(segment: Segment, distance: int) -> Column:
+    """The bits outside a segment in distance + 1 pieces, as structs (piece, piece_value): two fingerprints that link agree in
+    one of them."""
+    low = F.col("fp").bitwiseAND(F.lit((1 << segment.first) - 1))
+    high = F.shiftleft(F.shiftrightunsigned("fp", segment.first + segment.bits), segment.first) if segment.first + segment.bits < 64 else F.lit(0).cast("long")
+    rest, n = low.bitwiseOR(high), 64 - segment.bits
+    ends = [n * k // (distance + 1) for k in range(distance + 2)]
+    pieces = ((k, F.shiftrightunsigned(rest, a).bitwiseAND(F.lit((1 << (b - a)) - 1))) for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False)))
+    return F.array(*(F.struct(F.lit(k).alias("piece"), v.alias("piece_value")) for k, v in pieces))
+
+
+def _by_piece(rows: DataFrame, cut: list[Segment], distance: int, fp: str) -> DataFrame:
+    rows = rows.withColumn("fp", F.col(fp))
+    pieces = F.when(F.col("segment") == 0, _recut(cut[0], distance))
+    for k, segment in enumerate(cut[1:], 1):
+        pieces = pieces.when(F.col("segment") == k, _recut(segment, distance))
+    return rows.select(*rows.columns, F.inline(pieces)).drop("fp")
+
+
+def links(nodes: DataFrame, distance: int = DISTANCE, segments: int = 3, work: str | None = None) -> DataFrame:
     """(a, b): the nodes (node, fp) with distinct fp whose fingerprints differ in 1 to `distance` bits."""
     cut = segments_for(distance, segments)
+    work = work_dir(nodes.sparkSession, "links") if work is None else work
     filed = nodes.select("node", "fp", F.inline(F.array(*(_key(k, _value(s)) for k, s in enumerate(cut)))))
     asked = F.concat(*(_asked(k, s) for k, s in enumerate(cut)))
     queries = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"), F.inline(asked))
     filed = filed.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"), "segment", "value")
     near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= distance
-    same = (queries["segment"] == filed["segment"]) & (queries["value"] == filed["value"])
-    return queries.join(filed, same & (F.col("fp_a") < F.col("fp_b")) & near).select("a", "b").distinct()
+    key = ["segment", "value"]
+
+    def matched(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+        return left.join(right.select("b", "fp_b", *by), by).where((F.col("fp_a") < F.col("fp_b")) & near).select("a", "b")
+
+    # values that very many fingerprints share (those of short or alike texts) are met by a further piece of bits
+    hot = settle(filed.groupBy(*key).count().where(F.col("count") > common.HOT_ROWS).select(*key), f"{work}/hot_values")
+    if hot.isEmpty():
+        return matched(queries, filed, key).distinct()
+    usual = matched(queries.join(hot, key, "left_anti"), filed.join(hot, key, "left_anti"), key)
+    pieces = [_by_piece(rows.join(hot, key, "left_semi"), cut, distance, fp) for rows, fp in ((queries, "fp_a"), (filed, "fp_b"))]
+    return usual.unionByName(matched(*pieces, [*key, "piece", "piece_value"])).distinct()
 
 
 def components(edges: DataFrame, work: str, max_rounds: int = 60) -> DataFrame:
@@ -160,7 +191,7 @@ def _members(prints: DataFrame, distance: int, work: str) -> DataFrame:
     a struct (anonymous, doc_id, tie) by doc_id, nulls last, and key of the row. Fingerprints are the nodes."""
     row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "tie")
     nodes = settle(prints.groupBy("fp").agg(F.min(row).alias("first")), f"{work}/nodes")
-    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance, 3 if nodes.count() <= MANY else 2), work)
+    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), distance, 3 if nodes.count() <= MANY else 2, work), work)
     # components' own nodes are not among the nodes found
     found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()).distinct()
     linked = settle(nodes.join(found.withColumnRenamed("node", "fp"), "fp").select("fp", "component", "first"), f"{work}/linked")

@@ -3,17 +3,17 @@
 Words are hashed, k consecutive word hashes give a k-gram hash, and of every `w` neighbouring k-grams the one
 with the least hash is kept (all of them on a tie). Both sides keep the same k-gram inside any shared span
 of k+w-1 = `span` words, so a join of the kept fingerprints meets every shared span of that length. Each meeting
-is extended word by word to both sides, within `span` words; a run counts if it holds a whole window of `span`
-words. Everything is built from DataFrame functions.
+is extended to the windows of `span` words that hold the fingerprint (at most w of them), and those are joined with the
+windows of items by a 128-bit digest: what comes out of that join are hits alone, however common a fingerprint
+is. Everything is built from DataFrame functions.
 
 Items shorter than `span` have one window, the whole item: for each length that occurs (fewer than `span`
 lengths) all grams of that length are fingerprints, beside those of the long items.
 
-Scale: fingerprints of long items are a fifth of the words. What surrounds a fingerprint in an item is a
-context; equal contexts of many items are one row. If the contexts number at most `BROADCAST_ROWS` and their words
-at most `BROADCAST_BYTES` (both counted first) they are broadcast and texts never move; otherwise hashes alone
-are shuffled, under salts, and only texts that meet one are cut into words again. Documents that hold
-a very common fingerprint never meet in one task. Seeds carry at most 2*span words.
+Scale: fingerprints of long items are a fifth of the words; equal windows of many items are one row of 16 bytes. If
+fingerprints and windows number at most `BROADCAST_ROWS` together (counted first) they are broadcast and texts never
+move; otherwise hashes and digests alone are shuffled, under salts, and only texts that meet a fingerprint are cut into words
+again. Documents that hold a very common fingerprint or window never meet in one task.
 
 Edge cases: null texts (and items) have no words; items without words never occur; repeated documents with
 one doc_id are judged as one (their words counted once per row: rows are keyed by doc_id and a digest of the text);
@@ -31,8 +31,7 @@ from .common import ascii_words, freed_shuffles, hot_keys, join_hot, row_key, se
 
 SPAN = 13
 GRAM = 5
-BROADCAST_ROWS = 300_000
-BROADCAST_BYTES = 64 << 20
+BROADCAST_ROWS = 600_000
 SALTS = 16
 
 
@@ -79,13 +78,6 @@ def with_fingerprints(rows: DataFrame, shapes: list[Shape]) -> DataFrame:
     return rows.drop("hashes").withColumn("kept", F.concat(*kept) if kept else F.array().cast("array<bigint>"))
 
 
-def _agree(a: Column, b: Column) -> Column:
-    """How many words agree from the start of both arrays."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first = F.array_position(same, F.lit(False))
-    return F.when(first == 0, F.size(same)).otherwise(first - 1).cast("int")
-
-
 def _by_span(span: str, shapes: list[Shape], value) -> Column:
     """value(shape) of the shape that the column `span` names."""
     chosen = F.when(F.lit(False), value(shapes[0]))
@@ -94,37 +86,34 @@ def _by_span(span: str, shapes: list[Shape], value) -> Column:
     return chosen
 
 
-def seeds(met: DataFrame, shapes: list[Shape], keys: list[str]) -> DataFrame:
-    """(*keys, span, hash, place, left, right): one row for each place where the fingerprint `hash` of a shape stands,
-    with the words before it, nearest first, and those from it on, as far as a window that holds it can reach. A
-    row whose hash is null stays one row."""
+def windows(met: DataFrame, shapes: list[Shape], keys: list[str]) -> DataFrame:
+    """(*keys, span, hash, first, window): one row for each window of `span` words that holds the fingerprint `hash` of
+    its shape, by its first word's place and digest. A row whose hash is null stays one row."""
     reach = _by_span("span", shapes, lambda s: F.lit(s.span - s.k))
     grams = _by_span("span", shapes, lambda s: F.col(f"grams_{s.span}"))
-    places = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: _at(grams, i) == F.col("hash"))
-    left = lambda i: F.reverse(F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, reach)))
-    seed = lambda i: F.struct(i.alias("place"), left(i).alias("left"), F.slice("words", i + 1, F.col("span")).alias("right"))
-    nothing = F.array(F.lit(None).cast("struct<place:int,left:array<string>,right:array<string>>"))
     # where a hash is found in another shape's grams there are no places
-    cut = F.when(F.col("hash").isNull(), nothing).when(F.size(grams) > 0, F.transform(places, seed)).otherwise(F.slice(nothing, 1, 0))
-    out = met.select(*keys, "span", "hash", F.explode_outer(cut).alias("seed")).select(*keys, "span", "hash", "seed.*")
-    return out.where(F.col("hash").isNull() | F.col("place").isNotNull())
+    places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(grams), F.lit(1)) - 1), lambda i: _at(grams, i) == F.col("hash"))
+    around = lambda i: F.sequence(F.greatest(i - reach, F.lit(0)), F.least(i, F.size("words") - F.col("span")))
+    no_places = F.array().cast("array<int>")
+    starts = F.when(F.size("words") >= F.col("span"), F.array_distinct(F.flatten(F.transform(places, around)))).otherwise(no_places)
+    starts = F.when(F.col("hash").isNull(), F.array(F.lit(None).cast("int"))).otherwise(starts)
+    out = met.select(*keys, "words", "span", "hash", F.explode(starts).alias("first"))
+    return out.select(*keys, "span", "hash", "first", F.unhex(F.md5(F.encode(F.array_join(F.slice("words", F.col("first") + 1, F.col("span")), " "), "UTF-8"))).alias("window"))
 
 
-def contexts_of(items: DataFrame, shapes: list[Shape], work: str) -> tuple[DataFrame, DataFrame]:
-    """(contexts, named): contexts is (context, span, hash, item_left, item_right), each once; named (context, item_id)."""
+def windows_of(items: DataFrame, shapes: list[Shape], work: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(prints, known, named): the fingerprints (hash, span) of items, their windows, each once, and (window, item_id)."""
     marked = with_fingerprints(items, shapes)
     mine = F.explode(F.array(*(F.struct(F.lit(s.span).alias("span"), F.array_distinct(least_in_windows(F.col(f"grams_{s.span}"), s.w)).alias("hashes")) for s in shapes)))
     marked = marked.withColumn("x", mine).where(F.col("x.span") == F.least(F.size("words"), F.lit(max(s.span for s in shapes)))).withColumn("span", F.col("x.span"))
-    found = seeds(marked.withColumn("hash", F.explode("x.hashes")), shapes, ["item_id"])
-    text = F.concat_ws("|", F.col("span").cast("string"), F.array_join("left", " "), F.array_join("right", " "))
-    found = settle(found.withColumn("context", F.unhex(F.md5(F.encode(text, "UTF-8")))), f"{work}/item_seeds")
-    contexts = found.select("context", "span", "hash", F.col("left").alias("item_left"), F.col("right").alias("item_right")).dropDuplicates(["context"])
-    return settle(contexts, f"{work}/contexts"), settle(found.select("context", "item_id").distinct(), f"{work}/named")
+    found = settle(windows(marked.withColumn("hash", F.explode("x.hashes")), shapes, ["item_id"]), f"{work}/item_windows")
+    prints = settle(found.select("hash", "span").distinct(), f"{work}/prints")
+    return prints, settle(found.select("window").distinct(), f"{work}/known"), settle(found.select("window", "item_id").distinct(), f"{work}/named")
 
 
 def hits(docs: DataFrame, items: DataFrame, work: str, span: int = SPAN, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sizes, spans, named): sizes has row_key, doc_id, n_words of each document; spans has row_key, context,
-    first, last (past the end): runs of document words that hold a whole window; named has context, item_id."""
+    """(sizes, spans, named): sizes has row_key, doc_id, n_words of each document; spans has row_key, window,
+    first, last (past the end): document words that are an item's window; named has window, item_id."""
     with freed_shuffles(docs.sparkSession):
         return _hits(docs, items, work, span, broadcast_rows)
 
@@ -137,12 +126,9 @@ def _hits(docs: DataFrame, items: DataFrame, work: str, span: int, broadcast_row
     sizes = rows.select("row_key", "doc_id", F.size("words").cast("long").alias("n_words"))
     if not shapes:
         spark = docs.sparkSession
-        return settle(sizes, f"{work}/sizes"), spark.createDataFrame([], "row_key binary, context binary, first int, last int"), spark.createDataFrame([], "context binary, item_id string")
-    contexts, named = contexts_of(items, shapes, work)
-    prints = settle(contexts.select("hash", "span").distinct(), f"{work}/prints")
-    words = F.octet_length(F.array_join(F.concat("item_left", "item_right"), " "))
-    counted = contexts.agg(F.count(F.lit(1)), F.coalesce(F.sum(words), F.lit(0))).first()
-    few = counted[0] <= broadcast_rows and counted[1] <= BROADCAST_BYTES
+        return settle(sizes, f"{work}/sizes"), spark.createDataFrame([], "row_key binary, window binary, first int, last int"), spark.createDataFrame([], "window binary, item_id string")
+    prints, known, named = windows_of(items, shapes, work)
+    few = prints.count() + known.count() <= broadcast_rows
 
     if few:
         marked = with_fingerprints(rows.withColumn("n_words", F.size("words").cast("long")), shapes)
@@ -150,7 +136,7 @@ def _hits(docs: DataFrame, items: DataFrame, work: str, span: int, broadcast_row
         # one more entry, null, carries each document's size through the same pass
         every = marked.withColumn("hash", F.explode_outer(F.array_append("kept", F.lit(None).cast("long"))))
         met = every.join(F.broadcast(prints), "hash", "left").where(F.col("span").isNotNull() | F.col("hash").isNull())
-        cut = settle(seeds(met, shapes, ["row_key", "doc_id", "n_words"]), f"{work}/seeds")
+        cut = settle(windows(met, shapes, ["row_key", "doc_id", "n_words"]), f"{work}/seeds")
         sizes, cut = cut.where(F.col("hash").isNull()).select("row_key", "doc_id", "n_words"), cut.where(F.col("hash").isNotNull())
     else:
         sizes = settle(sizes, f"{work}/sizes")
@@ -162,14 +148,10 @@ def _hits(docs: DataFrame, items: DataFrame, work: str, span: int, broadcast_row
         again = texts.dropDuplicates(["row_key"]) if _repeats(sizes) else texts
         again = again.join(met, "row_key").select("row_key", ascii_words(F.col("text")).alias("words"), "found")
         again = with_fingerprints(again, shapes).withColumn("one", F.explode("found")).withColumns({"hash": F.col("one.hash"), "span": F.col("one.span")})
-        cut = settle(seeds(again, shapes, ["row_key"]), f"{work}/seeds")
-    pairs = cut.select("row_key", "span", "hash", "place", "left", "right").join(F.broadcast(contexts) if few else contexts, ["hash", "span"])
-    before, after = _agree(F.col("left"), F.col("item_left")), _agree(F.col("right"), F.col("item_right"))
-    pairs = pairs.select("row_key", "context", "span", "place", before.alias("before"), after.alias("after"))
-    k = _by_span("span", shapes, lambda s: F.lit(s.k))
-    found = pairs.where((F.col("after") >= k) & (F.col("before") + F.col("after") >= F.col("span")))
-    spans = found.select("row_key", "context", (F.col("place") - F.col("before")).alias("first"), (F.col("place") + F.col("after")).alias("last"))
-    return sizes, settle(spans, f"{work}/spans"), named
+        cut = settle(windows(again, shapes, ["row_key"]), f"{work}/seeds")
+    cut = cut.select("row_key", "window", "first", (F.col("first") + F.col("span")).alias("last"))
+    found = cut.join(F.broadcast(known), "window", "left_semi") if few else join_hot(cut, known, "window", None, hot_keys(cut, "window", f"{work}/hot_windows"))
+    return sizes, settle(found, f"{work}/spans"), named
 
 
 def _repeats(sizes: DataFrame) -> bool:
@@ -178,7 +160,7 @@ def _repeats(sizes: DataFrame) -> bool:
 
 def judged(sizes: DataFrame, spans: DataFrame, named: DataFrame, work: str) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    met = spans.select("row_key", "context").distinct().join(named, "context").select("row_key", "item_id").distinct()
+    met = spans.select("row_key", "window").distinct().join(named, "window").select("row_key", "item_id").distinct()
     items = met.groupBy("row_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     widest = spans.groupBy("row_key", "first").agg(F.max("last").alias("last"))
     runs = widest.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
