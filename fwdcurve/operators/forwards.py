@@ -93,15 +93,80 @@ def monthly_contracts(quotes: DataFrame, peaks: DataFrame, months: DataFrame) ->
     return rows.where("base IS NOT NULL").select("market", "year", "month", F.inline(F.when(F.col("peak").isNotNull(), pair).otherwise(one)))
 
 
-def proxy(days: DataFrame, start_year: int, n_years: int, anchor_days: int = 365) -> DataFrame:
-    """Quotes derived from prices: trailing mean, seasonal ratios and a yearly decay within -10 % and 0."""
+# Peak over base price without history, for synthesised quotes and for the proxy; days of the proxy's level and shape.
+DEFAULT_PEAK, PROXY_PEAK = 1.05, 1.15
+ANCHOR_DAYS, SHAPE_DAYS = 180, 730
+
+
+def peak_ratios(hours: DataFrame, full_years: DataFrame, least: int = 24) -> DataFrame:
+    """(market, month, ratio): mean over full years of a month's mean price in peak hours over that in all hours.
+
+    hours: (market, year, month, price, is_peak) in local time; months with few hours or without a positive base don't count."""
+    per = hours.join(full_years.select("market", "year"), ["market", "year"]).groupBy("market", "year", "month")
+    per = per.agg(F.avg("price").alias("base"), F.avg(F.when(F.col("is_peak"), F.col("price"))).alias("peak"), F.count(F.lit(1)).alias("n"))
+    return per.where((F.col("n") >= least) & (F.col("base") > 0) & F.col("peak").isNotNull()).groupBy("market", "month").agg(F.avg(F.col("peak") / F.col("base")).alias("ratio"))
+
+
+def period_ratios(ratios: DataFrame, markets: DataFrame) -> DataFrame:
+    """(market, quarter, month, ratio) of peak over base for months, quarters (mean of three) and the year (both null)."""
+    every = markets.select("market", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")).join(ratios, ["market", "month"], "left")
+    every = every.select("market", F.ceil(F.col("month") / 3).cast("int").alias("quarter"), "month", F.coalesce("ratio", F.lit(DEFAULT_PEAK)).alias("ratio"))
+    sets = every.groupingSets([["market"], ["market", "quarter"], ["market", "quarter", "month"]], "market", "quarter", "month").agg(F.avg("ratio").alias("ratio"))
+    return sets.select("market", F.when(F.col("month").isNull(), F.col("quarter")).alias("quarter"), "month", "ratio")
+
+
+def with_peaks(quotes: DataFrame, peaks: DataFrame, ratios: DataFrame) -> DataFrame:
+    """quotes with peak, the quoted one of peaks (market, year, quarter, month, peak) or else the base price by ratio,
+    and whether it is synthetic."""
+    same = lambda a, b, *keys: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    rows = quotes.alias("q").join(peaks.alias("p"), same("q", "p", "market", "year", "quarter", "month"), "left").join(ratios.alias("r"), same("q", "r", "market", "quarter", "month"), "left")
+    peak = F.coalesce("p.peak", F.col("q.price") * F.coalesce("r.ratio", F.lit(DEFAULT_PEAK)))
+    return rows.select("q.*", peak.alias("peak"), F.col("p.peak").isNull().alias("synthetic"))
+
+
+def load_months(base: DataFrame, peak: DataFrame, months: DataFrame) -> DataFrame:
+    """(market, year, quarter, month, hours, peak_hours, base, peak, offpeak) of the months of two cascades, base and peak:
+    as both keep their energy, the off-peak price that a period implies is that of its months."""
+    keys = ["market", "year", "quarter", "month"]
+    rows = base.select(*keys, F.col("price").alias("base")).join(peak.select(*keys, F.col("price").alias("peak")), keys).join(months, ["year", "quarter", "month"])
+    return rows.select(*keys, "hours", "peak_hours", "base", "peak", offpeak(F.col("base"), F.col("peak"), F.col("hours"), F.col("peak_hours")).alias("offpeak"))
+
+
+def level_of(months: DataFrame, periods: DataFrame, name: str) -> DataFrame:
+    """months with `name`: the price of its own month in periods (market, year, quarter, month, price), else of its quarter,
+    else of its year."""
+    rows = months
+    parts = (("_m", ["market", "year", "month"], "month IS NOT NULL"), ("_q", ["market", "year", "quarter"], "quarter IS NOT NULL AND month IS NULL"), ("_y", ["market", "year"], "quarter IS NULL AND month IS NULL"))
+    for part, keys, of in parts:
+        rows = rows.join(periods.where(of).select(*keys, F.col("price").alias(part)), keys, "left")
+    return rows.withColumn(name, F.coalesce("_m", "_q", "_y")).drop("_m", "_q", "_y")
+
+
+def proxy_quotes(days: DataFrame, hours: DataFrame, n_years: int = 4) -> DataFrame:
+    """(market, year, quarter, month, base, peak) of the n_years after a market's last price, from prices alone.
+
+    The level is the mean of the last ANCHOR_DAYS, moved each year by the median yearly change within -10 % and 0 (-3 % below
+    three years); a month has its share of the last SHAPE_DAYS (of all days, if those hold less than 180); quarters are means of
+    months; peaks follow the ratio of the same hours. A year has no peak quote."""
     last = days.groupBy("market").agg(F.max("d").alias("last"))
-    anchor = days.join(last, "market").where(F.col("d") > F.date_sub("last", anchor_days)).groupBy("market").agg(F.avg("price").alias("anchor"))
+    shape_from = lambda rows: rows.join(recent, "market").where(F.col("d") > F.col("from"))
+    anchor = days.join(last, "market").where(F.col("d") > F.date_sub("last", ANCHOR_DAYS)).groupBy("market").agg(F.avg("price").alias("anchor"))
+    recent = days.join(last, "market").groupBy("market").agg(F.max("last").alias("last"), F.count_if(F.col("d") > F.date_sub("last", SHAPE_DAYS)).alias("n"))
+    recent = recent.select("market", F.when(F.col("n") >= 180, F.date_sub("last", SHAPE_DAYS)).otherwise(F.lit("0001-01-01").cast("date")).alias("from"))
     yearly = days.groupBy("market", F.year("d").alias("year")).agg(F.avg("price").alias("mean"))
     change = yearly.select("market", (F.col("mean") / F.lag("mean").over(Window.partitionBy("market").orderBy("year")) - 1).alias("change"))
     decay = change.groupBy("market").agg(F.when(F.count("change") >= 2, F.greatest(F.lit(-0.10), F.least(F.lit(0.0), F.median("change")))).otherwise(F.lit(-0.03)).alias("decay"))
-    month = days.groupBy("market", F.month("d").alias("month")).agg(F.avg("price").alias("mean"))
-    month = month.select("market", "month", (F.col("mean") / F.avg("mean").over(Window.partitionBy("market"))).alias("ratio"))
-    levels = anchor.join(decay, "market").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_years - 1))))
-    levels = levels.select("market", (F.col("i") + start_year).alias("year"), (F.col("anchor") * F.pow(1 + F.col("decay"), F.col("i"))).alias("level"))
-    return levels.join(month, "market").select("market", "year", "month", "level", (F.col("level") * F.col("ratio")).alias("price"))
+    month = shape_from(days).groupBy("market", F.month("d").alias("month")).agg(F.avg("price").alias("mean"))
+    mean = F.avg("mean").over(Window.partitionBy("market"))
+    month = month.select("market", "month", F.when(F.abs(mean) < 1.0, F.lit(1.0)).otherwise(F.col("mean") / mean).alias("share"))
+    peak = shape_from(hours).groupBy("market", "month").agg(F.avg("price").alias("b"), F.avg(F.when(F.col("is_peak"), F.col("price"))).alias("p"))
+    peak = peak.where("b > 0 AND p IS NOT NULL").select("market", "month", (F.col("p") / F.col("b")).alias("ratio"))
+    years = last.join(anchor, "market").join(decay, "market").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_years - 1))))
+    years = years.select("market", (F.year("last") + 1 + F.col("i")).alias("year"), (F.col("anchor") * F.pow(1 + F.col("decay"), F.col("i"))).alias("level"))
+    grid = years.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).join(month, ["market", "month"], "left").join(peak, ["market", "month"], "left")
+    base = F.col("level") * F.coalesce("share", F.lit(1.0))
+    grid = grid.select("market", "year", F.ceil(F.col("month") / 3).cast("int").alias("quarter"), "month", base.alias("base"), (base * F.coalesce("ratio", F.lit(PROXY_PEAK))).alias("peak"))
+    none = F.lit(None).cast("int")
+    quarters = grid.groupBy("market", "year", "quarter").agg(none.alias("month"), F.avg("base").alias("base"), F.avg("peak").alias("peak")).select(grid.columns)
+    whole = years.select("market", "year", none.alias("quarter"), none.alias("month"), F.col("level").alias("base"), F.lit(None).cast("double").alias("peak"))
+    return whole.unionByName(quarters).unionByName(grid.withColumn("quarter", none))

@@ -6,6 +6,7 @@ Times are UTC wall clock (TIMESTAMP_NTZ).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import day_calendar
 from ..functions.timegrid import floor_slot
+from ..sources import writers
 
 
 class Tables:
@@ -20,7 +22,15 @@ class Tables:
     quotes: forward quotes; commodities: daily closes; raw tables by their own name."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path, self._written = spark, path, {}
+
+    def settled(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The table that build gives, written to the shared folder the first time: for what a query meets several times."""
+        if name not in self._written:
+            table = build()
+            table.write.parquet(f"{(folder := writers.shared_folder(self.spark, name))}/rows")
+            self._written[name] = self.spark.read.schema(table.schema).parquet(f"{folder}/rows")
+        return self._written[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

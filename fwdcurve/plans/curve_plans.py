@@ -11,7 +11,7 @@ from ..operators import windows as win
 from ..sources import writers
 from .registry import query
 from .shape_plans import DAYS, FW, FWS, seasonal_factor
-from .table_plans import FULL, HOURLY, LOOKUP, PAIR, YEARLY, full_years, hourly, pair
+from .table_plans import FULL, HOUR_WAYS, HOURLY, LOOKUP, PAIR, YEARLY, full_years, hourly, market_hours, pair
 from .time_plans import HOURS, R, S, month_hours
 
 RATIO = f"""{YEARLY}, {FULL}, rat AS (SELECT p.market, p.year, p.kind, p.no, p.m / y.mean AS ratio FROM (
@@ -39,15 +39,35 @@ def months(t):
     return forwards.cascade_months(quarters(t), t.quotes, month_hours(t), forwards.mean_ratios(ratios(t)))
 
 
-PROXY = """prox AS (SELECT l.market, l.year, m.month, l.level, l.level * m.ratio AS price FROM (SELECT a.market, 2002 + i AS year, anchor * pow(1 + decay, i) AS level FROM
-  (SELECT market, avg(price) AS anchor FROM daily JOIN (SELECT market, max(d) AS last FROM daily GROUP BY market) USING (market) WHERE d > last - INTERVAL 365 day GROUP BY market) a
-  JOIN (SELECT market, CASE WHEN count(c) >= 2 THEN greatest(-0.10, least(0.0, median(c))) ELSE -0.03 END AS decay FROM (SELECT market, mean / lag(mean) OVER (PARTITION BY market ORDER BY year) - 1 AS c FROM yearly) GROUP BY market) USING (market), range(3) r(i)) l
-  JOIN (SELECT market, month, m / avg(m) OVER (PARTITION BY market) AS ratio FROM (SELECT market, CAST(month(d) AS INT) AS month, avg(price) AS m FROM daily GROUP BY ALL)) m USING (market))"""
+LOADS = f"""{HOURLY}, {HOUR_WAYS}, lhours AS (SELECT market, d, price, ((d + to_hours(hour)) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Zurich' AS lt FROM mhours),
+phours AS (SELECT market, d, price, CAST(year(lt) AS INT) AS year, CAST(quarter(lt) AS INT) AS quarter, CAST(month(lt) AS INT) AS month, isodow(lt) <= 5 AND hour(lt) BETWEEN 8 AND 19 AS peak FROM lhours)"""
 
 
-@query("fwd1_spot_proxy", "SELECT market, CAST(year AS INT) AS year, month, round(level, 6) AS level, round(price, 6) AS price FROM prox", f"{YEARLY}, {PROXY}")
+def load_hours(t):
+    """(market, d, year, quarter, month, price, is_peak): the hours of the daily prices in local time, peak from Monday to
+    Friday, 8 to 20."""
+    local = tg.local_time(F.col("d").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("hour")))
+    part = lambda f, name: f("lt").alias(name)
+    build = lambda: market_hours(t).withColumn("lt", local).select("market", "d", part(F.year, "year"), part(F.quarter, "quarter"), part(F.month, "month"), "price", tg.peak_weekday(F.col("lt")).alias("is_peak"))
+    return t.settled("load_hours", build)
+
+
+PROXY = f"""{LOADS}, lasts AS (SELECT market, max(d) AS last FROM daily GROUP BY market),
+froms AS (SELECT market, CASE WHEN count(*) FILTER (d > last - INTERVAL {forwards.SHAPE_DAYS} day) >= 180 THEN any_value(last) - INTERVAL {forwards.SHAPE_DAYS} day ELSE DATE '0001-01-01' END AS since FROM daily JOIN lasts USING (market) GROUP BY market),
+pyears AS (SELECT market, CAST(year(last) + 1 + i AS INT) AS year, anchor * pow(1 + decay, i) AS level FROM lasts
+  JOIN (SELECT market, avg(price) AS anchor FROM daily JOIN lasts USING (market) WHERE d > last - INTERVAL {forwards.ANCHOR_DAYS} day GROUP BY market) USING (market)
+  JOIN (SELECT market, CASE WHEN count(c) >= 2 THEN greatest(-0.10, least(0.0, median(c))) ELSE -0.03 END AS decay FROM (SELECT market, mean / lag(mean) OVER (PARTITION BY market ORDER BY year) - 1 AS c FROM yearly) GROUP BY market) USING (market), range(4) r(i)),
+pmonths AS (SELECT market, month, CASE WHEN abs(avg(m) OVER (PARTITION BY market)) < 1 THEN 1.0 ELSE m / avg(m) OVER (PARTITION BY market) END AS share FROM (SELECT market, CAST(month(d) AS INT) AS month, avg(price) AS m FROM daily JOIN froms USING (market) WHERE d > since GROUP BY ALL)),
+ppeaks AS (SELECT market, month, avg(price) FILTER (peak) / avg(price) AS ratio FROM phours JOIN froms USING (market) WHERE d > since GROUP BY ALL HAVING avg(price) > 0),
+pgrid AS (SELECT y.market, year, CAST(ceil(month / 3.0) AS INT) AS quarter, month, level * coalesce(share, 1.0) AS base, level * coalesce(share, 1.0) * coalesce(ratio, {forwards.PROXY_PEAK}) AS peak
+  FROM (SELECT *, CAST(unnest(range(1, 13)) AS INT) AS month FROM pyears) y LEFT JOIN pmonths USING (market, month) LEFT JOIN ppeaks USING (market, month)),
+prox AS (SELECT market, year, NULL::INT AS quarter, NULL::INT AS month, level AS base, NULL::DOUBLE AS peak FROM pyears UNION ALL SELECT market, year, quarter, NULL, avg(base), avg(peak) FROM pgrid GROUP BY ALL UNION ALL SELECT market, year, NULL, month, base, peak FROM pgrid)"""
+
+
+@query("fwd1_spot_proxy", "SELECT market, year, quarter, month, round(base, 6) AS base, round(peak, 6) AS peak FROM prox", f"{YEARLY}, {PROXY}")
 def fwd1(t):
-    return forwards.proxy(t.daily, 2002, 3).select("market", F.col("year").cast("int").alias("year"), "month", R("level", "level"), R("price", "price"))
+    """Yearly, quarterly and monthly quotes, the latter two with peaks, of the four years after a market's last price."""
+    return forwards.proxy_quotes(t.daily, load_hours(t)).select("market", "year", "quarter", "month", R("base", "base"), R("peak", "peak"))
 
 
 @query("fwd2_seasonal_ratios", "SELECT market, kind, no, round(ratio, 6) AS ratio FROM mrat", RATIO)
@@ -64,21 +84,43 @@ def fwd3(t):
     return r.where("n >= 3").select("market", "kind", "no", R(forwards.trended_ratio(F.col("base"), F.col("slope"), F.lit(2004) - F.col("last")), "ratio"))
 
 
-PEAKR = "pr AS (SELECT series, CAST(isodow(d) AS INT) AS dow, avg(price) FILTER (hour BETWEEN 8 AND 19) / avg(price) AS ratio FROM hourly GROUP BY series, isodow(d))"
+PEAKR = """pr AS (SELECT market, month, avg(ratio) AS ratio FROM (SELECT market, year, month, avg(price) FILTER (peak) / avg(price) AS ratio FROM phours JOIN full_years USING (market, year) GROUP BY ALL HAVING count(*) >= 24 AND avg(price) > 0) WHERE ratio IS NOT NULL GROUP BY ALL)"""
 
 
-@query("fwd4_peak_ratio", "SELECT series, dow, round(ratio, 6) AS ratio FROM pr", f"{HOURLY}, {PEAKR}")
+def peak_ratios(t):
+    return t.settled("peak_ratios", lambda: forwards.peak_ratios(load_hours(t), full_years(t)))
+
+
+@query("fwd4_peak_ratio", "SELECT market, month, round(ratio, 6) AS ratio FROM pr", f"{YEARLY}, {FULL}, {LOADS}, {PEAKR}")
 def fwd4(t):
-    peak = F.avg(F.when(F.col("hour").between(8, 19), F.col("price")))
-    return hourly(t).groupBy("series", (F.weekday("d") + 1).alias("dow")).agg(R(peak / F.avg("price"), "ratio"))
+    return peak_ratios(t).select("market", "month", R("ratio", "ratio"))
+
+
+PEAKQ = f"""{PEAKR}, peakq AS (SELECT market, year, CASE WHEN month IS NULL THEN quarter END AS quarter, month, peak FROM (SELECT market, year, quarter, month, avg(price) AS peak FROM phours WHERE peak GROUP BY GROUPING SETS ((market, year), (market, year, quarter), (market, year, quarter, month)))
+  WHERE year % 4 = 0 AND (quarter IS NULL OR quarter = 2 OR month = 1)),
+pers AS (SELECT market, CASE WHEN month IS NULL THEN quarter END AS quarter, month, avg(ratio) AS ratio FROM (SELECT market, CAST(ceil(month / 3.0) AS INT) AS quarter, month, coalesce(ratio, {forwards.DEFAULT_PEAK}) AS ratio
+  FROM (SELECT DISTINCT market, CAST(unnest(range(1, 13)) AS INT) AS month FROM daily) LEFT JOIN pr USING (market, month)) GROUP BY GROUPING SETS ((market), (market, quarter), (market, quarter, month))),
+lq AS (SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, q.price, coalesce(p.peak, q.price * coalesce(r.ratio, {forwards.DEFAULT_PEAK})) AS peak, p.peak IS NULL AS synthetic FROM quotes q
+  LEFT JOIN peakq p ON p.market = q.market AND p.year = q.year AND p.quarter IS NOT DISTINCT FROM q.quarter AND p.month IS NOT DISTINCT FROM q.month LEFT JOIN pers r ON r.market = q.market AND r.quarter IS NOT DISTINCT FROM q.quarter AND r.month IS NOT DISTINCT FROM q.month)"""
 
 
-@query("fwd5_missing_peaks", "SELECT market, CAST(year AS INT) AS year, month, round(price * CASE WHEN month IN (12, 1, 2) THEN 1.2 ELSE 1.1 END, 6) AS peak FROM cm WHERE year % 4 <> 0", CASC)
+def peak_quotes(t):
+    """Quoted peaks: every fourth year has one of the year, of the second quarter (and the months') and of January."""
+    rows = load_hours(t).where("is_peak")
+    sets = rows.groupingSets([["market", "year"], ["market", "year", "quarter"], ["market", "year", "quarter", "month"]], "market", "year", "quarter", "month").agg(F.avg("price").alias("peak"))
+    sets = sets.where((F.col("year") % 4 == 0) & (F.col("quarter").isNull() | (F.col("quarter") == 2) | (F.col("month") == 1)))
+    return sets.select("market", "year", F.when(F.col("month").isNull(), F.col("quarter")).alias("quarter"), "month", "peak")
+
+
+def load_quotes(t):
+    """quotes with a peak price each, quoted or synthetic."""
+    return forwards.with_peaks(t.quotes, peak_quotes(t), forwards.period_ratios(peak_ratios(t), t.daily.select("market").distinct()))
+
+
+@query("fwd5_missing_peaks", "SELECT market, year, quarter, month, round(price, 6) AS base, round(peak, 6) AS peak, synthetic FROM lq", f"{YEARLY}, {FULL}, {LOADS}, {PEAKQ}")
 def fwd5(t):
-    rows = months(t)
-    quoted = rows.where("year % 4 = 0").select("market", "year", "month")
-    ratio = F.when(F.col("month").isin(12, 1, 2), 1.2).otherwise(1.1)
-    return rows.join(quoted, ["market", "year", "month"], "left_anti").select("market", "year", "month", R(F.col("price") * ratio, "peak"))
+    """A peak price for every base quote: its own, or the base price by the ratios of its months."""
+    return load_quotes(t).select("market", "year", "quarter", "month", R("price", "base"), R("peak", "peak"), "synthetic")
 
 
 QCOLS = "market, CAST(year AS INT) AS year, quarter, CAST(hours AS BIGINT) AS hours, round(price, 6) AS price, derived"
@@ -114,10 +156,39 @@ def fwd10(t):
     return out.select("market", "year", "quarter", R("price", "price", 5), R("implied", "implied", 5), "conserved")
 
 
-@query("fwd11_offpeak_identity", "SELECT market, CAST(year AS INT) AS year, month, round((price * hours - price * 1.15 * peak_hours) / (hours - peak_hours), 6) AS offpeak FROM cm JOIN mh USING (year, month, quarter, hours)", CASC)
+LOADC = f"""{CASC}, {LOADS}, {PEAKQ},
+pq AS (SELECT year, quarter, sum(peak_hours) AS hours FROM mh GROUP BY ALL),
+pk AS (SELECT market, CASE WHEN month IS NULL THEN 'quarter' ELSE 'month' END AS kind, coalesce(month, quarter) AS no, m.ratio * p.ratio AS ratio FROM pers p JOIN mrat m USING (market) WHERE coalesce(p.month, p.quarter) = m.no AND m.kind = CASE WHEN p.month IS NULL THEN 'quarter' ELSE 'month' END),
+pc0 AS (SELECT y.market, y.year, pq.quarter, pq.hours, coalesce(r.ratio, 1) AS ratio, k.peak AS quoted, y.peak AS parent FROM (SELECT * FROM lq WHERE quarter IS NULL AND month IS NULL) y JOIN pq USING (year)
+  LEFT JOIN pk r ON r.market = y.market AND r.kind = 'quarter' AND r.no = pq.quarter LEFT JOIN peakq k ON k.market = y.market AND k.year = y.year AND k.quarter = pq.quarter),
+pc AS (SELECT market, year, quarter, coalesce(quoted, (parent * sum(hours) OVER w - sum(coalesce(quoted * hours, 0)) OVER w) * ratio / nullif(sum(CASE WHEN quoted IS NULL THEN ratio * hours END) OVER w, 0)) AS price FROM pc0 WINDOW w AS (PARTITION BY market, year)),
+pm0 AS (SELECT q.market, q.year, q.quarter, mh.month, mh.peak_hours AS hours, coalesce(r.ratio, 1) AS ratio, k.peak AS quoted, q.price AS parent FROM pc q JOIN mh USING (year, quarter)
+  LEFT JOIN pk r ON r.market = q.market AND r.kind = 'month' AND r.no = mh.month LEFT JOIN peakq k ON k.market = q.market AND k.year = q.year AND k.month = mh.month),
+pm AS (SELECT market, year, quarter, month, coalesce(quoted, (parent * sum(hours) OVER w - sum(coalesce(quoted * hours, 0)) OVER w) * ratio / nullif(sum(CASE WHEN quoted IS NULL THEN ratio * hours END) OVER w, 0)) AS price FROM pm0 WINDOW w AS (PARTITION BY market, year, quarter)),
+lm AS (SELECT c.market, CAST(c.year AS INT) AS year, c.quarter, c.month, c.hours, mh.peak_hours, c.price AS base, pm.price AS peak, (c.price * c.hours - pm.price * mh.peak_hours) / nullif(c.hours - mh.peak_hours, 0) AS offpeak FROM cm c JOIN pm USING (market, year, quarter, month) JOIN mh USING (year, quarter, month))"""
+
+
+def load_months(t):
+    """Base, peak and off-peak price of every month: both cascades, the peaks' by peak hours."""
+    pers = forwards.period_ratios(peak_ratios(t), t.daily.select("market").distinct()).where("quarter IS NOT NULL OR month IS NOT NULL")
+    pers = pers.select("market", F.when(F.col("month").isNull(), "quarter").otherwise("month").alias("kind"), F.coalesce("month", "quarter").alias("no"), F.col("ratio").alias("peak_ratio"))
+    shares = forwards.mean_ratios(ratios(t)).join(pers, ["market", "kind", "no"]).select("market", "kind", "no", (F.col("ratio") * F.col("peak_ratio")).alias("ratio"))
+    quoted = peak_quotes(t).withColumnRenamed("peak", "price")
+    years = load_quotes(t).where("quarter IS NULL AND month IS NULL").select("market", "year", "quarter", "month", F.col("peak").alias("price"))
+    peaks = years.unionByName(quoted.where("quarter IS NOT NULL OR month IS NOT NULL"))
+    of, shares = t.settled("month_hours", lambda: month_hours(t)), t.settled("peak_shares", lambda: shares)
+    peaks, by_peak = t.settled("peaks", lambda: peaks), of.withColumn("hours", F.col("peak_hours"))
+    peak = forwards.cascade_months(forwards.cascade_quarters(peaks, by_peak, shares), peaks, by_peak, shares)
+    return forwards.load_months(t.settled("months", lambda: months(t)), peak, of)
+
+
+@query("fwd11_offpeak_identity", "SELECT market, year, quarter, month, round(sum(base * hours) / sum(hours), 6) AS base, round(sum(peak * peak_hours) / sum(peak_hours), 6) AS peak, round(sum(offpeak * (hours - peak_hours)) / sum(hours - peak_hours), 6) AS offpeak FROM lm GROUP BY GROUPING SETS ((market, year), (market, year, quarter), (market, year, quarter, month))", LOADC)
 def fwd11(t):
-    rows = months(t).select("market", "year", "month", "price").join(month_hours(t), ["year", "month"])
-    return rows.select("market", "year", "month", R(forwards.offpeak(F.col("price"), F.col("price") * 1.15, F.col("hours"), F.col("peak_hours")), "offpeak"))
+    """Base, peak and off-peak price of every month, quarter and year; hour by hour the latter two make up the first."""
+    mean = lambda price, hours: F.sum(F.col(price) * hours) / F.sum(hours)
+    rest = F.col("hours") - F.col("peak_hours")
+    sets = load_months(t).groupingSets([["market", "year"], ["market", "year", "quarter"], ["market", "year", "quarter", "month"]], "market", "year", "quarter", "month")
+    return sets.agg(R(mean("base", F.col("hours")), "base"), R(mean("peak", F.col("peak_hours")), "peak"), R(mean("offpeak", rest), "offpeak"))
 
 
 @query("fwd12_contract_specs", "SELECT market, CAST(year AS INT) AS year, month, CAST((make_timestamp(year, month, 1, 0, 0, 0.0) AT TIME ZONE 'Europe/Zurich') AT TIME ZONE 'UTC' AS VARCHAR) AS start_utc, CAST((make_timestamp(CASE WHEN month = 12 THEN year + 1 ELSE year END, month % 12 + 1, 1, 0, 0, 0.0) AT TIME ZONE 'Europe/Zurich') AT TIME ZONE 'UTC' AS VARCHAR) AS end_utc, hours FROM cm", CASC)
@@ -128,31 +199,55 @@ def fwd12(t):
 
 
 def contracts(t):
+    """Disjoint contracts of each month: peak and off-peak where a peak is quoted for the month, its quarter or its year, else base."""
     mh = month_hours(t)
-    base = forwards.monthly_contracts(t.quotes, t.spark.createDataFrame([], "market string, year int, month int, peak double"), mh)
-    peaks = base.where("month % 2 = 1").select("market", "year", "month", (F.col("price") * 1.2).alias("peak"))
+    grid = t.quotes.select("market", "year").distinct().join(mh.select("year", "quarter", "month"), "year")
+    peaks = forwards.level_of(grid, peak_quotes(t).withColumnRenamed("peak", "price"), "peak").where("peak IS NOT NULL")
     return forwards.monthly_contracts(t.quotes, peaks, mh)
 
 
-PEAKS = """ct0 AS (SELECT y.market, CAST(y.year AS INT) AS year, mh.month, mh.hours, mh.peak_hours, coalesce(m.price, q.price, a.price) AS base, CASE WHEN mh.month % 2 = 1 THEN coalesce(m.price, q.price, a.price) * 1.2 END AS peak
-  FROM (SELECT DISTINCT market, year FROM quotes) y JOIN mh USING (year) LEFT JOIN quotes m ON m.market = y.market AND m.year = y.year AND m.month = mh.month LEFT JOIN quotes q ON q.market = y.market AND q.year = y.year AND q.quarter = mh.quarter
-  LEFT JOIN quotes a ON a.market = y.market AND a.year = y.year AND a.quarter IS NULL AND a.month IS NULL),
-ct AS (SELECT market, year, month, 'Peak' AS load, peak AS price, peak_hours AS hours FROM ct0 WHERE peak IS NOT NULL
-  UNION ALL SELECT market, year, month, 'Offpeak', (base * hours - peak * peak_hours) / (hours - peak_hours), hours - peak_hours FROM ct0 WHERE peak IS NOT NULL
-  UNION ALL SELECT market, year, month, 'Base', base, hours FROM ct0 WHERE peak IS NULL)"""
+_LEVEL = """LEFT JOIN {0} m ON m.market = g.market AND m.year = g.year AND m.month = g.month LEFT JOIN {0} q ON q.market = g.market AND q.year = g.year AND q.quarter = g.quarter AND q.month IS NULL
+  LEFT JOIN {0} a ON a.market = g.market AND a.year = g.year AND a.quarter IS NULL AND a.month IS NULL"""
+CONTRACTS = f"""ctg AS (SELECT DISTINCT k.market, CAST(k.year AS INT) AS year, mh.quarter, mh.month, mh.hours, mh.peak_hours FROM quotes k JOIN mh USING (year)),
+ctb AS (SELECT g.*, coalesce(m.price, q.price, a.price) AS base FROM ctg g {_LEVEL.format("quotes")}),
+ctp AS (SELECT g.*, coalesce(m.peak, q.peak, a.peak) AS peak FROM ctb g {_LEVEL.format("peakq")}),
+ct AS (SELECT market, year, month, 'Peak' AS load, peak AS price, peak_hours AS hours FROM ctp WHERE peak IS NOT NULL
+  UNION ALL SELECT market, year, month, 'Offpeak', (base * hours - peak * peak_hours) / (hours - peak_hours), hours - peak_hours FROM ctp WHERE peak IS NOT NULL
+  UNION ALL SELECT market, year, month, 'Base', base, hours FROM ctp WHERE peak IS NULL)"""
 
 
-@query("fwd13_disjoint_contracts", "SELECT market, year, month, load, round(price, 6) AS price, hours FROM ct", f"{HOURS}, {PEAKS}")
+@query("fwd13_disjoint_contracts", "SELECT market, year, month, load, round(price, 6) AS price, hours FROM ct WHERE price IS NOT NULL", f"{HOURS}, {YEARLY}, {FULL}, {LOADS}, {PEAKQ}, {CONTRACTS}")
 def fwd13(t):
     return contracts(t).select("market", "year", "month", "load", R("price", "price"), "hours")
 
 
-@query("fwd14_quote_history", "SELECT month, round(max(price) FILTER (market = 'CH'), 6) AS ch, round(max(price) FILTER (market = 'DE'), 6) AS de FROM (SELECT market, month, price, year, max(year) OVER (PARTITION BY market) AS last FROM quotes WHERE month IS NOT NULL) WHERE year = last GROUP BY month")
+HISTORY = f"""hq AS (SELECT x.market, quoted, CAST(year(quoted + to_months(k)) AS INT) AS year, CAST(month(quoted + to_months(k)) AS INT) AS month, level * coalesce(r.ratio, 1) AS base, level * coalesce(r.ratio, 1) * coalesce(p.ratio, {forwards.DEFAULT_PEAK}) AS peak
+  FROM (SELECT c.market, c.quoted, k, avg(x.price) AS level FROM (SELECT DISTINCT market, CAST(date_trunc('month', d) AS DATE) AS quoted FROM daily) c JOIN daily x ON x.market = c.market AND x.d < c.quoted AND x.d >= c.quoted - INTERVAL 90 day, (SELECT CAST(unnest(range(1, 4)) AS INT) AS k) GROUP BY ALL) x
+  LEFT JOIN mrat r ON r.market = x.market AND r.kind = 'month' AND r.no = month(quoted + to_months(k)) LEFT JOIN pr p ON p.market = x.market AND p.month = month(quoted + to_months(k)))"""
+
+
+def quote_history(t):
+    """(market, quoted, year, month, base, peak): at each month's start the next three months, by the mean of the 90 days
+    before and the month's ratios. A day is exploded into the months that look back on it."""
+    days = t.daily.select("market", "d", "price", F.explode(F.sequence(F.add_months(F.trunc("d", "month"), 1), F.trunc(F.date_add("d", 90), "month"), F.expr("INTERVAL 1 MONTH"))).alias("quoted"))
+    own = t.daily.select("market", F.trunc("d", "month").alias("quoted")).distinct()
+    level = days.where(F.col("d") >= F.date_sub("quoted", 90)).join(own, ["market", "quoted"]).groupBy("market", "quoted").agg(F.avg("price").alias("level"))
+    rows = level.withColumn("of", F.explode(F.array(*(F.add_months("quoted", k) for k in (1, 2, 3))))).withColumns({"year": F.year("of"), "month": F.month("of")})
+    share = forwards.mean_ratios(ratios(t)).where("kind = 'month'").select("market", F.col("no").alias("month"), "ratio")
+    rows = rows.join(share, ["market", "month"], "left").join(peak_ratios(t).withColumnRenamed("ratio", "peak_ratio"), ["market", "month"], "left")
+    base = F.col("level") * F.coalesce("ratio", F.lit(1.0))
+    return rows.select("market", "quoted", "year", "month", base.alias("base"), (base * F.coalesce("peak_ratio", F.lit(forwards.DEFAULT_PEAK))).alias("peak"))
+
+
+@query("fwd14_quote_history", "SELECT market, CAST(quoted AS VARCHAR) AS quoted, printf('%d-%02d', year, month) AS product, round(base, 6) AS base, round(peak, 6) AS peak, round(base - lag(base) OVER (PARTITION BY market, year, month ORDER BY quoted), 6) + 0.0 AS change, quoted = max(quoted) OVER (PARTITION BY market) AS latest FROM hq", f"{RATIO}, {LOADS}, {PEAKR}, {HISTORY}")
 def fwd14(t):
-    rows = t.quotes.where("month IS NOT NULL")
-    last = rows.groupBy("market").agg(F.max("year").alias("year"))
-    wide = rows.join(F.broadcast(last), ["market", "year"]).groupBy("month").pivot("market", ["CH", "DE"]).agg(F.max("price"))
-    return wide.select("month", R("CH", "ch"), R("DE", "de"))
+    """Each product's history: base and peak price at each date of quotation, the change since the one before, and
+    whether it is the market's latest."""
+    rows = quote_history(t)
+    last = rows.groupBy("market").agg(F.max("quoted").alias("last"))
+    change = F.col("base") - F.lag("base").over(Window.partitionBy("market", "year", "month").orderBy("quoted"))
+    rows = rows.join(last, "market").withColumns({"change": change, "latest": F.col("quoted") == F.col("last")})
+    return rows.select("market", S("quoted"), tg.key_of(F.col("year"), F.lit(None).cast("int"), F.col("month")).alias("product"), R("base", "base"), R("peak", "peak"), (R("change", "x") + 0.0).alias("change"), "latest")
 
 
 @query("crv1_base_level", "SELECT market, CAST(d AS VARCHAR) AS d, round(base, 6) AS base FROM base", LOOKUP)

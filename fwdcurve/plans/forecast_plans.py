@@ -15,7 +15,7 @@ from ..operators import windows as win
 from ..sources import writers
 from .curve_plans import RESC, rescaled_curve
 from .registry import query
-from .table_plans import HALVES, HOURLY, NAIVE, PAIR, hourly, pair
+from .table_plans import HALVES, HOUR_WAYS, HOURLY, NAIVE, PAIR, hourly, market_hours, pair
 from .time_plans import R, S
 
 COLUMNS = ["lag1", "lag2", "lag3", "lag7", "momentum", "vol7", "weekday"]
@@ -58,22 +58,6 @@ def forecasts(t):
     return fc.applied(test, models, ["market", "cutoff"], COLUMNS)
 
 
-HOUR_WAYS = """ends AS (SELECT min(series) AS a, max(series) AS b FROM spot),
-factors AS (SELECT series, CAST(day(d) AS INT) AS dom, hour, avg(price) / avg(avg(price)) OVER (PARTITION BY series) AS f FROM hourly GROUP BY series, day(d), hour),
-mhours AS (SELECT x.market, x.d, h.hour, x.price * coalesce(f.f, 1.0) AS price FROM daily x, ends, (SELECT CAST(unnest(range(24)) AS INT) AS hour) h
-  LEFT JOIN factors f ON f.series = CASE x.market WHEN 'CH' THEN a ELSE b END AND f.dom = day(x.d) AND f.hour = h.hour)"""
-
-
-def market_hours(t):
-    """(market, d, hour, price): the daily prices spread over 24 hours by a series' hourly shape on that day of the month."""
-    of = hourly(t).groupBy("series", F.dayofmonth("d").alias("dom"), "hour").agg(F.avg("price").alias("m"))
-    of = of.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy("series"))).drop("m")
-    ends = t.spot.agg(F.inline(F.array(F.struct(F.lit("CH").alias("market"), F.min("series").alias("series")), F.struct(F.lit("DE").alias("market"), F.max("series").alias("series")))))
-    rows = t.daily.withColumns({"hour": F.explode(F.sequence(F.lit(0), F.lit(23))), "dom": F.dayofmonth("d")})
-    rows = rows.join(of.join(ends, "series").drop("series"), ["market", "dom", "hour"], "left")
-    return rows.select("market", "d", "hour", (F.col("price") * F.coalesce("f", F.lit(1.0))).alias("price"))
-
-
 def hour_rows(t):
     """Feature rows of both markets' hours: each is the other's neighbour; the shipped quantity stands for load."""
     hours = market_hours(t)
