@@ -69,6 +69,23 @@ def smooth_base(days: DataFrame, monthly: DataFrame) -> DataFrame:
     return _numbered(days).join(spread.select("key", "day_no", value.alias("smooth")), ["key", "day_no"], "left").drop("day_no")
 
 
+def smooth_slots(slots: DataFrame, monthly: DataFrame, key: str, at: str) -> DataFrame:
+    """slots (key, at, …) with smooth: the monotone cubic through the months' levels (key, month_start, base) at the time `at`.
+
+    Knots lie at days or half days, so a slot meets its cubic by an equi-join on the half day; before the first and after the
+    last knot, for 40 days, the nearest cubic is carried on."""
+    pieces = _pieces(monthly)
+    ends = pieces.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    half = lambda x: (2 * x).cast("long")
+    first = half(F.col("x")) - F.when(F.col("x") == F.col("lo"), 80).otherwise(0)
+    last = half(F.col("x1")) - 1 + F.when(F.col("x") == F.col("hi"), 80).otherwise(0)
+    spread = pieces.join(ends, "key").select(F.col("key").alias(key), *pieces.columns[1:], F.explode(F.sequence(first, last)).alias("half_day"))
+    day, h = F.datediff(at, F.lit("1970-01-01")) + (F.hour(at) * 60 + F.minute(at)) / 1440.0, F.col("x1") - F.col("x")
+    rows = slots.withColumn("_at", day).withColumn("half_day", F.floor(2 * F.col("_at")).cast("long")).join(spread.withColumnsRenamed({"base": "_y0", "base1": "_y1", "slope": "_m0", "slope1": "_m1"}), [key, "half_day"], "left")
+    value = hermite((F.col("_at") - F.col("x")) / h, h, *(F.col(c) for c in ("_y0", "_y1", "_m0", "_m1")))
+    return rows.withColumn("smooth", value).drop("_at", "half_day", "x", "x1", "_y0", "_y1", "_m0", "_m1")
+
+
 def month_basis(days: DataFrame, monthly: DataFrame) -> DataFrame:
     """(key, month_start, x, y0, y1, m0, m1, n): sums over a month's days in a piece of what each of the piece's values
     and slopes is multiplied with. A month's mean is linear in them, whatever the knots are."""
@@ -185,9 +202,10 @@ def solve_knots(stats: pd.DataFrame, targets: pd.DataFrame, eps: float = 1e-8, t
 LEAST_FACTOR, LEAST_LEVEL, GREATEST_MISS = 0.1, 0.1, 50.0
 
 
-def calibrate(slots: DataFrame, contracts: DataFrame, multiplicative: bool = False) -> DataFrame:
+def calibrate(slots: DataFrame, contracts: DataFrame, multiplicative: bool = False, flag: str | None = None) -> DataFrame:
     """slots (curve_id, ts, is_peak, price) with calibrated: contract means met with the smoothest correction, added, or
-    as a factor that is LEAST_FACTOR at least. A curve that misses a contract by more than GREATEST_MISS stays as it was.
+    as a factor that is LEAST_FACTOR at least. A curve that misses a contract by more than GREATEST_MISS stays as it was;
+    flag names a column that says whether the contracts were met (null without a contract).
 
     contracts: (curve_id, contract_id, start, end, load, price); may overlap. Slots are only aggregated, per
     contract, day and regime; one small solve per curve gives the knots, which are joined back by day. A
@@ -207,14 +225,15 @@ def calibrate(slots: DataFrame, contracts: DataFrame, multiplicative: bool = Fal
         moved = knots.pivot(index="day", columns="is_peak", values="knot")
         one = [moved.at[day, peak] * (n - w1) + moved.at[day + 1, peak] * w1 for day, peak, n, w1 in pdf[["day", "is_peak", "n", "w1"]].itertuples(index=False)]
         met = pdf.assign(moved=one).groupby("contract_id")["moved"].sum().reindex(sums["contract_id"]).to_numpy() / sums["n"].to_numpy()
-        if np.abs(sums["gap"].to_numpy() - met).max(initial=0) > GREATEST_MISS:
+        missed = np.abs(sums["gap"].to_numpy() - met).max(initial=0) > GREATEST_MISS
+        if missed:
             knots["knot"] = 0.0
-        return knots.assign(curve_id=pdf["curve_id"].iloc[0])
+        return knots.assign(curve_id=pdf["curve_id"].iloc[0], ok=not missed)
 
     kind = slots.schema["curve_id"].dataType.simpleString()
-    knots = stats.groupBy("curve_id").applyInPandas(solve, f"curve_id {kind}, day int, is_peak boolean, knot double")
+    knots = stats.groupBy("curve_id").applyInPandas(solve, f"curve_id {kind}, day int, is_peak boolean, knot double, ok boolean")
     after = F.lead("knot").over(Window.partitionBy("curve_id", "is_peak").orderBy("day"))
-    pairs = knots.select("curve_id", "day", "is_peak", F.col("knot").alias("k0"), after.alias("k1"))
+    pairs = knots.select("curve_id", "day", "is_peak", F.col("knot").alias("k0"), after.alias("k1"), *([F.col("ok").alias(flag)] if flag else []))
     out = rows.join(pairs, ["curve_id", "day", "is_peak"], "left")
     change = F.coalesce((1 - F.col("w")) * F.col("k0") + F.col("w") * F.col("k1"), F.lit(0.0))
     if not multiplicative:
@@ -227,6 +246,7 @@ def calibrate(slots: DataFrame, contracts: DataFrame, multiplicative: bool = Fal
     misses = held.groupBy("curve_id", "contract_id").agg(F.abs(F.avg("calibrated") - F.first("target")).alias("miss"))
     failed = misses.groupBy("curve_id").agg(F.max("miss").alias("miss")).where(F.col("miss") > GREATEST_MISS)
     out = out.join(failed, "curve_id", "left").withColumn("calibrated", F.when(F.col("miss").isNull(), F.col("calibrated")).otherwise(F.col("price")))
+    out = out.withColumn(flag, F.col(flag) & F.col("miss").isNull()) if flag else out
     return out.drop("day", "miss")
 
 

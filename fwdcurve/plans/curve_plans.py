@@ -268,13 +268,18 @@ def _edge(a: str, b: str, d: str, e: str) -> str:
     return f"CASE WHEN {b} IS NULL THEN {d} WHEN sign({raw}) <> sign({d}) THEN 0.0 WHEN sign({d}) <> sign({e}) AND abs({raw}) > 3 * abs({d}) THEN 3 * {d} ELSE {raw} END"
 
 
-CUBIC = f"""knots AS (SELECT market, date_trunc('month', d) AS month_start, avg(price) AS y, date_diff('day', DATE '1970-01-01', CAST(date_trunc('month', d) AS DATE)) + day(last_day(any_value(d))) / 2.0 AS x FROM daily GROUP BY market, date_trunc('month', d)),
+def cubic_sql(source: str, month: str, level: str) -> str:
+    """pieces: the cubics between knots at the middles of the months of source (market, month, level)."""
+    return f"""knots AS (SELECT market, {level} AS y, date_diff('day', DATE '1970-01-01', CAST({month} AS DATE)) + day(last_day(CAST({month} AS DATE))) / 2.0 AS x FROM {source}),
 steps AS (SELECT market, x, y, lead(x) OVER w - x AS h1, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS d1, x - lag(x) OVER w AS h0, (y - lag(y) OVER w) / (x - lag(x) OVER w) AS d0,
   lead(x, 2) OVER w - lead(x) OVER w AS h2, (lead(y, 2) OVER w - lead(y) OVER w) / (lead(x, 2) OVER w - lead(x) OVER w) AS d2, lag(x) OVER w - lag(x, 2) OVER w AS hm, (lag(y) OVER w - lag(y, 2) OVER w) / (lag(x) OVER w - lag(x, 2) OVER w) AS dm
   FROM knots WINDOW w AS (PARTITION BY market ORDER BY x)),
 sloped AS (SELECT market, x, y, CASE WHEN d0 IS NULL AND d1 IS NULL THEN 0.0 WHEN d0 IS NULL THEN {_edge("h1", "h2", "d1", "d2")} WHEN d1 IS NULL THEN {_edge("h0", "hm", "d0", "dm")} WHEN d0 * d1 <= 0 THEN 0.0
   ELSE (3 * h1 + 3 * h0) / ((2 * h1 + h0) / d0 + (h1 + 2 * h0) / d1) END AS m FROM steps),
-pieces AS (SELECT market, x, y, m, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(m) OVER w AS m1, min(x) OVER (PARTITION BY market) AS lo FROM sloped WINDOW w AS (PARTITION BY market ORDER BY x)),
+pieces AS (SELECT market, x, y, m, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(m) OVER w AS m1, min(x) OVER (PARTITION BY market) AS lo FROM sloped WINDOW w AS (PARTITION BY market ORDER BY x))"""
+
+
+CUBIC = f"""mmeans AS (SELECT market, date_trunc('month', d) AS month_start, avg(price) AS base FROM daily GROUP BY ALL), {cubic_sql("mmeans", "month_start", "base")},
 spans AS (SELECT *, max(x) OVER (PARTITION BY market) AS hi FROM pieces WHERE x1 IS NOT NULL),
 cubic AS (SELECT p.market, p.d, (p.n - s.x) / (s.x1 - s.x) AS t, s.x1 - s.x AS h, y, y1, m, m1 FROM (SELECT market, d, date_diff('day', DATE '1970-01-01', d) AS n FROM daily) p
   LEFT JOIN spans s ON s.market = p.market AND p.n >= ceil(s.x) - CASE WHEN s.x = lo THEN 40 ELSE 0 END AND p.n <= ceil(s.x1) + CASE WHEN s.x = hi THEN 40 ELSE -1 END)"""
@@ -335,11 +340,6 @@ def raw_curve(t):
     return rows.withColumn("raw", F.col("base") * F.col("f_w"))
 
 
-@query("crv7_product", "SELECT market, CAST(d AS VARCHAR) AS d, round(raw, 6) AS price FROM curve", RAW)
-def crv7(t):
-    return raw_curve(t).select("market", S("d"), R("raw", "price"))
-
-
 def curve_slots(t):
     """Raw curve of each market with the regime of its days: working days stand for peak."""
     return raw_curve(t).select(F.col("market").alias("curve_id"), F.col("d").cast("timestamp_ntz").alias("ts"), (F.weekday("d") < 5).alias("is_peak"), F.col("raw").alias("price"), "spot")
@@ -405,12 +405,6 @@ def crv11(t):
     return curve.second_difference_cost(t.daily, ["market"], "d", "price").select("market", R(F.col("cost") / 1e6, "cost"))
 
 
-@query("crv12_curve", "SELECT market, CAST(d AS VARCHAR) AS d, round(base, 6) AS base, round(f_w, 6) AS f_w, round(r.price, 6) AS price, CASE WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 6 THEN 1.0 WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 12 THEN 0.85 WHEN (year(d) - 1999) * 12 + month(d) - 1 <= 24 THEN 0.65 ELSE 0.45 END::DOUBLE AS confidence, true AS calibrated FROM curve JOIN resc r USING (market, d)", RESC)
-def crv12(t):
-    months_ahead = tg.months_between(F.lit("1999-01-01").cast("date"), F.col("d"))
-    return rescaled_curve(t).select("market", S("d"), R("base", "base"), R("f_w", "f_w"), R("price", "price"), tg.step_lookup(months_ahead, tg.CONFIDENCE, 0.45).alias("confidence"), F.lit(True).alias("calibrated"))
-
-
 @query("crv13_consistency", "SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, round(avg(x.price) / any_value(q.price) - 1, 6) + 0.0 AS gap, abs(avg(x.price) / any_value(q.price) - 1) <= 0.005 AS consistent FROM quotes q JOIN (SELECT market, d, raw AS price FROM curve) x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month", RAW)
 def crv13(t):
     met = joins.contract_slots(t.quotes, raw_curve(t).select("market", "d", F.col("raw").alias("price")))

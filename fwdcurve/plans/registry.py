@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None, extra: str = ""):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import curve_plans, forecast_plans, report_plans, shape_plans, source_plans, streaming_plans, table_plans, time_plans, window_plans  # noqa: F401
+    from . import curve_plans, forecast_plans, report_plans, shape_plans, slot_plans, source_plans, streaming_plans, table_plans, time_plans, window_plans  # noqa: F401
