@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import timegrid as tg
 from ..operators import windows as win
-from ..sources import readers, writers
+from ..sources import readers, upserts, writers
+from .curve_plans import HISTORY, LOADS, PEAKR, RATIO, quote_history
 from .registry import query
 from .table_plans import hourly
 from .time_plans import R, S
@@ -150,24 +151,55 @@ def src16(t):
     return t.daily.groupBy("market").agg(F.max("d").cast("string").alias("latest"))
 
 
+DAILY = "market string, d date, price double, month string"
+
+
+def stored_daily(t, path: str) -> None:
+    rows = t.daily.withColumn("month", F.date_format("d", "yyyy-MM"))
+    upserts.upsert_stored(rows, path, ["market", "d"], "month")
+
+
 @query("snk1_upsert", "SELECT market, CAST(d AS VARCHAR) AS d, round(CASE WHEN day(d) <= 10 THEN price + 1 ELSE price END, 6) AS price FROM daily")
 def snk1(t):
-    new = t.daily.where(F.dayofmonth("d") <= 10).withColumn("price", F.col("price") + 1)
-    return win.upsert(t.daily, new, ["market", "d"]).select("market", S("d"), R("price", "price"))
+    """Daily prices in a table by month, and a batch of the first ten days of each month merged into it, twice."""
+    path = scratch(t, "daily")
+    stored_daily(t, path)
+    new = t.spark.read.schema(DAILY).parquet(path).where(F.dayofmonth("d") <= 10).withColumn("price", F.col("price") + 1)
+    batch = scratch(t, "daily-batch")
+    new.write.parquet(batch)
+    for _ in range(2):
+        upserts.upsert_stored(t.spark.read.schema(DAILY).parquet(batch), path, ["market", "d"], "month")
+    return t.spark.read.schema(DAILY).parquet(path).select("market", S("d"), R("price", "price"))
+
+
+LONG = "(SELECT market, quoted, printf('%d-%02d', year, month) AS product, load, CASE load WHEN 'Base' THEN base ELSE peak END AS price, month FROM hq, (VALUES ('Base'), ('Peak')) l(load))"
 
 
-@query("snk2_upsert_composite", f"SELECT market, {PERIOD} AS product, round(CASE WHEN year % 2 = 0 THEN price * 1.01 ELSE price END, 6) AS price FROM quotes")
+@query("snk2_upsert_composite", f"SELECT market, CAST(quoted AS VARCHAR) AS quoted, product, load, round(CASE WHEN month % 2 = 0 AND load = 'Peak' THEN price * 1.01 ELSE price END, 6) AS price FROM {LONG}", f"{RATIO}, {LOADS}, {PEAKR}, {HISTORY}")
 def snk2(t):
-    rows = t.quotes.select("market", tg.key_of(F.col("year"), F.col("quarter"), F.col("month")).alias("product"), "year", "price")
-    new = rows.where("year % 2 = 0").withColumn("price", F.col("price") * 1.01)
-    return win.upsert(rows, new, ["market", "product"]).select("market", "product", R("price", "price"))
+    """Forward quotes by date, product, load type and market in a table by year of quotation, and a batch of peaks merged into it."""
+    path, keys = scratch(t, "forwards"), ["quoted", "product", "load", "market"]
+    sides = F.inline(F.array(*(F.struct(F.lit(load).alias("load"), F.col(c).alias("price")) for load, c in (("Base", "base"), ("Peak", "peak")))))
+    rows = quote_history(t).select("market", "quoted", tg.key_of(F.col("year"), F.lit(None).cast("int"), F.col("month")).alias("product"), sides, "month", F.year("quoted").alias("quoted_year"))
+    written = t.settled("forwards", lambda: rows)
+    upserts.upsert_stored(written, path, keys, "quoted_year")
+    upserts.upsert_stored(written.where("month % 2 = 0 AND load = 'Peak'").withColumn("price", F.col("price") * 1.01), path, keys, "quoted_year")
+    return t.spark.read.schema(written.schema).parquet(path).select("market", S("quoted"), "product", "load", R("price", "price"))
 
 
-@query("snk3_derived_again", "SELECT market, CAST(d AS VARCHAR) AS d, round(coalesce((p - avg(p) OVER w) / nullif(stddev_samp(p) OVER w, 0), 0), 6) AS z FROM (SELECT market, d, CASE WHEN day(d) = 1 THEN price + 5 ELSE price END AS p FROM daily) WINDOW w AS (PARTITION BY market, year(d), month(d))")
+@query("snk3_derived_again", "SELECT market, CAST(d AS VARCHAR) AS d, round(coalesce((p - avg(p) OVER w) / nullif(stddev_samp(p) OVER w, 0), 0), 6) AS z FROM (SELECT market, d, CASE WHEN day(d) = 1 AND month(d) = 6 THEN price + 5 ELSE price END AS p FROM daily) WINDOW w AS (PARTITION BY market, year(d), month(d))")
 def snk3(t):
-    new = t.daily.where(F.dayofmonth("d") == 1).withColumn("price", F.col("price") + 5)
-    merged = win.upsert(t.daily, new, ["market", "d"]).withColumn("m", F.date_trunc("month", "d"))
-    return merged.select("market", S("d"), R(win.zscore("price", ["market", "m"]), "z"))
+    """A raw table and one derived from it by month; a batch touches the Junes, and only these are derived again."""
+    raw, derived = scratch(t, "raw"), scratch(t, "derived")
+    scored = lambda rows: rows.select("market", "d", win.zscore("price", ["market", "month"]).alias("z"), "month")
+    stored_daily(t, raw)
+    rows = t.spark.read.schema(DAILY).parquet(raw)
+    scored(rows).repartition("month").write.partitionBy("month").parquet(derived)
+    batch = scratch(t, "raw-batch")
+    rows.where("day(d) = 1 AND month(d) = 6").withColumn("price", F.col("price") + 5).write.parquet(batch)
+    changed = upserts.upsert_stored(t.spark.read.schema(DAILY).parquet(batch), raw, ["market", "d"], "month")
+    upserts.derive_stored(t.spark, raw, derived, "month", changed, DAILY, scored)
+    return t.spark.read.schema("market string, d date, z double, month string").parquet(derived).select("market", S("d"), R("z", "z"))
 
 
 @query("snk4_export_csv", "SELECT series, strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Zurich', '%d.%m.%Y %H:%M') AS local_ts, printf('%.4f', round(price, 6)) AS price FROM spot")

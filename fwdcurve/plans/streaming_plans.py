@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources.writers import shared_folder
-from ..streaming import jobs
+from ..streaming import jobs, state
 from .registry import query
 from .table_plans import HOURLY, hourly
 from .time_plans import R
@@ -43,11 +43,17 @@ def str2(t):
     return jobs.latest(t.spark, path, ["user_id"], ["event_id"]).select("user_id", "event_id")
 
 
-@query("str3_latest_revision", "SELECT user_id, arg_max(event_id, ts) AS event_id FROM (SELECT user_id, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) GROUP BY user_id")
+@query("str3_latest_revision", "SELECT user_id, event_id, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> (SELECT min(event_type) FROM events)")
 def str3(t):
+    """Latest event of each user from keyed state; users whose latest event is of the first type are withdrawn."""
+    spark = state.stateful_session(t.spark)
+    first = t.events.agg(F.min("event_type")).first()[0]
+    feed = jobs.ticks(spark, landed(t), SCHEMA, 1000)
+    messages = feed.select(F.col("user_id").alias("id"), F.col("event_id").alias("revision"), "ts", F.coalesce("value", F.lit(0.0)).alias("value"), (F.col("event_type") == first).alias("cancelled"))
     path = shared_folder(t.spark, "revisions")
-    jobs.run(stream(t), f"{path}-checkpoint", each=jobs.keep_last_into(path, ["user_id"], ["ts", "event_id"]))
-    return jobs.latest(t.spark, path, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id")
+    jobs.run(state.latest_revisions(messages), f"{path}-checkpoint", each=jobs.keep_last_into(path, ["id"], ["revision"]))
+    rows = jobs.latest(t.spark, path, ["id"], ["revision"])
+    return rows.where("NOT withdrawn").select(F.col("id").alias("user_id"), F.col("revision").alias("event_id"), R("value", "value"))
 
 
 @query("str4_sliding", f"SELECT event_type AS series, CAST(CAST(s AS DATE) AS VARCHAR) AS start, round(avg(value), 6) AS mean FROM (SELECT event_type, value, date_trunc('day', ts) - to_days(CAST(k AS INT)) AS s FROM events, range(7) r(k)) WHERE s + INTERVAL 7 day <= {NEWEST} - INTERVAL 1 hour GROUP BY ALL")
