@@ -75,3 +75,32 @@ def with_p_value(tests: DataFrame, families: list[str], alpha: float = 0.05) ->
     schema = tests.withColumn("p", F.lit(None).cast("double")).schema
     n = F.count("p").over(Window.partitionBy(*families))
     return tests.mapInPandas(add, schema).withColumn("significant", F.col("p") * n < alpha)
+
+
+def sliding_breaks(hours: DataFrame, keys: list[str], months: int = 12) -> DataFrame:
+    """(*keys, cut, hour, t, df): Welch's test of each hour's share of its month's mean profile, of so many months from a month's
+    start on against as many before, for every start with both. hours: (*keys, d, hour, price).
+
+    A month's profile is a row of 24 shares and lies in 2 * months pairs of windows, so it is repeated so often."""
+    profile = hours.groupBy(*keys, F.to_date(F.date_trunc("month", "d")).alias("month"), "hour").agg(F.avg("price").alias("m"))
+    profile = profile.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy(*keys, "month")))
+    shifts = F.explode(F.sequence(F.lit(1 - months), F.lit(months)))
+    rows = profile.withColumn("shift", shifts).withColumns({"cut": F.add_months("month", F.col("shift")), "after": (F.col("shift") <= 0).cast("int")})
+    tests = welch(rows, [*keys, "cut", "hour"], "after", "f")
+    return tests.where((F.col("n0") == months) & (F.col("n1") == months)).select(*keys, "cut", "hour", "t", "df")
+
+
+# Look-back without a break, and the least after one, in months.
+FULL_LOOKBACK, LEAST_LOOKBACK = 36, 12
+
+
+def breaks(tests: DataFrame, keys: list[str], alpha: float = 0.05) -> DataFrame:
+    """(*keys, cut, p, broken, lookback_months) of sliding_breaks: p is the least of the hours' after Bonferroni; the look-back is
+    that of the key's last break, to a year after its last cut."""
+    hours = with_p_value(tests, [*keys, "cut"])
+    cuts = hours.groupBy(*keys, "cut").agg(F.least(F.min("p") * F.count("p"), F.lit(1.0)).alias("p"))
+    w = Window.partitionBy(*keys)
+    cuts = cuts.withColumn("broken", F.coalesce(F.col("p") < alpha, F.lit(False)))
+    last = F.max(F.when(F.col("broken"), F.col("cut"))).over(w)
+    since = F.months_between(F.max("cut").over(w), last).cast("int") + 12
+    return cuts.withColumn("lookback_months", F.when(last.isNull(), FULL_LOOKBACK).otherwise(F.least(F.greatest(since, F.lit(LEAST_LOOKBACK)), F.lit(FULL_LOOKBACK))))

@@ -102,20 +102,26 @@ def applied(rows: DataFrame, models: DataFrame, keys: list[str], columns: list[s
 PEAK_HOURS = (8, 19)
 
 
-def hour_features(hours: DataFrame, neighbours: DataFrame, daily: DataFrame, fresh: list[str], delayed: dict[str, int], least_hours: int = 23) -> DataFrame:
+def hour_features(hours: DataFrame, neighbours: DataFrame, daily: DataFrame, fresh: list[str], delayed: dict[str, int], least_hours: int = 23, ahead: int = 0) -> DataFrame:
     """Feature rows (market, d, hour, price, ...) of every delivery hour, for all hours in one plan.
 
     hours: (market, d, hour, price); neighbours: the same with the prices of the market beside each; daily:
     (d, ...) with exogenous columns: those of `fresh` are taken of the day itself, the day before and seven days
     before, those of `delayed` so many days before. Lags count the days that have `least_hours` hours at least.
 
+    ahead: so many days after each hour's last one have rows too, with a null price. A lag of such a day that reaches a known
+    day has that day's value, one that doesn't has the last known value; the day's own fresh columns are the mean of the last 28
+    days; the deviation of the week before is that of its known days, if there are three, else the last one.
+
     Windows are keyed by (market, hour) or (market, day), so hours run in parallel."""
     day = Window.partitionBy("market", "d")
     peak = F.col("hour").between(*PEAK_HOURS)
     stats = F.struct(F.avg("price").over(day).alias("mean"), F.avg(F.when(peak, F.col("price"))).over(day).alias("peak"), F.avg(F.when(~peak, F.col("price"))).over(day).alias("offpeak"), F.max("price").over(day).alias("max"))
     rows = hours.withColumn("n", F.count("price").over(day)).withColumn("day", stats).where(F.col("n") >= least_hours)
     beside = neighbours.select("market", "d", "hour", F.col("price").alias("beside"), F.avg("price").over(day).alias("beside_mean"))
-    rows = rows.join(beside, ["market", "d", "hour"], "left").join(daily, "d", "left")
+    rows = rows.join(beside, ["market", "d", "hour"], "left").join(daily, "d", "left").withColumn("known", F.col("price"))
+    if ahead:
+        rows = _with_future(rows, fresh, ahead)
     w = Window.partitionBy("market", "hour").orderBy("d")
     back = lambda c, k: F.lag(c, k).over(w)
     columns = {}
@@ -124,7 +130,7 @@ def hour_features(hours: DataFrame, neighbours: DataFrame, daily: DataFrame, fre
         columns |= {f"{c}_d{k}": back(f"day.{c}", k) for c in ("mean", "peak", "offpeak", "max")}
     week = w.rowsBetween(-7, -1)
     columns["momentum"] = back("price", 1) - back("price", 2)
-    columns["vol7"] = F.when(F.count("price").over(week) >= 3, F.stddev_samp("price").over(week))
+    columns["vol7"] = F.when(F.count("known").over(week) >= 3, F.stddev_samp("known").over(week))
     for k in (1, 2, 7):
         columns |= {f"beside_d{k}": back("beside", k), f"beside_mean_d{k}": back("beside_mean", k)}
     columns["spread_d1"] = back("price", 1) - back("beside", 1)
@@ -134,13 +140,50 @@ def hour_features(hours: DataFrame, neighbours: DataFrame, daily: DataFrame, fre
     columns |= {f"dow_{k}": (F.weekday("d") == k).cast("double") for k in range(6)}
     angle = F.month("d") * F.lit(np.pi / 6)
     columns |= {"weekend": (F.weekday("d") >= 5).cast("double"), "month_sin": F.sin(angle), "month_cos": F.cos(angle)}
-    return rows.select("market", "d", "hour", "price", *(c.alias(n) for n, c in columns.items()))
+    rows = rows.select("market", "d", "hour", F.col("known").alias("price"), *(c.alias(n) for n, c in columns.items()))
+    return rows.withColumn("vol7", F.when(F.col("price").isNull(), F.coalesce("vol7", F.last("vol7", True).over(w.rowsBetween(-ahead, 0)))).otherwise(F.col("vol7"))) if ahead else rows
+
+
+def _with_future(rows: DataFrame, fresh: list[str], ahead: int) -> DataFrame:
+    """rows (market, hour, d, price, known, day, …) with the next days of each hour: columns carried on from its last row, known
+    null, fresh columns the mean of their last 28 values."""
+    newest = F.row_number().over(Window.partitionBy("market", "hour").orderBy(F.desc("d")))
+    recent = rows.withColumn("newest", newest).where("newest <= 28")
+    carried = [c for c in rows.columns if c not in ("market", "hour", "d", "known", *fresh)]
+    last = recent.groupBy("market", "hour").agg(F.max("d").alias("d"), *(F.max_by(c, "d").alias(c) for c in carried), *(F.avg(c).alias(c) for c in fresh))
+    days = last.withColumn("d", F.explode(F.sequence(F.date_add("d", 1), F.date_add("d", ahead)))).withColumn("known", F.lit(None).cast("double"))
+    return rows.unionByName(days.select(rows.columns))
 
 
 def feature_names(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in ("market", "d", "hour", "price")]
 
 
+def expanding_profiles(hours: DataFrame, least_days: int = 30, recent_days: int = 30) -> DataFrame:
+    """(market, fold, d, hour, price, pred, naive) of every hour of months with enough days before them: pred is the mean of the
+    recent days times the cell's profile over all days before the month, a cell being an hour of a weekday or weekend.
+
+    A profile is a ratio of sums, and a fold's sums are those of the months before it, so one running sum over a table of months
+    serves all folds; nothing is fitted twice. naive is the same weekday and hour of the week before the month."""
+    fold = F.to_date(F.date_trunc("month", "d"))
+    rows = hours.select("market", "d", "hour", "price", fold.alias("fold"), (F.weekday("d") >= 5).alias("weekend"))
+    sums = rows.groupBy("market", "fold", "weekend", "hour").agg(F.sum("price").alias("s"), F.count(F.lit(1)).alias("n"))
+    every = sums.groupBy("market", "fold").agg(F.sum("s").alias("s_all"), F.sum("n").alias("n_all"))
+    cells = F.explode(F.array(F.lit(False), F.lit(True))), F.explode(F.sequence(F.lit(0), F.lit(23)))
+    grid = every.withColumn("weekend", cells[0]).withColumn("hour", cells[1]).join(sums, ["market", "fold", "weekend", "hour"], "left")
+    before = Window.partitionBy("market", "weekend", "hour").orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)
+    grid = grid.select("market", "fold", "weekend", "hour", *(F.sum(c).over(before).alias(c) for c in ("s", "n", "s_all", "n_all"))).where(F.col("n_all") >= 24 * least_days)
+    # a day is exploded into the month starts that look back on it
+    ahead = lambda days: F.explode(F.sequence(F.add_months(F.trunc("d", "month"), 1), F.trunc(F.date_add("d", days), "month"), F.expr("INTERVAL 1 MONTH")))
+    seen = lambda days: rows.where(F.trunc(F.date_add("d", days), "month") > F.col("d")).withColumn("fold", ahead(days)).where(F.col("d") >= F.date_sub("fold", days))
+    base = seen(recent_days).groupBy("market", "fold").agg(F.avg("price").alias("base"))
+    week = seen(7).groupBy("market", "fold", F.weekday("d").alias("w"), "hour").agg(F.avg("price").alias("naive"))
+    found = rows.join(grid, ["market", "fold", "weekend", "hour"]).join(base, ["market", "fold"]).withColumn("w", F.weekday("d")).join(week, ["market", "fold", "w", "hour"], "left")
+    level = F.col("s_all") / F.col("n_all")
+    profile = F.coalesce((F.col("s") / F.col("n")) / level, F.lit(1.0))
+    return found.select("market", "fold", "d", "hour", "price", (F.col("base") * profile).alias("pred"), F.coalesce("naive", level).alias("naive"))
+
+
 def elastic_nets(gram: np.ndarray, cross: np.ndarray, lam: np.ndarray, l1: float = 0.1, rounds: int = 60) -> np.ndarray:
     """The coefficients of many elastic nets at once, one for each row of gram (x'x / n), cross (x'y / n) and lam, by
     coordinate descent."""

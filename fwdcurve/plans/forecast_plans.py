@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import pi as PI
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,8 +13,8 @@ from ..operators import windows as win
 from ..sources import writers
 from .curve_plans import RESC, rescaled_curve
 from .registry import query
-from .table_plans import HALVES, HOUR_WAYS, HOURLY, NAIVE, PAIR, hourly, market_hours, pair
-from .time_plans import R, S
+from .table_plans import HOUR_WAYS, HOURLY, NAIVE, PAIR, hourly, market_hours, pair
+from .time_plans import CAL, R, S
 
 COLUMNS = ["lag1", "lag2", "lag3", "lag7", "momentum", "vol7", "weekday"]
 OVER = "(PARTITION BY market ORDER BY d)"
@@ -58,15 +56,16 @@ def forecasts(t):
     return fc.applied(test, models, ["market", "cutoff"], COLUMNS)
 
 
-def hour_rows(t):
-    """Feature rows of both markets' hours: each is the other's neighbour; the shipped quantity stands for load."""
+def hour_rows(t, ahead: int = 0):
+    """Feature rows of both markets' hours and, with null prices, of the days ahead: each is the other's neighbour; the shipped
+    quantity stands for load."""
     hours = market_hours(t)
     other = hours.withColumn("market", F.when(F.col("market") == "CH", "DE").otherwise("CH"))
     load = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum("l_quantity").alias("load"))
     gas = t.commodities.groupBy("d").agg(F.avg("close").alias("gas"))
     days = t.daily.select("d").distinct()
     daily = joins.asof_weekly(days, t.hydro, "d", "week", "fill_pct").withColumnRenamed("fill_pct", "fill").join(load, "d", "left").join(gas, "d", "left")
-    return fc.hour_features(hours, other, daily, ["load"], {"gas": 2, "fill": 0})
+    return fc.hour_features(hours, other, daily, ["load"], {"gas": 2, "fill": 0}, ahead=ahead)
 
 
 def _hour_sql() -> str:
@@ -101,8 +100,7 @@ def fct2b(t):
 def hour_models(t, latest: bool = False):
     """(feature rows, models of every market, hour, cutoff and window, or of the latest cutoff), written once."""
     work = writers.shared_folder(t.spark, "hours")
-    hour_rows(t).write.parquet(f"{work}/rows")
-    rows = t.spark.read.parquet(f"{work}/rows")
+    rows = t.settled("hour_rows", lambda: hour_rows(t))
     fc.hourly_fits(rows, WINDOWS, fc.feature_names(rows), latest=latest).write.parquet(f"{work}/models")
     return rows, t.spark.read.parquet(f"{work}/models")
 
@@ -125,24 +123,49 @@ def fct3b(t):
     return models.select("market", "hour", S("cutoff"), "window", R("intercept", "intercept", 5), F.transform("coefs", lambda c: F.round(c, 5)).cast("string").alias("coefs"))
 
 
+AHEAD = 10
+
+
+def _carried_sql() -> str:
+    """Feature rows of the days ahead from those of the last 14 days: what lies k days before a day ahead, or the last day."""
+    lag = lambda c, k: f"CASE WHEN {k} >= ahead THEN max({c}) FILTER (pos = {k} - ahead) ELSE max({c}) FILTER (pos = 0) END"
+    columns = {f"{c}_d{k}": lag(c, k) for k in (1, 2, 3, 7) for c in ("price", "mean", "peak", "offpeak", "max")}
+    columns |= {f"{c}_d{k}": lag(c, k) for k in (1, 2, 7) for c in ("beside", "beside_mean")}
+    columns |= {"load_d0": "avg(load) FILTER (pos < 28)", "load_d1": f"CASE WHEN ahead = 1 THEN {lag('load', 1)} ELSE avg(load) FILTER (pos < 28) END", "load_d7": f"CASE WHEN ahead <= 7 THEN {lag('load', 7)} ELSE avg(load) FILTER (pos < 28) END", "gas_d2": lag("gas", 2), "fill_d0": "max(fill) FILTER (pos = 0)"}
+    chosen = ", ".join(f"round({v}, 6) + 0.0 AS {n}" for n, v in columns.items())
+    return f"""SELECT market, CAST(any_value(last) + CAST(ahead AS INT) AS VARCHAR) AS d, hour, CAST(ahead AS INT) AS ahead, {chosen} FROM (
+  SELECT h.*, n.price AS beside, n.beside_mean, l.load, g.gas, w.fill_pct AS fill, row_number() OVER (PARTITION BY h.market, h.hour ORDER BY h.d DESC) - 1 AS pos, max(h.d) OVER (PARTITION BY h.market, h.hour) AS last
+  FROM (SELECT *, count(price) OVER p AS n_hours, avg(price) OVER p AS mean, avg(price) FILTER (hour BETWEEN 8 AND 19) OVER p AS peak, avg(price) FILTER (hour NOT BETWEEN 8 AND 19) OVER p AS offpeak, max(price) OVER p AS max FROM mhours WINDOW p AS (PARTITION BY market, d)) h
+  LEFT JOIN (SELECT *, avg(price) OVER (PARTITION BY market, d) AS beside_mean FROM mhours) n ON n.d = h.d AND n.hour = h.hour AND n.market <> h.market
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS load FROM lineitem GROUP BY ALL) l ON l.d = h.d
+  LEFT JOIN (SELECT d, avg(close) AS gas FROM commodities GROUP BY d) g ON g.d = h.d
+  ASOF LEFT JOIN hydro w ON h.d >= w.week WHERE n_hours >= 23), range(1, {AHEAD + 1}) r(ahead) GROUP BY market, hour, ahead"""
+
+
+def future_rows(t):
+    """Feature rows of the AHEAD days after each market's last one, with ahead."""
+    rows = hour_rows(t, AHEAD).withColumn("ahead", F.row_number().over(Window.partitionBy("market", "hour", F.col("price").isNull()).orderBy("d")))
+    return rows.where("price IS NULL")
+
+
+@query("fct5b_future_rows", _carried_sql(), f"{HOURLY}, {HOUR_WAYS}")
+def fct5b(t):
+    """Feature rows of the days ahead, but for the calendar and what other columns imply."""
+    rows = future_rows(t)
+    derived = ("momentum", "vol7", "spread_d1", "weekend", "month_sin", "month_cos", *(f"dow_{k}" for k in range(6)))
+    names = [c for c in fc.feature_names(rows) if c not in (*derived, "ahead")]
+    return rows.select("market", S("d"), "hour", "ahead", *((R(c, "x") + 0.0).alias(c) for c in names))
+
+
 @query("fct8b_hourly_forecasts")
-def fct8b(t, days: int = 10):
-    """The next days' hours of each market with bands. What lies `k` days before a day ahead and isn't known yet is taken
-    as of the last known day; bands are the 90 percent quantile of the last 90 days' absolute errors, wider with the
-    days ahead."""
+def fct8b(t):
+    """The next days' hours of each market with bands, from the feature rows of those days; bands are the 90 percent quantile
+    of the last 90 days' absolute errors of the same models, wider with the days ahead."""
     rows, models = hour_models(t, latest=True)
     columns, (market, hour) = fc.feature_names(rows), ("market", "hour")
-    last = models.groupBy(market).agg(F.max("cutoff").alias("cutoff"))
-    # a feature row a days ahead is that of the last day but for the calendar, the lags that are known move up with it
-    recent = rows.join(last, market).where(F.col("d") == F.date_sub("cutoff", 1)).withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(days))))
-    known = rows.select(market, hour, F.col("d").alias("past"), F.col("price").alias("past_price"))
-    for k in fc.LAGS:
-        day = F.date_sub("cutoff", F.greatest(k + 1 - F.col("ahead"), F.lit(1)).cast("int"))
-        recent = recent.withColumn("past", day).join(known, [market, hour, "past"], "left").withColumn(f"price_d{k}", F.coalesce("past_price", f"price_d{k}")).drop("past", "past_price")
-    d = F.date_add("cutoff", (F.col("ahead") - 1).cast("int"))
-    recent = recent.withColumn("d", d).withColumns({f"dow_{k}": (F.weekday("d") == k).cast("double") for k in range(6)} | {"weekend": (F.weekday("d") >= 5).cast("double"), "month_sin": F.sin(F.month("d") * F.lit(PI / 6)), "month_cos": F.cos(F.month("d") * F.lit(PI / 6)), "momentum": F.col("price_d1") - F.col("price_d2")})
-    found = fc.hourly_forecasts(recent, models, columns)
-    tested = fc.hourly_forecasts(rows.join(last, market).where(F.col("d") >= F.date_sub("cutoff", 90)), models, columns)
+    cutoffs = models.select(market, hour, "cutoff").distinct()
+    found = fc.hourly_forecasts(future_rows(t).join(cutoffs, [market, hour]), models, columns)
+    tested = fc.hourly_forecasts(rows.join(cutoffs, [market, hour]).where(F.col("d") >= F.date_sub("cutoff", 90)), models, columns)
     misses = tested.groupBy(market, hour).agg(F.percentile(F.abs(F.col("forecast") - F.col("price")), F.lit(0.9)).alias("width"), F.count(F.lit(1)).alias("n"))
     found = found.join(misses, [market, hour], "left").withColumn("forecast", F.greatest("forecast", F.lit(-50.0)))
     half = fc.conformal_half(F.col("width"), F.coalesce("n", F.lit(0)), F.col("forecast"), F.col("ahead"))
@@ -222,26 +245,37 @@ def fct10(t):
     return joins.last_week(t.spot, "2024-01-15").groupBy("series").agg(R(m["mae"], "mae"), R(m["rmse"], "rmse"))
 
 
-FOLDS = """folds AS (SELECT market, CAST(fold AS INT) AS fold, avg(price) FILTER (d < make_date(fold, 1, 1)) AS level, avg(price) FILTER (year(d) = fold) AS actual, sqrt(avg((price - l7) * (price - l7)) FILTER (year(d) = fold)) AS rmse, count(*) FILTER (year(d) = fold) AS n
-  FROM (SELECT *, lag(price, 7) OVER (PARTITION BY market ORDER BY d) AS l7 FROM daily), (SELECT CAST(unnest(range(1997, 2002)) AS INT) AS fold) WHERE d >= make_date(fold - 2, 1, 1) AND year(d) <= fold GROUP BY market, fold)"""
+FOLDS = """starts AS (SELECT market, CAST(unnest(generate_series(CAST(date_trunc('month', min(d) + INTERVAL 24 month + INTERVAL 1 month - INTERVAL 1 day) AS DATE), max(d), INTERVAL 1 month)) AS DATE) AS fold FROM daily GROUP BY market),
+lagged AS (SELECT *, lag(price, 7) OVER (PARTITION BY market ORDER BY d) AS l7 FROM daily),
+folds AS (SELECT t.market, t.fold, level, actual, rmse, mae, bias, n, coverage FROM (SELECT s.market, s.fold, avg(x.price) AS actual, sqrt(avg((l7 - x.price) * (l7 - x.price))) AS rmse, avg(abs(l7 - x.price)) AS mae, avg(l7 - x.price) AS bias, count(*) AS n, avg(CASE WHEN x.price BETWEEN l7 + b.lo AND l7 + b.hi THEN 1.0 ELSE 0.0 END) AS coverage
+  FROM starts s JOIN lagged x ON x.market = s.market AND date_trunc('month', x.d) = s.fold JOIN bands24 b ON b.market = s.market AND b.fold = s.fold WHERE l7 IS NOT NULL GROUP BY ALL) t JOIN bands24 USING (market, fold))"""
+BANDS24 = "bands24 AS (SELECT s.market, s.fold, avg(x.price) AS level, quantile_cont(x.price - l7, 0.1) AS lo, quantile_cont(x.price - l7, 0.9) AS hi FROM starts s JOIN lagged x ON x.market = s.market AND x.d < s.fold AND x.d >= s.fold - INTERVAL 24 month WHERE l7 IS NOT NULL GROUP BY ALL)"
+
+
+def monthly_folds(t, rows):
+    """(training rows, test rows) of each market's months after its first 24, trained on the 24 months before."""
+    folds = fc.month_starts(t.daily, ["market"], F.add_months("first", 24), "fold")
+    return fc.before(rows, folds, ["market"], "fold", F.add_months("fold", -24)), fc.within(rows, folds, ["market"], "fold")
 
 
-@query("val1_walk_forward", "SELECT market, fold, round(level, 6) AS level, round(actual, 6) AS actual, round(rmse, 6) AS rmse, n FROM folds", FOLDS)
+@query("val1_walk_forward", "SELECT market, CAST(fold AS VARCHAR) AS fold, round(level, 6) AS level, round(actual, 6) AS actual, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(bias, 6) + 0.0 AS bias, round(coverage, 6) AS coverage, n FROM folds", FOLDS.replace("folds AS (", BANDS24 + ",\nfolds AS (", 1))
 def val1(t):
-    """Folds are rows: each day is joined to the folds whose training or test range holds it."""
-    rows = t.daily.withColumn("l7", F.lag("price", 7).over(win.by(["market"], "d"))).withColumn("fold", F.explode(F.sequence(F.greatest(F.year("d"), F.lit(1997)), F.least(F.year("d") + 2, F.lit(2001)))))
-    test = F.year("d") == F.col("fold")
-    e = F.when(test, F.col("price") - F.col("l7"))
-    return rows.groupBy("market", "fold").agg(R(F.avg(F.when(~test, F.col("price"))), "level"), R(F.avg(F.when(test, F.col("price"))), "actual"), R(F.sqrt(F.avg(e * e)), "rmse"), F.count_if(test).alias("n"))
+    """Monthly folds of the seasonal naive value (seven days before): the training months give the level and an 80 percent band
+    of its errors, the test month its KPIs and the band's coverage. Folds come from the data, so any years have theirs."""
+    rows = t.daily.withColumn("l7", F.lag("price", 7).over(win.by(["market"], "d"))).where("l7 IS NOT NULL")
+    train, test = monthly_folds(t, rows)
+    of = train.groupBy("market", "fold").agg(F.avg("price").alias("level"), F.percentile(F.col("price") - F.col("l7"), F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
+    m = agg.error_metrics(F.col("l7") - F.col("price"), F.col("price"))
+    inside = (F.col("price") >= F.col("l7") + F.col("q")[0]) & (F.col("price") <= F.col("l7") + F.col("q")[1])
+    per = test.join(of, ["market", "fold"]).groupBy("market", "fold").agg(F.first("level").alias("level"), F.avg("price").alias("actual"), *(m[k].alias(k) for k in ("rmse", "mae", "bias")), agg.share(inside).alias("coverage"), F.count(F.lit(1)).alias("n"))
+    return per.select("market", S("fold"), *(R(c, c) for c in ("level", "actual", "rmse", "mae")), (R("bias", "x") + 0.0).alias("bias"), R("coverage", "coverage"), "n")
 
 
 @query("val1b_monthly_folds")
 def val1b(t):
     """Folds are rows: a fit on the 24 months before each month is tested on that month, beside the naive value of
     seven days before."""
-    rows = fc.features(t.daily)
-    folds = fc.month_starts(t.daily, ["market"], F.add_months("first", 24), "fold")
-    train, test = fc.before(rows, folds, ["market"], "fold", F.add_months("fold", -24)), fc.within(rows, folds, ["market"], "fold")
+    train, test = monthly_folds(t, fc.features(t.daily))
     level = train.groupBy("market", "fold").agg(F.avg("price").alias("level"))
     models = fc.fits(train, ["market", "fold"], COLUMNS, (2 * 366,))
     found = fc.applied(test, models, ["market", "fold"], COLUMNS).join(test.select("market", "fold", "d", "lag7"), ["market", "fold", "d"])
@@ -258,12 +292,37 @@ def val2(t):
     return rows.groupBy("series").agg(R(F.sqrt(F.avg((F.col("ratio") - 1) * (F.col("ratio") - 1))), "rmse_flat"), R(agg.share(F.col("ratio").between(0.9, 1.1)), "coverage"))
 
 
-@query("val3_expanding", "SELECT market, CAST(year(d) AS INT) AS year, round(sqrt(avg((price - before) * (price - before))), 5) AS rmse FROM (SELECT market, d, price, avg(price) OVER (PARTITION BY market ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM daily) WHERE before IS NOT NULL GROUP BY market, year(d)")
+EXPAND = f"""{HOURLY}, {HOUR_WAYS}, kh AS (SELECT market, d, CAST(date_trunc('month', d) AS DATE) AS fold, isodow(d) >= 6 AS weekend, hour, price FROM mhours),
+cell0 AS (SELECT market, fold, weekend, hour, sum(price) AS s, count(*) AS n FROM kh GROUP BY ALL),
+cgrid AS (SELECT f.market, f.fold, k.weekend, k.hour FROM (SELECT DISTINCT market, fold FROM kh) f, (SELECT DISTINCT weekend, hour FROM kh) k),
+cell AS (SELECT market, fold, weekend, hour, sum(s) OVER w AS s, sum(n) OVER w AS n, sum(sum_all) OVER w AS sa, sum(n_all) OVER w AS na FROM cgrid LEFT JOIN cell0 USING (market, fold, weekend, hour)
+  LEFT JOIN (SELECT market, fold, sum(s) AS sum_all, sum(n) AS n_all FROM cell0 GROUP BY ALL) USING (market, fold) WINDOW w AS (PARTITION BY market, weekend, hour ORDER BY fold ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lastm AS (SELECT f.market, f.fold, avg(h.price) AS base FROM (SELECT DISTINCT market, fold FROM kh) f JOIN kh h ON h.market = f.market AND h.d < f.fold AND h.d >= f.fold - INTERVAL 30 day GROUP BY ALL),
+naivew AS (SELECT f.market, f.fold, isodow(h.d) AS w, h.hour, avg(h.price) AS naive FROM (SELECT DISTINCT market, fold FROM kh) f JOIN kh h ON h.market = f.market AND h.d < f.fold AND h.d >= f.fold - INTERVAL 7 day GROUP BY ALL),
+scored AS (SELECT k.market, k.fold, k.price, base * coalesce((s / n) / (sa / na), 1) AS pred, coalesce(naive, sa / na) AS naive FROM kh k JOIN cell c USING (market, fold, weekend, hour) JOIN lastm USING (market, fold) LEFT JOIN naivew v ON v.market = k.market AND v.fold = k.fold AND v.w = isodow(k.d) AND v.hour = k.hour WHERE na >= 30 * 24),
+scaled AS (SELECT *, pred * avg(price) OVER (PARTITION BY market, fold) / nullif(avg(pred) OVER (PARTITION BY market, fold), 0) AS shaped FROM scored)"""
+
+
+def _kpis(c: str, prefix: str) -> str:
+    e = f"({c} - price)"
+    return f"round(sqrt(avg({e} * {e})), 5) AS {prefix}_rmse, round(avg(abs{e}), 5) AS {prefix}_mae, round(avg{e}, 5) + 0.0 AS {prefix}_bias, round(1 - avg({e} * {e}) / greatest(avg((naive - price) * (naive - price)), 1e-10), 5) AS {prefix}_skill, round(corr({c}, price), 5) AS {prefix}_corr"
+
+
+@query("val3_expanding", f"SELECT market, CAST(fold AS VARCHAR) AS fold, count(*) AS n, {_kpis('pred', 'raw')}, {_kpis('shaped', 'shape')} FROM scaled GROUP BY market, fold", EXPAND)
 def val3(t):
-    before = F.avg("price").over(win.by(["market"], "d", win.FIRST, -1))
-    rows = t.daily.withColumn("before", before).where("before IS NOT NULL")
-    e = F.col("price") - F.col("before")
-    return rows.groupBy("market", F.year("d").alias("year")).agg(R(F.sqrt(F.avg(e * e)), "rmse", 5))
+    """Every month is forecast from all hours before it: the level of the last 30 days times the profile of weekdays and weekend
+    hours; KPIs as forecast and with the month's level put right, skill against the week before."""
+    found = t.settled("expanding", lambda: fc.expanding_profiles(market_hours(t)))
+    mean = lambda c: F.avg(c).over(Window.partitionBy("market", "fold"))
+    found = found.withColumn("shaped", F.col("pred") * mean("price") / F.nullif(mean("pred"), F.lit(0.0)))
+
+    def kpis(c: str, prefix: str):
+        e, m = F.col(c) - F.col("price"), agg.error_metrics(F.col(c) - F.col("price"), F.col("price"))
+        naive = F.col("naive") - F.col("price")
+        skill = 1 - F.avg(e * e) / F.greatest(F.avg(naive * naive), F.lit(1e-10))
+        return [R(m["rmse"], f"{prefix}_rmse", 5), R(m["mae"], f"{prefix}_mae", 5), (R(m["bias"], "x", 5) + 0.0).alias(f"{prefix}_bias"), R(skill, f"{prefix}_skill", 5), R(F.corr(c, "price"), f"{prefix}_corr", 5)]
+
+    return found.groupBy("market", S("fold")).agg(F.count(F.lit(1)).alias("n"), *kpis("pred", "raw"), *kpis("shaped", "shape"))
 
 
 @query("val4_vs_benchmark", "SELECT count(*) AS n, round(avg(abs(ch - de)), 6) AS mae, round(sqrt(avg((ch - de) * (ch - de))), 6) AS rmse, round(avg(ch - de), 6) AS bias FROM pair", PAIR)
@@ -313,10 +372,39 @@ def val8(t):
     return rows.groupBy("market").agg(R(F.sqrt(F.avg(e * e)), "shape_rmse"))
 
 
-@query("val9_error_slices", "SELECT CAST(m AS INT) AS month, CAST(w AS INT) AS weekday, count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias FROM (SELECT month(d) AS m, isodow(d) - 1 AS w, ch - de AS e FROM pair) GROUP BY GROUPING SETS ((m), (w), (m, w), ())", PAIR)
+SLICES = {
+    "hour": "CAST(hour AS VARCHAR)", "weekday": "CAST(isodow(d) - 1 AS VARCHAR)", "month": "CAST(month(d) AS VARCHAR)", "season": "season", "quarter": "CAST(quarter(d) AS VARCHAR)",
+    "weekend": "CASE WHEN isodow(d) >= 6 THEN 'weekend' ELSE 'weekday' END", "ramp_hours": "CASE WHEN hour BETWEEN 6 AND 10 OR hour BETWEEN 17 AND 20 THEN 'ramp' ELSE 'flat' END",
+    "ramp": "CASE WHEN price > 1.05 * before THEN 'up' WHEN price < 0.95 * before THEN 'down' ELSE 'level' END",
+    "quintile": "CASE WHEN price <= q[1] THEN 'Q1' WHEN price <= q[2] THEN 'Q2' WHEN price <= q[3] THEN 'Q3' WHEN price <= q[4] THEN 'Q4' ELSE 'Q5' END", "cell": "season || '/' || day_type || '/' || hour", "all": "'all'",
+}
+SLICED = f"""{HOURLY}, {HOUR_WAYS}, {CAL}, err AS (SELECT m.*, season, CASE market WHEN 'CH' THEN day_type_ch ELSE day_type_de END AS day_type, q, lag(m.price, 168) OVER w - m.price AS e, lag(m.price) OVER w AS before
+  FROM mhours m JOIN cal USING (d) JOIN (SELECT market, quantile_cont(price, [0.2, 0.4, 0.6, 0.8]) AS q FROM mhours GROUP BY market) USING (market) WINDOW w AS (PARTITION BY market ORDER BY d, hour)),
+lng AS ({" UNION ALL ".join(f"SELECT market, '{n}' AS dimension, {v} AS bucket, e FROM err WHERE e IS NOT NULL" for n, v in SLICES.items())})"""
+
+
+@query("val9_error_slices", "SELECT market, dimension, bucket, count(*) AS n, round(sqrt(avg(e * e)), 5) AS rmse, round(avg(e), 5) + 0.0 AS bias, round(avg(abs(e)), 5) AS mae, round(sum(e * e) / any_value(total), 6) AS contribution FROM lng JOIN (SELECT market, sum(e * e) AS total FROM err GROUP BY market) USING (market) GROUP BY ALL", SLICED)
 def val9(t):
-    rows = pair(t).select(F.month("d").alias("month"), F.weekday("d").alias("weekday"), (F.col("ch") - F.col("de")).alias("e"))
-    return rows.groupingSets([["month"], ["weekday"], ["month", "weekday"], []], "month", "weekday").agg(F.count(F.lit(1)).alias("n"), R(F.sqrt(F.avg(F.col("e") * F.col("e"))), "rmse"), R(F.avg("e"), "bias"))
+    """Errors of the value of a week before by calendar, ramp, price quintile and cell, with each bucket's part of the squared
+    error: one pass over rows that name their bucket in every dimension."""
+    hours = market_hours(t)
+    edges = hours.groupBy("market").agg(F.percentile("price", F.array(*map(F.lit, (0.2, 0.4, 0.6, 0.8)))).alias("q"))
+    w = Window.partitionBy("market").orderBy("d", "hour")
+    rows = hours.withColumns({"e": F.lag("price", 168).over(w) - F.col("price"), "before": F.lag("price").over(w)}).where("e IS NOT NULL").join(edges, "market").join(t.calendar, "d")
+    rows = rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
+    h, p, text = F.col("hour"), F.col("price"), lambda c: c.cast("string")
+    quintile = F.when(p <= F.col("q")[0], "Q1").when(p <= F.col("q")[1], "Q2").when(p <= F.col("q")[2], "Q3").when(p <= F.col("q")[3], "Q4").otherwise("Q5")
+    buckets = {
+        "hour": text(h), "weekday": text(F.weekday("d")), "month": text(F.month("d")), "season": F.col("season"), "quarter": text(F.quarter("d")), "weekend": F.when(F.weekday("d") >= 5, "weekend").otherwise("weekday"),
+        # Hours in which prices usually ramp.
+        "ramp_hours": F.when(h.between(6, 10) | h.between(17, 20), "ramp").otherwise("flat"), "ramp": F.when(p > 1.05 * F.col("before"), "up").when(p < 0.95 * F.col("before"), "down").otherwise("level"),
+        "quintile": quintile, "cell": F.concat_ws("/", "season", "day_type", text(h)), "all": F.lit("all"),
+    }
+    long = rows.select("market", "e", F.inline(F.array(*(F.struct(F.lit(n).alias("dimension"), c.alias("bucket")) for n, c in buckets.items()))))
+    e = F.col("e")
+    sums = long.groupBy("market", "dimension", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("squares"), F.avg(e).alias("bias"), F.avg(F.abs(e)).alias("mae"))
+    share = F.col("squares") / F.sum("squares").over(Window.partitionBy("market", "dimension"))
+    return sums.select("market", "dimension", "bucket", "n", R(F.sqrt(F.col("squares") / F.col("n")), "rmse", 5), (R("bias", "x", 5) + 0.0).alias("bias"), R("mae", "mae", 5), R(share, "contribution"))
 
 
 @query("val10_day_factor_gap", "SELECT market, weekday, round(ideal, 6) AS ideal, round(model, 6) AS model, round(model - ideal, 6) AS gap FROM (SELECT market, CAST(isodow(d) - 1 AS INT) AS weekday, avg(spot) / any_value(a) AS ideal, avg(f_w) AS model FROM curve JOIN (SELECT market, avg(spot) AS a FROM curve GROUP BY market) USING (market) GROUP BY market, isodow(d))", RESC)
@@ -343,11 +431,28 @@ def val12(t):
     return wide.select("market", R("raw", "mae_raw"), R("rescaled", "mae_rescaled"))
 
 
-@query("val13_structural_break", "SELECT market, max(abs(t)) > 3.0 AS broken, round(max(abs(t)), 6) AS t_max FROM (SELECT market, month, (m1 - m0) / sqrt(v0 / n0 + v1 / n1) AS t FROM (SELECT market, month, avg(price) FILTER (half = 0) AS m0, avg(price) FILTER (half = 1) AS m1, var_samp(price) FILTER (half = 0) AS v0, var_samp(price) FILTER (half = 1) AS v1, count(*) FILTER (half = 0) AS n0, count(*) FILTER (half = 1) AS n1 FROM halves GROUP BY ALL)) GROUP BY market", HALVES)
+WORK = f"""{HOURLY}, {HOUR_WAYS}, {CAL}, prof AS (SELECT market, month, hour, m / avg(m) OVER (PARTITION BY market, month) AS f FROM (SELECT market, CAST(date_trunc('month', d) AS DATE) AS month, hour, avg(price) AS m FROM mhours JOIN cal USING (d) WHERE CASE market WHEN 'CH' THEN day_type_ch ELSE day_type_de END = 'Ouvrable' GROUP BY ALL)),
+cuts AS (SELECT p.*, CAST(month + to_months(k) AS DATE) AS cut, k <= 0 AS after FROM prof p, (SELECT CAST(unnest(range(-11, 13)) AS INT) AS k)),
+tests AS (SELECT market, cut, hour, count(*) FILTER (NOT after) AS n0, count(*) FILTER (after) AS n1, avg(f) FILTER (NOT after) AS m0, avg(f) FILTER (after) AS m1, var_samp(f) FILTER (NOT after) AS v0, var_samp(f) FILTER (after) AS v1 FROM cuts GROUP BY ALL HAVING count(*) = 24)"""
+
+
+@query("val13_structural_break", "SELECT market, CAST(cut AS VARCHAR) AS cut, hour, round((m1 - m0) / nullif(sqrt(v0 / n0 + v1 / n1), 0), 5) + 0.0 AS t FROM tests", WORK)
 def val13(t):
-    rows = t.daily.select("market", F.month("d").alias("month"), (F.col("d") >= F.lit("1998-01-01").cast("date")).cast("int").alias("half"), "price")
-    top = F.max(F.abs("t"))
-    return agg.welch(rows, ["market", "month"], "half", "price").groupBy("market").agg((top > 3.0).alias("broken"), R(top, "t_max"))
+    """Welch's t of each hour's place in the profile of working days, twelve months after each month's start against the twelve
+    before."""
+    return profile_tests(t).select("market", S("cut"), "hour", (R("t", "x", 5) + 0.0).alias("t"))
+
+
+def profile_tests(t):
+    rows = market_hours(t).join(t.calendar, "d").where(F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")) == "Ouvrable")
+    return agg.sliding_breaks(rows, ["market"])
+
+
+@query("val13b_breaks")
+def val13b(t):
+    """Months at which the profile breaks: the least p-value of the 24 hours, corrected for their number, is below 0.05; the
+    look-back recommended is from the market's last break on, 12 months at least, 36 without one."""
+    return agg.breaks(profile_tests(t), ["market"]).select("market", S("cut"), R("p", "p"), "broken", "lookback_months")
 
 
 @query("val14_input_gate", "SELECT series, count(*) >= 100 AS enough, count(*) = count(DISTINCT ts) AS unique_ts, date_diff('hour', max(ts), TIMESTAMP '2024-01-31') <= 48 AS fresh FROM spot GROUP BY series")
