@@ -198,6 +198,8 @@ def solve_knots(stats: pd.DataFrame, targets: pd.DataFrame, eps: float = 1e-8, t
     return pd.DataFrame({"day": np.repeat(days, 2), "is_peak": np.tile([True, False], k), "knot": x})
 
 
+# Coverage and distance of a period that is checked closely, and loosely.
+FULL_COVERAGE, CLOSE, FAIR_COVERAGE, FAIR = 0.95, 0.005, 0.90, 0.05
 # Least factor and least level of a multiplicative correction, greatest miss that is still applied.
 LEAST_FACTOR, LEAST_LEVEL, GREATEST_MISS = 0.1, 0.1, 50.0
 

@@ -51,6 +51,28 @@ def with_fallback(profile: DataFrame) -> DataFrame:
     return rows.select(*CELL, "hour", F.coalesce("f", over("season"), over("day_type"), over(), F.lit(1.0)).alias("f"))
 
 
+# Least trend that counts, years after which a trend has levelled off, bounds of f_H, most of a quarter's correction.
+LEAST_TREND, TREND_YEARS, FACTOR_BOUNDS, MOST_CORRECTION = 0.001, 2.0, (0.4, 2.0), 0.05
+
+
+def profile_trends(hours: DataFrame, cell: list[str], least_years: int = 3) -> DataFrame:
+    """(*cell, hour, slope, years): trend over years of each hour's place in the year's mean profile of its cell, of hours with
+    enough years, for cells in which some hour's is above LEAST_TREND in size. hours: (*cell, d, hour, price)."""
+    yearly = hours.groupBy(*cell, F.year("d").cast("double").alias("y"), "hour").agg(F.avg("price").alias("m"))
+    yearly = yearly.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy(*cell, "y")))
+    slopes = yearly.groupBy(*cell, "hour").agg(F.regr_slope("f", "y").alias("slope"), F.count(F.lit(1)).alias("years")).where(F.col("years") >= least_years)
+    return slopes.withColumn("most", F.max(F.abs("slope")).over(Window.partitionBy(*cell))).where(F.col("most") > LEAST_TREND).drop("most")
+
+
+def clipped_factor(f: Column) -> Column:
+    return F.greatest(F.lit(FACTOR_BOUNDS[0]), F.least(F.lit(FACTOR_BOUNDS[1]), f))
+
+
+def trended_factor(f: Column, slope: Column, years: Column) -> Column:
+    """f moved along its trend for so many years, which levels off after TREND_YEARS, and clipped."""
+    return clipped_factor(f + slope * TREND_YEARS * F.tanh(F.greatest(years, F.lit(0.0)) / TREND_YEARS))
+
+
 def day_factor(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     """(*keys, day_type, f): weighted mean of the day type over that of all days; 1 with too few rows."""
     per = rows.groupBy(*keys, "day_type").agg(weighted_mean(F.col("price"), F.col("w")).alias("m"), F.count(F.lit(1)).alias("n"))
@@ -125,9 +147,9 @@ def ridge(x: np.ndarray, y: np.ndarray, alphas=(0.01, 0.1, 1.0, 10.0, 100.0)) ->
     return best[1], float(my - mx @ best[1])
 
 
-def ridge_correction(rows: DataFrame, keys: list[str], features: list[str], target: str, least: int = 50, gain: float = 0.02) -> DataFrame:
+def ridge_correction(rows: DataFrame, keys: list[str], features: list[str], target: str, least: int = 50, gain: float = 0.02, most: float | None = None) -> DataFrame:
     """(*keys, accepted, intercept, coefs): fitted on the first half in time, kept if it explains enough of the
-    second half, then fitted on all rows."""
+    second half, then fitted on all rows; coefficients and intercept are at most `most` in size."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
@@ -140,6 +162,8 @@ def ridge_correction(rows: DataFrame, keys: list[str], features: list[str], targ
             ok = float(1 - ((y[half:] - x[half:] @ c - i) ** 2).sum() / max((rest**2).sum(), 1e-12)) > gain
             if ok:
                 coef, b = ridge(x, y)
+                if most is not None:
+                    coef, b = np.clip(coef, -most, most), float(np.clip(b, -most, most))
         return pdf.iloc[:1][keys].assign(accepted=ok, intercept=b, coefs=[coef.tolist()])
 
     schema = rows.select(*keys, *(F.lit(None).cast(kind).alias(c) for c, kind in (("accepted", "boolean"), ("intercept", "double"), ("coefs", "array<double>")))).schema

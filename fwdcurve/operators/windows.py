@@ -86,3 +86,25 @@ def asof_backward(left: DataFrame, right: DataFrame, value: str, time: str, keys
 def valid_ranges(right: DataFrame, time: str, keys: list[str]) -> DataFrame:
     """right with valid_from and valid_to (the next time within keys; null for the last)."""
     return right.withColumns({"valid_from": F.col(time), "valid_to": F.lead(time).over(by(keys, time))})
+
+
+def autocorrelations(rows: DataFrame, keys: list[str], order: str, value: str, most: int, block: int = 2048) -> DataFrame:
+    """(*keys, lag, acf) for every lag from 1 to `most`, as far as a series has so many rows.
+
+    A series is cut into blocks of rows; a block meets itself and as many that follow as the lags reach, and its products are
+    summed by lag inside, so a task holds a few blocks and what is shuffled is each row once for every block it meets and a
+    number for each block and lag."""
+    reach = -(-most // block)
+    mean = rows.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.count(value).alias("_n"))
+    no = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    dev = rows.where(F.col(value).isNotNull()).withColumn("_i", no).join(mean, keys).select(*keys, "_n", (F.col("_i") / F.lit(block)).cast("int").alias("_block"), "_i", (F.col(value) - F.col("_mean")).alias("_e"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_e"))), lambda x: x["_e"])
+    blocks = dev.groupBy(*keys, "_n", "_block").agg(ordered.alias("own"), F.sum(F.col("_e") * F.col("_e")).alias("squares"))
+    w = Window.partitionBy(*keys).orderBy("_block")
+    after = [F.coalesce(F.lead("own", k).over(w), F.array().cast("array<double>")) for k in range(1, reach + 1)]
+    met = blocks.withColumns({"all": F.concat("own", *after), "n": F.size("own")})
+    product = lambda k: F.aggregate(F.zip_with("own", F.slice("all", k + 1, F.col("n")), lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, v: s + v)
+    lags = F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.struct(k.alias("lag"), product(k).alias("p")))
+    sums = met.select(*keys, "_n", F.inline(lags)).groupBy(*keys, "_n", "lag").agg(F.sum("p").alias("p"))
+    total = blocks.groupBy(*keys).agg(F.sum("squares").alias("squares"))
+    return sums.where("lag < _n").join(total, keys).select(*keys, "lag", (F.col("p") / F.nullif(F.col("squares"), F.lit(0.0))).alias("acf"))

@@ -405,11 +405,28 @@ def crv11(t):
     return curve.second_difference_cost(t.daily, ["market"], "d", "price").select("market", R(F.col("cost") / 1e6, "cost"))
 
 
-@query("crv13_consistency", "SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, round(avg(x.price) / any_value(q.price) - 1, 6) + 0.0 AS gap, abs(avg(x.price) / any_value(q.price) - 1) <= 0.005 AS consistent FROM quotes q JOIN (SELECT market, d, raw AS price FROM curve) x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month", RAW)
+MET = f"""{RESC}, met AS (SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, any_value(q.price) AS quote, avg(x.price) AS mean, count(*) / CAST(CASE WHEN q.month IS NOT NULL THEN day(last_day(make_date(CAST(q.year AS INT), CAST(q.month AS INT), 1)))
+    WHEN q.quarter IS NOT NULL THEN date_diff('day', make_date(CAST(q.year AS INT), CAST(q.quarter * 3 - 2 AS INT), 1), CAST(make_date(CAST(q.year AS INT), CAST(q.quarter * 3 AS INT), 1) + INTERVAL 1 month AS DATE)) ELSE date_diff('day', make_date(CAST(q.year AS INT), 1, 1), make_date(CAST(q.year AS INT) + 1, 1, 1)) END AS DOUBLE) AS coverage
+  FROM quotes q JOIN resc x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month)"""
+
+
+def met_quotes(t):
+    """(market, year, quarter, month, quote, mean, coverage): the rescaled curve's mean over each quote's days, and the part of
+    the period's days that it has."""
+    met = joins.contract_slots(t.quotes, rescaled_curve(t).select("market", "d", "price"))
+    first = F.make_date("year", F.coalesce("month", F.col("quarter") * 3 - 2, F.lit(1)), F.lit(1))
+    long = F.when(F.col("month").isNotNull(), 1).when(F.col("quarter").isNotNull(), 3).otherwise(12)
+    rows = met.groupBy("market", "year", "quarter", "month").agg(F.first("price").alias("quote"), F.avg("slot_price").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("coverage", F.col("n") / F.datediff(F.add_months(first, long), first))
+
+
+@query("crv13_consistency", f"SELECT market, year, quarter, month, round(coverage, 6) AS coverage, round(mean / quote - 1, 6) + 0.0 AS gap, CASE WHEN coverage >= {curve.FULL_COVERAGE} THEN abs(mean / quote - 1) <= {curve.CLOSE} END AS consistent, CASE WHEN coverage >= {curve.FAIR_COVERAGE} THEN abs(mean / quote - 1) <= {curve.FAIR} END AS acceptable FROM met", MET)
 def crv13(t):
-    met = joins.contract_slots(t.quotes, raw_curve(t).select("market", "d", F.col("raw").alias("price")))
-    gap = F.avg("slot_price") / F.first("price") - 1
-    return met.groupBy("market", "year", "quarter", "month").agg((F.round(gap, 6) + 0.0).alias("gap"), (F.abs(gap) <= 0.005).alias("consistent"))
+    """Gap between curve and quote of each year, quarter and month; judged closely where the curve covers the period, loosely where
+    it covers most of it, else not at all."""
+    gap, covered = F.col("mean") / F.col("quote") - 1, F.col("coverage")
+    judged = lambda least, most: F.when(covered >= least, F.abs(gap) <= most)
+    return met_quotes(t).select("market", "year", "quarter", "month", R("coverage", "coverage"), (R(gap, "x") + 0.0).alias("gap"), judged(curve.FULL_COVERAGE, curve.CLOSE).alias("consistent"), judged(curve.FAIR_COVERAGE, curve.FAIR).alias("acceptable"))
 
 
 @query("crv14_flavors", f"SELECT series, CAST(ts AS VARCHAR) AS ts, flavor, round(CASE flavor WHEN 'client' THEN greatest(price + 1.0 + risk, price * 1.02) WHEN 'production' THEN price + 0.8 ELSE price END, 6) AS price FROM (SELECT *, ([{', '.join(map(str, tg.RISK_BY_HOUR))}])[hour + 1] AS risk FROM hourly), (VALUES ('mid_market'), ('client'), ('production')) f(flavor)", HOURLY)
@@ -426,17 +443,21 @@ def crv15(t):
     return rows.select("series", S("ts"), R(curve.overlaid(F.col("price"), F.col("hm") * 1.1, F.col("hm"), ahead), "price"))
 
 
-@query("crv16_market_spread", "SELECT CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, round(avg(ch - de), 6) AS spread FROM pair GROUP BY ALL", PAIR)
+@query("crv16_market_spread", "SELECT CAST(m AS VARCHAR) AS month, round(ch, 6) AS ch, round(de, 6) AS de, round(ch - de, 6) + 0.0 AS spread, round(100 * (ch - de) / nullif(de, 0), 6) + 0.0 AS percent, m = max(m) OVER () AS front FROM (SELECT CAST(date_trunc('month', d) AS DATE) AS m, avg(ch) AS ch, avg(de) AS de FROM pair GROUP BY ALL)", PAIR)
 def crv16(t):
-    return pair(t).groupBy(F.year("d").alias("year"), F.month("d").alias("month")).agg(R(F.avg(F.col("ch") - F.col("de")), "spread"))
+    """Term structure of two markets by month, their spread, and whether the month is the front one, the last that has prices."""
+    rows = pair(t).groupBy(F.to_date(F.date_trunc("month", "d")).alias("m")).agg(F.avg("ch").alias("ch"), F.avg("de").alias("de"))
+    last = rows.agg(F.max("m").alias("last"))
+    spread = F.col("ch") - F.col("de")
+    return rows.crossJoin(F.broadcast(last)).select(S("m", "month"), R("ch", "ch"), R("de", "de"), (R(spread, "x") + 0.0).alias("spread"), (R(100 * F.try_divide(spread, F.col("de")), "x") + 0.0).alias("percent"), (F.col("m") == F.col("last")).alias("front"))
 
 
-@query("crv17_curve_vs_quotes", "SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, CASE WHEN n >= 0.9 * span THEN round(mean - q.price, 6) + 0.0 END AS diff FROM (SELECT q.market, q.year, q.quarter, q.month, any_value(q.price) AS price, count(*) AS n, avg(x.raw) AS mean, CASE WHEN q.month IS NOT NULL THEN 30 WHEN q.quarter IS NOT NULL THEN 90 ELSE 365 END AS span FROM quotes q JOIN curve x ON x.market = q.market AND q.year = year(x.d) AND (q.quarter IS NULL OR q.quarter = quarter(x.d)) AND (q.month IS NULL OR q.month = month(x.d)) GROUP BY q.market, q.year, q.quarter, q.month) q", RAW)
+@query("crv17_curve_vs_quotes", f"SELECT market, year, quarter, month, round(quote, 6) AS quote, CASE WHEN coverage >= {curve.FAIR_COVERAGE} THEN round(mean, 6) END AS curve, CASE WHEN coverage >= {curve.FAIR_COVERAGE} THEN round(mean - quote, 6) + 0.0 END AS diff, CASE WHEN coverage >= {curve.FAIR_COVERAGE} THEN round(100 * (mean - quote) / nullif(quote, 0), 6) + 0.0 END AS percent FROM met", MET)
 def crv17(t):
-    met = joins.contract_slots(t.quotes, raw_curve(t).select("market", "d", F.col("raw").alias("price")))
-    rows = met.groupBy("market", "year", "quarter", "month").agg(F.count(F.lit(1)).alias("n"), F.avg("slot_price").alias("mean"), F.first("price").alias("price"))
-    span = F.when(F.col("month").isNotNull(), 30).when(F.col("quarter").isNotNull(), 90).otherwise(365)
-    return rows.select("market", "year", "quarter", "month", F.when(F.col("n") >= 0.9 * span, F.round(F.col("mean") - F.col("price"), 6) + 0.0).alias("diff"))
+    """Curve beside quotes; nothing is compared where the curve lacks more than a tenth of the days."""
+    seen = lambda c: F.when(F.col("coverage") >= curve.FAIR_COVERAGE, c)
+    diff = F.col("mean") - F.col("quote")
+    return met_quotes(t).select("market", "year", "quarter", "month", R("quote", "quote"), seen(R("mean", "x")).alias("curve"), seen(R(diff, "x") + 0.0).alias("diff"), seen(R(100 * F.try_divide(diff, F.col("quote")), "x") + 0.0).alias("percent"))
 
 
 @query("crv18_curve_stats", "SELECT market, CAST(year(d) AS INT) AS year, round(avg(raw) FILTER (isodow(d) <= 5), 6) AS work, round(avg(raw) FILTER (isodow(d) > 5), 6) AS rest, round(min(f_w), 6) AS f_low, round(max(f_w), 6) AS f_high FROM curve GROUP BY market, year(d)", RAW)

@@ -10,7 +10,7 @@ from ..functions import timegrid as tg
 from ..operators import joins, shapes
 from ..operators import windows as win
 from .registry import query
-from .table_plans import HOURLY, WEIGHTED, hourly, weighted
+from .table_plans import HOUR_WAYS, HOURLY, WEIGHTED, hourly, market_hours, weighted
 from .time_plans import CAL, ENRICHED, R, S, enriched
 
 CELL = shapes.CELL
@@ -88,19 +88,44 @@ def shp5(t):
     return seasonal_factor(t).select("market", "season", "day_type", R("f", "f"))
 
 
-@query("shp6_profile_trend", "SELECT market, month, round(regr_slope(f, y), 8) AS slope, count(*) AS years FROM (SELECT market, y, month, m / avg(m) OVER (PARTITION BY market, y) AS f FROM (SELECT market, year(d)::DOUBLE AS y, CAST(month(d) AS INT) AS month, avg(price) AS m FROM daily GROUP BY ALL)) GROUP BY market, month HAVING count(*) >= 3")
+CELLH = f"""{HOURLY}, {HOUR_WAYS}, {CAL}, chours AS (SELECT m.*, season, CASE market WHEN 'CH' THEN day_type_ch ELSE day_type_de END AS day_type FROM mhours m JOIN cal USING (d)),
+cyear AS (SELECT market, season, day_type, y, hour, m / avg(m) OVER (PARTITION BY market, season, day_type, y) AS f FROM (SELECT market, season, day_type, year(d)::DOUBLE AS y, hour, avg(price) AS m FROM chours GROUP BY ALL)),
+slopes AS (SELECT * FROM (SELECT *, max(abs(slope)) OVER (PARTITION BY market, season, day_type) AS most FROM (SELECT market, season, day_type, hour, regr_slope(f, y) AS slope, count(*) AS years FROM cyear GROUP BY ALL HAVING count(*) >= 3)) WHERE most > {shapes.LEAST_TREND})"""
+
+
+def cell_hours(t):
+    """The hours of the daily prices with season and their market's day type."""
+    rows = market_hours(t).join(t.calendar, "d")
+    return rows.select("market", "d", "hour", "price", "season", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")).alias("day_type"))
+
+
+@query("shp6_profile_trend", "SELECT market, season, day_type, hour, round(slope, 8) + 0.0 AS slope, years FROM slopes", CELLH)
 def shp6(t):
-    m = t.daily.groupBy("market", F.year("d").cast("double").alias("y"), F.month("d").alias("month")).agg(F.avg("price").alias("m"))
-    f = m.withColumn("f", F.col("m") / F.avg("m").over(Window.partitionBy("market", "y")))
-    return f.groupBy("market", "month").agg(R(F.regr_slope("f", "y"), "slope", 8), F.count(F.lit(1)).alias("years")).where("years >= 3")
+    """Trend over years of each hour's place in its cell's profile, of cells in which one hour moves."""
+    return shapes.profile_trends(cell_hours(t), ["market", "season", "day_type"]).select("market", "season", "day_type", "hour", (R("slope", "x", 8) + 0.0).alias("slope"), "years")
+
 
+APPLY = f"""{CELLH}, cprof AS (SELECT market, season, day_type, hour, m / avg(m) OVER (PARTITION BY market, season, day_type) AS f FROM (SELECT market, season, day_type, hour, avg(price) AS m FROM chours GROUP BY ALL)),
+fdays AS (SELECT market, last, CAST(unnest(generate_series(last + 1, last + 1095, INTERVAL 1 day)) AS DATE) AS d FROM (SELECT market, max(d) AS last FROM daily GROUP BY market)), fcal AS ({cal.sql("fdays")}),
+fslots AS (SELECT f.market, f.d, h.hour, season, CASE f.market WHEN 'CH' THEN day_type_ch ELSE day_type_de END AS day_type, (date_diff('day', last, f.d) + h.hour / 24.0) / 365.25 AS ahead FROM fdays f JOIN fcal USING (d), (SELECT CAST(unnest(range(24)) AS INT) AS hour) h),
+fapp AS (SELECT s.market, s.d, s.hour, greatest(0.4, least(2.0, coalesce(p.f, 1.0) + coalesce(k.slope, 0.0) * {shapes.TREND_YEARS} * tanh(ahead / {shapes.TREND_YEARS}))) AS g FROM fslots s LEFT JOIN cprof p USING (market, season, day_type, hour) LEFT JOIN slopes k USING (market, season, day_type, hour))"""
 
-@query("shp7_apply_hourly", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(g / avg(g) OVER (PARTITION BY series, d), 6) AS f FROM (SELECT e.series, e.ts, e.d, greatest(0.4, least(2.0, coalesce(f.f, 1.0))) AS g FROM wrows e LEFT JOIN fh_all f USING (series, season, day_type, hour))", f"{FH}, {FH_SMOOTH}, {FH_ALL}")
+
+@query("shp7_apply_hourly", "SELECT market, CAST(d AS VARCHAR) AS d, hour, round(greatest(0.4, least(2.0, g / avg(g) OVER (PARTITION BY market, d))), 6) AS f FROM fapp", APPLY)
 def shp7(t):
-    table = shapes.with_fallback(shapes.smoothed(profile(t)))
-    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(table, [*CELL, "hour"], "left")
-    g = rows.withColumn("g", F.greatest(F.lit(0.4), F.least(F.lit(2.0), F.coalesce("f", F.lit(1.0)))))
-    return g.select("series", S("ts"), R(win.normalised("g", ["series", "d"]), "f"))
+    """f_H of the three years after each market's last day: the cell's profile moved along its trend, which levels off, clipped,
+    with mean 1 a day, clipped again; a cell without a profile is flat."""
+    cell, hours = ["market", "season", "day_type"], cell_hours(t)
+    mean = hours.groupBy(*cell, "hour").agg(F.avg("price").alias("m"))
+    table = mean.select(*cell, "hour", (F.col("m") / F.avg("m").over(Window.partitionBy(*cell))).alias("f"))
+    table = table.join(shapes.profile_trends(hours, cell).drop("years"), [*cell, "hour"], "left")
+    last = t.daily.groupBy("market").agg(F.max("d").alias("last"))
+    days = last.withColumn("d", F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", 1095))))
+    days = days.join(cal.day_calendar(days.select("d").distinct()), "d")
+    slots = days.select("market", "d", "season", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")).alias("day_type"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"), "last")
+    years = (F.datediff("d", "last") + F.col("hour") / 24.0) / 365.25
+    rows = slots.join(table, [*cell, "hour"], "left").withColumn("g", shapes.trended_factor(F.coalesce("f", F.lit(1.0)), F.coalesce("slope", F.lit(0.0)), years))
+    return rows.select("market", S("d"), "hour", R(shapes.clipped_factor(win.normalised("g", ["market", "d"])), "f"))
 
 
 @query("shp8_analogue_weight", "SELECT x.market, CAST(x.d AS VARCHAR) AS d, round(coalesce(greatest(0.3, exp(-0.5 * ((h.fill_pct - n.now) / 15.0) * ((h.fill_pct - n.now) / 15.0))), 1.0), 6) AS w FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week CROSS JOIN (SELECT arg_max(fill_pct, week) AS now FROM hydro) n")
@@ -151,24 +176,79 @@ def shp10b(t):
     return filled.select(*CELL, "hour", "quarter", R("f", "f"))
 
 
+EXOGENOUS = ("solar_regime", "load_deviation", "flow_deviation")
+
+
+def exogenous(t):
+    """(series, at, EXOGENOUS) of each hour, from other series than the one to explain: the tercile of their mean price in that hour
+    of the day stands for solar regimes, the monthly z-score of the number of events for load, that of the gap between the
+    dearest and the cheapest of them for flows."""
+    at = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    of = t.spot.groupBy("series", at.alias("at")).agg(F.avg("price").alias("p"))
+    load = t.events.groupBy(F.col("event_type").alias("series"), at.alias("at")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    of = of.join(load, ["series", "at"])
+    names = of.select("series").distinct()
+    # each hour is told to every series but its own; there are a few series
+    told = of.select("at", "p", "n", F.col("series").alias("teller")).join(names, F.col("teller") != F.col("series"))
+    rows = told.groupBy("series", "at").agg(F.avg("p").alias("p"), F.avg("n").alias("n"), (F.max("p") - F.min("p")).alias("gap"))
+    rows = rows.withColumns({"month": F.date_trunc("month", "at"), "hour": F.hour("at")})
+    edges = rows.groupBy("series", "month", "hour").agg(F.percentile("p", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("q"))
+    rows = rows.join(edges, ["series", "month", "hour"])
+    regime = F.when(F.col("p") <= F.col("q")[0], 0.0).when(F.col("p") <= F.col("q")[1], 1.0).otherwise(2.0)
+    return rows.select("series", "at", regime.alias("solar_regime"), win.zscore("n", ["series", "month"]).alias("load_deviation"), win.zscore("gap", ["series", "month"]).alias("flow_deviation"))
+
+
+def quarter_corrections(t):
+    """(*CELL, hour, quarter, accepted, intercept, coefs) of the ratio's distance from its own base factor on EXOGENOUS."""
+    at = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    rows = ratios(t).withColumn("at", at).join(exogenous(t), ["series", "at"]).join(quarter_table(t).withColumnRenamed("f", "base"), [*CELL, "hour", "quarter"])
+    rows = rows.withColumn("gap", F.col("ratio") - F.col("base")).select(*CELL, "hour", "quarter", "ts", "gap", *EXOGENOUS)
+    return shapes.ridge_correction(rows, [*CELL, "hour", "quarter"], list(EXOGENOUS), "gap", most=shapes.MOST_CORRECTION)
+
+
 @query("shp11_quarter_correction")
 def shp11(t):
-    rows = ratios(t).withColumns({"x1": F.col("price") / 100, "x2": F.sin(F.dayofmonth("ts") / 5.0), "x3": F.cos(F.dayofmonth("ts") / 5.0)})
-    return shapes.ridge_correction(rows.select(*CELL, "quarter", "ts", "ratio", "x1", "x2", "x3"), [*CELL, "quarter"], ["x1", "x2", "x3"], "ratio").select(*CELL, "quarter", "accepted", R("intercept", "intercept"), F.transform("coefs", lambda c: F.round(c, 6)).cast("string").alias("coefs"))
+    return quarter_corrections(t).select(*CELL, "hour", "quarter", "accepted", R("intercept", "intercept"), F.transform("coefs", lambda c: F.round(c, 6)).cast("string").alias("coefs"))
+
+
+QUARTERED = "appq AS (SELECT e.series, e.ts, coalesce(q.f, 1.0) AS f, date_trunc('hour', e.ts) AS h FROM wrows e LEFT JOIN fq q USING (series, season, day_type, hour, quarter))"
 
 
-@query("shp12_apply_quarter", "SELECT e.series, CAST(e.ts AS VARCHAR) AS ts, round(coalesce(q.f, 1.0), 6) AS f FROM wrows e LEFT JOIN fq q USING (series, season, day_type, hour, quarter)", f"{RATIOS}, {FQ}")
+@query("shp12_apply_quarter", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(f / avg(f) OVER (PARTITION BY series, h), 6) AS f FROM appq", f"{RATIOS}, {FQ}, {QUARTERED}")
 def shp12(t):
+    """Base factor of each slot's quarter, with mean 1 over the slots of its hour."""
     rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").join(quarter_table(t), [*CELL, "hour", "quarter"], "left")
-    return rows.select("series", S("ts"), R(F.coalesce("f", F.lit(1.0)), "f"))
+    rows = rows.withColumns({"f": F.coalesce("f", F.lit(1.0)), "h": F.date_trunc("hour", "ts")})
+    return rows.select("series", S("ts"), R(win.normalised("f", ["series", "h"]), "f"))
+
+
+@query("shp12b_corrected_quarter")
+def shp12b(t):
+    """The same with the correction by exogenous columns of the cells that have one."""
+    at = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    rows = enriched(t).withColumnRenamed("day_type_ch", "day_type").withColumn("at", at).join(quarter_table(t), [*CELL, "hour", "quarter"], "left")
+    rows = rows.join(exogenous(t), ["series", "at"], "left").join(quarter_corrections(t).where("accepted"), [*CELL, "hour", "quarter"], "left")
+    move = F.col("intercept") + F.aggregate(F.zip_with(F.array(*EXOGENOUS), "coefs", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    rows = rows.withColumn("f", F.coalesce("f", F.lit(1.0)) + F.coalesce(move, F.lit(0.0)))
+    return rows.select("series", S("ts"), R(win.normalised("f", ["series", "at"]), "f"))
+
+
+_ORDER = ["Ferie_DE", *shapes.STAND_IN.values()]
+CHAIN = f"""whole AS (SELECT *, count(*) OVER (PARTITION BY series, season, day_type, hour) AS n FROM fq),
+cells AS (SELECT * FROM (SELECT DISTINCT series FROM fq), (SELECT unnest({list(shapes.SEASONS)}) AS season), (SELECT unnest({list(shapes.DAY_TYPES)}) AS day_type), (SELECT CAST(unnest(range(24)) AS INT) AS hour)),
+ranked AS (SELECT c.*, o.quarter, o.f, CASE WHEN o.season = c.season AND list_position({_ORDER}, o.day_type) >= list_position({_ORDER}, c.day_type) THEN list_position({_ORDER}, o.day_type) - list_position({_ORDER}, c.day_type)
+  WHEN o.day_type = '{_ORDER[-1]}' THEN 10 + list_position({list(shapes.SEASONS)}, o.season) END AS place FROM cells c JOIN whole o ON o.series = c.series AND o.hour = c.hour AND o.n = 4)"""
 
 
-@query("shp13_quarter_fallback", "SELECT series, day_type, hour, quarter, round(coalesce(f, avg(f) OVER (PARTITION BY series, hour, quarter), 1.0), 6) AS f FROM (SELECT * FROM (SELECT DISTINCT series FROM fq), (VALUES ('Ouvrable'), ('Samedi'), ('Dimanche'), ('Ferie_CH'), ('Ferie_DE')) t(day_type), (SELECT CAST(unnest(range(24)) AS INT) AS hour), (SELECT CAST(unnest(range(1, 5)) AS INT) AS quarter)) LEFT JOIN (SELECT * FROM fq WHERE season = 'Hiver') USING (series, day_type, hour, quarter)", f"{RATIOS}, {FQ}")
+@query("shp13_quarter_fallback", "SELECT c.series, c.season, c.day_type, c.hour, q.quarter, round(coalesce(r.f, 1.0), 6) AS f FROM cells c, (SELECT CAST(unnest(range(1, 5)) AS INT) AS quarter) q LEFT JOIN (SELECT series, season, day_type, hour, quarter, arg_min(f, place) AS f FROM ranked WHERE place IS NOT NULL GROUP BY ALL) r ON r.series = c.series AND r.season = c.season AND r.day_type = c.day_type AND r.hour = c.hour AND r.quarter = q.quarter", f"{RATIOS}, {FQ}, {CHAIN}")
 def shp13(t):
+    """Quarter factors of all 20 cells and 24 hours of each series: the cell's own, if its four quarters are known, else those of
+    the same season's next day type, else of a working day of the first season that has them, else 1."""
     table = quarter_table(t)
-    cells = table.select("series").distinct().withColumn("day_type", F.explode(F.array(*map(F.lit, shapes.DAY_TYPES)))).withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))).withColumn("quarter", F.explode(F.sequence(F.lit(1), F.lit(4))))
-    rows = cells.join(table.where("season = 'Hiver'").drop("season"), ["series", "day_type", "hour", "quarter"], "left")
-    return rows.select("series", "day_type", "hour", "quarter", R(F.coalesce("f", F.avg("f").over(Window.partitionBy("series", "hour", "quarter")), F.lit(1.0)), "f"))
+    names = lambda values: F.explode(F.array(*map(F.lit, values)))
+    cells = table.select("series").distinct().withColumn("season", names(shapes.SEASONS)).withColumn("day_type", names(shapes.DAY_TYPES)).withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    whole = table.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*CELL, "hour"))).where("n = 4").drop("n")
+    return shapes.quarter_fallback(cells, whole).select(*CELL, "hour", "quarter", R("f", "f"))
 
 
 @query("shp14_observed", "SELECT series, hour, round(avg(ratio), 6) AS mean, round(median(ratio), 6) AS mid, round(stddev_samp(ratio), 6) AS sd, coalesce(stddev_samp(ratio), 0) < 1e-6 AS flat FROM ratios GROUP BY series, hour", RATIOS)

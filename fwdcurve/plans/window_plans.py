@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import timegrid as tg
@@ -50,10 +51,11 @@ def win4b(t):
     return win4(t)
 
 
-@query("win5_rolling_corr", "SELECT CAST(d AS VARCHAR) AS d, round(CASE WHEN count(*) OVER w >= 60 THEN corr(ch, de) OVER w END, 5) AS corr60 FROM (SELECT *, CAST(year(d) AS INT) AS y FROM pair) WINDOW w AS (PARTITION BY y ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)", PAIR)
+@query("win5_rolling_corr", "SELECT CAST(d AS VARCHAR) AS d, round(CASE WHEN count(*) OVER w >= 60 THEN corr(ch, de) OVER w END, 5) AS corr60 FROM pair WINDOW w AS (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)", PAIR)
 def win5(t):
-    w = win.by(["y"], "d", -59, 0)
-    rows = pair(t).withColumn("y", F.year("d"))
+    """Correlation of two markets over 60 rows; a pair of markets is the key."""
+    w = win.by(["markets"], "d", -59, 0)
+    rows = pair(t).withColumn("markets", F.lit("CH-DE"))
     return rows.select(S("d"), R(F.when(F.count(F.lit(1)).over(w) >= 60, F.corr("ch", "de").over(w)), "corr60", 5))
 
 
@@ -125,14 +127,20 @@ def win14(t):
     return t.spot.join(F.broadcast(cut), "series").select("series", S("ts"), (F.abs("price") > F.col("cut")).alias("spike"))
 
 
-@query("win15_seasonal_zscore", """SELECT CAST(a.week AS VARCHAR) AS week, round(CASE WHEN count(b.fill_pct) >= 3 THEN coalesce((any_value(a.fill_pct) - avg(b.fill_pct)) / nullif(stddev_samp(b.fill_pct), 0), 0) ELSE 0 END, 5) AS z
-  FROM hydro a LEFT JOIN hydro b ON weekofyear(a.week) = weekofyear(b.week) AND b.week < a.week AND b.week >= a.week - INTERVAL 10 year GROUP BY a.week""")
+@query("win15_seasonal_zscore", """SELECT CAST(week AS VARCHAR) AS week, round(CASE WHEN weeks < 3 THEN 0 WHEN n10 >= 3 THEN coalesce((fill_pct - m10) / nullif(s10, 0), 0) WHEN n >= 2 THEN coalesce((fill_pct - m) / nullif(s, 0), 0) ELSE 0 END, 5) AS z FROM (
+  SELECT a.week, any_value(a.fill_pct) AS fill_pct, any_value(a.weeks) AS weeks, count(b.fill_pct) AS n, avg(b.fill_pct) AS m, stddev_samp(b.fill_pct) AS s, count(b.fill_pct) FILTER (recent) AS n10, avg(b.fill_pct) FILTER (recent) AS m10, stddev_samp(b.fill_pct) FILTER (recent) AS s10
+  FROM (SELECT *, count(*) OVER (PARTITION BY weekofyear(week)) AS weeks FROM hydro) a LEFT JOIN LATERAL (SELECT fill_pct, h.week >= a.week - INTERVAL 10 year AS recent FROM hydro h WHERE weekofyear(h.week) = weekofyear(a.week) AND h.week < a.week) b ON true GROUP BY a.week)""")
 def win15(t):
+    """Distance from the same week's mean of the ten years before, if they have three values, else of all years before, if
+    those have two; 0 otherwise and for weeks that fewer than three years have."""
     a = t.hydro.select("week", "fill_pct", F.weekofyear("week").alias("iso"))
+    a = a.withColumn("weeks", F.count(F.lit(1)).over(Window.partitionBy("iso")))
     b = t.hydro.select(F.col("week").alias("before"), F.col("fill_pct").alias("past"), F.weekofyear("week").alias("iso"))
-    met = a.join(b, (a["iso"] == b["iso"]) & (b["before"] < a["week"]) & (b["before"] >= F.add_months(a["week"], -120)), "left")
-    z = F.coalesce((F.first("fill_pct") - F.avg("past")) / F.nullif(F.stddev_samp("past"), F.lit(0.0)), F.lit(0.0))
-    return met.groupBy("week").agg(R(F.when(F.count("past") >= 3, z).otherwise(F.lit(0.0)), "z", 5)).select(S("week"), "z")
+    met = a.join(b, (a["iso"] == b["iso"]) & (b["before"] < a["week"]), "left")
+    near = F.when(F.col("before") >= F.add_months("week", -120), F.col("past"))
+    z = lambda x: F.coalesce((F.first("fill_pct") - F.avg(x)) / F.nullif(F.stddev_samp(x), F.lit(0.0)), F.lit(0.0))
+    chosen = F.when(F.first("weeks") < 3, F.lit(0.0)).when(F.count(near) >= 3, z(near)).when(F.count("past") >= 2, z(F.col("past"))).otherwise(F.lit(0.0))
+    return met.groupBy("week").agg(R(chosen, "z", 5)).select(S("week"), "z")
 
 
 @query("win16_decay_weights", "SELECT market, CAST(d AS VARCHAR) AS d, round(exp(-ln(2) * date_diff('day', d, last) / 365.0), 8) AS w FROM daily JOIN (SELECT market, max(d) AS last FROM daily GROUP BY market) USING (market)")
@@ -146,16 +154,18 @@ def win17(t):
     return latest_outages(t).select("id", "revision", S("start_ts"), R("mw", "mw"))
 
 
-LAGS = (1, 2, 7, 14, 28)
 
 
-@query("win18_autocorrelation", "SELECT market, lag, round(sum(e * p) / sum(e * e), 6) AS acf FROM (" + " UNION ALL ".join(f"SELECT market, {k} AS lag, e, lag(e, {k}) OVER {BY} AS p FROM dev" for k in LAGS) + ") GROUP BY market, lag", "dev AS (SELECT market, d, price - avg(price) OVER (PARTITION BY market) AS e FROM daily)")
+MOST_LAG, DAY_LAGS = 672, 96
+
+
+@query("win18_autocorrelation", f"""SELECT series, lag, round(acf, 6) + 0.0 AS acf, round(sum(acf * acf) FILTER (lag <= {DAY_LAGS}) OVER (PARTITION BY series), 6) AS day_squares FROM (SELECT a.series, b.i - a.i AS lag, sum(a.e * b.e) / any_value(a.total) AS acf
+  FROM dev a JOIN dev b ON a.series = b.series AND b.i > a.i AND b.i <= a.i + {MOST_LAG} GROUP BY ALL)""", "dev AS (SELECT *, sum(e * e) OVER (PARTITION BY series) AS total FROM (SELECT series, row_number() OVER (PARTITION BY series ORDER BY ts) AS i, price - avg(price) OVER (PARTITION BY series) AS e FROM spot))")
 def win18(t):
-    mean = t.daily.groupBy("market").agg(F.avg("price").alias("mean"))
-    e = t.daily.join(F.broadcast(mean), "market").select("market", "d", (F.col("price") - F.col("mean")).alias("e"))
-    lags = F.array(*(F.struct(F.lit(k).alias("lag"), F.lag("e", k).over(win.by(["market"], "d")).alias("p")) for k in LAGS))
-    rows = e.withColumn("lags", lags).select("market", "e", F.inline("lags"))
-    return rows.groupBy("market", "lag").agg(R(F.sum(F.col("e") * F.col("p")) / F.sum(F.col("e") * F.col("e")), "acf"))
+    """Autocorrelation of each series at every lag from 1 to a week of quarters of an hour, and the sum of squares of a day's lags."""
+    found = win.autocorrelations(t.spot, ["series"], "ts", "price", MOST_LAG)
+    squares = F.sum(F.when(F.col("lag") <= DAY_LAGS, F.col("acf") * F.col("acf"))).over(Window.partitionBy("series"))
+    return found.withColumn("squares", squares).select("series", "lag", (R("acf", "x") + 0.0).alias("acf"), R("squares", "day_squares"))
 
 
 @query("win19_quintiles", "SELECT market, bin, count(*) AS n, round(avg(price), 6) AS mean FROM (SELECT market, price, CASE WHEN price <= a THEN 0 WHEN price <= b THEN 1 WHEN price <= c THEN 2 WHEN price <= e THEN 3 ELSE 4 END AS bin FROM daily JOIN (SELECT market, quantile_cont(price, 0.2) AS a, quantile_cont(price, 0.4) AS b, quantile_cont(price, 0.6) AS c, quantile_cont(price, 0.8) AS e FROM daily GROUP BY market) USING (market)) GROUP BY ALL")
@@ -191,10 +201,10 @@ def win21(t):
     return rows.groupBy("market").agg(R(F.avg(F.when(age < 7, F.col("price"))), "week"), R(F.avg(F.when((age >= 7) & (age < 14), F.col("price"))), "week_before"))
 
 
-@query("win22_envelope", "SELECT CAST(weekofyear(week) AS INT) AS iso_week, round(min(fill_pct) FILTER (year(week) < 2000), 6) AS low, round(quantile_cont(fill_pct, 0.5) FILTER (year(week) < 2000), 6) AS mid, round(max(fill_pct) FILTER (year(week) < 2000), 6) AS high, round(avg(fill_pct) FILTER (year(week) = 2000), 6) AS chosen FROM hydro GROUP BY weekofyear(week)")
+@query("win22_envelope", "SELECT CAST(weekofyear(week) AS INT) AS iso_week, round(min(fill_pct) FILTER (year(week) < y), 6) AS low, round(quantile_cont(fill_pct, 0.5) FILTER (year(week) < y), 6) AS mid, round(max(fill_pct) FILTER (year(week) < y), 6) AS high, round(avg(fill_pct) FILTER (year(week) = y), 6) AS chosen FROM hydro, (SELECT max(year(week)) AS y FROM hydro) GROUP BY weekofyear(week)")
 def win22(t):
-    past = F.when(F.year("week") < 2000, F.col("fill_pct"))
-    rows = t.hydro.groupBy(F.weekofyear("week").alias("iso_week"))
-    return rows.agg(R(F.min(past), "low"), R(F.percentile(past, F.lit(0.5)), "mid"), R(F.max(past), "high"), R(F.avg(F.when(F.year("week") == 2000, F.col("fill_pct"))), "chosen"))
-
-
+    """Range of each week over the years before the last one, and the last year's own value."""
+    last = t.hydro.agg(F.max(F.year("week")).alias("y"))
+    past = F.when(F.year("week") < F.col("y"), F.col("fill_pct"))
+    rows = t.hydro.crossJoin(F.broadcast(last)).groupBy(F.weekofyear("week").alias("iso_week"))
+    return rows.agg(R(F.min(past), "low"), R(F.percentile(past, F.lit(0.5)), "mid"), R(F.max(past), "high"), R(F.avg(F.when(F.year("week") == F.col("y"), F.col("fill_pct"))), "chosen"))
