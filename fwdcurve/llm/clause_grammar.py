@@ -32,7 +32,6 @@ result; other columns are ignored. Texts without spaces are one word a sentence,
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
