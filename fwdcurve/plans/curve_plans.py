@@ -97,7 +97,7 @@ def fwd4(t):
 
 
 PEAKQ = f"""{PEAKR}, peakq AS (SELECT market, year, CASE WHEN month IS NULL THEN quarter END AS quarter, month, peak FROM (SELECT market, year, quarter, month, avg(price) AS peak FROM phours WHERE peak GROUP BY GROUPING SETS ((market, year), (market, year, quarter), (market, year, quarter, month)))
-  WHERE year % 4 = 0 AND (quarter IS NULL OR quarter = 2 OR month = 1)),
+  WHERE year % 4 = 0 AND (quarter IS NULL OR (quarter = 2 AND month IS NULL) OR month = 1)),
 pers AS (SELECT market, CASE WHEN month IS NULL THEN quarter END AS quarter, month, avg(ratio) AS ratio FROM (SELECT market, CAST(ceil(month / 3.0) AS INT) AS quarter, month, coalesce(ratio, {forwards.DEFAULT_PEAK}) AS ratio
   FROM (SELECT DISTINCT market, CAST(unnest(range(1, 13)) AS INT) AS month FROM daily) LEFT JOIN pr USING (market, month)) GROUP BY GROUPING SETS ((market), (market, quarter), (market, quarter, month))),
 lq AS (SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS quarter, CAST(q.month AS INT) AS month, q.price, coalesce(p.peak, q.price * coalesce(r.ratio, {forwards.DEFAULT_PEAK})) AS peak, p.peak IS NULL AS synthetic FROM quotes q
@@ -105,10 +105,10 @@ lq AS (SELECT q.market, CAST(q.year AS INT) AS year, CAST(q.quarter AS INT) AS q
 
 
 def peak_quotes(t):
-    """Quoted peaks: every fourth year has one of the year, of the second quarter (and the months') and of January."""
+    """Quoted peaks: every fourth year has one of the year, of the second quarter and of January."""
     rows = load_hours(t).where("is_peak")
     sets = rows.groupingSets([["market", "year"], ["market", "year", "quarter"], ["market", "year", "quarter", "month"]], "market", "year", "quarter", "month").agg(F.avg("price").alias("peak"))
-    sets = sets.where((F.col("year") % 4 == 0) & (F.col("quarter").isNull() | (F.col("quarter") == 2) | (F.col("month") == 1)))
+    sets = sets.where((F.col("year") % 4 == 0) & (F.col("quarter").isNull() | (F.col("month").isNull() & (F.col("quarter") == 2)) | (F.col("month") == 1)))
     return sets.select("market", "year", F.when(F.col("month").isNull(), F.col("quarter")).alias("quarter"), "month", "peak")
 
 
@@ -319,7 +319,7 @@ FWM = f"{DAYS}, {FW}, {FWS}, dayf AS (SELECT x.market, x.d, x.price, coalesce(s.
 
 def day_factors(t):
     """daily with f_w: the seasonal day-type factor, mean 1 in each month."""
-    rows = t.daily.join(F.broadcast(t.calendar), "d")
+    rows = t.daily.join(t.calendar, "d")
     rows = rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
     rows = rows.join(seasonal_factor(t), ["market", "season", "day_type"], "left").fillna(1.0, ["f"]).withColumns({"y": F.year("d"), "mon": F.month("d")})
     return rows.withColumn("f_w", win.normalised("f", ["market", "y", "mon"])).select("market", "d", "price", "f_w")

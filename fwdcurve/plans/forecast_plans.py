@@ -411,7 +411,7 @@ def val9(t):
 def val10(t):
     rows = rescaled_curve(t)
     mean = rows.groupBy("market").agg(F.avg("spot").alias("a"))
-    per = rows.join(F.broadcast(mean), "market").groupBy("market", F.weekday("d").alias("weekday")).agg((F.avg("spot") / F.first("a")).alias("ideal"), F.avg("f_w").alias("model"))
+    per = rows.join(mean, "market").groupBy("market", F.weekday("d").alias("weekday")).agg((F.avg("spot") / F.first("a")).alias("ideal"), F.avg("f_w").alias("model"))
     return per.select("market", "weekday", R("ideal", "ideal"), R("model", "model"), R(F.col("model") - F.col("ideal"), "gap"))
 
 
@@ -486,12 +486,6 @@ def val18(t):
     return half_lives(t, t.daily)
 
 
-@query("val18b_all_days")
-def val18b(t):
-    """The same trials on every day."""
-    return half_lives(t, t.daily)
-
-
 def half_lives(t, days):
     test = days.select("market", F.col("d").alias("b"), F.col("price").alias("actual"), F.explode(F.sequence(F.date_sub("d", 30), F.date_sub("d", 1))).alias("d"))
     trials = F.explode(F.array(F.lit(3.0), F.lit(7.0), F.lit(30.0)))

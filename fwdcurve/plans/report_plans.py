@@ -16,7 +16,7 @@ from .time_plans import R, S
 def rpt1(t):
     last = t.daily.groupBy("market").agg(F.max("d").alias("m"))
     recent = F.when(F.col("d") > F.date_sub("m", 30), F.col("price"))
-    return t.daily.join(F.broadcast(last), "market").groupBy("market").agg(R(F.max_by("price", "d"), "last"), R(F.avg(recent), "mean30"), R(F.stddev_samp(recent), "sd30"))
+    return t.daily.join(last, "market").groupBy("market").agg(R(F.max_by("price", "d"), "last"), R(F.avg(recent), "mean30"), R(F.stddev_samp(recent), "sd30"))
 
 
 @query("rpt2_resolutions", "SELECT market, 'month' AS resolution, CAST(date_trunc('month', d)::DATE AS VARCHAR) AS start, round(avg(price), 6) AS price FROM daily GROUP BY ALL UNION ALL SELECT market, 'week', CAST(date_trunc('week', d)::DATE AS VARCHAR), round(avg(price), 6) FROM daily GROUP BY ALL")
@@ -74,11 +74,6 @@ def rpt9(t):
     return rows.groupBy("name").agg(R(F.min("close"), "low"), R(F.max("close"), "high"), R(F.max_by("close", "d") / F.min_by("close", "d") - 1, "total_return"), R(F.stddev_samp("change"), "volatility"))
 
 
-@query("rpt9b_all_commodities")
-def rpt9b(t):
-    return rpt9(t)
-
-
 @query("rpt10_forecast_summary", "SELECT series, CAST(hour(ts) AS INT) AS hour, round(avg(naive), 6) AS mean, round(avg(abs(price - naive)), 6) AS mae FROM naive GROUP BY series, hour(ts)", NAIVE)
 def rpt10(t):
     rows = joins.last_week(t.spot, "2024-01-15")

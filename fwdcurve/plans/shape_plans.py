@@ -62,7 +62,7 @@ DAYS = f"{CAL}, {WEIGHTED}, wdays AS (SELECT market, d, price, w, season, CASE m
 
 def weighted_days(t):
     """daily with weight, season and the day type of its market."""
-    rows = weighted(t).join(F.broadcast(t.calendar), "d")
+    rows = weighted(t).join(t.calendar, "d")
     return rows.withColumn("day_type", F.when(F.col("market") == "CH", F.col("day_type_ch")).otherwise(F.col("day_type_de")))
 
 
@@ -347,7 +347,7 @@ def shp17b(t):
 @query("shp18_water_value", """SELECT market, CAST(d AS VARCHAR) AS d, round(greatest(0.8, least(1.2, raw / avg(raw) OVER (PARTITION BY market))), 6) AS f FROM (SELECT market, d, greatest(0.8, least(1.2, 1.0 + 0.03 * coalesce(dev, 0) * CASE season WHEN 'Hiver' THEN -0.8 WHEN 'Printemps' THEN -0.3 WHEN 'Ete' THEN -0.1 ELSE -0.5 END)) AS raw
   FROM (SELECT x.market, x.d, (h.fill_pct - 80) / 5 AS dev FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week) JOIN cal USING (d))""", CAL)
 def shp18(t):
-    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct").join(F.broadcast(t.calendar), "d")
+    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct").join(t.calendar, "d")
     f = shapes.water_value((F.col("fill_pct") - 80) / 5, F.col("season"), Window.partitionBy("market"))
     return rows.select("market", S("d"), R(f, "f"))
 

@@ -141,11 +141,6 @@ def src15(t):
     return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
 
 
-@query("src15b_all_close_columns")
-def src15b(t):
-    return src15(t)
-
-
 @query("src16_latest_artifact", "SELECT market, CAST(max(d) AS VARCHAR) AS latest FROM daily GROUP BY market")
 def src16(t):
     return t.daily.groupBy("market").agg(F.max("d").cast("string").alias("latest"))

@@ -56,7 +56,7 @@ def prj5(t):
 def prj6(t):
     stats = t.daily.groupBy("market").agg(F.avg("price").alias("m"), F.greatest(F.stddev_pop("price"), F.lit(1e-6)).alias("s"))
     y = F.asinh((F.col("price") - F.col("m")) / F.col("s"))
-    return t.daily.join(F.broadcast(stats), "market").select(S("d"), "market", R(y, "y"), R(F.sinh(y) * F.col("s") + F.col("m"), "back"))
+    return t.daily.join(stats, "market").select(S("d"), "market", R(y, "y"), R(F.sinh(y) * F.col("s") + F.col("m"), "back"))
 
 
 @query("prj7_tanh_damping", "SELECT market, CAST(d AS VARCHAR) AS d, round(2 * tanh(date_diff('day', DATE '1995-01-01', d) / 365.25 / 2), 6) AS damped FROM daily")
@@ -145,7 +145,7 @@ def jon6(t):
 @query("jon7_cell_lookup", "SELECT market, CAST(d AS VARCHAR) AS d, day_type_ch AS day_type, round(coalesce(f, 1.0), 6) AS f FROM daily JOIN cal USING (d) LEFT JOIN (VALUES ('Ouvrable', 1.05), ('Samedi', 0.92), ('Dimanche', 0.78), ('Ferie_CH', 0.75), ('Ferie_DE', 0.88)) w(day_type_ch, f) USING (day_type_ch)", CAL)
 def jon7(t):
     weights = t.spark.createDataFrame(list(joins.DAY_WEIGHTS.items()), "day_type string, f double")
-    rows = t.daily.join(F.broadcast(t.calendar), "d").withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(weights), "day_type", "left")
+    rows = t.daily.join(t.calendar, "d").withColumnRenamed("day_type_ch", "day_type").join(F.broadcast(weights), "day_type", "left")
     return rows.select("market", S("d"), "day_type", R(F.coalesce("f", F.lit(1.0)), "f"))
 
 
@@ -153,7 +153,7 @@ def jon7(t):
 def jon8(t):
     rows = t.spot.withColumns({"h": F.hour("ts"), "q": F.minute("ts")})
     typical = rows.groupBy("series", "h", "q").agg(F.percentile("price", F.lit(0.5)).alias("typical"))
-    return rows.join(F.broadcast(typical), ["series", "h", "q"]).select("series", S("ts"), R("typical", "typical"))
+    return rows.join(typical, ["series", "h", "q"]).select("series", S("ts"), R("typical", "typical"))
 
 
 LOOKUP = """base AS (SELECT x.market, x.d, coalesce(m.price, q.price, y.price, y1.price, y2.price) AS base FROM daily x
@@ -194,11 +194,6 @@ def jon13(t):
     return joins.pairs(t.commodities).groupBy("name_a", "name_b").agg(F.count(F.lit(1)).alias("n"), R(F.corr("close_a", "close_b"), "corr")).where("n > 10")
 
 
-@query("jon13b_all_pairs")
-def jon13b(t):
-    return jon13(t)
-
-
 @query("agg1_group_stats", "SELECT series, count(*) AS n, round(avg(price), 6) AS mean, round(median(price), 6) AS median, round(min(price), 6) AS low, round(max(price), 6) AS high, round(stddev_samp(price), 6) AS sd FROM spot GROUP BY series")
 def agg1(t):
     p = "price"
@@ -211,7 +206,7 @@ WEIGHTED = "wd AS (SELECT x.*, exp(-ln(2) * date_diff('day', d, last) / 365.0) A
 def weighted(t):
     """daily with w, a weight that halves each year before the market's last day."""
     last = t.daily.groupBy("market").agg(F.max("d").alias("last"))
-    return t.daily.join(F.broadcast(last), "market").withColumn("w", win.decay_weight(F.col("d"), F.col("last"), 365.0))
+    return t.daily.join(last, "market").withColumn("w", win.decay_weight(F.col("d"), F.col("last"), 365.0))
 
 
 @query("agg2_weighted_mean", "SELECT market, CAST(month(d) AS INT) AS month, round(sum(w * price) / sum(w), 6) AS mean FROM wd GROUP BY market, month(d)", WEIGHTED)
@@ -335,7 +330,7 @@ FULL = "full_years AS (SELECT y.* FROM yearly y JOIN (SELECT market, median(n) A
 def full_years(t):
     """Years of a market with at least 95 % of the median number of days."""
     y = yearly(t)
-    return y.join(F.broadcast(y.groupBy("market").agg(F.median("n").alias("mid"))), "market").where("n >= 0.95 * mid").drop("mid")
+    return y.join(y.groupBy("market").agg(F.median("n").alias("mid")), "market").where("n >= 0.95 * mid").drop("mid")
 
 
 @query("agg16_full_years", "SELECT market, year, n FROM full_years", f"{YEARLY}, {FULL}")

@@ -148,7 +148,7 @@ def tim15(t):
 @query("tim16_trailing", "SELECT market, count(*) AS n, round(avg(price), 6) AS mean FROM daily JOIN (SELECT market, max(d) AS last FROM daily GROUP BY market) USING (market) WHERE d > last - INTERVAL 365 day GROUP BY market")
 def tim16(t):
     last = t.daily.groupBy("market").agg(F.max("d").alias("last"))
-    rows = t.daily.join(F.broadcast(last), "market").where(F.col("d") > F.date_sub("last", 365))
+    rows = t.daily.join(last, "market").where(F.col("d") > F.date_sub("last", 365))
     return rows.groupBy("market").agg(F.count(F.lit(1)).alias("n"), R(F.avg("price"), "mean"))
 
 

@@ -46,11 +46,6 @@ def win4(t):
     return rows.select("name", S("d"), R("m", "sma"), signal.alias("signal"))
 
 
-@query("win4b_all_bollinger")
-def win4b(t):
-    return win4(t)
-
-
 @query("win5_rolling_corr", "SELECT CAST(d AS VARCHAR) AS d, round(CASE WHEN count(*) OVER w >= 60 THEN corr(ch, de) OVER w END, 5) AS corr60 FROM pair WINDOW w AS (ORDER BY d ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)", PAIR)
 def win5(t):
     """Correlation of two markets over 60 rows; a pair of markets is the key."""
@@ -65,21 +60,11 @@ def win6(t):
     return t.commodities.select("name", S("d"), R(back(1), "change"), R(back(20), "change20"))
 
 
-@query("win6b_all_returns")
-def win6b(t):
-    return win6(t)
-
-
 @query("win7_rebase", "SELECT name, CAST(d AS VARCHAR) AS d, round(100 * close / first_value(close) OVER (PARTITION BY name ORDER BY d), 6) AS rebased FROM commodities")
 def win7(t):
     return t.commodities.select("name", S("d"), R(100 * F.col("close") / F.first("close").over(win.by(["name"], "d")), "rebased"))
 
 
-@query("win7b_all_rebase")
-def win7b(t):
-    return win7(t)
-
-
 @query("win8_fills", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(last_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS UNBOUNDED PRECEDING), 6) AS forward, round(first_value(price IGNORE NULLS) OVER (PARTITION BY series ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS backward FROM grid LEFT JOIN spot USING (series, ts)", GRID)
 def win8(t):
     rows = tg.grid(bounds(t), "15 MINUTES", ("series",)).join(t.spot, ["series", "ts"], "left")
@@ -124,7 +109,7 @@ def win13(t):
 @query("win14_spikes", "SELECT series, CAST(ts AS VARCHAR) AS ts, abs(price) > cut AS spike FROM spot JOIN (SELECT series, quantile_cont(abs(price), 0.999) AS cut FROM spot GROUP BY series) USING (series)")
 def win14(t):
     cut = t.spot.groupBy("series").agg(F.percentile(F.abs("price"), F.lit(0.999)).alias("cut"))
-    return t.spot.join(F.broadcast(cut), "series").select("series", S("ts"), (F.abs("price") > F.col("cut")).alias("spike"))
+    return t.spot.join(cut, "series").select("series", S("ts"), (F.abs("price") > F.col("cut")).alias("spike"))
 
 
 @query("win15_seasonal_zscore", """SELECT CAST(week AS VARCHAR) AS week, round(CASE WHEN weeks < 3 THEN 0 WHEN n10 >= 3 THEN coalesce((fill_pct - m10) / nullif(s10, 0), 0) WHEN n >= 2 THEN coalesce((fill_pct - m) / nullif(s, 0), 0) ELSE 0 END, 5) AS z FROM (
@@ -146,7 +131,7 @@ def win15(t):
 @query("win16_decay_weights", "SELECT market, CAST(d AS VARCHAR) AS d, round(exp(-ln(2) * date_diff('day', d, last) / 365.0), 8) AS w FROM daily JOIN (SELECT market, max(d) AS last FROM daily GROUP BY market) USING (market)")
 def win16(t):
     last = t.daily.groupBy("market").agg(F.max("d").alias("last"))
-    return t.daily.join(F.broadcast(last), "market").select("market", S("d"), R(win.decay_weight(F.col("d"), F.col("last"), 365.0), "w", 8))
+    return t.daily.join(last, "market").select("market", S("d"), R(win.decay_weight(F.col("d"), F.col("last"), 365.0), "w", 8))
 
 
 @query("win17_latest_revision", "SELECT id, revision, CAST(start_ts AS VARCHAR) AS start_ts, round(mw, 6) AS mw FROM latest", LATEST)
@@ -197,7 +182,7 @@ def win20(t):
 def win21(t):
     last = t.daily.groupBy("market").agg(F.max("d").alias("last"))
     age = F.datediff("last", "d")
-    rows = t.daily.join(F.broadcast(last), "market")
+    rows = t.daily.join(last, "market")
     return rows.groupBy("market").agg(R(F.avg(F.when(age < 7, F.col("price"))), "week"), R(F.avg(F.when((age >= 7) & (age < 14), F.col("price"))), "week_before"))
 
 

@@ -16,15 +16,18 @@ def parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The declared columns of the table, or an empty table of them, with a warning, if nothing is there, or nothing
-    that can be read as Parquet: a file without a readable footer counts as no source at all."""
+    """The declared columns of the table, or an empty table of them if nothing is there; a file without a readable footer counts
+    as absent. Either case warns. Footers are read by tasks, all of them."""
+    declared = spark.createDataFrame([], schema)
     try:
-        found = spark.read.parquet(path)
-        names = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}
-        return found.select(*((F.col(n) if n in found.columns else F.lit(None)).cast(k).alias(n) for n, k in names.items()))
+        found = spark.read.option("mergeSchema", True).parquet(path)
     except (PySparkException, Py4JJavaError) as error:
-        warnings.warn(f"{path} can't be read and counts as empty: {str(error).splitlines()[0]}", stacklevel=2)
-        return spark.createDataFrame([], schema)
+        warnings.warn(f"{path} can't be read in whole and counts as far as it can: {str(error).splitlines()[0]}", stacklevel=2)
+        try:
+            return spark.read.schema(declared.schema).option("ignoreCorruptFiles", True).parquet(path)
+        except (PySparkException, Py4JJavaError):
+            return declared
+    return found.select(*((F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared.schema))
 
 
 def curve_csv(spark: SparkSession, path: str) -> DataFrame:
