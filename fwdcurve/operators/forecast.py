@@ -277,50 +277,6 @@ def hourly_forecasts(rows: DataFrame, models: DataFrame, columns: list[str]) ->
     return rows.dropna(subset=columns).join(sets, ["market", "hour", "cutoff"]).withColumn("forecast", mean).drop("models")
 
 
-def tree(x: np.ndarray, y: np.ndarray, depth: int, bins: int = 32) -> tuple | float:
-    """Regression tree of least squared error: (column, threshold, left, right) or a leaf's mean."""
-    best = (1e-12, 0, 0.0)
-    for j in range(x.shape[1] if depth else 0):
-        for cut in np.unique(np.quantile(x[:, j], np.arange(1, bins) / bins, method="lower")):
-            left = x[:, j] <= cut
-            n = int(left.sum())
-            if 0 < n < len(y):
-                gain = n * (len(y) - n) / len(y) * (y[left].mean() - y[~left].mean()) ** 2
-                best = max(best, (gain, j, float(cut)))
-    if best[0] <= 1e-12:
-        return float(y.mean())
-    left = x[:, best[1]] <= best[2]
-    return best[1], best[2], tree(x[left], y[left], depth - 1, bins), tree(x[~left], y[~left], depth - 1, bins)
-
-
-def tree_values(node: tuple | float, x: np.ndarray) -> np.ndarray:
-    if isinstance(node, float):
-        return np.full(len(x), node)
-    return np.where(x[:, node[0]] <= node[1], tree_values(node[2], x), tree_values(node[3], x))
-
-
-def boosted(x: np.ndarray, y: np.ndarray, test: np.ndarray, rounds: int = 5, depth: int = 3, rate: float = 0.1) -> np.ndarray:
-    """Values of test by gradient-boosted trees on the squared error, the gradient and weights as in Spark ML's GBTRegressor."""
-    fitted, out = np.zeros(len(y)), np.zeros(len(test))
-    for k in range(rounds):
-        node, weight = tree(x, y if k == 0 else 2 * (y - fitted), depth), rate if k else 1.0
-        fitted, out = fitted + weight * tree_values(node, x), out + weight * tree_values(node, test)
-    return out
-
-
-def tree_forecasts(train: DataFrame, test: DataFrame, keys: list[str], rest: list[str], columns: list[str]) -> DataFrame:
-    """(*keys, *rest, prediction) of test: one ensemble over all series for each of keys; groups run in parallel."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        known, asked = pdf[pdf["_known"]].sort_values(rest), pdf[~pdf["_known"]]
-        value = boosted(known[columns].to_numpy(float), known["price"].to_numpy(float), asked[columns].to_numpy(float)) if len(known) else np.nan
-        return asked[[*keys, *rest]].assign(prediction=value)
-
-    schema = test.select(*keys, *rest, F.lit(0.0).alias("prediction")).schema
-    known, asked = (side.dropna(subset=columns).select(*keys, *rest, "price", *columns, F.lit(k).alias("_known")) for side, k in ((train, True), (test, False)))
-    return known.unionByName(asked).groupBy(*keys).applyInPandas(solve, schema)
-
-
 def recalibrated(forecast: Column, mean_f: Column, sd_f: Column, mean_a: Column, sd_a: Column, most: float = 2.0) -> Column:
     """Forecast rescaled to the actual spread (ratio at most `most`), moved at most one deviation."""
     ratio = F.least(F.coalesce(F.try_divide(sd_a, sd_f), F.lit(1.0)), F.lit(most))

@@ -6,6 +6,7 @@ Times are UTC wall clock (TIMESTAMP_NTZ).
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from functools import cached_property
 
@@ -37,6 +38,17 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    def settler(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        """A function that writes each table it is given to a new folder and reads it back."""
+        folder, count = writers.shared_folder(self.spark, name), itertools.count()
+
+        def settle(table: DataFrame) -> DataFrame:
+            path = f"{folder}/{next(count)}"
+            table.write.parquet(path)
+            return self.spark.read.schema(table.schema).parquet(path)
+
+        return settle
+
     @cached_property
     def spot(self) -> DataFrame:
         ticks = self.events.select(F.col("event_type").alias("series"), floor_slot(F.col("ts"), 15).alias("ts"), "value")

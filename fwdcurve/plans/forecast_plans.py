@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import timegrid as tg
 from ..operators import aggregates as agg
 from ..operators import forecast as fc
-from ..operators import joins, recurrence
+from ..operators import joins, recurrence, trees
 from ..operators import windows as win
 from ..sources import writers
 from .curve_plans import RESC, rescaled_curve
@@ -188,10 +188,11 @@ def fct3(t):
 
 @query("fct4_tree_blend")
 def fct4(t):
-    """60/40 blend of the linear forecast with a tree ensemble over all series, for each cutoff."""
-    train, test = rolling(t)
-    trees = fc.tree_forecasts(train, test, ["cutoff"], ["market", "d"], COLUMNS)
-    return forecasts(t).join(trees, ["market", "cutoff", "d"]).select("market", S("d"), R(0.6 * F.col("forecast") + 0.4 * F.col("prediction"), "forecast"))
+    """60/40 blend of the linear forecast with boosted trees over all series, an ensemble for each cutoff, all grown together."""
+    train, test = (side.dropna(subset=COLUMNS).select("cutoff", "market", "d", "price", *COLUMNS) for side in rolling(t))
+    rows = train.withColumn("asked", F.lit(False)).unionByName(test.withColumns({"asked": F.lit(True), "price": F.lit(None).cast("double")}))
+    found = trees.boosted(rows, ["cutoff"], COLUMNS, "price", t.settler("trees")).where("asked").select("market", "cutoff", "d", "prediction")
+    return forecasts(t).join(found, ["market", "cutoff", "d"]).select("market", S("d"), R(0.6 * F.col("forecast") + 0.4 * F.col("prediction"), "forecast"))
 
 
 @query("fct5_future_features", f"SELECT market, ahead, round(arg_max(price, d), 6) AS last, round(avg(price), 6) AS mean28 FROM (SELECT market, d, price, row_number() OVER (PARTITION BY market ORDER BY d DESC) AS rn FROM daily), (SELECT CAST(unnest(range(1, 11)) AS INT) AS ahead) WHERE rn <= 28 GROUP BY market, ahead")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timegrid as tg
 from ..operators import aggregates as agg
-from ..operators import joins
+from ..operators import joins, quantiles
 from ..operators import windows as win
 from .registry import query
 from .time_plans import CAL, GRID, R, S, bounds
@@ -216,7 +216,9 @@ def agg2(t):
 
 @query("agg3_quantiles", "SELECT market, round(quantile_cont(price, 0.01), 6) AS p1, round(quantile_cont(price, 0.10), 6) AS p10, round(quantile_cont(price, 0.25), 6) AS p25, round(quantile_cont(price, 0.50), 6) AS p50, round(quantile_cont(price, 0.90), 6) AS p90, round(quantile_cont(price, 0.99), 6) AS p99 FROM daily GROUP BY market")
 def agg3(t):
-    return t.daily.groupBy("market").agg(*(R(F.percentile("price", F.lit(k / 100)), f"p{k}") for k in (1, 10, 25, 50, 90, 99)))
+    shares = (1, 10, 25, 50, 90, 99)
+    q = quantiles.exact_quantiles(t.daily, ["market"], "price", [k / 100 for k in shares], t.settler("quantiles"))
+    return q.select("market", *(R(F.col("q")[i], f"p{k}") for i, k in enumerate(shares)))
 
 
 @query("agg4_group_broadcast", "SELECT market, CAST(d AS VARCHAR) AS d, round(price - avg(price) OVER (PARTITION BY market, year(d), month(d)), 6) AS gap FROM daily")

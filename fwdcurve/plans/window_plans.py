@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import timegrid as tg
-from ..operators import recurrence
+from ..operators import quantiles, recurrence
 from ..operators import windows as win
 from .registry import query
 from .table_plans import HOURLY, LATEST, PAIR, hourly, latest_outages, pair
@@ -108,7 +108,8 @@ def win13(t):
 
 @query("win14_spikes", "SELECT series, CAST(ts AS VARCHAR) AS ts, abs(price) > cut AS spike FROM spot JOIN (SELECT series, quantile_cont(abs(price), 0.999) AS cut FROM spot GROUP BY series) USING (series)")
 def win14(t):
-    cut = t.spot.groupBy("series").agg(F.percentile(F.abs("price"), F.lit(0.999)).alias("cut"))
+    found = quantiles.exact_quantiles(t.spot.select("series", F.abs("price").alias("size")), ["series"], "size", [0.999], t.settler("spikes"))
+    cut = found.select("series", F.col("q")[0].alias("cut"))
     return t.spot.join(cut, "series").select("series", S("ts"), (F.abs("price") > F.col("cut")).alias("spike"))
 
 

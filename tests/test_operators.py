@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fwdcurve.functions import calendar as cal
 from fwdcurve.functions import timegrid as tg
-from fwdcurve.operators import aggregates, curve, forecast, forwards, joins, recurrence, shapes, windows
+from fwdcurve.operators import aggregates, curve, forecast, forwards, joins, quantiles, recurrence, shapes, trees, windows
 from fwdcurve.sources import readers
 from fwdcurve.streaming import jobs
 
@@ -397,11 +397,72 @@ def test_monthly_folds_train_on_24_months(spark, tmp_path):
     assert abs(got["level"][0] - price["1990-04-01":"1992-03-31"].mean()) < 1e-5
 
 
-def test_boosted_trees_follow_steps():
-    x = np.random.default_rng(3).uniform(size=(400, 2))
-    y = np.where(x[:, 0] > 0.5, 10.0, 0.0) + np.where(x[:, 1] > 0.3, 3.0, 0.0)
-    # thresholds lie at 32 quantiles: up to one in 32 rows may be on the wrong side of the step of 10
-    assert np.sqrt(((forecast.boosted(x, y, x) - y) ** 2).mean()) < 1.8
+def brute_tree(bins, g, known, depth, node=0, rows=None):
+    """Leaf of every row of a tree over binned columns, and the leaves' means."""
+    rows = np.arange(len(g)) if rows is None else rows
+    mine = rows[known[rows]]
+    best = (1e-12, 0, 0)
+    for j in range(bins.shape[1] if depth else 0):
+        for cut in np.unique(bins[mine, j]):
+            left = bins[mine, j] <= cut
+            n = left.sum()
+            if 0 < n < len(mine):
+                gain = n * (len(mine) - n) / len(mine) * (g[mine][left].mean() - g[mine][~left].mean()) ** 2
+                if gain > best[0] * (1 + 1e-12):
+                    best = (gain, j, cut)
+    if best[0] <= 1e-12:
+        return {int(r): g[mine].mean() for r in rows}
+    left = bins[rows, best[1]] <= best[2]
+    return brute_tree(bins, g, known, depth - 1, 0, rows[left]) | brute_tree(bins, g, known, depth - 1, 0, rows[~left])
+
+
+def test_boosted_trees_of_all_groups_equal_brute_force(spark, tmp_path):
+    rng, rows = np.random.default_rng(6), []
+    for group, n in (("a", 240), ("b", 90), ("none", 5)):
+        x = rng.normal(size=(n, 3))
+        x[:, 2] = np.round(x[:, 2])
+        y = np.where(x[:, 0] > 0.3, 5.0, 1.0) + 2 * (x[:, 2] > 0) + 0.1 * rng.normal(size=n)
+        rows += [(group, k, *map(float, v), None if group == "none" or k % 5 == 0 else float(t)) for k, (v, t) in enumerate(zip(x, y, strict=True))]
+    table = spark.createDataFrame(rows, "key string, k int, a double, b double, c double, y double").repartition(4)
+    count = iter(range(1000))
+
+    def settle(df):
+        df.write.parquet(path := f"{tmp_path}/{next(count)}")
+        return spark.read.schema(df.schema).parquet(path)
+
+    got = trees.boosted(table, ["key"], ["a", "b", "c"], "y", settle, rounds=4, depth=3, bins=8).toPandas()
+    assert set(got["key"]) == {"a", "b"} and not any(c.startswith("_") for c in got.columns)
+    for group, part in got.groupby("key"):
+        part = part.sort_values("k").reset_index(drop=True)
+        x, y = part[["a", "b", "c"]].to_numpy(), part["y"].to_numpy()
+        known = ~np.isnan(y)
+        edges = [np.unique(np.quantile(x[known, j], np.arange(1, 8) / 8, method="inverted_cdf")) for j in range(3)]
+        bins = np.column_stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)])
+        fitted = np.zeros(len(y))
+        for k in range(4):
+            g = y if k == 0 else 2 * (y - fitted)
+            leaves = brute_tree(bins, g, known, 3)
+            fitted = fitted + (1.0 if k == 0 else 0.1) * np.array([leaves[i] for i in range(len(y))])
+        assert np.allclose(part["prediction"], fitted), group
+        assert np.corrcoef(part["prediction"][~known], np.where(x[~known, 0] > 0.3, 5.0, 1.0) + 2 * (x[~known, 2] > 0))[0, 1] > 0.9
+
+
+@pytest.mark.parametrize("limit", [1, 20, 10**6])
+def test_quantiles_of_long_series_equal_sorting(spark, tmp_path, limit):
+    rng = np.random.default_rng(7)
+    series = {"plain": rng.normal(size=700), "ties": rng.integers(0, 4, 500).astype(float), "far": np.append(rng.random(300), 1e12), "one": np.array([3.0]), "two": np.array([1.0, 2.0])}
+    rows = [(s, float(v)) for s, x in series.items() for v in x] + [("ties", None), ("empty", None)]
+    shares, count = [0.0, 0.01, 0.333, 0.5, 0.999, 1.0], iter(range(1000))
+
+    def settle(df):
+        df.write.parquet(path := f"{tmp_path}/{next(count)}")
+        return spark.read.schema(df.schema).parquet(path)
+
+    got = quantiles.exact_quantiles(spark.createDataFrame(rows, "s string, v double").repartition(3), ["s"], "v", shares, settle, limit=limit, bins=16)
+    got = {r["s"]: r["q"] for r in got.collect()}
+    assert set(got) == set(series)
+    for s, x in series.items():
+        assert np.allclose(got[s], np.quantile(x, shares), rtol=1e-12), s
 
 
 def test_payloads_are_split_by_hour_and_part(spark, sf_dir):
