@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import timegrid as tg
 from ..operators import aggregates as agg
 from ..operators import forecast as fc
-from ..operators import joins, recurrence, trees
+from ..operators import joins, recurrence, shapes, trees
 from ..operators import windows as win
 from ..sources import writers
 from .curve_plans import RESC, rescaled_curve
 from .registry import query
-from .table_plans import HOUR_WAYS, HOURLY, NAIVE, PAIR, hourly, market_hours, pair
+from .shape_plans import BANDS, CELL, FQ, RATIOS, bands, quarter_table, ratios
+from .table_plans import HOUR_WAYS, HOURLY, NAIVE, PAIR, hourly, market_hours, naive, pair
 from .time_plans import CAL, R, S
 
 COLUMNS = ["lag1", "lag2", "lag3", "lag7", "momentum", "vol7", "weekday"]
@@ -21,11 +22,25 @@ OVER = "(PARTITION BY market ORDER BY d)"
 WEEK = "(PARTITION BY market ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
 
 
-@query("fct1_exogenous", "SELECT x.market, CAST(x.d AS VARCHAR) AS d, round(x.price, 6) AS price, round(h.fill_pct, 6) AS fill_pct, round(o.price, 6) AS neighbour FROM daily x ASOF LEFT JOIN hydro h ON x.d >= h.week LEFT JOIN daily o ON o.d = x.d AND o.market <> x.market")
+EXOGENOUS = """SELECT h.market, CAST(h.d AS VARCHAR) AS d, h.hour, round(h.price, 6) AS price, round(n.price, 6) AS neighbour, round(l.load, 6) AS load, round(g.gas, 6) AS gas, round(w.fill_pct, 6) AS fill FROM mhours h LEFT JOIN mhours n ON n.d = h.d AND n.hour = h.hour AND n.market <> h.market
+  LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS load FROM lineitem GROUP BY ALL) l ON l.d = h.d LEFT JOIN (SELECT d, avg(close) AS gas FROM commodities GROUP BY d) g ON g.d = h.d ASOF LEFT JOIN hydro w ON h.d >= w.week"""
+
+
+def exogenous_days(t):
+    """(d, fill, load, gas) of each day: the latest week's fill, the quantity shipped, the commodities' mean close."""
+    load = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum("l_quantity").alias("load"))
+    gas = t.commodities.groupBy("d").agg(F.avg("close").alias("gas"))
+    days = t.daily.select("d").distinct()
+    return joins.asof_weekly(days, t.hydro, "d", "week", "fill_pct").withColumnRenamed("fill_pct", "fill").join(load, "d", "left").join(gas, "d", "left")
+
+
+@query("fct1_exogenous", EXOGENOUS, f"{HOURLY}, {HOUR_WAYS}")
 def fct1(t):
-    rows = joins.asof_weekly(t.daily, t.hydro, "d", "week", "fill_pct")
-    other = t.daily.select(F.when(F.col("market") == "CH", "DE").otherwise("CH").alias("market"), "d", F.col("price").alias("neighbour"))
-    return rows.join(other, ["market", "d"], "left").select("market", S("d"), R("price", "price"), R("fill_pct", "fill_pct"), R("neighbour", "neighbour"))
+    """Every hour with the neighbour's price, the day's load and gas price and the latest week's fill."""
+    hours = market_hours(t)
+    other = hours.select(F.when(F.col("market") == "CH", "DE").otherwise("CH").alias("market"), "d", "hour", F.col("price").alias("neighbour"))
+    rows = hours.join(other, ["market", "d", "hour"], "left").join(exogenous_days(t), "d", "left")
+    return rows.select("market", S("d"), "hour", *(R(c, c) for c in ("price", "neighbour", "load", "gas", "fill")))
 
 
 @query("fct2_features", f"SELECT market, CAST(d AS VARCHAR) AS d, round(lag(price, 1) OVER {OVER}, 6) AS lag1, round(lag(price, 7) OVER {OVER}, 6) AS lag7, round(lag(price, 1) OVER {OVER} - lag(price, 7) OVER {OVER}, 6) AS momentum, round(CASE WHEN count(price) OVER {WEEK} >= 3 THEN stddev_samp(price) OVER {WEEK} END, 6) AS vol7, CAST(isodow(d) - 1 AS INT) AS weekday FROM daily")
@@ -61,11 +76,7 @@ def hour_rows(t, ahead: int = 0):
     quantity stands for load."""
     hours = market_hours(t)
     other = hours.withColumn("market", F.when(F.col("market") == "CH", "DE").otherwise("CH"))
-    load = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum("l_quantity").alias("load"))
-    gas = t.commodities.groupBy("d").agg(F.avg("close").alias("gas"))
-    days = t.daily.select("d").distinct()
-    daily = joins.asof_weekly(days, t.hydro, "d", "week", "fill_pct").withColumnRenamed("fill_pct", "fill").join(load, "d", "left").join(gas, "d", "left")
-    return fc.hour_features(hours, other, daily, ["load"], {"gas": 2, "fill": 0}, ahead=ahead)
+    return fc.hour_features(hours, other, exogenous_days(t), ["load"], {"gas": 2, "fill": 0}, ahead=ahead)
 
 
 def _hour_sql() -> str:
@@ -212,7 +223,7 @@ def fct6(t):
 
 @query("fct7_conformal", "SELECT series, hour, round(quantile_cont(abs(price - naive), 0.9), 6) AS half_width FROM (SELECT series, CAST(hour(ts) AS INT) AS hour, price, naive FROM naive) GROUP BY series, hour", NAIVE)
 def fct7(t):
-    rows = joins.last_week(t.spot, "2024-01-15")
+    rows = naive(t)
     return rows.groupBy("series", F.hour("ts").alias("hour")).agg(R(F.percentile(F.abs(F.col("price") - F.col("naive")), F.lit(0.9)), "half_width"))
 
 
@@ -221,7 +232,7 @@ def fct7(t):
     SELECT series, CAST(hour(ts) AS INT) AS hour, count(*) AS n, quantile_cont(abs(price - naive), 0.9) AS width, arg_max(naive, ts) AS forecast FROM naive GROUP BY ALL), (SELECT CAST(unnest(range(1, 11)) AS INT) AS ahead))""", NAIVE)
 def fct7b(t):
     """Bands of the next ten days around the latest naive forecast of each series and hour."""
-    rows = joins.last_week(t.spot, "2024-01-15")
+    rows = naive(t)
     per = rows.groupBy("series", F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"), F.percentile(F.abs(F.col("price") - F.col("naive")), F.lit(0.9)).alias("width"), F.max_by("naive", "ts").alias("forecast"))
     per = per.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(10))))
     half = fc.conformal_half(F.col("width"), F.col("n"), F.col("forecast"), F.col("ahead"))
@@ -243,7 +254,7 @@ def fct9(t):
 def fct10(t):
     e = F.col("price") - F.col("naive")
     m = agg.error_metrics(e, F.col("price"))
-    return joins.last_week(t.spot, "2024-01-15").groupBy("series").agg(R(m["mae"], "mae"), R(m["rmse"], "rmse"))
+    return naive(t).groupBy("series").agg(R(m["mae"], "mae"), R(m["rmse"], "rmse"))
 
 
 FOLDS = """starts AS (SELECT market, CAST(unnest(generate_series(CAST(date_trunc('month', min(d) + INTERVAL 24 month + INTERVAL 1 month - INTERVAL 1 day) AS DATE), max(d), INTERVAL 1 month)) AS DATE) AS fold FROM daily GROUP BY market),
@@ -286,11 +297,19 @@ def val1b(t):
     return per.join(level, ["market", "fold"]).select("market", S("fold"), R("level", "level"), R("actual", "actual"), R("rmse", "rmse"), R("mae", "mae"), R("bias", "bias"), R(skill, "skill"), "n")
 
 
-@query("val2_intrahour", "SELECT series, round(sqrt(avg((ratio - 1) * (ratio - 1))), 6) AS rmse_flat, round(avg(CASE WHEN ratio BETWEEN 0.9 AND 1.1 THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM (SELECT series, price / avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS ratio, avg(price) OVER (PARTITION BY series, date_trunc('hour', ts)) AS m FROM spot) WHERE abs(m) > 1 GROUP BY series")
+INTRA = f"""{RATIOS}, {FQ}, obs AS (SELECT r.series, r.quarter, r.ratio, coalesce(f, 1.0) AS f, quantile_cont(ratio, 0.1) OVER (PARTITION BY r.series, r.quarter) AS lo, quantile_cont(ratio, 0.9) OVER (PARTITION BY r.series, r.quarter) AS hi FROM ratios r LEFT JOIN fq USING (series, season, day_type, hour, quarter))"""
+
+
+@query("val2_intrahour", "SELECT series, count(*) AS n, round(sqrt(avg((ratio - f) * (ratio - f))), 6) AS rmse, round(sqrt(avg((ratio - 1) * (ratio - 1))), 6) AS rmse_flat, round(1 - avg((ratio - f) * (ratio - f)) / nullif(avg((ratio - 1) * (ratio - 1)), 0), 6) + 0.0 AS skill, round(avg(CASE WHEN ratio BETWEEN lo AND hi THEN 1.0 ELSE 0.0 END), 6) AS coverage FROM obs GROUP BY series", INTRA)
 def val2(t):
-    m = F.avg("price").over(Window.partitionBy("series", F.date_trunc("hour", "ts")))
-    rows = t.spot.withColumn("m", m).where("abs(m) > 1").withColumn("ratio", F.col("price") / F.col("m"))
-    return rows.groupBy("series").agg(R(F.sqrt(F.avg((F.col("ratio") - 1) * (F.col("ratio") - 1))), "rmse_flat"), R(agg.share(F.col("ratio").between(0.9, 1.1)), "coverage"))
+    """Error of the quarter factors against the observed ratios, skill against flat hours, and the coverage of each quarter's 80 percent
+    band."""
+    rows = ratios(t).join(quarter_table(t), [*CELL, "hour", "quarter"], "left").withColumn("f", F.coalesce("f", F.lit(1.0)))
+    edges = rows.groupBy("series", "quarter").agg(F.percentile("ratio", F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
+    square = lambda x: F.avg((F.col("ratio") - x) * (F.col("ratio") - x))
+    model, flat = square(F.col("f")), square(F.lit(1.0))
+    inside = F.col("ratio").between(F.col("q")[0], F.col("q")[1])
+    return rows.join(edges, ["series", "quarter"]).groupBy("series").agg(F.count(F.lit(1)).alias("n"), R(F.sqrt(model), "rmse"), R(F.sqrt(flat), "rmse_flat"), (R(1 - F.try_divide(model, flat), "x") + 0.0).alias("skill"), R(agg.share(inside), "coverage"))
 
 
 EXPAND = f"""{HOURLY}, {HOUR_WAYS}, kh AS (SELECT market, d, CAST(date_trunc('month', d) AS DATE) AS fold, isodow(d) >= 6 AS weekend, hour, price FROM mhours),
@@ -342,11 +361,23 @@ def shifted(t):
     return h.select("series", "d", "hour", F.col("price").alias("p")).join(after, ["series", "d", "hour"])
 
 
-@query("val5_profile_metrics", "SELECT series, round(median(c), 6) AS pearson, round(median(abs(hp - hq)), 6) AS displacement FROM (SELECT series, d, corr(p, q) AS c, arg_max(hour, p * 1000 - hour / 1e6) AS hp, arg_max(hour, q * 1000 - hour / 1e6) AS hq FROM both_h GROUP BY series, d HAVING count(*) >= 12) GROUP BY series", SHIFT)
+PROFILE = f"""{SHIFT}, ranked_h AS (SELECT *, rank() OVER (PARTITION BY series, d ORDER BY p) + (count(*) OVER (PARTITION BY series, d, p) - 1) / 2.0 AS rp, rank() OVER (PARTITION BY series, d ORDER BY q) + (count(*) OVER (PARTITION BY series, d, q) - 1) / 2.0 AS rq FROM both_h),
+dayp AS (SELECT series, d, corr(p, q) AS pearson, corr(rp, rq) AS spearman, abs(arg_max(hour, p * 1000 - hour / 1e6) - arg_max(hour, q * 1000 - hour / 1e6)) AS high, abs(arg_min(hour, p * 1000 + hour / 1e6) - arg_min(hour, q * 1000 + hour / 1e6)) AS low,
+  CASE WHEN avg(abs(p - q)) > 0.01 THEN stddev_pop(p - q) / avg(abs(p - q)) END AS cv FROM ranked_h GROUP BY series, d HAVING count(*) >= 20)"""
+
+
+@query("val5_profile_metrics", "SELECT series, count(*) AS days, round(median(pearson), 6) AS pearson, round(median(spearman), 6) AS spearman, round(avg(high + low), 6) AS mpd, round(avg(high), 6) AS mhd, round(median(cv), 6) AS cov_e FROM dayp GROUP BY series", PROFILE)
 def val5(t):
-    peak = lambda c: F.max_by("hour", F.col(c) * 1000 - F.col("hour") / 1e6)
-    per = shifted(t).groupBy("series", "d").agg(F.corr("p", "q").alias("c"), peak("p").alias("hp"), peak("q").alias("hq"), F.count(F.lit(1)).alias("n")).where("n >= 12")
-    return per.groupBy("series").agg(R(F.median("c"), "pearson"), R(F.median(F.abs(F.col("hp") - F.col("hq"))), "displacement"))
+    """Of days with 20 hours: median profile correlations, mean displacement of the dearest (and of both extreme) hours, median
+    variation of the errors within a day."""
+    both = shifted(t)
+    rows = both.withColumns({"rp": agg.average_rank("p", ["series", "d"]), "rq": agg.average_rank("q", ["series", "d"])})
+    high = lambda c: F.max_by("hour", F.col(c) * 1000 - F.col("hour") / 1e6)
+    low = lambda c: F.min_by("hour", F.col(c) * 1000 + F.col("hour") / 1e6)
+    e = F.col("p") - F.col("q")
+    size = F.avg(F.abs(e))
+    per = rows.groupBy("series", "d").agg(F.corr("p", "q").alias("pearson"), F.corr("rp", "rq").alias("spearman"), F.abs(high("p") - high("q")).alias("high"), F.abs(low("p") - low("q")).alias("low"), F.when(size > 0.01, F.stddev_pop(e) / size).alias("cv"), F.count(F.lit(1)).alias("n")).where("n >= 20")
+    return per.groupBy("series").agg(F.count(F.lit(1)).alias("days"), R(F.median("pearson"), "pearson"), R(F.median("spearman"), "spearman"), R(F.avg(F.col("high") + F.col("low")), "mpd"), R(F.avg("high"), "mhd"), R(F.median("cv"), "cov_e"))
 
 
 @query("val6_spread_error", "SELECT series, round(abs(sp - sq), 6) AS error, round(sp / nullif(sq, 0), 6) AS ratio FROM (SELECT series, avg(p) FILTER (hour BETWEEN 8 AND 19) - avg(p) FILTER (hour NOT BETWEEN 8 AND 19) AS sp, avg(q) FILTER (hour BETWEEN 8 AND 19) - avg(q) FILTER (hour NOT BETWEEN 8 AND 19) AS sq FROM both_h GROUP BY series)", SHIFT)
@@ -424,12 +455,16 @@ def val11(t):
     return pair(t).agg(R(score, "score"))
 
 
-@query("val12_ab_variants", "SELECT market, round(avg(abs(raw - spot)), 6) AS mae_raw, round(avg(abs(price - spot)), 6) AS mae_rescaled FROM (SELECT c.market, c.raw, c.spot, r.price FROM curve c JOIN resc r USING (market, d)) GROUP BY market", RESC)
+@query("val12_ab_variants", """SELECT market, round(mae_a, 6) AS mae_a, round(mae_b, 6) AS mae_b, round(rmse_a, 6) AS rmse_a, round(rmse_b, 6) AS rmse_b, round(bias_a, 6) + 0.0 AS bias_a, round(bias_b, 6) + 0.0 AS bias_b, round(corr_a, 6) AS corr_a, round(corr_b, 6) AS corr_b, round(100 * (rmse_b / rmse_a - 1), 6) + 0.0 AS percent, CASE WHEN rmse_b < rmse_a THEN 'B' ELSE 'A' END AS better FROM (
+  SELECT c.market, avg(abs(raw - spot)) AS mae_a, avg(abs(r.price - spot)) AS mae_b, sqrt(avg((raw - spot) * (raw - spot))) AS rmse_a, sqrt(avg((r.price - spot) * (r.price - spot))) AS rmse_b, avg(raw - spot) AS bias_a, avg(r.price - spot) AS bias_b, corr(raw, spot) AS corr_a, corr(r.price, spot) AS corr_b FROM curve c JOIN resc r USING (market, d) GROUP BY c.market)""", RESC)
 def val12(t):
-    kinds = F.array(*(F.struct(F.lit(n).alias("variant"), F.col(c).alias("p")) for n, c in (("raw", "raw"), ("rescaled", "price"))))
+    """Two curves, raw (A) and rescaled (B), by every KPI; the better one has the lower RMSE."""
+    kinds = F.array(*(F.struct(F.lit(n).alias("variant"), F.col(c).alias("p")) for n, c in (("a", "raw"), ("b", "price"))))
     rows = rescaled_curve(t).select("market", "spot", F.inline(kinds))
-    wide = rows.groupBy("market").pivot("variant", ["raw", "rescaled"]).agg(F.avg(F.abs(F.col("p") - F.col("spot"))))
-    return wide.select("market", R("raw", "mae_raw"), R("rescaled", "mae_rescaled"))
+    m = agg.error_metrics(F.col("p") - F.col("spot"), F.col("spot"))
+    wide = rows.groupBy("market").pivot("variant", ["a", "b"]).agg(*(m[k].alias(k) for k in ("mae", "rmse", "bias")), F.corr("p", "spot").alias("corr"))
+    named = [R(f"{v}_{k}", f"{k}_{v}") if k != "bias" else (R(f"{v}_{k}", "x") + 0.0).alias(f"{k}_{v}") for k in ("mae", "rmse", "bias", "corr") for v in "ab"]
+    return wide.select("market", *named, (R(100 * (F.col("b_rmse") / F.col("a_rmse") - 1), "x") + 0.0).alias("percent"), F.when(F.col("b_rmse") < F.col("a_rmse"), "B").otherwise("A").alias("better"))
 
 
 WORK = f"""{HOURLY}, {HOUR_WAYS}, {CAL}, prof AS (SELECT market, month, hour, m / avg(m) OVER (PARTITION BY market, month) AS f FROM (SELECT market, CAST(date_trunc('month', d) AS DATE) AS month, hour, avg(price) AS m FROM mhours JOIN cal USING (d) WHERE CASE market WHEN 'CH' THEN day_type_ch ELSE day_type_de END = 'Ouvrable' GROUP BY ALL)),
@@ -456,21 +491,56 @@ def val13b(t):
     return agg.breaks(profile_tests(t), ["market"]).select("market", S("cut"), R("p", "p"), "broken", "lookback_months")
 
 
-@query("val14_input_gate", "SELECT series, count(*) >= 100 AS enough, count(*) = count(DISTINCT ts) AS unique_ts, date_diff('hour', max(ts), TIMESTAMP '2024-01-31') <= 48 AS fresh FROM spot GROUP BY series")
-def val14(t):
-    age = (F.unix_timestamp(F.lit("2024-01-31").cast("timestamp_ntz")) - F.unix_timestamp(F.date_trunc("hour", F.max("ts")).cast("timestamp_ntz"))) / 3600
-    return t.spot.groupBy("series").agg((F.count(F.lit(1)) >= 100).alias("enough"), (F.count(F.lit(1)) == F.count_distinct("ts")).alias("unique_ts"), (age <= 48).alias("fresh"))
+#: What a series of prices has to have.
+REQUIRED, LEAST_ROWS, STALE_HOURS = {"series", "ts", "price"}, 100, 48
+
+
+@query("val14_input_gate", f"SELECT series, count(*) > 0 AS filled, true AS columns, count(*) >= {LEAST_ROWS} AS enough, count(*) = count(DISTINCT ts) AS unique_ts, count(DISTINCT ts) = date_diff('minute', min(ts), max(ts)) / 15 + 1 AS no_gaps, count(*) FILTER (price IS NULL) = 0 AS no_nulls, date_diff('minute', max(ts), any_value(as_of)) <= {60 * STALE_HOURS} AS fresh FROM spot, (SELECT max(ts) AS as_of FROM spot) GROUP BY series")
+def val14(t, as_of: str | None = None):
+    """Checks of each series in one pass; it is stale by as_of, or else by the newest time of all series."""
+    now = t.spot.agg((F.max("ts") if as_of is None else F.lit(as_of).cast("timestamp_ntz")).alias("now"))
+    minutes = lambda a, b: F.timestamp_diff("MINUTE", a, b)
+    n = F.count_distinct("ts")
+    rows = t.spot.crossJoin(F.broadcast(now)).groupBy("series")
+    return rows.agg((F.count(F.lit(1)) > 0).alias("filled"), F.lit(set(t.spot.columns) >= REQUIRED).alias("columns"), (F.count(F.lit(1)) >= LEAST_ROWS).alias("enough"), (F.count(F.lit(1)) == n).alias("unique_ts"), (n == minutes(F.min("ts"), F.max("ts")) / 15 + 1).alias("no_gaps"), (F.count_if(F.col("price").isNull()) == 0).alias("no_nulls"), (minutes(F.max("ts"), F.first("now")) <= 60 * STALE_HOURS).alias("fresh"))
+
 
+_MONTHS = "greatest((year(ts) - year(first)) * 12 + month(ts) - month(first), 0)"
+_STEP = lambda steps, above: "CASE " + " ".join(f"WHEN m <= {k} THEN {v}" for k, v in steps) + f" ELSE {above} END::DOUBLE"
+BANDED = f"""{HOURLY}, {BANDS}, banded0 AS (SELECT h.*, b.p10 AS b10, b.p50 AS b50, b.p90 AS b90, {_MONTHS} AS m FROM (SELECT *, min(ts) OVER (PARTITION BY series) AS first FROM hourly) h JOIN bands b USING (series, hour)),
+banded AS (SELECT series, ts, d, hour, price, price - abs(price - price * b10 / greatest(b50, 0.01)) * {_STEP(tg.WIDENING, 4.2)} AS p10, price + abs(price * b90 / greatest(b50, 0.01) - price) * {_STEP(tg.WIDENING, 4.2)} AS p90, {_STEP(tg.CONFIDENCE, 0.45)} AS confidence FROM banded0)"""
 
-@query("val15_output_gate", "SELECT market, count(*) FILTER (price IS NULL) = 0 AS no_nulls, count(*) FILTER (abs(price) > 10000) = 0 AS in_range FROM resc GROUP BY market", RESC)
+
+def banded(t):
+    """Hours with bands and confidence by their months from the series' first one."""
+    rows = hourly(t).join(bands(t).withColumnsRenamed({c: f"b_{c}" for c in ("p10", "p50", "p90")}), ["series", "hour"])
+    months = tg.months_between(F.min("ts").over(Window.partitionBy("series")), F.col("ts"))
+    lo, hi = shapes.banded(F.col("price"), F.col("b_p10"), F.col("b_p50"), F.col("b_p90"), tg.step_lookup(months, tg.WIDENING, 4.2))
+    return rows.select("series", "ts", "d", "hour", "price", lo.alias("p10"), hi.alias("p90"), tg.step_lookup(months, tg.CONFIDENCE, 0.45).alias("confidence"))
+
+
+@query("val15_output_gate", "SELECT series, count(*) FILTER (price IS NULL) = 0 AS no_nulls, count(*) FILTER (abs(price) > 10000) = 0 AS in_range, count(*) FILTER (p10 > p90) = 0 AS bands_ordered, count(*) FILTER (confidence NOT BETWEEN 0 AND 1) = 0 AS confidence_ok FROM banded GROUP BY series", BANDED)
 def val15(t):
-    return rescaled_curve(t).groupBy("market").agg((F.count_if(F.col("price").isNull()) == 0).alias("no_nulls"), (F.count_if(F.abs("price") > 10000) == 0).alias("in_range"))
+    none = lambda bad: F.count_if(bad) == 0
+    return banded(t).groupBy("series").agg(none(F.col("price").isNull()).alias("no_nulls"), none(F.abs("price") > 10000).alias("in_range"), none(F.col("p10") > F.col("p90")).alias("bands_ordered"), none(~F.col("confidence").between(0, 1)).alias("confidence_ok"))
 
 
-@query("val16_daily_gate", "SELECT market, min(price) > 0 AS positive, min(f_w) > 0.3 AND max(f_w) < 2.0 AS factors, avg(abs(price - spot)) <= 60 AS errors FROM (SELECT r.market, r.price, c.f_w, c.spot FROM resc r JOIN curve c USING (market, d)) GROUP BY market", RESC)
+# Usual range of prices and of factors, limits of recent errors.
+USUAL_PRICE, USUAL_FACTOR, LIMITS = (-50, 500), (0.1, 5.0), {"rmse": 26, "mae": 20, "bias": 5}
+
+
+@query("val16_daily_gate", f"""SELECT series, min(b.price) >= {USUAL_PRICE[0]} AND max(b.price) <= {USUAL_PRICE[1]} AS usual_price, min(b.price / m) >= {USUAL_FACTOR[0]} AND max(b.price / m) <= {USUAL_FACTOR[1]} AS usual_factors, min(p90 - p10) >= 0 AS bands_positive, round(avg(p90 - p10), 6) AS mean_width, any_value(rmse) <= {LIMITS['rmse']} AS rmse_ok, any_value(mae) <= {LIMITS['mae']} AS mae_ok, abs(any_value(bias)) <= {LIMITS['bias']} AS bias_ok
+  FROM (SELECT *, avg(price) OVER (PARTITION BY series, d) AS m FROM banded) b JOIN (SELECT series, sqrt(avg((naive - price) * (naive - price))) AS rmse, avg(abs(naive - price)) AS mae, avg(naive - price) AS bias FROM naive WHERE ts > (SELECT max(ts) FROM spot) - INTERVAL 7 day GROUP BY series) r USING (series) GROUP BY series""", f"{BANDED}, {NAIVE}")
 def val16(t):
-    error = F.avg(F.abs(F.col("price") - F.col("spot")))
-    return rescaled_curve(t).groupBy("market").agg((F.min("price") > 0).alias("positive"), ((F.min("f_w") > 0.3) & (F.max("f_w") < 2.0)).alias("factors"), (error <= 60).alias("errors"))
+    """Ranges of prices, of hour factors and of bands, and the errors of the last seven days against their limits."""
+    m = agg.error_metrics(F.col("naive") - F.col("price"), F.col("price"))
+    last = t.spot.agg((F.max("ts") - F.expr("INTERVAL 7 DAYS")).alias("from"))
+    recent = naive(t).crossJoin(F.broadcast(last)).where(F.col("ts") > F.col("from")).groupBy("series").agg(*(m[k].alias(k) for k in LIMITS))
+    rows = banded(t).withColumn("f", F.col("price") / F.avg("price").over(Window.partitionBy("series", "d"))).join(recent, "series")
+    within = lambda c, ends: (F.min(c) >= ends[0]) & (F.max(c) <= ends[1])
+    width = F.col("p90") - F.col("p10")
+    limits = [(F.abs(F.first(k)) <= limit).alias(f"{k}_ok") for k, limit in LIMITS.items()]
+    return rows.groupBy("series").agg(within("price", USUAL_PRICE).alias("usual_price"), within("f", USUAL_FACTOR).alias("usual_factors"), (F.min(width) >= 0).alias("bands_positive"), R(F.avg(width), "mean_width"), *limits)
 
 
 @query("val17_benchmark_gate", "SELECT market, mae <= 20 AS passed, CASE WHEN mae <= 20 THEN 'ok' ELSE 'mae above 20' END AS reason FROM (SELECT r.market, avg(abs(r.price - x.price)) AS mae FROM resc r JOIN daily x USING (market, d) GROUP BY r.market)", RESC)
@@ -498,13 +568,24 @@ def half_lives(t, days):
     return scores.groupBy("market").agg(F.min_by("half_life", "rmse").alias("best"), R(F.min("rmse"), "rmse", 5))
 
 
-@query("val19_attribution", "SELECT round((SELECT avg(r) FROM (SELECT sqrt(avg((ch - de) * (ch - de))) AS r FROM pair GROUP BY month(d))), 6) AS month_rmse, round((SELECT stddev_samp(r) FROM (SELECT sqrt(avg((ch - de) * (ch - de))) AS r FROM pair GROUP BY isodow(d))), 6) AS dow_rmse_spread, round(abs((SELECT avg(ch - de) FROM pair)), 6) AS level", PAIR)
+@query("val19_attribution", """SELECT l.market, round(hour_rmse, 6) AS hour_rmse, round(dow_spread, 6) AS dow_spread, round(month_bias, 6) AS month_bias, round(level, 6) AS level, round(intraday, 6) AS intraday FROM (SELECT market, abs(avg(e)) AS level FROM err WHERE e IS NOT NULL GROUP BY market) l
+  JOIN (SELECT market, avg(r) AS hour_rmse FROM (SELECT market, sqrt(avg(e * e)) AS r FROM err GROUP BY market, hour) GROUP BY market) USING (market) JOIN (SELECT market, stddev_samp(r) AS dow_spread FROM (SELECT market, sqrt(avg(e * e)) AS r FROM err GROUP BY market, isodow(d)) GROUP BY market) USING (market)
+  JOIN (SELECT market, avg(abs(b)) AS month_bias FROM (SELECT market, avg(e) AS b FROM err GROUP BY market, month(d)) GROUP BY market) USING (market) JOIN (SELECT market, sqrt(avg((e - m) * (e - m))) AS intraday FROM (SELECT market, e, avg(e) OVER (PARTITION BY market, d) AS m FROM err WHERE e IS NOT NULL) GROUP BY market) USING (market)""", SLICED)
 def val19(t):
-    e = F.col("ch") - F.col("de")
-    rmse = F.sqrt(F.avg(e * e)).alias("r")
-    parts = [pair(t).groupBy(F.month("d")).agg(rmse).agg(R(F.avg("r"), "month_rmse")), pair(t).groupBy(F.weekday("d")).agg(rmse).agg(R(F.stddev_samp("r"), "dow_rmse_spread")), pair(t).agg(R(F.abs(F.avg(e)), "level"))]
-    # three single rows side by side
-    return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
+    """What a market's error is made of: mean error by hour, spread by weekday, bias by month, level, and the part within days."""
+    w = Window.partitionBy("market").orderBy("d", "hour")
+    rows = market_hours(t).withColumn("e", F.lag("price", 168).over(w) - F.col("price")).where("e IS NOT NULL")
+    e, of = F.col("e"), lambda *by: rows.groupBy("market", *by)
+    rmse, within = F.sqrt(F.avg(e * e)).alias("r"), e - F.avg("e").over(Window.partitionBy("market", "d"))
+    parts = [
+        of("hour").agg(rmse).groupBy("market").agg(R(F.avg("r"), "hour_rmse")), of(F.weekday("d")).agg(rmse).groupBy("market").agg(R(F.stddev_samp("r"), "dow_spread")),
+        of(F.month("d")).agg(F.avg("e").alias("b")).groupBy("market").agg(R(F.avg(F.abs("b")), "month_bias")), of().agg(R(F.abs(F.avg("e")), "level")),
+        rows.withColumn("within", within).groupBy("market").agg(R(F.sqrt(F.avg(F.col("within") * F.col("within"))), "intraday")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part, "market")
+    return out
 
 
 @query("val20_freshness", "SELECT 'events' AS source, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS latest FROM events UNION ALL SELECT 'orders', CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) FROM orders UNION ALL SELECT 'lineitem', CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR) FROM lineitem")

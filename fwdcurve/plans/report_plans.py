@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import joins
 from ..operators import windows as win
 from .registry import query
-from .table_plans import HOURLY, LATEST, NAIVE, PAIR, YEARLY, hourly, latest_outages, pair, yearly
+from .table_plans import HOURLY, LATEST, NAIVE, PAIR, YEARLY, hourly, latest_outages, naive, pair, yearly
 from .time_plans import R, S
 
 
@@ -76,7 +76,7 @@ def rpt9(t):
 
 @query("rpt10_forecast_summary", "SELECT series, CAST(hour(ts) AS INT) AS hour, round(avg(naive), 6) AS mean, round(avg(abs(price - naive)), 6) AS mae FROM naive GROUP BY series, hour(ts)", NAIVE)
 def rpt10(t):
-    rows = joins.last_week(t.spot, "2024-01-15")
+    rows = naive(t)
     return rows.groupBy("series", F.hour("ts").alias("hour")).agg(R(F.avg("naive"), "mean"), R(F.avg(F.abs(F.col("price") - F.col("naive"))), "mae"))
 
 

@@ -251,26 +251,25 @@ def shp13(t):
     return shapes.quarter_fallback(cells, whole).select(*CELL, "hour", "quarter", R("f", "f"))
 
 
-@query("shp14_observed", "SELECT series, hour, round(avg(ratio), 6) AS mean, round(median(ratio), 6) AS mid, round(stddev_samp(ratio), 6) AS sd, coalesce(stddev_samp(ratio), 0) < 1e-6 AS flat FROM ratios GROUP BY series, hour", RATIOS)
-def shp14(t):
-    sd = F.stddev_samp("ratio")
-    return ratios(t).groupBy("series", "hour").agg(R(F.avg("ratio"), "mean"), R(F.median("ratio"), "mid"), R(sd, "sd"), (F.coalesce(sd, F.lit(0.0)) < 1e-6).alias("flat"))
-
-
-MLP = "feat AS (SELECT series, CAST(ts AS VARCHAR) AS ts, sin(hour * (2 * pi() / 24)) AS hs, cos(hour * (2 * pi() / 24)) AS hc, CAST(isodow(d) - 1 AS INT) AS weekday, greatest(0.2, least(3.0, price / m)) AS target FROM (SELECT *, avg(price) OVER (PARTITION BY series, d) AS m FROM hourly) WHERE m > 5)"
-
-
-def features(t):
-    """Cyclic features and the clipped ratio of each hour to its day."""
-    rows = hourly(t).withColumn("m", F.avg("price").over(Window.partitionBy("series", "d"))).where("m > 5")
-    s, c = tg.cyclic(F.col("hour"), 24)
-    return rows.select("series", S("ts"), s.alias("hs"), c.alias("hc"), F.weekday("d").alias("weekday"), F.greatest(F.lit(0.2), F.least(F.lit(3.0), F.col("price") / F.col("m"))).alias("target"))
+OBSERVED = f"""{RATIOS}, {HOURLY}, fhobs AS (SELECT series, hour, price / avg(price) OVER (PARTITION BY series, d) AS f FROM hourly),
+fwobs AS (SELECT series, CAST(isodow(d) - 1 AS INT) AS slot, m / avg(m) OVER (PARTITION BY series, date_trunc('week', d)) AS f FROM (SELECT series, d, avg(price) AS m FROM hourly GROUP BY ALL)),
+inhour AS (SELECT series, median(sd) AS mid FROM (SELECT series, date_trunc('hour', ts) AS h, stddev_samp(price) AS sd FROM spot GROUP BY ALL) GROUP BY series),
+observed AS (SELECT series, 'f_Q' AS factor, quarter AS slot, ratio AS f FROM ratios UNION ALL SELECT series, 'f_H', hour, f FROM fhobs UNION ALL SELECT series, 'f_W', slot, f FROM fwobs)"""
 
 
-@query("shp15_regressor_features", "SELECT series, ts, round(hs, 6) + 0.0 AS hs, round(hc, 6) + 0.0 AS hc, weekday, round(target, 6) AS target FROM feat", f"{HOURLY}, {MLP}")
-def shp15(t):
-    z = lambda c: (F.round(c, 6) + 0.0).alias(c)
-    return features(t).select("series", "ts", z("hs"), z("hc"), "weekday", R("target", "target"))
+@query("shp14_observed", "SELECT series, factor, slot, count(*) AS n, round(avg(f), 6) AS mean, round(median(f), 6) AS mid, round(stddev_samp(f), 6) AS sd, coalesce(any_value(i.mid), 0) < 1e-6 AS flat FROM observed JOIN inhour i USING (series) GROUP BY series, factor, slot", OBSERVED)
+def shp14(t):
+    """Observed factors: quarters to their hour, hours to their day, weekdays to their week; a series is flat if its prices hardly
+    differ within the median hour."""
+    h = hourly(t)
+    mean = lambda rows, c, *keys: F.col(c) / F.avg(c).over(Window.partitionBy("series", *keys))
+    quarters = ratios(t).select("series", F.lit("f_Q").alias("factor"), F.col("quarter").alias("slot"), F.col("ratio").alias("f"))
+    hours = h.select("series", F.lit("f_H").alias("factor"), F.col("hour").alias("slot"), mean(h, "price", "d").alias("f"))
+    days = h.groupBy("series", "d").agg(F.avg("price").alias("m")).withColumn("week", F.date_trunc("week", "d"))
+    weekdays = days.select("series", F.lit("f_W").alias("factor"), F.weekday("d").alias("slot"), mean(days, "m", "week").alias("f"))
+    inside = t.spot.groupBy("series", F.date_trunc("hour", "ts").alias("h")).agg(F.stddev_samp("price").alias("sd")).groupBy("series").agg(F.median("sd").alias("mid_sd"))
+    rows = quarters.unionByName(hours).unionByName(weekdays).join(inside, "series")
+    return rows.groupBy("series", "factor", "slot").agg(F.count(F.lit(1)).alias("n"), R(F.avg("f"), "mean"), R(F.median("f"), "mid"), R(F.stddev_samp("f"), "sd"), (F.coalesce(F.first("mid_sd"), F.lit(0.0)) < 1e-6).alias("flat"))
 
 
 REGRESSORS = ("hs", "hc", "hs2", "hc2", "ws", "wc", "ms", "mc", "weekend", "peak", "before1", "before7")
@@ -292,6 +291,19 @@ def regressor_rows(t):
     return rows.select("series", "ts", "d", "target", age.alias("w"), *(c.alias(n) for n, c in columns.items()))
 
 
+MLP = """feat0 AS (SELECT *, greatest(0.2, least(3.0, price / m)) AS target FROM (SELECT *, avg(price) OVER (PARTITION BY series, d) AS m FROM hourly) WHERE m > 5),
+feat AS (SELECT a.*, sin(a.hour * 2 * pi() / 24) AS hs, cos(a.hour * 2 * pi() / 24) AS hc, sin(a.hour * 2 * pi() / 12) AS hs2, cos(a.hour * 2 * pi() / 12) AS hc2, sin((isodow(a.d) - 1) * 2 * pi() / 7) AS ws, cos((isodow(a.d) - 1) * 2 * pi() / 7) AS wc,
+  sin(day(a.d) * 2 * pi() / 31) AS ms, cos(day(a.d) * 2 * pi() / 31) AS mc, CASE WHEN isodow(a.d) >= 6 THEN 1.0 ELSE 0.0 END AS weekend, CASE WHEN a.hour BETWEEN 8 AND 19 THEN 1.0 ELSE 0.0 END AS peak, coalesce(b.target, 1.0) AS before1, coalesce(c.target, 1.0) AS before7,
+  exp(-ln(2) * date_diff('day', a.d, max(a.d) OVER (PARTITION BY a.series)) / 30.0) AS w
+  FROM feat0 a LEFT JOIN feat0 b ON b.series = a.series AND b.hour = a.hour AND b.d = a.d - 1 LEFT JOIN feat0 c ON c.series = a.series AND c.hour = a.hour AND c.d = a.d - 7)"""
+
+
+@query("shp15_regressor_features", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(target, 6) AS target, round(w, 6) AS w, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in REGRESSORS) + " FROM feat", f"{HOURLY}, {MLP}")
+def shp15(t):
+    """The twelve features of the regressor, the clipped ratio of each hour to its day, and its weight."""
+    return regressor_rows(t).select("series", S("ts"), R("target", "target"), R("w", "w"), *((R(c, "x") + 0.0).alias(c) for c in REGRESSORS))
+
+
 @query("shp16_regressor")
 def shp16(t):
     """Tree ensemble fitted on the first two thirds of the days and applied to the rest; the prediction is floored, scaled
@@ -396,9 +408,22 @@ def shp22(t):
     return rows.select(S("week"), (R(F.col("dev") * ramp, "x") + 0.0).alias("deviation"))
 
 
-@query("shp23_diagnostics", "SELECT CAST(month(a.d) AS INT) AS month, count(*) AS n, round(corr(a.price, b.price), 6) AS corr, round(avg(a.price) FILTER (b.price > 50) - avg(a.price) FILTER (b.price <= 50), 6) AS gap FROM daily a JOIN daily b ON a.d = b.d AND a.market = 'CH' AND b.market = 'DE' GROUP BY month(a.d)")
-def shp23(t):
-    from .table_plans import pair
+_BANDS23 = "CASE WHEN de <= q[1] THEN 'low' WHEN de <= q[2] THEN 'mid' ELSE 'high' END"
 
-    high = F.col("de") > 50
-    return pair(t).groupBy(F.month("d").alias("month")).agg(F.count(F.lit(1)).alias("n"), R(F.corr("ch", "de"), "corr"), R(F.avg(F.when(high, F.col("ch"))) - F.avg(F.when(~high, F.col("ch"))), "gap"))
+
+@query("shp23_diagnostics", f"""SELECT dimension, bucket, count(*) AS n, round(corr(ch, de), 6) AS corr, round(regr_slope(ch, de), 6) AS slope, round(avg(ch) FILTER (de > q[2]) - avg(ch) FILTER (de <= q[1]), 6) AS gap FROM (
+  SELECT ch, de, q, unnest(['hour', 'season', 'season x band', 'all']) AS dimension, unnest([CAST(hour AS VARCHAR), season, season || ' x ' || {_BANDS23}, 'all']) AS bucket FROM (SELECT a.d, a.hour, a.price AS ch, b.price AS de FROM mhours a JOIN mhours b ON b.d = a.d AND b.hour = a.hour WHERE a.market = 'CH' AND b.market = 'DE')
+  JOIN cal USING (d), (SELECT quantile_cont(price, [0.3333333333333333, 0.6666666666666666]) AS q FROM mhours WHERE market = 'DE')) GROUP BY dimension, bucket""", f"{HOURLY}, {HOUR_WAYS}, {CAL}")
+def shp23(t):
+    """Correlation and slope of the price on the other market's, by hour, season, season and price band, and the price's gap between
+    that market's dear and cheap hours."""
+    hours = market_hours(t)
+    side = lambda m, c: hours.where(F.col("market") == m).select("d", "hour", F.col("price").alias(c))
+    edges = hours.where("market = 'DE'").agg(F.percentile("price", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("q"))
+    rows = side("CH", "ch").join(side("DE", "de"), ["d", "hour"]).join(t.calendar, "d").crossJoin(F.broadcast(edges))
+    low, high = F.col("de") <= F.col("q")[0], F.col("de") > F.col("q")[1]
+    band = F.when(low, "low").when(high, "high").otherwise("mid")
+    buckets = {"hour": F.col("hour").cast("string"), "season": F.col("season"), "season x band": F.concat_ws(" x ", "season", band), "all": F.lit("all")}
+    long = rows.select("ch", "de", low.alias("low"), high.alias("high"), F.inline(F.array(*(F.struct(F.lit(n).alias("dimension"), c.alias("bucket")) for n, c in buckets.items()))))
+    gap = F.avg(F.when(F.col("high"), F.col("ch"))) - F.avg(F.when(F.col("low"), F.col("ch")))
+    return long.groupBy("dimension", "bucket").agg(F.count(F.lit(1)).alias("n"), R(F.corr("ch", "de"), "corr"), R(F.regr_slope("ch", "de"), "slope"), R(gap, "gap"))

@@ -179,14 +179,22 @@ def jon11(t):
     return market(t, "CH", "price").join(market(t, "DE", "de"), "d", "left_anti").select(S("d"), R("price", "price"))
 
 
-NAIVE = """naive AS (SELECT x.series, x.ts, x.price, coalesce(p.m, g.m) AS naive FROM spot x
-  LEFT JOIN (SELECT series, isodow(ts) AS w, hour(ts) AS h, minute(ts) AS q, avg(price) AS m FROM spot WHERE ts < TIMESTAMP '2024-01-15' AND ts >= TIMESTAMP '2024-01-08' GROUP BY ALL) p ON p.series = x.series AND p.w = isodow(x.ts) AND p.h = hour(x.ts) AND p.q = minute(x.ts)
-  JOIN (SELECT series, avg(price) AS m FROM spot WHERE ts < TIMESTAMP '2024-01-15' GROUP BY series) g ON g.series = x.series WHERE x.ts >= TIMESTAMP '2024-01-15')"""
+#: Days before the last one from which the seasonal naive forecast is scored; the week before them is what it repeats.
+SCORED_DAYS = 16
+NAIVE = f"""since AS (SELECT CAST(CAST(max(ts) AS DATE) - {SCORED_DAYS} AS TIMESTAMP) AS start FROM spot), naive AS (SELECT x.series, x.ts, x.price, coalesce(p.m, g.m) AS naive FROM since, spot x
+  LEFT JOIN (SELECT series, isodow(ts) AS w, hour(ts) AS h, minute(ts) AS q, avg(price) AS m FROM spot, since WHERE ts < start AND ts >= start - INTERVAL 7 day GROUP BY ALL) p ON p.series = x.series AND p.w = isodow(x.ts) AND p.h = hour(x.ts) AND p.q = minute(x.ts)
+  JOIN (SELECT series, avg(price) AS m FROM spot, since WHERE ts < start GROUP BY series) g ON g.series = x.series WHERE x.ts >= start)"""
+
+
+def naive(t):
+    """spot of the last SCORED_DAYS with the value of the week before them."""
+    start = t.spot.agg(F.date_sub(F.to_date(F.max("ts")), SCORED_DAYS)).first()[0]
+    return joins.last_week(t.spot, str(start or "1970-01-01"))
 
 
 @query("jon12_last_week", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(naive, 6) AS naive FROM naive", NAIVE)
 def jon12(t):
-    return joins.last_week(t.spot, "2024-01-15").select("series", S("ts"), R("naive", "naive"))
+    return naive(t).select("series", S("ts"), R("naive", "naive"))
 
 
 @query("jon13_pairs", "SELECT a.name AS name_a, b.name AS name_b, count(*) AS n, round(corr(a.close, b.close), 6) AS corr FROM commodities a JOIN commodities b ON a.d = b.d AND a.name < b.name GROUP BY ALL HAVING count(*) > 10")
@@ -369,11 +377,19 @@ def srt1(t):
     return t.daily.orderBy("market", "d").select("market", S("d"), R("price", "price"))
 
 
-@query("srt2_worst_cells", "SELECT month, weekday, n, round(rmse, 6) AS rmse FROM (SELECT CAST(month(d) AS INT) AS month, CAST(isodow(d) - 1 AS INT) AS weekday, count(*) AS n, sqrt(avg((ch - de) * (ch - de))) AS rmse FROM pair GROUP BY ALL HAVING count(*) >= 5) ORDER BY rmse DESC LIMIT 15", PAIR)
+@query("srt2_worst_cells", """SELECT market, kind, name, n, round(rmse, 6) AS rmse FROM (SELECT *, row_number() OVER (PARTITION BY market, kind ORDER BY rmse DESC, name) AS rank FROM (
+  SELECT market, 'hour' AS kind, CAST(hour AS VARCHAR) AS name, count(*) AS n, sqrt(avg(e * e)) AS rmse FROM werr GROUP BY ALL UNION ALL SELECT market, 'cell', CAST(month(d) AS INT) || '/' || CAST(isodow(d) - 1 AS INT) || '/' || hour, count(*), sqrt(avg(e * e)) FROM werr GROUP BY ALL HAVING count(*) >= 20))
+  WHERE rank <= CASE kind WHEN 'hour' THEN 3 ELSE 15 END""", f"{HOURLY}, {HOUR_WAYS}, werr AS (SELECT * FROM (SELECT *, lag(price, 168) OVER (PARTITION BY market ORDER BY d, hour) - price AS e FROM mhours) WHERE e IS NOT NULL)")
 def srt2(t):
-    e = F.col("ch") - F.col("de")
-    cells = pair(t).groupBy(F.month("d").alias("month"), F.weekday("d").alias("weekday")).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"))
-    return cells.where("n >= 5").orderBy(F.desc("rmse")).limit(15).select("month", "weekday", "n", R("rmse", "rmse"))
+    """Each market's three worst hours and 15 worst cells (month, weekday, hour) of at least 20 rows, by the error of the week before."""
+    w = Window.partitionBy("market").orderBy("d", "hour")
+    rows = market_hours(t).withColumn("e", F.lag("price", 168).over(w) - F.col("price")).where("e IS NOT NULL")
+    cell = F.concat_ws("/", F.month("d"), F.weekday("d"), "hour")
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), c.alias("name")) for k, c in (("hour", F.col("hour").cast("string")), ("cell", cell))))
+    sums = rows.select("market", "e", F.inline(kinds)).groupBy("market", "kind", "name").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
+    rank = F.row_number().over(Window.partitionBy("market", "kind").orderBy(F.desc("rmse"), "name"))
+    best = sums.where("kind = 'hour' OR n >= 20").withColumn("rank", rank).where("rank <= CASE kind WHEN 'hour' THEN 3 ELSE 15 END")
+    return best.select("market", "kind", "name", "n", R("rmse", "rmse"))
 
 
 @query("srt3_top_per_group", "SELECT series, CAST(d AS VARCHAR) AS d, hour FROM (SELECT *, row_number() OVER (PARTITION BY series, d ORDER BY price DESC, hour) AS rn FROM hourly) WHERE rn <= 8", HOURLY)
