@@ -10,7 +10,7 @@ from ..operators import curve, forwards, joins
 from ..operators import windows as win
 from ..sources import writers
 from .registry import query
-from .shape_plans import DAYS, FW, FWS, seasonal_factor
+from .shape_plans import BANDS, DAYS, FW, FWS, bands, seasonal_factor
 from .table_plans import FULL, HOUR_WAYS, HOURLY, LOOKUP, PAIR, YEARLY, full_years, hourly, market_hours, pair
 from .time_plans import HOURS, R, S, month_hours
 
@@ -460,8 +460,19 @@ def crv17(t):
     return met_quotes(t).select("market", "year", "quarter", "month", R("quote", "quote"), seen(R("mean", "x")).alias("curve"), seen(R(diff, "x") + 0.0).alias("diff"), seen(R(100 * F.try_divide(diff, F.col("quote")), "x") + 0.0).alias("percent"))
 
 
-@query("crv18_curve_stats", "SELECT market, CAST(year(d) AS INT) AS year, round(avg(raw) FILTER (isodow(d) <= 5), 6) AS work, round(avg(raw) FILTER (isodow(d) > 5), 6) AS rest, round(min(f_w), 6) AS f_low, round(max(f_w), 6) AS f_high FROM curve GROUP BY market, year(d)", RAW)
+@query("crv18_curve_stats", """SELECT market, y AS year, round(base, 6) AS base, round(peak, 6) AS peak, round(offpeak, 6) AS offpeak, round(f_low, 6) AS f_low, round(f_high, 6) AS f_high FROM (SELECT market, year AS y, avg(price) AS base, avg(price) FILTER (peak) AS peak, avg(price) FILTER (NOT peak) AS offpeak FROM phours GROUP BY ALL)
+  JOIN (SELECT market, CAST(year(d) AS INT) AS y, min(f_w) AS f_low, max(f_w) AS f_high FROM curve GROUP BY ALL) USING (market, y)""", f"{RAW}, {LOADS}")
 def crv18(t):
-    work = F.weekday("d") < 5
-    return raw_curve(t).groupBy("market", F.year("d").alias("year")).agg(R(F.avg(F.when(work, F.col("raw"))), "work"), R(F.avg(F.when(~work, F.col("raw"))), "rest"), R(F.min("f_w"), "f_low"), R(F.max("f_w"), "f_high"))
-
+    """Base, peak and off-peak level of each year, and the range of the day factor."""
+    peak = F.col("is_peak")
+    levels = load_hours(t).groupBy("market", "year").agg(R(F.avg("price"), "base"), R(F.avg(F.when(peak, F.col("price"))), "peak"), R(F.avg(F.when(~peak, F.col("price"))), "offpeak"))
+    ranges = raw_curve(t).groupBy("market", F.year("d").alias("year")).agg(R(F.min("f_w"), "f_low"), R(F.max("f_w"), "f_high"))
+    return levels.join(ranges, ["market", "year"])
+
+
+@query("crv18b_band_widths", "SELECT series, months, round(avg((p90 - p10) / greatest(p50, 0.01)) * CASE WHEN months <= 6 THEN 2.5 WHEN months <= 12 THEN 2.8 WHEN months <= 24 THEN 3.5 ELSE 4.2 END, 6) AS width FROM bands, (VALUES (6), (12), (24), (36)) h(months) GROUP BY series, months", f"{HOURLY}, {BANDS}")
+def crv18b(t):
+    """Mean width of the bands around a price of 1 at each horizon."""
+    rows = bands(t).withColumn("months", F.explode(F.array(*(F.lit(m) for m, _ in tg.WIDENING))))
+    width = F.avg((F.col("p90") - F.col("p10")) / F.greatest("p50", F.lit(0.01))) * F.first(tg.step_lookup(F.col("months"), tg.WIDENING, 4.2))
+    return rows.groupBy("series", "months").agg(R(width, "width"))

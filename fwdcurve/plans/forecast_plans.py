@@ -22,7 +22,7 @@ OVER = "(PARTITION BY market ORDER BY d)"
 WEEK = "(PARTITION BY market ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
 
 
-EXOGENOUS = """SELECT h.market, CAST(h.d AS VARCHAR) AS d, h.hour, round(h.price, 6) AS price, round(n.price, 6) AS neighbour, round(l.load, 6) AS load, round(g.gas, 6) AS gas, round(w.fill_pct, 6) AS fill FROM mhours h LEFT JOIN mhours n ON n.d = h.d AND n.hour = h.hour AND n.market <> h.market
+EXOGENOUS_SQL = """SELECT h.market, h.d, h.hour, h.price, n.price AS neighbour, l.load, g.gas, w.fill_pct AS fill FROM mhours h LEFT JOIN mhours n ON n.d = h.d AND n.hour = h.hour AND n.market <> h.market
   LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS load FROM lineitem GROUP BY ALL) l ON l.d = h.d LEFT JOIN (SELECT d, avg(close) AS gas FROM commodities GROUP BY d) g ON g.d = h.d ASOF LEFT JOIN hydro w ON h.d >= w.week"""
 
 
@@ -34,13 +34,19 @@ def exogenous_days(t):
     return joins.asof_weekly(days, t.hydro, "d", "week", "fill_pct").withColumnRenamed("fill_pct", "fill").join(load, "d", "left").join(gas, "d", "left")
 
 
-@query("fct1_exogenous", EXOGENOUS, f"{HOURLY}, {HOUR_WAYS}")
-def fct1(t):
+def exogenous_hours(t):
     """Every hour with the neighbour's price, the day's load and gas price and the latest week's fill."""
     hours = market_hours(t)
     other = hours.select(F.when(F.col("market") == "CH", "DE").otherwise("CH").alias("market"), "d", "hour", F.col("price").alias("neighbour"))
-    rows = hours.join(other, ["market", "d", "hour"], "left").join(exogenous_days(t), "d", "left")
-    return rows.select("market", S("d"), "hour", *(R(c, c) for c in ("price", "neighbour", "load", "gas", "fill")))
+    return hours.join(other, ["market", "d", "hour"], "left").join(exogenous_days(t), "d", "left")
+
+
+_ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in ("price", "neighbour", "load", "gas", "fill"))
+
+
+@query("fct1_exogenous", f"SELECT market, CAST(d AS VARCHAR) AS d, hour, {_ROUNDED} FROM ({EXOGENOUS_SQL})", f"{HOURLY}, {HOUR_WAYS}")
+def fct1(t):
+    return exogenous_hours(t).select("market", S("d"), "hour", *(R(c, c) for c in ("price", "neighbour", "load", "gas", "fill")))
 
 
 @query("fct2_features", f"SELECT market, CAST(d AS VARCHAR) AS d, round(lag(price, 1) OVER {OVER}, 6) AS lag1, round(lag(price, 7) OVER {OVER}, 6) AS lag7, round(lag(price, 1) OVER {OVER} - lag(price, 7) OVER {OVER}, 6) AS momentum, round(CASE WHEN count(price) OVER {WEEK} >= 3 THEN stddev_samp(price) OVER {WEEK} END, 6) AS vol7, CAST(isodow(d) - 1 AS INT) AS weekday FROM daily")

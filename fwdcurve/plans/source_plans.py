@@ -7,11 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import timegrid as tg
+from ..operators import shapes
 from ..operators import windows as win
 from ..sources import readers, upserts, writers
 from .curve_plans import HISTORY, LOADS, PEAKR, RATIO, quote_history
 from .registry import query
-from .table_plans import hourly
+from .shape_plans import BANDS, DAYS, EXOGENOUS, FH, FH_ALL, FH_SMOOTH, FQ, FW, RATIOS, bands, profile, quarter_corrections, quarter_table, water_months, weighted_days
+from .table_plans import HOURLY, hourly
 from .time_plans import R, S
 
 PERIOD = "CASE WHEN month IS NOT NULL THEN printf('%d-%02d', year, month) WHEN quarter IS NOT NULL THEN printf('%d-Q%d', year, quarter) ELSE CAST(year AS VARCHAR) END"
@@ -119,10 +121,18 @@ def src12(t):
     return rows.groupBy("market").agg(F.max("d").cast("string").alias("d"), R(F.max_by("price", "d"), "price"))
 
 
-@query("src13_failover", "SELECT CAST(d AS VARCHAR) AS d, CASE WHEN ch IS NOT NULL THEN 'primary' ELSE 'secondary' END AS source, round(coalesce(ch, de), 6) AS price FROM (SELECT d, max(price) FILTER (market = 'CH') AS ch, max(price) FILTER (market = 'DE') AS de FROM daily GROUP BY d)")
+@query("src13_failover", """SELECT CAST(g.d AS VARCHAR) AS d, CASE WHEN a.price IS NOT NULL THEN 'primary' WHEN b.price IS NOT NULL THEN 'secondary' WHEN c.price IS NOT NULL THEN 'third' WHEN k.price IS NOT NULL THEN 'cache' END AS source, round(coalesce(a.price, b.price, c.price, k.price), 6) AS price
+  FROM (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 day)) AS DATE) AS d FROM daily) g LEFT JOIN (SELECT d, price FROM daily WHERE market = 'CH' AND day(d) % 3 <> 0) a ON a.d = g.d LEFT JOIN (SELECT d, price FROM daily WHERE market = 'DE' AND day(d) % 2 <> 0) b ON b.d = g.d
+  LEFT JOIN (SELECT week AS d, fill_pct AS price FROM hydro) c ON c.d = g.d ASOF LEFT JOIN (SELECT d, price FROM daily WHERE market = 'CH' AND day(d) % 3 <> 0) k ON g.d >= k.d""")
 def src13(t):
-    ch, de = (t.daily.where(F.col("market") == m).select("d", "price") for m in ("CH", "DE"))
-    return readers.failover({"primary": ch, "secondary": de}, ["d"], "price").select(S("d"), "source", R("price", "price"))
+    """Each day's price from the first source that has it, of three, else the primary's last one from the cache; with its origin."""
+    part = lambda m, every: t.daily.where((F.col("market") == m) & (F.dayofmonth("d") % every != 0)).select("d", "price")
+    days = t.daily.agg(F.min("d").alias("a"), F.max("d").alias("b")).select(F.explode(F.sequence("a", "b")).alias("d"))
+    primary = part("CH", 3)
+    cached = days.join(primary, "d", "left").withColumn("market", F.lit("CH")).withColumn("price", win.ffill("price", ["market"], "d")).select("d", "price")
+    third = t.hydro.select(F.col("week").alias("d"), F.col("fill_pct").alias("price"))
+    found = readers.failover({"primary": primary, "secondary": part("DE", 2), "third": third, "cache": cached}, ["d"], "price")
+    return days.join(found, "d", "left").select(S("d"), "source", R("price", "price"))
 
 
 @query("src14_column_choice", "SELECT l_orderkey, round(coalesce(arg_min(v, p), 0), 6) AS value FROM (SELECT l_orderkey, l_extendedprice AS v, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END * 1000000 + l_linenumber * 1000 + l_quantity AS p FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END * 1000000 + l_linenumber * 1000 + l_quantity ORDER BY l_extendedprice) = 1) GROUP BY l_orderkey")
@@ -141,9 +151,17 @@ def src15(t):
     return readers.close_columns(wide, "d").select("name", S("d"), R("close", "close"))
 
 
-@query("src16_latest_artifact", "SELECT market, CAST(max(d) AS VARCHAR) AS latest FROM daily GROUP BY market")
+@query("src16_latest_artifact", "SELECT prefix, CAST(make_date(y, 12, 31) AS VARCHAR) AS run_date, count(*) AS n, round(sum(price), 4) AS total FROM (SELECT 'curve_' || lower(market) AS prefix, CAST(year(d) AS INT) AS y, max(CAST(year(d) AS INT)) OVER (PARTITION BY market) AS last, price FROM daily) WHERE y = last GROUP BY prefix, y")
 def src16(t):
-    return t.daily.groupBy("market").agg(F.max("d").cast("string").alias("latest"))
+    """Artifacts lie in folders <prefix>_<date>; of each prefix the latest one is read, by its name alone."""
+    path = scratch(t, "artifacts")
+    name = F.concat(F.lit("curve_"), F.lower("market"), F.lit("_"), F.year("d").cast("string"), F.lit("-12-31"))
+    t.daily.select("market", "d", "price", name.alias("artifact")).write.partitionBy("artifact").parquet(path)
+    rows = None
+    for prefix in ("curve_ch", "curve_de"):
+        one = readers.latest_artifact(t.spark, path, prefix, "market string, d date, price double")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("prefix", S("run_date")).agg(F.count(F.lit(1)).alias("n"), R(F.sum("price"), "total", 4))
 
 
 DAILY = "market string, d date, price double, month string"
@@ -260,12 +278,39 @@ def snk11(t):
     return t.daily.groupBy("market").agg(F.to_json(gates).alias("report"))
 
 
-@query("snk12_model_tables", "SELECT market, CAST(month(d) AS INT) AS month, round(avg(price), 6) AS f FROM daily GROUP BY market, month(d)")
+MODEL = """SELECT 'f_H' AS kind, series AS key, season, day_type, hour, NULL::INT AS quarter, 'f' AS name, f AS value FROM fh_all UNION ALL SELECT 'f_Q', series, season, day_type, hour, quarter, 'f', f FROM fq UNION ALL SELECT 'f_W', market, NULL, day_type, NULL, NULL, 'f', f FROM fw
+  UNION ALL SELECT 'bands', series, NULL, NULL, hour, NULL, name, CASE name WHEN 'p10' THEN p10 WHEN 'p50' THEN p50 ELSE p90 END FROM bands, (VALUES ('p10'), ('p50'), ('p90')) n(name)"""
+
+
+@query("snk12_model_tables", f"SELECT kind, key, season, day_type, hour, quarter, name, round(value, 6) AS value FROM ({MODEL})", f"{RATIOS}, {FQ}, {FH[FH.index('fh_raw AS'):]}, {FH_SMOOTH}, {FH_ALL}, {DAYS}, {FW}, {HOURLY}, {BANDS}")
 def snk12(t):
-    model = t.daily.groupBy("market", F.month("d").alias("month")).agg(R(F.avg("price"), "f"))
+    """The fitted shapes in one long table by version (f_H, f_W, f_Q, its corrections, bands, water value), written and read back; the
+    twin has the parts that SQL can fit."""
     path = scratch(t, "model")
-    writers.save_model(model, path, "v1")
-    return readers.load_model(t.spark, path, "v1")
+    writers.save_model(model_table(t), path, "v1")
+    return readers.load_model(t.spark, path, "v1").where("kind NOT IN ('f_Q correction', 'water value')").select("kind", "key", "season", "day_type", "hour", "quarter", "name", R("value", "value"))
+
+
+def model_table(t):
+    """(kind, key, season, day_type, hour, quarter, name, value) of everything that is fitted."""
+    columns = ("season", "day_type", "hour", "quarter")
+
+    def long(rows, kind: str, key: str, values: dict):
+        cells = [F.col(c).cast("int" if c in ("hour", "quarter") else "string").alias(c) if c in rows.columns else F.lit(None).cast("int" if c in ("hour", "quarter") else "string").alias(c) for c in columns]
+        named = F.inline(F.array(*(F.struct(F.lit(n).alias("name"), v.cast("double").alias("value")) for n, v in values.items())))
+        return rows.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), *cells, named)
+
+    fixes = quarter_corrections(t).where("accepted")
+    parts = [
+        long(shapes.with_fallback(shapes.smoothed(profile(t))), "f_H", "series", {"f": F.col("f")}), long(quarter_table(t), "f_Q", "series", {"f": F.col("f")}),
+        long(shapes.day_factor(weighted_days(t), ["market"], 20), "f_W", "market", {"f": F.col("f")}), long(bands(t), "bands", "series", {c: F.col(c) for c in ("p10", "p50", "p90")}),
+        long(fixes, "f_Q correction", "series", {"intercept": F.col("intercept"), **{c: F.col("coefs")[k] for k, c in enumerate(EXOGENOUS)}}),
+        long(shapes.water_fit(water_months(t)), "water value", "market", {"beta": F.col("beta"), **{c: F.col(c) for c in shapes.WATER_SEASONS}}),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query("snk13_report_csv", "SELECT market, CAST(count(*) AS VARCHAR) AS n FROM daily GROUP BY market")

@@ -106,3 +106,13 @@ def close_columns(wide: DataFrame, day: str) -> DataFrame:
 
 def load_model(spark: SparkSession, path: str, version: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("model_version") == version).drop("model_version")
+
+
+def latest_artifact(spark: SparkSession, path: str, prefix: str, schema: str) -> DataFrame:
+    """Rows of the folder artifact=<prefix>_<date> with the latest date, with prefix and run_date; no rows without one. The choice
+    is made on the partition column, so no other folder is opened."""
+    rows = spark.read.schema(f"{schema}, artifact string").parquet(path)
+    day = F.to_date(F.regexp_extract("artifact", rf"^{prefix}_(\d{{4}}-\d{{2}}-\d{{2}})$", 1))
+    mine = rows.where(F.col("artifact").rlike(rf"^{prefix}_\d{{4}}-\d{{2}}-\d{{2}}$"))
+    last = mine.agg(F.max("artifact")).first()[0]
+    return mine.where(F.col("artifact") == F.lit(last)).withColumns({"prefix": F.lit(prefix), "run_date": day}).drop("artifact")
