@@ -24,6 +24,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +50,12 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 PRE_TOKENIZERS = ["Split", "ByteLevel"]
 #: The pattern for lower-case printable ASCII, where the byte-level alphabet is the identity.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Pieces of Latin letters with accents: normal as they are, and lower-cased letter by letter but for the dotted capital I.
+_LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
+_LATIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u017f]+")
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The byte-level alphabet: printable bytes stand for themselves, the others for the letters from U+0100 on.
+_ALPHABET = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 
 
 class Memo(dict):
@@ -88,6 +95,7 @@ class Encoder:
         self.end = np.array([end_id], self.dtype).tobytes()
         spec = json.loads(self.tokenizer.to_str())
         self.added = [t["content"] for t in spec["added_tokens"]]
+        self.apart = [*"\x1c\x1d\x1e\x1f", *self.added]
         self.by_piece = self._splits_at_blanks(spec)
         self.model, self.normalizer, self.pre = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.words, self.pieces = Memo(self._word, PIECES), Memo(self._piece, PIECES)
@@ -111,13 +119,13 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if any(t in piece for t in self.added):
-            return self._whole(piece)
         if piece.isascii() and piece.isprintable():
             words = _ASCII.findall(piece.lower())
+        elif _LATIN.fullmatch(piece):
+            words = [w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET) for w in _LATIN_WORDS.findall(piece.lower())]
         else:
             words = [w for w, _ in self.pre.pre_tokenize_str(self.normalizer.normalize_str(piece))]
         return b"".join(map(self.words.__getitem__, words))
@@ -126,8 +134,9 @@ class Encoder:
         """For each text its ids and the end id, as little-endian bytes of self.dtype."""
         get, done = self.pieces.__getitem__, []
         for text in texts:
-            # four control characters separate in Python but not for the tokenizer: such texts are encoded whole
-            if text and (not self.by_piece or any(c in text for c in "\x1c\x1d\x1e\x1f")):
+            # four control characters separate in Python but not for the tokenizer: such texts, and those that spell out an
+            # added token, are encoded whole
+            if text and (not self.by_piece or any(c in text for c in self.apart)):
                 done.append(self._whole(text) + self.end)
             else:
                 done.append(b"".join(map(get, (text or "").split())) + self.end)
