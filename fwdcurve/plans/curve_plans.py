@@ -346,7 +346,7 @@ def curve_slots(t):
 
 
 def curve_contracts(t, slots):
-    """All quotes as Base contracts, which overlap, and the Peak and Offpeak pairs of the months with a peak price.
+    """All quotes as Base contracts, which overlap, and the Peak and Offpeak pairs of the quoted months with a peak price.
 
     The off-peak price is the one that peak and base imply by the curve's own slots, so a pair keeps its month's
     mean; it stands for the month's own quote. A month without off-peak slots has its base alone."""
@@ -355,7 +355,9 @@ def curve_contracts(t, slots):
     none = t.spark.createDataFrame([], "market string, year int, month int, peak double")
     base = forwards.monthly_contracts(t.quotes, none, month_hours(t)).select(*keys, F.col("price").alias("base"))
     peaks = contracts(t).where("load = 'Peak'").select(*keys, F.col("price").alias("peak"))
-    paired = peaks.join(base, keys).join(counts, keys).where("n > n_peak")
+    # a month without a quote of its own is free to make up for what its quarter or year asks
+    own = t.quotes.where("month IS NOT NULL").select(*keys)
+    paired = peaks.join(own, keys, "left_semi").join(base, keys).join(counts, keys).where("n > n_peak")
     rest = forwards.offpeak(F.col("base"), F.col("peak"), F.col("n"), F.col("n_peak"))
     sides = F.inline(F.array(*(F.struct(F.lit(load).alias("load"), price.alias("price")) for load, price in (("Peak", F.col("peak")), ("Offpeak", rest)))))
     pairs = paired.select(*keys, F.lit(None).cast("int").alias("quarter"), sides)
