@@ -102,11 +102,11 @@ def rpt8(t):
     return latest_outages(t).groupBy(F.year("start_ts").alias("year")).agg(F.count(F.lit(1)).alias("n"), R(F.avg("mw"), "mean_mw"), R(F.max("mw"), "most_mw"), R(F.avg(hours), "mean_hours"), *map(mean, range(1, 13)))
 
 
-@query("rpt8b_outage_price", "SELECT round(corr(mw, price), 6) AS corr, round(regr_slope(price, mw), 8) AS slope, round(regr_intercept(price, mw), 6) AS intercept FROM (SELECT CAST(start_ts AS DATE) AS d, sum(mw) AS mw FROM latest GROUP BY ALL) JOIN (SELECT d, price FROM daily WHERE market = 'CH') USING (d)", LATEST)
+@query("rpt8b_outage_price", "SELECT market, count(*) AS n, round(corr(mw, price), 6) AS corr, round(regr_slope(price, mw), 8) AS slope, round(regr_intercept(price, mw), 6) AS intercept FROM (SELECT CAST(start_ts AS DATE) AS d, sum(mw) AS mw FROM latest GROUP BY ALL) JOIN daily USING (d) GROUP BY market", LATEST)
 def rpt8b(t):
     per = latest_outages(t).groupBy(F.to_date("start_ts").alias("d")).agg(F.sum("mw").alias("mw"))
-    rows = per.join(t.daily.where("market = 'CH'").select("d", "price"), "d")
-    return rows.agg(R(F.corr("mw", "price"), "corr"), R(F.regr_slope("price", "mw"), "slope", 8), R(F.regr_intercept("price", "mw"), "intercept"))
+    rows = per.join(t.daily, "d").groupBy("market")
+    return rows.agg(F.count(F.lit(1)).alias("n"), R(F.corr("mw", "price"), "corr"), R(F.regr_slope("price", "mw"), "slope", 8), R(F.regr_intercept("price", "mw"), "intercept"))
 
 
 @query("rpt9_commodities", "SELECT name, round(min(close), 6) AS low, round(max(close), 6) AS high, round(arg_max(close, d) / arg_min(close, d) - 1, 6) AS total_return, round(stddev_samp(change), 6) AS volatility FROM (SELECT *, close / lag(close) OVER (PARTITION BY name ORDER BY d) - 1 AS change FROM commodities) GROUP BY name")
