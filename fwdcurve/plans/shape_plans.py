@@ -199,10 +199,10 @@ def exogenous(t):
 
 
 def quarter_corrections(t):
-    """(*CELL, hour, quarter, accepted, intercept, coefs) of the ratio's distance from its own base factor on EXOGENOUS."""
+    """(*CELL, hour, quarter, accepted, intercept, coefs) of the ratio's distance from its own base factor, or 1, on EXOGENOUS."""
     at = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    rows = ratios(t).withColumn("at", at).join(exogenous(t), ["series", "at"]).join(quarter_table(t).withColumnRenamed("f", "base"), [*CELL, "hour", "quarter"])
-    rows = rows.withColumn("gap", F.col("ratio") - F.col("base")).select(*CELL, "hour", "quarter", "ts", "gap", *EXOGENOUS)
+    rows = ratios(t).withColumn("at", at).join(exogenous(t), ["series", "at"]).join(quarter_table(t).withColumnRenamed("f", "base"), [*CELL, "hour", "quarter"], "left")
+    rows = rows.withColumn("gap", F.col("ratio") - F.coalesce("base", F.lit(1.0))).select(*CELL, "hour", "quarter", "ts", "gap", *EXOGENOUS)
     return shapes.ridge_correction(rows, [*CELL, "hour", "quarter"], list(EXOGENOUS), "gap", most=shapes.MOST_CORRECTION)
 
 
