@@ -272,9 +272,9 @@ def snk10(t):
     return t.spark.table(name).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("snk11_run_report")
+@query("snk11_run_report", "SELECT market, CAST(json_object('n', count(*), 'mean', round(avg(price), 4), 'complete', count(*) FILTER (price IS NULL) = 0) AS VARCHAR) AS report FROM daily GROUP BY market")
 def snk11(t):
-    gates = F.struct(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 4).alias("mean"), (F.count_if(F.col("price").isNull()) == 0).alias("complete"))
+    gates = F.struct(F.count(F.lit(1)).alias("n"), R(F.avg("price"), "mean", 4), (F.count_if(F.col("price").isNull()) == 0).alias("complete"))
     return t.daily.groupBy("market").agg(F.to_json(gates).alias("report"))
 
 
