@@ -39,7 +39,7 @@ LENGTH = 2048
 BATCH_ROWS = 128
 END_ID = 1
 #: Pieces a worker remembers in the newer of two generations.
-PIECES = 250_000
+PIECES = 150_000
 #: Texts encoded at a time.
 TEXTS = 2000
 _ENCODERS: dict = {}
