@@ -218,8 +218,9 @@ def snk3(t):
 @query("snk4_export_csv", "SELECT series, strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Zurich', '%d.%m.%Y %H:%M') AS local_ts, printf('%.4f', round(price, 6)) AS price FROM spot")
 def snk4(t):
     path = scratch(t, "export-csv")
-    writers.local_csv(t.spot.select("series", "ts", F.round("price", 6).alias("price")), path)
-    return t.spark.read.schema("series string, local_ts string, price string").csv(path, sep=";", header=True)
+    price = F.signum("price") * R(F.abs("price"), "price")  # what rounds to zero keeps its sign, as in the twin
+    writers.local_csv(t.spot.select("series", "ts", price.alias("price")), path)
+    return readers.local_csv(t.spark, path)
 
 
 @query("snk5_export_parquet", "SELECT series, CAST(ts AS VARCHAR) AS ts, round(price, 6) AS price, false AS calibrated FROM spot")

@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .writers import LOCAL_CSV
+
 
 def parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Scan of the declared columns alone."""
@@ -37,6 +39,11 @@ def curve_csv(spark: SparkSession, path: str) -> DataFrame:
     return parsed.dropna(subset=["ts", "price"])
 
 
+def local_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What writers.local_csv wrote, as texts; a cell without quotes and content is null, an empty text has quotes."""
+    return spark.read.schema("series string, local_ts string, price string").csv(path, multiLine=True, nullValue="\0", **LOCAL_CSV)
+
+
 def price_payload(landed: DataFrame, start: str, end: str) -> DataFrame:
     """Rows (series, ts, price) of bodies with parallel arrays; of equal seconds the one with the last event_id, in
     bodies without event_id the last one; [start, end)."""

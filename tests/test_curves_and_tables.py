@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fwdcurve.operators import aggregates, curve, forecast, forwards, shapes, windows
-from fwdcurve.plans import curve_plans, forecast_plans, slot_plans
+from fwdcurve.plans import curve_plans, forecast_plans, registry, slot_plans
 from fwdcurve.plans.bindings import Tables
-from fwdcurve.sources import readers, upserts
+from fwdcurve.sources import readers, upserts, writers
 from fwdcurve.streaming import jobs, state
+from twins import agree
 
 COLUMNS = ["price_shape", "f_s", "f_w", "f_h", "f_q", "f_wv", "profile_type", "confidence", "p10", "p90", "calibrated"]
 
@@ -248,3 +249,23 @@ def test_a_corrupt_file_beside_good_ones_is_left_out(spark, tmp_path):
     with pytest.warns(UserWarning):
         rows = readers.optional(spark, f"{tmp_path}/t.parquet", "k long, v string, more double")
     assert sorted(tuple(r) for r in rows.collect()) == [(1, "a", None), (2, "b", None)]
+
+
+def test_fixed_decimals_are_those_of_the_binary_value(spark):
+    values = [61.50875, 42.45625, 0.03125, 0.09375, 0.00015, 0.99995, -0.03125, -0.00001, -0.0, 0.0, 211411417311031.96875, 2.0**57 + 16, float("nan"), float("inf"), -float("inf"), None]
+    values += [k / 1600 for k in range(-3000, 3000)]
+    rows = spark.createDataFrame(list(enumerate(values)), "k int, v double").select("k", writers.fixed(F.col("v")).alias("text"))
+    got = [r["text"] for r in rows.orderBy("k").collect()]
+    assert got == [None if v is None else f"{v:.4f}" for v in values]
+
+
+def test_exported_prices_tie_as_in_the_twin_and_names_come_back(spark, sf_dir, tmp_path):
+    for table in os.listdir(sf_dir):
+        if table != "events.parquet":
+            os.symlink(f"{sf_dir}/{table}", tmp_path / table)
+    names = ["click", "", None, " pad ", "a;b", 'q"uote', "back\\", "new\nline", "cr\rx"]
+    # eight events a slot, whose mean of cents ties in the fifth decimal
+    rows = [(names[s % len(names)], dt.datetime(2024, 10, 26) + dt.timedelta(minutes=15 * s, seconds=k), None if s % 11 == 0 else k * 0.37 if k else (s - 150) * 3.01) for s in range(300) for k in range(8)]
+    pd.DataFrame(rows, columns=["event_type", "ts", "value"]).astype({"ts": "datetime64[us]"}).to_parquet(tmp_path / "events.parquet")
+    registry.load()
+    agree(spark, registry.QUERIES["snk4_export_csv"], registry.SQL["snk4_export_csv"], str(tmp_path))
